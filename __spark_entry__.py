@@ -19,7 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.oracle_sql import HI, LO  # noqa: E402
 from checks.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
-from flightlake.operators import filters, parse, star  # noqa: E402
+from flightlake.operators import enrich, filters, parse, route, star  # noqa: E402
+from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
 from flightlake.sources import fixtures as fx  # noqa: E402
 
@@ -115,6 +116,38 @@ def q_adhoc_filter(spark, sf):
                                        ("fk_pays", "=~", "^NATION_1[0-9]$")])
 
 
+def _airports(spark, sf):
+    """Envelopes -> parse -> enrich; the ingestion time is left out (not
+    reproducible between engines)."""
+    rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, sf)))
+    return rows.drop("timestamp_ingestion")
+
+
+def q_airport_enrich(spark, sf):
+    return _airports(spark, sf)
+
+
+def q_airport_route_counts(spark, sf):
+    return route.route_counts(_airports(spark, sf))
+
+
+def q_airfield_preview(spark, sf):
+    return air.airfield_preview(route.routed_table(_airports(spark, sf), "airfields"))
+
+
+def q_hotspot_geo_score(spark, sf):
+    return _r6(air.hotspot_geo_score(route.routed_table(_airports(spark, sf), "hotspots")), "avg")
+
+
+def q_airfield_table(spark, sf):
+    cols = [c for c in air.AIRFIELD_TABLE_COLUMNS if c != "timestamp_ingestion"]
+    return air.airfield_table(route.routed_table(_airports(spark, sf), "airfields"), columns=cols)
+
+
+def q_country_altitude(spark, sf):
+    return air.country_altitude(route.routed_table(_airports(spark, sf), "airports"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "state_mapping": q_state_mapping,
@@ -136,6 +169,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "status_series_points": q_status_series_points,
         "country_filter": q_country_filter,
         "adhoc_filter": q_adhoc_filter,
+        "airport_enrich": q_airport_enrich,
+        "airport_route_counts": q_airport_route_counts,
+        "airfield_preview": q_airfield_preview,
+        "hotspot_geo_score": q_hotspot_geo_score,
+        "airfield_table": q_airfield_table,
+        "country_altitude": q_country_altitude,
     }
 
 

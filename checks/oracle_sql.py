@@ -210,3 +210,81 @@ SELECT * FROM win WHERE fk_pays <> 'NATION_3' AND geo_altitude >= 1000.0 AND reg
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
+
+
+# --- airports ---------------------------------------------------------------
+
+ITEMS = """
+items AS (
+ SELECT c.c_custkey AS seq,
+  CASE c.c_custkey % 10 WHEN 0 THEN 'airports' WHEN 1 THEN 'reportingpoints' WHEN 2 THEN 'airspaces'
+   WHEN 3 THEN 'hotspots' WHEN 4 THEN 'navaids' WHEN 5 THEN 'hangglidings' WHEN 6 THEN 'obstacles'
+   WHEN 7 THEN 'airfields' WHEN 8 THEN 'elsewhere' ELSE NULL END AS source_data,
+  CASE WHEN c.c_custkey % 31 = 0 THEN NULL ELSE concat('  ', c.c_name, ' ') END AS name,
+  n.n_name AS country,
+  CASE WHEN c.c_custkey % 37 = 0 THEN NULL
+       ELSE concat(substr('KESZYLA', CAST(c.c_custkey % 7 + 1 AS INT), 1),
+                   lpad(CAST(c.c_custkey % 1000 AS VARCHAR), 3, '0')) END AS icao,
+  CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE lpad(CAST(c.c_custkey % 1000 AS VARCHAR), 3, 'X') END AS iata,
+  CASE WHEN c.c_custkey % 43 = 0 THEN NULL
+       ELSE CAST(c.c_custkey * 53 % 36001 - 18000 AS DOUBLE) / CAST(100 AS DOUBLE) END AS longitude,
+  CASE WHEN c.c_custkey % 43 = 0 OR c.c_custkey % 41 = 0 THEN NULL
+       ELSE CAST(c.c_custkey * 37 % 18001 - 9000 AS DOUBLE) / CAST(100 AS DOUBLE) END AS latitude
+ FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+)"""
+
+ENRICHED = """
+filled AS (
+ SELECT COALESCE(name, 'N/A') AS name, COALESCE(icao, 'N/A') AS icao, COALESCE(iata, 'N/A') AS iata,
+  COALESCE(country, 'N/A') AS country, longitude, latitude, source_data
+ FROM items
+),
+enriched AS (
+ SELECT name, icao, iata, country, longitude, latitude, source_data,
+  CASE WHEN abs(latitude) < 10 THEN 50 WHEN abs(latitude) < 30 THEN 150
+       WHEN abs(latitude) < 50 THEN 300 ELSE 500 END AS altitude_estimee_m,
+  CAST(trunc(longitude / CAST(15 AS DOUBLE)) AS INTEGER) AS timezone_approx,
+  CASE WHEN abs(latitude) < 10 THEN 'Tropical' WHEN abs(latitude) < 30 THEN 'Aride'
+       WHEN abs(latitude) < 50 THEN 'Tempéré' ELSE 'Polaire' END AS climat,
+  CASE WHEN starts_with(icao, 'K') THEN 'North America' WHEN starts_with(icao, 'E') THEN 'Europe'
+       WHEN starts_with(icao, 'S') THEN 'South America' WHEN starts_with(icao, 'Z') THEN 'Asia'
+       WHEN starts_with(icao, 'Y') THEN 'Oceania' ELSE 'Unknown' END AS airport_category,
+  trim(name) AS name_clean, upper(name) AS name_upper,
+  CAST(0 AS BIGINT) AS processing_delay_s,
+  abs(latitude) / 90 + abs(longitude) / 180 AS geo_score
+ FROM filled
+)"""
+
+AIR = _with(ITEMS, ENRICHED)
+_ALL_ENRICHED = ("name, icao, iata, country, longitude, latitude, source_data, altitude_estimee_m, "
+                 "timezone_approx, climat, airport_category, name_clean, name_upper, "
+                 "processing_delay_s, geo_score")
+
+
+def _order_all(cols: str) -> str:
+    return ", ".join(f"{c.strip()} ASC NULLS LAST" for c in cols.split(","))
+
+
+Q["airport_enrich"] = AIR + f"SELECT {_ALL_ENRICHED} FROM enriched"
+
+Q["airport_route_counts"] = AIR + """
+SELECT CASE WHEN source_data IN ('airports', 'reportingpoints', 'airspaces', 'hotspots', 'navaids',
+  'hangglidings', 'obstacles', 'airfields') THEN source_data ELSE '__unrouted__' END AS target,
+ COUNT(*) AS n_rows
+FROM enriched GROUP BY 1"""
+
+Q["airfield_preview"] = AIR + f"""
+SELECT {_ALL_ENRICHED} FROM enriched WHERE source_data = 'airfields'
+ORDER BY {_order_all(_ALL_ENRICHED)} LIMIT 50"""
+
+Q["hotspot_geo_score"] = AIR + """
+SELECT round(AVG(geo_score), 6) AS avg FROM enriched WHERE source_data = 'hotspots'"""
+
+_TABLE_COLS = "name, country, longitude, latitude, altitude_estimee_m, climat, geo_score, source_data"
+Q["airfield_table"] = AIR + f"""
+SELECT {_TABLE_COLS} FROM enriched WHERE source_data = 'airfields'
+ORDER BY {_order_all(_TABLE_COLS)} LIMIT 50"""
+
+Q["country_altitude"] = AIR + """
+SELECT country, altitude_estimee_m FROM enriched WHERE source_data = 'airports'
+ORDER BY country ASC NULLS LAST, altitude_estimee_m ASC NULLS LAST LIMIT 50"""
