@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.oracle_sql import HI, LO  # noqa: E402
 from checks.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
-from flightlake.operators import enrich, filters, parse, route, star  # noqa: E402
+from flightlake.operators import enrich, extrapolate, filters, parse, route, star  # noqa: E402
 from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
 from flightlake.sources import fixtures as fx  # noqa: E402
@@ -148,6 +148,31 @@ def q_country_altitude(spark, sf):
     return air.country_altitude(route.routed_table(_airports(spark, sf), "airports"))
 
 
+# Snapshot pairs: every hour's snapshot against the hour before it; the job
+# time is the later hour + 30 s. Fields read back with ``spi`` as a number,
+# which parity arithmetic on booleans produces.
+_EXTRAPOLATED_FIELDS = [
+    ("icao24", "string"), ("callsign", "string"), ("origin_country", "string"),
+    ("time_position", "bigint"), ("last_contact", "bigint"), ("longitude", "double"),
+    ("latitude", "double"), ("baro_altitude", "double"), ("on_ground", "boolean"),
+    ("velocity", "double"), ("true_track", "double"), ("vertical_rate", "double"),
+    ("sensors", "array<int>"), ("geo_altitude", "double"), ("squawk", "string"),
+    ("spi", "bigint"), ("position_source", "bigint"),
+]
+
+
+def q_snapshot_extrapolate(spark, sf):
+    snaps = fx.snapshot_states(spark, sf)
+    prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
+    job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
+    out = extrapolate.extrapolate(snaps, prev, job_time, by=["snap"])
+    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
+
+
+def q_snapshot_split(spark, sf):
+    return parse.positional_to_named(parse.snapshot_split(fx.snapshot_documents(spark, sf)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "state_mapping": q_state_mapping,
@@ -175,6 +200,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hotspot_geo_score": q_hotspot_geo_score,
         "airfield_table": q_airfield_table,
         "country_altitude": q_country_altitude,
+        "snapshot_extrapolate": q_snapshot_extrapolate,
+        "snapshot_split": q_snapshot_split,
     }
 
 

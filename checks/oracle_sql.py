@@ -288,3 +288,55 @@ ORDER BY {_order_all(_TABLE_COLS)} LIMIT 50"""
 Q["country_altitude"] = AIR + """
 SELECT country, altitude_estimee_m FROM enriched WHERE source_data = 'airports'
 ORDER BY country ASC NULLS LAST, altitude_estimee_m ASC NULLS LAST LIMIT 50"""
+
+
+# --- snapshots --------------------------------------------------------------
+
+SNAPS = """
+snap_rows AS (
+ SELECT *, date_trunc('hour', last_contact) AS snap,
+  ROW_NUMBER() OVER (PARTITION BY date_trunc('hour', last_contact), icao24
+                     ORDER BY last_contact DESC, seq DESC) AS rk
+ FROM states
+),
+snaps AS (
+ SELECT *, ROW_NUMBER() OVER (PARTITION BY snap ORDER BY icao24) - 1 AS pos
+ FROM snap_rows WHERE rk = 1
+)"""
+
+_NUM = "CASE WHEN p.{f} IS NOT NULL AND c.{f} IS NOT NULL THEN (c.{f} - p.{f}) + c.{f} ELSE c.{f} END"
+
+Q["snapshot_extrapolate"] = _with(STATES, SNAPS) + f"""
+SELECT c.snap, CAST(epoch(c.snap) AS BIGINT) + 30 AS time, c.pos,
+ c.icao24, c.callsign, c.origin_country,
+ CAST(epoch(c.snap) AS BIGINT) + 30 AS time_position,
+ CAST(epoch(c.snap) AS BIGINT) + 30 AS last_contact,
+ {_NUM.format(f="longitude")} AS longitude,
+ {_NUM.format(f="latitude")} AS latitude,
+ {_NUM.format(f="baro_altitude")} AS baro_altitude,
+ COALESCE(CASE WHEN p.on_ground IS NOT NULL AND c.on_ground IS NOT NULL
+   THEN (CAST(c.on_ground AS INTEGER) - CAST(p.on_ground AS INTEGER)) + CAST(c.on_ground AS INTEGER) <> 0
+   ELSE c.on_ground END, false) AS on_ground,
+ {_NUM.format(f="velocity")} AS velocity,
+ {_NUM.format(f="true_track")} AS true_track,
+ {_NUM.format(f="vertical_rate")} AS vertical_rate,
+ CAST(NULL AS INTEGER[]) AS sensors,
+ {_NUM.format(f="geo_altitude")} AS geo_altitude,
+ c.squawk,
+ CAST(CASE WHEN p.spi IS NOT NULL AND c.spi IS NOT NULL
+   THEN (CAST(c.spi AS INTEGER) - CAST(p.spi AS INTEGER)) + CAST(c.spi AS INTEGER)
+   ELSE CAST(c.spi AS INTEGER) END AS BIGINT) AS spi,
+ CAST(CASE WHEN p.position_source IS NOT NULL AND c.position_source IS NOT NULL
+   THEN (CAST(c.position_source AS BIGINT) - CAST(p.position_source AS BIGINT)) + CAST(c.position_source AS BIGINT)
+   ELSE CAST(c.position_source AS BIGINT) END AS BIGINT) AS position_source
+FROM snaps c LEFT JOIN snaps p ON p.snap + INTERVAL 1 HOUR = c.snap AND p.pos = c.pos"""
+
+Q["snapshot_split"] = _with(STATES, SNAPS) + """
+SELECT CAST(epoch(snap) AS BIGINT) AS time, CAST(pos % 50 AS INTEGER) AS pos,
+ icao24, callsign, origin_country,
+ CAST(floor(epoch(time_position)) AS BIGINT) AS time_position,
+ CAST(floor(epoch(last_contact)) AS BIGINT) AS last_contact,
+ longitude, latitude, baro_altitude, on_ground, velocity, true_track, vertical_rate,
+ CAST(NULL AS INTEGER[]) AS sensors, geo_altitude, squawk, spi,
+ CAST(position_source AS BIGINT) AS position_source, CAST(NULL AS BIGINT) AS category
+FROM snaps"""

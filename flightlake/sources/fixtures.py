@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.functions.columns import position_key
 from flightlake.schemas import AIRPORT_SOURCES
 
 
@@ -140,6 +139,48 @@ def airport_envelopes(spark: SparkSession, sf_dir: str, page_size: int = 100) ->
     return env.select(F.to_json(body).alias("value"))
 
 
-def star_position_key(df: DataFrame) -> DataFrame:
-    """Adds ``fk_position`` to a states frame (used by tests)."""
-    return df.withColumn("fk_position", position_key())
+# State-vector positions of a snapshot document built from the
+# fixture (index 12, the sensor list, is always null here).
+SNAPSHOT_LAYOUT = ["icao24", "callsign", "origin_country", "time_position", "last_contact",
+                   "longitude", "latitude", "baro_altitude", "on_ground", "velocity",
+                   "true_track", "vertical_rate", None, "geo_altitude", "squawk", "spi",
+                   "position_source"]
+
+
+def snapshot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One snapshot per hour of ``last_contact`` (FIXTURES.md §8): the latest
+    state of each aircraft in that hour, listed in ``icao24`` order.
+
+    Output ``snap`` (hour, TIMESTAMP_NTZ), ``pos`` (list position) and
+    ``state`` (ARRAY<VARIANT>, epochs in seconds). A snapshot holds at most
+    one row per aircraft, so the per-hour numbering is bounded by the fleet.
+    """
+    from pyspark.sql import Window
+
+    from flightlake.operators.dedup import latest_per_key
+
+    s = flight_states(spark, sf_dir).withColumn(
+        "snap", F.date_trunc("hour", "last_contact").cast("timestamp_ntz"))
+    latest = latest_per_key(s, ["snap", "icao24"],
+                            [F.col("last_contact").desc(), F.col("seq").desc()])
+    ranked = latest.withColumn(
+        "pos", F.row_number().over(Window.partitionBy("snap").orderBy("icao24")) - 1)
+    epoch = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    typed = {"time_position": epoch("time_position"), "last_contact": epoch("last_contact"),
+             "position_source": F.col("position_source").cast("bigint")}
+    elems = [F.lit(None).cast("variant") if name is None
+             else typed.get(name, F.col(name)).cast("variant") for name in SNAPSHOT_LAYOUT]
+    return ranked.select("snap", "pos", F.array(*elems).alias("state"))
+
+
+def snapshot_documents(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataFrame:
+    """Snapshot states as JSON documents ``{"time", "states"}`` of at most
+    ``page_size`` states each (one document per hour and page)."""
+    st = snapshot_states(spark, sf_dir).withColumn(
+        "page", (F.col("pos") / F.lit(page_size)).cast("int"))
+    by_pos = lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
+    docs = (st.groupBy("snap", "page")
+            .agg(F.array_sort(F.collect_list(F.struct("pos", "state")), by_pos).alias("rows")))
+    body = F.struct(F.unix_seconds(F.col("snap").cast("timestamp")).alias("time"),
+                    F.transform("rows", lambda r: r["state"]).alias("states"))
+    return docs.select(F.to_json(body).alias("value"))
