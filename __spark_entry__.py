@@ -19,7 +19,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.oracle_sql import HI, LO  # noqa: E402
 from checks.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
-from flightlake.operators import enrich, extrapolate, filters, parse, route, star  # noqa: E402
+from flightlake.operators import (  # noqa: E402
+    enrich, extrapolate, filters, parse, route, star, upsert,
+)
 from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
 from flightlake.sources import fixtures as fx  # noqa: E402
@@ -116,6 +118,19 @@ def q_adhoc_filter(spark, sf):
                                        ("fk_pays", "=~", "^NATION_1[0-9]$")])
 
 
+UPSERT_SPLIT = "2024-01-15 00:00:00"
+
+
+def q_upsert_two_batches(spark, sf):
+    """K2 across two batches: states before the split (or without a time)
+    first, the rest second; the second batch's rows replace the first's."""
+    states = fx.flight_states(spark, sf)
+    late = F.col("time_position") >= F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    first = star.dim_position(states.filter(~late | F.col("time_position").isNull()))
+    second = star.dim_position(states.filter(late))
+    return upsert.merge_upsert(first, second, "pk_position")
+
+
 def _airports(spark, sf):
     """Envelopes -> parse -> enrich; the ingestion time is left out (not
     reproducible between engines)."""
@@ -182,6 +197,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_aircraft": _dim("dim_aeronef"),
         "dim_position": _dim("dim_position"),
         "fact_state": _dim("fait_etat_vol"),
+        "upsert_two_batches": q_upsert_two_batches,
         "fleet_status": q_fleet_status,
         "live_map": q_live_map,
         "status_over_time": q_status_over_time,

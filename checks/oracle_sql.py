@@ -340,3 +340,6 @@ SELECT CAST(epoch(snap) AS BIGINT) AS time, CAST(pos % 50 AS INTEGER) AS pos,
  CAST(NULL AS INTEGER[]) AS sensors, geo_altitude, squawk, spi,
  CAST(position_source AS BIGINT) AS position_source, CAST(NULL AS BIGINT) AS category
 FROM snaps"""
+
+# Upsert of two batches split in time = the latest row per key over both.
+Q["upsert_two_batches"] = STAR + "SELECT * FROM dim_position"
