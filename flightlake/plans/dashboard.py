@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from flightlake.functions.columns import (
     fixed_band, kmh, on_ground_or_false, round_half_even_int, status_label,
 )
-from flightlake.operators.filters import airborne, time_range, valid_coordinates
+from flightlake.operators.filters import DAY_COL, airborne, time_range, valid_coordinates
 from flightlake.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, exists_in
 
 
@@ -36,7 +36,11 @@ def at_last_reading(fact: DataFrame, lo=None, hi=None, col: str = "fk_temps") ->
     """
     in_range = time_range(fact, col, lo, hi)
     last = in_range.agg(F.max(col)).scalar()
-    return in_range.filter(F.col(col) == last)
+    cond = F.col(col) == last
+    if DAY_COL in fact.columns:
+        # Prunes the main scan to the one day partition holding that time.
+        cond = cond & (F.col(DAY_COL) == F.to_date(last))
+    return in_range.filter(cond)
 
 
 def fleet_status(fact: DataFrame, lo=None, hi=None) -> DataFrame:
