@@ -15,8 +15,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,7 +27,7 @@ from flightlake.operators import enrich, extrapolate, parse, route  # noqa: E402
 from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
 from flightlake.plans import star_load  # noqa: E402
-from flightlake.session import get_session  # noqa: E402
+from flightlake.session import checkpoint_root, get_session  # noqa: E402
 from flightlake.sources import fixtures as fx  # noqa: E402
 
 
@@ -50,7 +50,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus),
                         extra={"spark.driver.memory": "8g"})
-    work = tempfile.mkdtemp(prefix="flightlake-bench-")
+    # Shared folder named by the cluster (a fresh local one only when unset).
+    work = f"{checkpoint_root(spark).rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"
     wh, tables = f"{work}/warehouse", f"{work}/airports"
 
     timings: dict[str, float] = {}

@@ -55,6 +55,17 @@ def valid_coordinates(lat: str = "latitude", lon: str = "longitude") -> Column:
             & (F.col(lat) != 0) & (F.col(lon) != 0))
 
 
+def position_key_valid(col: str = "fk_position") -> Column:
+    """``valid_coordinates`` read off a ``"<lat>_<lon>"`` key built by
+    ``position_key``: neither part is a zero. Lets the fact side drop rows
+    that can never join a valid position (a hot ``0.0_0.0`` key included)
+    before any shuffle."""
+    parts = F.split(F.col(col), "_")
+    zero = ["0.0", "-0.0"]
+    return (F.col(col).isNotNull() & ~F.get(parts, 0).isin(zero)
+            & ~F.get(parts, 1).isin(zero))
+
+
 def airborne(col: str = "on_ground") -> Column:
     """``COALESCE(on_ground, false) = FALSE``."""
     return ~on_ground_or_false(col)

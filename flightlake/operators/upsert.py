@@ -48,7 +48,9 @@ def upsert_table(spark: SparkSession, rows: DataFrame, path: str, key: str,
     """Upsert ``rows`` (one per key) into the parquet table at ``path``."""
     cols = rows.columns
     batch = with_bucket(rows, key, n_buckets)
-    writer = lambda df, p: (df.write.mode("overwrite")
+    # Rows are unique per key here, so buckets are even; one task per bucket
+    # writes one file per bucket instead of one per (task, bucket).
+    writer = lambda df, p: (df.repartition(n_buckets, BUCKET).write.mode("overwrite")
                             .option("partitionOverwriteMode", "dynamic")
                             .partitionBy(BUCKET).parquet(p))
     if not table_exists(spark, path):
@@ -62,7 +64,8 @@ def upsert_table(spark: SparkSession, rows: DataFrame, path: str, key: str,
                 .select(*cols, BUCKET))
     merged = merge_upsert(existing, batch.select(*cols, BUCKET), key)
     stage = f"{staging.rstrip('/')}/{path.rstrip('/').split('/')[-1]}"
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
+    (merged.repartition(n_buckets, BUCKET)
+     .write.mode("overwrite").partitionBy(BUCKET).parquet(stage))
     writer(spark.read.parquet(stage).select(*cols, BUCKET), path)
 
 

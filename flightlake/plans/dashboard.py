@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from flightlake.functions.columns import (
     fixed_band, kmh, on_ground_or_false, round_half_even_int, status_label,
 )
-from flightlake.operators.filters import DAY_COL, airborne, time_range, valid_coordinates
+from flightlake.operators.filters import (
+    DAY_COL, airborne, position_key_valid, time_range, valid_coordinates,
+)
 from flightlake.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, exists_in
 
 
@@ -65,12 +67,19 @@ def _live_map_order() -> list[Column]:
 
 def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
              dim_pays: DataFrame, lo=None, hi=None,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+             derived_position_keys: bool = True) -> DataFrame:
     """Q2: latest state per aircraft (within the range, at a valid position)
-    with its coordinates, country and air/ground label."""
+    with its coordinates, country and air/ground label.
+
+    ``derived_position_keys`` (true for tables built by ``operators.star``)
+    applies the coordinate check to the fact's key too, before the joins.
+    """
     f = time_range(fact, "fk_temps", lo, hi).select(
         "fk_aeronef", "fk_position", "fk_pays", "fk_temps", "last_contact",
         "on_ground", "geo_altitude")
+    if derived_position_keys:
+        f = f.filter(position_key_valid("fk_position"))
     pos = dim_position.filter(valid_coordinates()).select(
         F.col("pk_position"), "latitude", "longitude")
     pays = bounded_broadcast(dim_pays.select("pk_pays", "nom_pays"), max_broadcast_rows)

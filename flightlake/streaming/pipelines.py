@@ -19,6 +19,7 @@ from flightlake.operators.parse import airport_parse, flight_state_parse
 from flightlake.operators.route import route_counts, routable, write_routed
 from flightlake.plans.star_load import load_star_batch
 from flightlake.schemas import AIRPORT_SOURCES
+from flightlake.session import checkpoint_root
 
 log = logging.getLogger(__name__)
 
@@ -34,7 +35,13 @@ def _trigger(writer, trigger):
     return writer.trigger(**trigger)
 
 
-def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str, trigger=None,
+def _checkpoint(df: DataFrame, checkpoint: str | None, name: str) -> str:
+    """Explicit location, else a folder under the cluster's shared
+    ``spark.checkpoint.dir``."""
+    return checkpoint or f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}"
+
+
+def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str | None = None, trigger=None,
                        keep_category: bool = False, n_buckets: int = 64,
                        query_name: str | None = None) -> StreamingQuery:
     """K1: raw flight-state messages -> star schema under ``warehouse``."""
@@ -44,7 +51,7 @@ def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str, trigger=
         load_star_batch(df, batch_id, warehouse, n_buckets=n_buckets)
 
     w = (states.writeStream.foreachBatch(write_batch).outputMode("append")
-         .option("checkpointLocation", checkpoint))
+         .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "flight_star")))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
@@ -88,7 +95,7 @@ def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None =
         rows.unpersist()
 
 
-def airport_stream(raw: DataFrame, checkpoint: str, tables_path: str | None = None,
+def airport_stream(raw: DataFrame, checkpoint: str | None = None, tables_path: str | None = None,
                    jdbc: dict | None = None, trigger="10 seconds", show: bool = False,
                    query_name: str | None = None) -> StreamingQuery:
     """D8 -> D9 -> D10 as one streaming query with a checkpoint.
@@ -102,16 +109,16 @@ def airport_stream(raw: DataFrame, checkpoint: str, tables_path: str | None = No
         write_airport_batch(df, batch_id, tables_path, jdbc, show)
 
     w = (enriched.writeStream.foreachBatch(write_batch).outputMode("update")
-         .option("checkpointLocation", checkpoint))
+         .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "airports")))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
 
 
-def console_stream(df: DataFrame, checkpoint: str, trigger="10 seconds",
+def console_stream(df: DataFrame, checkpoint: str | None = None, trigger="10 seconds",
                    truncate: bool = False) -> StreamingQuery:
     """K6: a separate console query (reads the source by itself)."""
     w = (df.writeStream.outputMode("append").format("console")
          .option("truncate", str(truncate).lower())
-         .option("checkpointLocation", checkpoint))
+         .option("checkpointLocation", _checkpoint(df, checkpoint, "console")))
     return _trigger(w, trigger).start()
