@@ -4,7 +4,8 @@ Steps, each timed:
   load_star     D7 parse + D1-D6 star load of all flight-state messages (one batch)
   load_airports D8 parse + D9 enrich + D10 routed write of all envelopes
   q1..q12       dashboard queries over the stored tables (warm, median of 3)
-  r1            snapshot extrapolation of every hour against the hour before
+  r1            snapshot extrapolation of every stored hourly snapshot against
+                the hour before (snapshots written once, ``load_snapshots``)
 
 Prints one JSON line; ``value`` is the sum of the query medians (q1-q12, r1).
 """
@@ -56,14 +57,24 @@ def main() -> None:
 
     timings: dict[str, float] = {}
     n_msgs = fx.flight_state_messages(spark, sf).count()
-    t0 = time.perf_counter()
-    star_load.load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, sf)),
-                              0, wh, n_buckets=int(cpus))
-    timings["load_star"] = time.perf_counter() - t0
-    t0 = time.perf_counter()
-    rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, sf)))
-    route.write_routed(rows, tables, batch_id=0)
-    timings["load_airports"] = time.perf_counter() - t0
+    runs = iter(range(100))
+
+    def load_star(target=None):
+        target = target or f"{work}/wh-{next(runs)}"
+        msgs = fx.flight_state_messages(spark, sf)
+        star_load.load_star_batch(parse.flight_state_parse(msgs), 0, target,
+                                  n_buckets=int(cpus))
+
+    def load_airports(target=None):
+        target = target or f"{work}/air-{next(runs)}"
+        rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, sf)))
+        route.write_routed(rows, target, batch_id=0)
+
+    # Ingest timed like the queries: warm, median of 3, each into a fresh folder.
+    timings["load_star"] = _median(load_star)
+    timings["load_airports"] = _median(load_airports)
+    load_star(wh)
+    load_airports(tables)
 
     t = star_load.read_star(spark, wh)
     fact = t["fait_etat_vol"]
@@ -72,7 +83,13 @@ def main() -> None:
     airfields = route.read_routed(spark, tables, "airfields")
     hotspots = route.read_routed(spark, tables, "hotspots")
     airports = route.read_routed(spark, tables, "airports")
-    snaps = fx.snapshot_states(spark, sf)
+    # Snapshots stored once (K9 layout: one partition per snapshot hour); R1
+    # reads them back like a scheduled job would.
+    t0 = time.perf_counter()
+    fx.snapshot_states(spark, sf).write.mode("overwrite").partitionBy("snap").parquet(
+        f"{work}/snapshots")
+    timings["load_snapshots"] = time.perf_counter() - t0
+    snaps = spark.read.parquet(f"{work}/snapshots")
     prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
     job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
 

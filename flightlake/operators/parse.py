@@ -66,15 +66,29 @@ def flight_state_parse(df: DataFrame, col: str = "value",
     return map_flight_state(parse_json_struct(df, FLIGHT_STATE_SCHEMA, col), keep_category)
 
 
-def flight_state_quarantine(df: DataFrame, col: str = "value") -> DataFrame:
-    """Messages that parsed to a struct of nulls (malformed JSON, arrays, ...),
-    kept with their raw text. They would otherwise vanish silently."""
-    p = parse_json_struct(df, FLIGHT_STATE_SCHEMA, col, keep_raw=True)
+def _all_fields_null() -> Column:
     all_null = None
     for f in FLIGHT_STATE_SCHEMA.fieldNames():
         cond = F.col(f).isNull()
         all_null = cond if all_null is None else (all_null & cond)
-    return p.filter(all_null).select(F.col("_raw").alias("raw"))
+    return all_null
+
+
+def flight_state_parse_with_raw(df: DataFrame, col: str = "value") -> DataFrame:
+    """Flat parsed fields plus ``_raw`` text and ``_bad`` (parsed to nulls
+    only), so one parse feeds both the star load and the quarantine."""
+    return (parse_json_struct(df, FLIGHT_STATE_SCHEMA, col, keep_raw=True)
+            .withColumn("_bad", _all_fields_null()))
+
+
+def quarantined(parsed_with_raw: DataFrame) -> DataFrame:
+    return parsed_with_raw.filter(F.col("_bad")).select(F.col("_raw").alias("raw"))
+
+
+def flight_state_quarantine(df: DataFrame, col: str = "value") -> DataFrame:
+    """Messages that parsed to a struct of nulls (malformed JSON, arrays, ...),
+    kept with their raw text. They would otherwise vanish silently."""
+    return quarantined(flight_state_parse_with_raw(df, col))
 
 
 AIRPORT_COLUMNS = ["name", "icao", "iata", "country", "longitude", "latitude", "source_data"]

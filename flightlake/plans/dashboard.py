@@ -10,8 +10,10 @@ Plan notes (100 TB scale):
 * "rows at the last reading" compares against a scalar subquery (the max of
   one pruned column), so no join and no broadcast is involved;
 * dimension joins that only test existence are semi joins on the key; the
-  small dimensions go out as broadcasts after a bounded row count, the
-  position dimension (grows with the fact) stays a shuffle join;
+  planner broadcasts a dimension only when its measured size is under the
+  threshold (AQE re-checks at run time), so the position dimension, which
+  grows with the fact, becomes a shuffle join at scale; ``max_broadcast_rows``
+  adds an explicit row-count bound instead;
 * distinct counts run as two hash aggregates (partial per task first), so a
   country holding a third of all rows is spread over the first shuffle.
 """
@@ -67,7 +69,7 @@ def _live_map_order() -> list[Column]:
 
 def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
              dim_pays: DataFrame, lo=None, hi=None,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
              derived_position_keys: bool = True) -> DataFrame:
     """Q2: latest state per aircraft (within the range, at a valid position)
     with its coordinates, country and air/ground label.
@@ -99,7 +101,7 @@ def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
 
 
 def _with_dims(fact: DataFrame, dims: tuple[DataFrame, DataFrame, DataFrame] | None,
-               max_rows: int) -> DataFrame:
+               max_rows: int | None) -> DataFrame:
     if dims is None:
         return fact
     dim_aeronef, dim_position, dim_pays = dims
@@ -113,7 +115,7 @@ def _count_if(cond: Column) -> Column:
 
 
 def status_over_time(fact: DataFrame, dims=None, lo=None, hi=None,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Q3: airborne / on-ground rows per reading time, ascending.
 
     ``dims=(dim_aeronef, dim_position, dim_pays)`` keeps only fact rows that
@@ -160,7 +162,7 @@ def top_countries(fact: DataFrame, lo=None, hi=None, k: int = 10,
 
 
 def vertical_over_time(fact: DataFrame, dims=None, lo=None, hi=None,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Q6: climbing / descending airborne rows per reading time, ascending."""
     f = _with_dims(time_range(fact, "fk_temps", lo, hi), dims, max_broadcast_rows)
     rate = F.coalesce(F.col("vertical_rate"), F.lit(0.0))

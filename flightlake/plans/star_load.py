@@ -34,15 +34,17 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
-                    n_buckets: int = upsert.DEFAULT_BUCKETS) -> dict[str, int]:
+                    n_buckets: int = upsert.DEFAULT_BUCKETS,
+                    persist: bool = True) -> dict[str, int]:
     """Write one batch of mapped states; returns rows written per table.
 
     An empty batch writes nothing (K7). Safe to call again with the same
-    ``batch_id`` and rows (replay after a failure).
+    ``batch_id`` and rows (replay after a failure). ``persist=False`` when
+    the caller already keeps the batch.
     """
     spark = states.sparkSession
     base = warehouse.rstrip("/")
-    batch = states.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = states.persist(StorageLevel.MEMORY_AND_DISK) if persist else states
     try:
         if batch.isEmpty():
             log.info("batch %s empty, nothing to write", batch_id)
@@ -59,7 +61,8 @@ def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
         log.info("batch %s written: %s", batch_id, counts)
         return counts
     finally:
-        batch.unpersist()
+        if persist:
+            batch.unpersist()
 
 
 def read_star(spark, warehouse: str) -> dict[str, DataFrame]:

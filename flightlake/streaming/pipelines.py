@@ -12,10 +12,13 @@ import logging
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.operators.enrich import airport_enrich
-from flightlake.operators.parse import airport_parse, flight_state_parse
+from flightlake.operators.parse import (
+    airport_parse, flight_state_parse_with_raw, map_flight_state, quarantined,
+)
 from flightlake.operators.route import route_counts, routable, write_routed
 from flightlake.plans.star_load import load_star_batch
 from flightlake.schemas import AIRPORT_SOURCES
@@ -41,16 +44,35 @@ def _checkpoint(df: DataFrame, checkpoint: str | None, name: str) -> str:
     return checkpoint or f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}"
 
 
+def write_flight_batch(raw: DataFrame, batch_id: int, warehouse: str,
+                       keep_category: bool = False, n_buckets: int = 64,
+                       quarantine_path: str | None = None) -> dict[str, int]:
+    """K1 body: parse one raw batch once (persisted), load the star schema
+    from it and, with ``quarantine_path``, keep the unparseable messages
+    (replay-safe: the batch's own ``batch_id`` partition is overwritten)."""
+    parsed = flight_state_parse_with_raw(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        states = map_flight_state(parsed.filter(~F.col("_bad")), keep_category)
+        counts = load_star_batch(states, batch_id, warehouse, n_buckets=n_buckets,
+                                 persist=False)
+        if quarantine_path:
+            bad = quarantined(parsed).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(quarantine_path))
+        return counts
+    finally:
+        parsed.unpersist()
+
+
 def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str | None = None, trigger=None,
                        keep_category: bool = False, n_buckets: int = 64,
-                       query_name: str | None = None) -> StreamingQuery:
+                       query_name: str | None = None,
+                       quarantine_path: str | None = None) -> StreamingQuery:
     """K1: raw flight-state messages -> star schema under ``warehouse``."""
-    states = flight_state_parse(raw, keep_category=keep_category)
-
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        load_star_batch(df, batch_id, warehouse, n_buckets=n_buckets)
+        write_flight_batch(df, batch_id, warehouse, keep_category, n_buckets, quarantine_path)
 
-    w = (states.writeStream.foreachBatch(write_batch).outputMode("append")
+    w = (raw.select("value").writeStream.foreachBatch(write_batch).outputMode("append")
          .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "flight_star")))
     if query_name:
         w = w.queryName(query_name)

@@ -66,12 +66,18 @@ def test_flight_stream_equals_batch(spark, scratch):
     inbox = os.path.join(scratch, "inbox")
     for i, cond in enumerate([~F.coalesce(F.col("late"), F.lit(False)), F.col("late")]):
         msgs.filter(cond).select("value").coalesce(1).write.text(os.path.join(inbox, f"part{i}"))
+    bad = ["not json", '["a00001",null,"FRANCE"]']
+    spark.createDataFrame([(b,) for b in bad], "value string").coalesce(1).write.text(
+        os.path.join(inbox, "part2"))
     stream = file_stream(spark, os.path.join(inbox, "*"), max_files_per_trigger=1)
     wh = os.path.join(scratch, "wh")
+    quarantine = os.path.join(scratch, "quarantine")
     q = pipelines.flight_star_stream(stream, wh, os.path.join(scratch, "ckpt"),
-                                     trigger={"availableNow": True}, n_buckets=8)
+                                     trigger={"availableNow": True}, n_buckets=8,
+                                     quarantine_path=quarantine)
     q.awaitTermination(300)
     assert q.exception() is None
+    assert sorted(r.raw for r in spark.read.parquet(quarantine).collect()) == sorted(bad)
     got = star_load.read_star(spark, wh)
     one = star.star(parse.flight_state_parse(fx.flight_state_messages(spark, SF001)))
     for name, df in one.items():
