@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from checks.oracle_sql import HI, LO  # noqa: E402
-from flightlake.operators import enrich, extrapolate, parse, route  # noqa: E402
+from flightlake.operators import enrich, extrapolate, parse, route, snapshots  # noqa: E402
 from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
 from flightlake.plans import star_load  # noqa: E402
@@ -86,8 +86,7 @@ def main() -> None:
     # Snapshots stored once (K9 layout: one partition per snapshot hour); R1
     # reads them back like a scheduled job would.
     t0 = time.perf_counter()
-    fx.snapshot_states(spark, sf).write.mode("overwrite").partitionBy("snap").parquet(
-        f"{work}/snapshots")
+    snapshots.write_snapshot(fx.snapshot_states(spark, sf), f"{work}/snapshots", time_col="snap")
     timings["load_snapshots"] = time.perf_counter() - t0
     snaps = spark.read.parquet(f"{work}/snapshots")
     prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))

@@ -43,46 +43,48 @@ _INTEGRAL = ["TINYINT", "SMALLINT", "INT", "BIGINT", "BOOLEAN"]
 _FRACTIONAL = ["FLOAT", "DOUBLE"]
 
 
-def _tag(v: Column) -> Column:
-    return F.schema_of_variant(v)
+def _is_integral(tag: Column) -> Column:
+    return F.coalesce(tag.isin(_INTEGRAL)
+                      | (tag.startswith("DECIMAL") & tag.endswith(",0)")), F.lit(False))
 
 
-def _is_integral(v: Column) -> Column:
-    t = _tag(v)
-    return F.coalesce(t.isin(_INTEGRAL) | t.rlike(r"^DECIMAL\(\d+,0\)$"), F.lit(False))
+def _is_number(tag: Column) -> Column:
+    return F.coalesce(tag.isin(_INTEGRAL + _FRACTIONAL) | tag.startswith("DECIMAL"),
+                      F.lit(False))
 
 
-def _is_number(v: Column) -> Column:
-    t = _tag(v)
-    return F.coalesce(t.isin(_INTEGRAL + _FRACTIONAL) | t.startswith("DECIMAL"), F.lit(False))
-
-
-def _truthy(v: Column) -> Column:
-    t = _tag(v)
+def _truthy(v: Column, tag: Column) -> Column:
     return (F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
-            .when(t == "STRING", F.length(F.try_variant_get(v, "$", "string")) > 0)
-            .when(t.startswith("ARRAY") | t.startswith("OBJECT"),
+            .when(tag == "STRING", F.length(F.try_variant_get(v, "$", "string")) > 0)
+            .when(tag.startswith("ARRAY") | tag.startswith("OBJECT"),
                   F.coalesce(F.size(F.try_variant_get(v, "$", "array<variant>")) > 0, F.lit(True)))
             .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(False))))
 
 
 def _step(cur: Column, prev: Column, job_time: Column, fix_booleans: bool) -> Column:
-    def element(c: Column, i: Column) -> Column:
-        p = F.get(prev, i)
-        both = _is_number(c) & _is_number(p)
+    # Pass 1: each element with its previous value and both type tags, so
+    # ``schema_of_variant`` runs once per value.
+    tagged = F.transform(cur, lambda c, i: F.struct(
+        c.alias("c"), F.schema_of_variant(c).alias("ct"),
+        F.get(prev, i).alias("p"), F.schema_of_variant(F.get(prev, i)).alias("pt")))
+
+    # Pass 2: the rules.
+    def element(e: Column, i: Column) -> Column:
+        c, ct, p, pt = e["c"], e["ct"], e["p"], e["pt"]
+        both = _is_number(ct) & _is_number(pt)
         if fix_booleans:
-            both = both & (F.coalesce(_tag(c), F.lit("")) != "BOOLEAN")
+            both = both & (F.coalesce(ct, F.lit("")) != "BOOLEAN")
+        as_int = both & _is_integral(ct) & _is_integral(pt)
         ci, pi = F.try_variant_get(c, "$", "bigint"), F.try_variant_get(p, "$", "bigint")
         cd, pd = F.try_variant_get(c, "$", "double"), F.try_variant_get(p, "$", "double")
-        new = (F.when(both & _is_integral(c) & _is_integral(p), ((ci - pi) + ci).cast("variant"))
+        new = (F.when(as_int, ((ci - pi) + ci).cast("variant"))
                .when(both, ((cd - pd) + cd).cast("variant"))
                .otherwise(c))
-        is_bool_pos = i.isin(list(BOOLEAN_POSITIONS))
-        is_time_pos = i.isin(list(TIME_POSITIONS))
-        return (F.when(is_time_pos, job_time.cast("bigint").cast("variant"))
-                .when(is_bool_pos, _truthy(new).cast("variant"))
+        new_tag = F.when(as_int, F.lit("BIGINT")).when(both, F.lit("DOUBLE")).otherwise(ct)
+        return (F.when(i.isin(list(TIME_POSITIONS)), job_time.cast("bigint").cast("variant"))
+                .when(i.isin(list(BOOLEAN_POSITIONS)), _truthy(new, new_tag).cast("variant"))
                 .otherwise(new))
-    return F.transform(cur, element)
+    return F.transform(tagged, element)
 
 
 def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,

@@ -12,10 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Store state rows ``(time, pos, state...)`` under ``time=<epoch>``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("time").parquet(path))
+def write_snapshot(df: DataFrame, path: str, time_col: str = "time") -> None:
+    """Store state rows ``(time, pos, state...)`` under ``time=<epoch>``.
+
+    A snapshot holds one row per aircraft (bounded by the fleet), so it is
+    written by one task as one file rather than one file per input task.
+    """
+    (df.repartition(time_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(time_col).parquet(path))
 
 
 def latest_two(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
