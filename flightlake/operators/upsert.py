@@ -44,8 +44,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_table(spark: SparkSession, rows: DataFrame, path: str, key: str,
-                 staging: str, n_buckets: int = DEFAULT_BUCKETS) -> None:
-    """Upsert ``rows`` (one per key) into the parquet table at ``path``."""
+                 staging: str, n_buckets: int = DEFAULT_BUCKETS,
+                 exists: bool | None = None) -> None:
+    """Upsert ``rows`` (one per key) into the parquet table at ``path``.
+
+    ``exists`` skips the listing probe when the caller already knows."""
     cols = rows.columns
     batch = with_bucket(rows, key, n_buckets)
     # Rows are unique per key here, so buckets are even; one task per bucket
@@ -53,7 +56,7 @@ def upsert_table(spark: SparkSession, rows: DataFrame, path: str, key: str,
     writer = lambda df, p: (df.repartition(n_buckets, BUCKET).write.mode("overwrite")
                             .option("partitionOverwriteMode", "dynamic")
                             .partitionBy(BUCKET).parquet(p))
-    if not table_exists(spark, path):
+    if not (table_exists(spark, path) if exists is None else exists):
         writer(batch, path)
         return
     # Bucket ids are bounded by n_buckets, so this collect is bounded too.

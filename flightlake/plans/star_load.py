@@ -50,10 +50,14 @@ def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
             log.info("batch %s empty, nothing to write", batch_id)
             return {}
         counts: dict[str, int] = {}
+        # Probe the tables before any observation is registered: a probe of a
+        # missing table is a failed query that observation listeners report.
+        exists = {name: upsert.table_exists(spark, f"{base}/{name}") for name, _, _ in DIMENSIONS}
         for name, key, build in DIMENSIONS:
             rows, obs = _counted(build(batch), name)
             upsert.upsert_table(spark, rows, f"{base}/{name}", key,
-                                staging=f"{base}/_staging", n_buckets=n_buckets)
+                                staging=f"{base}/_staging", n_buckets=n_buckets,
+                                exists=exists[name])
             counts[name] = obs.get.get("rows", 0)
         fact, obs = _counted(star.fact_state(batch), FACT)
         upsert.append_fact(fact, f"{base}/{FACT}", batch_id)
