@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.session import path_exists
+
 
 def write_snapshot(df: DataFrame, path: str, time_col: str = "time") -> None:
     """Store state rows ``(time, pos, state...)`` under ``time=<epoch>``.
@@ -28,10 +30,9 @@ def latest_two(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFr
     Only the distinct partition values are listed and at most two of them
     come back to the driver.
     """
-    try:
-        table = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+    if not path_exists(spark, path):
         return None, None
+    table = spark.read.parquet(path)
     times = [r[0] for r in table.select("time").distinct()
              .orderBy(F.col("time").desc()).limit(2).collect()]
     pick = lambda t: table.filter(F.col("time") == F.lit(t))

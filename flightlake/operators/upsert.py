@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.session import path_exists
+
 BUCKET = "bucket"
 DEFAULT_BUCKETS = 64
 
@@ -36,11 +38,7 @@ def with_bucket(df: DataFrame, key: str, n_buckets: int) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only, no job
-        return True
-    except Exception:  # noqa: BLE001 - missing path or no files yet
-        return False
+    return path_exists(spark, path)
 
 
 def upsert_table(spark: SparkSession, rows: DataFrame, path: str, key: str,

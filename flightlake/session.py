@@ -56,3 +56,26 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the Hadoop FileSystem of the path's
+    scheme (local, HDFS, object stores), without running a failing query.
+    On a session without JVM access, falls back to a listing attempt."""
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        jvm = None
+    if jvm is not None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        if any(ch in path for ch in "*?[{"):
+            matches = fs.globStatus(p)
+            return matches is not None and len(matches) > 0
+        return bool(fs.exists(p))
+    try:
+        spark.read.format("binaryFile").load(path).schema  # noqa: B018 - listing only
+        return True
+    except Exception:  # noqa: BLE001
+        return False

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flightlake.operators.parse import snapshot_split
+from flightlake.session import path_exists
 
 TEXT_SCHEMA = StructType([StructField("value", StringType(), True)])
 
@@ -50,17 +51,9 @@ def file_stream(spark: SparkSession, path: str, whole_file: bool = False,
     return r.load(path)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def read_messages(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """Batch twin of ``file_stream``; a missing path gives an empty frame."""
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], TEXT_SCHEMA)
     return spark.read.text(path, wholetext=whole_file)
 
