@@ -128,6 +128,32 @@ def q_adhoc_filter(spark, sf):
                                        ("fk_pays", "=~", "^NATION_1[0-9]$")])
 
 
+def q_fact_state_stream(spark, sf):
+    """D7 + K1 through Structured Streaming: the fixture messages are dropped
+    as files (two batches, split in time) under the shared checkpoint folder,
+    streamed with ``availableNow`` into a fresh warehouse, and the stored fact
+    is read back."""
+    import uuid
+
+    from flightlake.plans.star_load import FACT, read_star
+    from flightlake.session import checkpoint_root
+    from flightlake.sources.streams import file_stream
+    from flightlake.streaming.pipelines import flight_star_stream
+
+    work = f"{checkpoint_root(spark).rstrip('/')}/fact-stream-{uuid.uuid4().hex[:8]}"
+    msgs = fx.flight_state_messages(spark, sf)
+    late = (F.get_json_object("value", "$.time_position").cast("bigint")
+            >= F.unix_seconds(F.lit(UPSERT_SPLIT).cast("timestamp")))
+    for i, cond in enumerate([~F.coalesce(late, F.lit(False)), late]):
+        msgs.filter(cond).select("value").write.text(f"{work}/inbox/part{i}")
+    q = flight_star_stream(file_stream(spark, f"{work}/inbox/*", max_files_per_trigger=64),
+                           f"{work}/wh", f"{work}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_star(spark, f"{work}/wh")[FACT].drop("day")
+
+
 UPSERT_SPLIT = "2024-01-15 00:00:00"
 
 
@@ -212,6 +238,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_position": _dim("dim_position"),
         "fact_state": _dim("fait_etat_vol"),
         "upsert_two_batches": q_upsert_two_batches,
+        "fact_state_stream": q_fact_state_stream,
         "fleet_status": q_fleet_status,
         "live_map": q_live_map,
         "status_over_time": q_status_over_time,
