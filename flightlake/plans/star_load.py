@@ -9,6 +9,7 @@ the report adds no extra jobs.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
@@ -35,12 +36,15 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
                     n_buckets: int = upsert.DEFAULT_BUCKETS,
-                    persist: bool = True) -> dict[str, int]:
+                    persist: bool = True, parallel: bool = True) -> dict[str, int]:
     """Write one batch of mapped states; returns rows written per table.
 
     An empty batch writes nothing (K7). Safe to call again with the same
     ``batch_id`` and rows (replay after a failure). ``persist=False`` when
-    the caller already keeps the batch.
+    the caller already keeps the batch. The six table writes are independent
+    jobs; ``parallel`` submits them together so small micro-batches fill the
+    cluster instead of queueing. Any failure fails the whole batch (which is
+    then replayed; every write is idempotent).
     """
     spark = states.sparkSession
     base = warehouse.rstrip("/")
@@ -53,15 +57,26 @@ def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
         # Probe the tables before any observation is registered: a probe of a
         # missing table is a failed query that observation listeners report.
         exists = {name: upsert.table_exists(spark, f"{base}/{name}") for name, _, _ in DIMENSIONS}
-        for name, key, build in DIMENSIONS:
+
+        def dimension(name, key, build):
             rows, obs = _counted(build(batch), name)
             upsert.upsert_table(spark, rows, f"{base}/{name}", key,
                                 staging=f"{base}/_staging", n_buckets=n_buckets,
                                 exists=exists[name])
-            counts[name] = obs.get.get("rows", 0)
-        fact, obs = _counted(star.fact_state(batch), FACT)
-        upsert.append_fact(fact, f"{base}/{FACT}", batch_id)
-        counts[FACT] = obs.get.get("rows", 0)
+            return name, obs.get.get("rows", 0)
+
+        def fact():
+            rows, obs = _counted(star.fact_state(batch), FACT)
+            upsert.append_fact(rows, f"{base}/{FACT}", batch_id)
+            return FACT, obs.get.get("rows", 0)
+
+        tasks = [lambda d=d: dimension(*d) for d in DIMENSIONS] + [fact]
+        if parallel:
+            with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+                results = [f.result() for f in [pool.submit(t) for t in tasks]]
+        else:
+            results = [t() for t in tasks]
+        counts.update(dict(results))
         log.info("batch %s written: %s", batch_id, counts)
         return counts
     finally:
