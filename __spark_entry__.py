@@ -39,6 +39,14 @@ def _utc(fn):
     return run
 
 
+def _utc_wall_clock(df: DataFrame) -> DataFrame:
+    """TIMESTAMP (instant) columns as TIMESTAMP_NTZ in UTC, the type of the
+    oracle's naive timestamps; the session zone is pinned to UTC."""
+    from pyspark.sql.types import TimestampType
+    ts = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts}) if ts else df
+
+
 def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return star.star(fx.flight_states(spark, sf))
 
@@ -59,7 +67,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def q_state_mapping(spark, sf):
-    return parse.flight_state_parse(fx.flight_state_messages(spark, sf))
+    return _utc_wall_clock(parse.flight_state_parse(fx.flight_state_messages(spark, sf)))
 
 
 def _dim(name):
@@ -151,7 +159,7 @@ def q_fact_state_stream(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return read_star(spark, f"{work}/wh")[FACT].drop("day")
+    return _utc_wall_clock(read_star(spark, f"{work}/wh")[FACT].drop("day"))
 
 
 UPSERT_SPLIT = "2024-01-15 00:00:00"

@@ -307,7 +307,7 @@ snaps AS (
 _NUM = "CASE WHEN p.{f} IS NOT NULL AND c.{f} IS NOT NULL THEN (c.{f} - p.{f}) + c.{f} ELSE c.{f} END"
 
 Q["snapshot_extrapolate"] = _with(STATES, SNAPS) + f"""
-SELECT c.snap, CAST(epoch(c.snap) AS BIGINT) + 30 AS time, c.pos,
+SELECT c.snap, CAST(epoch(c.snap) AS BIGINT) + 30 AS time, CAST(c.pos AS INTEGER) AS pos,
  c.icao24, c.callsign, c.origin_country,
  CAST(epoch(c.snap) AS BIGINT) + 30 AS time_position,
  CAST(epoch(c.snap) AS BIGINT) + 30 AS last_contact,
