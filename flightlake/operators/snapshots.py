@@ -8,7 +8,9 @@ earlier snapshots untouched (a replay overwrites its own partition).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flightlake.session import path_exists
@@ -39,3 +41,25 @@ def latest_two(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFr
     current = pick(times[0]) if times else None
     previous = pick(times[1]) if len(times) > 1 else None
     return previous, current
+
+
+def assign_positions(df: DataFrame, by: Sequence[str], order_col: str,
+                     prefix_len: int = 4, pos_col: str = "pos") -> DataFrame:
+    """Dense list positions 0..n-1 within each ``by`` group, in ``order_col``
+    order (values unique within a group), without one task per group.
+
+    Rows are split by the first ``prefix_len`` characters of ``order_col``
+    (an order-preserving bucket). Each bucket numbers its own rows; a bucket's
+    offset is the running total of the bucket counts before it, computed on
+    the small count table (one row per group and bucket).
+    """
+    by = list(by)
+    t = df.withColumn("_b", F.substring(F.col(order_col), 1, prefix_len))
+    counts = t.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = t.withColumn("_r", F.row_number().over(
+        Window.partitionBy(*by, "_b").orderBy(order_col)))
+    return (local.join(offsets, on=by + ["_b"])
+            .withColumn(pos_col, (F.col("_off") + F.col("_r") - 1).cast("int"))
+            .drop("_b", "_r", "_off"))

@@ -152,19 +152,17 @@ def snapshot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     state of each aircraft in that hour, listed in ``icao24`` order.
 
     Output ``snap`` (hour, TIMESTAMP_NTZ), ``pos`` (list position) and
-    ``state`` (ARRAY<VARIANT>, epochs in seconds). A snapshot holds at most
-    one row per aircraft, so the per-hour numbering is bounded by the fleet.
+    ``state`` (ARRAY<VARIANT>, epochs in seconds). Positions are numbered by
+    ``assign_positions``, so no task holds a whole snapshot.
     """
-    from pyspark.sql import Window
-
     from flightlake.operators.dedup import latest_per_key
+    from flightlake.operators.snapshots import assign_positions
 
     s = flight_states(spark, sf_dir).withColumn(
         "snap", F.date_trunc("hour", "last_contact").cast("timestamp_ntz"))
     latest = latest_per_key(s, ["snap", "icao24"],
                             [F.col("last_contact").desc(), F.col("seq").desc()])
-    ranked = latest.withColumn(
-        "pos", F.row_number().over(Window.partitionBy("snap").orderBy("icao24")) - 1)
+    ranked = assign_positions(latest, ["snap"], "icao24")
     epoch = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
     typed = {"time_position": epoch("time_position"), "last_contact": epoch("last_contact"),
              "position_source": F.col("position_source").cast("bigint")}

@@ -99,3 +99,14 @@ def test_snapshot_table_roundtrip(spark, scratch):
     out = extrapolate.extrapolate(curr, prev, T).select(F.to_json("state").alias("j")).collect()
     assert json.loads(out[0].j)[5] == 3.0
     assert read_snapshots(spark, f"{scratch}/missing").count() == 0
+
+
+def test_assign_positions_dense_and_ordered(spark):
+    keys = ["a0001", "a0002", "a0100", "b0005", "b0006", "c9999", "a0003"]
+    rows = [(g, k) for g in (1, 2) for k in keys] + [(3, "zzzz1")]
+    df = spark.createDataFrame(rows, "g int, k string")
+    out = snapshots.assign_positions(df, ["g"], "k", prefix_len=2).collect()
+    for g in (1, 2, 3):
+        got = sorted((r.pos, r.k) for r in out if r.g == g)
+        want = list(enumerate(sorted(k for gg, k in rows if gg == g)))
+        assert got == want
