@@ -228,6 +228,24 @@ def q_snapshot_extrapolate(spark, sf):
     return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
 
 
+def q_snapshot_extrapolate_by_key(spark, sf):
+    """J5 option: pair states by aircraft (element 0) instead of list position."""
+    snaps = fx.snapshot_states(spark, sf)
+    prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
+    job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
+    out = extrapolate.extrapolate(snaps, prev, job_time, by=["snap"], key_index=0)
+    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
+
+
+def q_snapshot_extrapolate_steps(spark, sf):
+    """R1 with ``steps=3``: three generator cycles against one previous snapshot."""
+    snaps = fx.snapshot_states(spark, sf)
+    prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
+    job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
+    out = extrapolate.extrapolate(snaps, prev, job_time, by=["snap"], steps=3)
+    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
+
+
 def q_snapshot_split(spark, sf):
     return parse.positional_to_named(parse.snapshot_split(fx.snapshot_documents(spark, sf)))
 
@@ -267,6 +285,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "country_altitude": q_country_altitude,
         "snapshot_extrapolate": q_snapshot_extrapolate,
         "snapshot_split": q_snapshot_split,
+        "snapshot_extrapolate_by_key": q_snapshot_extrapolate_by_key,
+        "snapshot_extrapolate_steps": q_snapshot_extrapolate_steps,
     }
 
 

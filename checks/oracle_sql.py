@@ -304,32 +304,48 @@ snaps AS (
  FROM snap_rows WHERE rk = 1
 )"""
 
-_NUM = "CASE WHEN p.{f} IS NOT NULL AND c.{f} IS NOT NULL THEN (c.{f} - p.{f}) + c.{f} ELSE c.{f} END"
-
-Q["snapshot_extrapolate"] = _with(STATES, SNAPS) + f"""
-SELECT c.snap, CAST(epoch(c.snap) AS BIGINT) + 30 AS time, CAST(c.pos AS INTEGER) AS pos,
- c.icao24, c.callsign, c.origin_country,
- CAST(epoch(c.snap) AS BIGINT) + 30 AS time_position,
- CAST(epoch(c.snap) AS BIGINT) + 30 AS last_contact,
- {_NUM.format(f="longitude")} AS longitude,
- {_NUM.format(f="latitude")} AS latitude,
- {_NUM.format(f="baro_altitude")} AS baro_altitude,
- COALESCE(CASE WHEN p.on_ground IS NOT NULL AND c.on_ground IS NOT NULL
-   THEN (CAST(c.on_ground AS INTEGER) - CAST(p.on_ground AS INTEGER)) + CAST(c.on_ground AS INTEGER) <> 0
-   ELSE c.on_ground END, false) AS on_ground,
- {_NUM.format(f="velocity")} AS velocity,
- {_NUM.format(f="true_track")} AS true_track,
- {_NUM.format(f="vertical_rate")} AS vertical_rate,
+def _num(f: str, steps: int = 1, cast: str = "") -> str:
+    """SQL for ``steps`` rounds of ``x = (x - p) + x`` when both are set."""
+    c, p = (f"CAST(c.{f} AS {cast})", f"CAST(p.{f} AS {cast})") if cast else (f"c.{f}", f"p.{f}")
+    x = c
+    for _ in range(steps):
+        x = f"(({x}) - {p}) + ({x})"
+    return f"CASE WHEN p.{f} IS NOT NULL AND c.{f} IS NOT NULL THEN {x} ELSE {c} END"
+
+
+def _ground(steps: int = 1) -> str:
+    """Position 8: arithmetic on 0/1 then coerced to boolean, every round."""
+    x = "c.on_ground"
+    for _ in range(steps):
+        x = (f"COALESCE(CASE WHEN p.on_ground IS NOT NULL AND ({x}) IS NOT NULL THEN "
+             f"(CAST({x} AS INTEGER) - CAST(p.on_ground AS INTEGER)) + CAST({x} AS INTEGER) <> 0 "
+             f"ELSE {x} END, false)")
+    return x
+
+
+def _extrapolated(join: str, steps: int = 1) -> str:
+    t = "CAST(epoch(c.snap) AS BIGINT) + 30"
+    return _with(STATES, SNAPS) + f"""
+SELECT c.snap, {t} AS time, CAST(c.pos AS INTEGER) AS pos,
+ c.icao24, c.callsign, c.origin_country, {t} AS time_position, {t} AS last_contact,
+ {_num("longitude", steps)} AS longitude,
+ {_num("latitude", steps)} AS latitude,
+ {_num("baro_altitude", steps)} AS baro_altitude,
+ {_ground(steps)} AS on_ground,
+ {_num("velocity", steps)} AS velocity,
+ {_num("true_track", steps)} AS true_track,
+ {_num("vertical_rate", steps)} AS vertical_rate,
  CAST(NULL AS INTEGER[]) AS sensors,
- {_NUM.format(f="geo_altitude")} AS geo_altitude,
+ {_num("geo_altitude", steps)} AS geo_altitude,
  c.squawk,
- CAST(CASE WHEN p.spi IS NOT NULL AND c.spi IS NOT NULL
-   THEN (CAST(c.spi AS INTEGER) - CAST(p.spi AS INTEGER)) + CAST(c.spi AS INTEGER)
-   ELSE CAST(c.spi AS INTEGER) END AS BIGINT) AS spi,
- CAST(CASE WHEN p.position_source IS NOT NULL AND c.position_source IS NOT NULL
-   THEN (CAST(c.position_source AS BIGINT) - CAST(p.position_source AS BIGINT)) + CAST(c.position_source AS BIGINT)
-   ELSE CAST(c.position_source AS BIGINT) END AS BIGINT) AS position_source
-FROM snaps c LEFT JOIN snaps p ON p.snap + INTERVAL 1 HOUR = c.snap AND p.pos = c.pos"""
+ CAST({_num("spi", steps, "INTEGER")} AS BIGINT) AS spi,
+ CAST({_num("position_source", steps, "BIGINT")} AS BIGINT) AS position_source
+FROM snaps c LEFT JOIN snaps p ON p.snap + INTERVAL 1 HOUR = c.snap AND {join}"""
+
+
+Q["snapshot_extrapolate"] = _extrapolated("p.pos = c.pos")
+Q["snapshot_extrapolate_by_key"] = _extrapolated("p.icao24 = c.icao24")
+Q["snapshot_extrapolate_steps"] = _extrapolated("p.pos = c.pos", steps=3)
 
 Q["snapshot_split"] = _with(STATES, SNAPS) + """
 SELECT CAST(epoch(snap) AS BIGINT) AS time, CAST(pos % 50 AS INTEGER) AS pos,
