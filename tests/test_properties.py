@@ -72,3 +72,25 @@ def test_approximate_top_countries_close(spark):
               for r in dash.top_countries(fact, LO, HI, k=25, approximate=True).collect()}
     for k, v in exact.items():
         assert abs(approx.get(k, 0) - v) <= max(1, 0.05 * v)
+
+
+batches = st.lists(st.lists(st.tuples(st.integers(0, 20), st.integers(-9, 9)),
+                            min_size=1, max_size=8), min_size=1, max_size=4)
+
+
+@settings(max_examples=6, deadline=None)
+@given(batches)
+def test_upsert_table_sequence_model(spark, seq):
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="flightlake-upsert-")
+    path, staging = f"{root}/dim", f"{root}/_staging"
+    model: dict[int, int] = {}
+    for batch in seq:
+        rows = _one_per_key(batch)
+        upsert.upsert_table(spark, spark.createDataFrame(rows, "k int, v int"), path, "k",
+                            staging, n_buckets=4)
+        model.update(dict(rows))
+    table = upsert.read_table(spark, path)
+    got = sorted(tuple(r) for r in table.select("k", "v").collect())
+    assert got == sorted(model.items())
