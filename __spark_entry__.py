@@ -70,6 +70,12 @@ def q_state_mapping(spark, sf):
     return _utc_wall_clock(parse.flight_state_parse(fx.flight_state_messages(spark, sf)))
 
 
+def q_state_quarantine(spark, sf):
+    """Messages a flat-schema parse cannot read, kept with their raw text."""
+    return parse.flight_state_quarantine(
+        fx.flight_state_messages(spark, sf, with_malformed=True))
+
+
 def _dim(name):
     return lambda spark, sf: _star(spark, sf)[name]
 
@@ -257,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "state_mapping": q_state_mapping,
+        "state_quarantine": q_state_quarantine,
         "dim_country": _dim("dim_pays"),
         "dim_flight": _dim("dim_vol"),
         "dim_time": _dim("dim_temps"),

@@ -107,6 +107,11 @@ SELECT date_trunc('second', time_position) AS time_position, icao24, callsign, o
  date_trunc('second', last_contact) AS last_contact
 FROM states"""
 
+Q["state_quarantine"] = _with(STATES) + """
+SELECT CASE WHEN seq % 47 = 0 THEN '["' || icao24 || '",' || CAST(seq AS VARCHAR) || ']'
+            ELSE 'not json ' || CAST(seq AS VARCHAR) END AS raw
+FROM states WHERE seq % 47 = 0 OR seq % 83 = 0"""
+
 Q["dim_country"] = STAR + "SELECT * FROM dim_pays"
 Q["dim_flight"] = STAR + "SELECT * FROM dim_vol"
 Q["dim_time"] = STAR + "SELECT * FROM dim_temps"

@@ -66,8 +66,13 @@ def flight_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flight_state_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON text per state, epochs in seconds: the raw feed form (``value``)."""
+def flight_state_messages(spark: SparkSession, sf_dir: str,
+                          with_malformed: bool = False) -> DataFrame:
+    """One JSON text per state, epochs in seconds: the raw feed form (``value``).
+
+    ``with_malformed`` replaces some messages by a JSON array (the positional
+    form a flat-schema parse cannot read) or by text that is not JSON.
+    """
     s = flight_states(spark, sf_dir)
     as_epoch = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
     obj = F.struct(
@@ -79,7 +84,14 @@ def flight_state_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("position_source").cast("bigint").alias("position_source"),
         "category",
     )
-    return s.select(F.to_json(obj).alias("value"), "seq")
+    value = F.to_json(obj)
+    if with_malformed:
+        seq = F.col("seq")
+        value = (F.when(seq % 47 == 0, F.concat(F.lit('["'), F.col("icao24"), F.lit('",'),
+                                                seq.cast("string"), F.lit("]")))
+                 .when(seq % 83 == 0, F.concat(F.lit("not json "), seq.cast("string")))
+                 .otherwise(value))
+    return s.select(value.alias("value"), "seq")
 
 
 def airport_items(spark: SparkSession, sf_dir: str) -> DataFrame:
