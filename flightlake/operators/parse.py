@@ -16,13 +16,6 @@ from flightlake.schemas import (
     AIRPORT_ENVELOPE_SCHEMA, FLIGHT_STATE_SCHEMA, SNAPSHOT_DDL, SNAPSHOT_FIELDS,
 )
 
-MAPPED_STATE_COLUMNS = [
-    "time_position", "icao24", "callsign", "origin_country", "longitude", "latitude",
-    "baro_altitude", "geo_altitude", "velocity", "vertical_rate", "true_track",
-    "on_ground", "spi", "position_source", "squawk", "category", "last_contact",
-]
-
-
 def as_text(df: DataFrame, col: str = "value") -> Column:
     """Kafka's binary ``value`` (or text already) as STRING."""
     c = F.col(col)
@@ -91,7 +84,6 @@ def flight_state_quarantine(df: DataFrame, col: str = "value") -> DataFrame:
     return quarantined(flight_state_parse_with_raw(df, col))
 
 
-AIRPORT_COLUMNS = ["name", "icao", "iata", "country", "longitude", "latitude", "source_data"]
 AIRPORT_TEXT_COLUMNS = ["name", "icao", "iata", "country"]
 
 
