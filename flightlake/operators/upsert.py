@@ -3,8 +3,9 @@
 Dimension tables are partitioned by ``bucket = pmod(xxhash64(key), n)``. An
 upsert reads only the buckets the batch touches (partition pruning), merges
 ``existing LEFT ANTI batch UNION batch`` and replaces those buckets with a
-dynamic partition overwrite. The rest of the table is not read or written,
-so the cost of a batch grows with the batch, not with the dimension.
+dynamic partition overwrite. Buckets the batch does not touch are neither
+read nor written; a batch with more distinct keys than buckets touches them
+all, so ``n_buckets`` bounds how small a share of the table one batch costs.
 
 Spark refuses to overwrite a path it is reading, so the merged buckets go to
 a staging folder first (under the table's warehouse, on shared storage) and

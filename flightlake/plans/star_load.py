@@ -54,8 +54,8 @@ def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
             log.info("batch %s empty, nothing to write", batch_id)
             return {}
         counts: dict[str, int] = {}
-        # Probe the tables before any observation is registered: a probe of a
-        # missing table is a failed query that observation listeners report.
+        # Existence is listed once, before the writes start (a first batch
+        # writes each dimension directly instead of merging).
         exists = {name: upsert.table_exists(spark, f"{base}/{name}") for name, _, _ in DIMENSIONS}
 
         def dimension(name, key, build):
