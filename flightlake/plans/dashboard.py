@@ -85,9 +85,15 @@ def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
     pos = dim_position.filter(valid_coordinates()).select(
         F.col("pk_position"), "latitude", "longitude")
     pays = bounded_broadcast(dim_pays.select("pk_pays", "nom_pays"), max_broadcast_rows)
-    j = (exists_in(f, dim_aeronef, "fk_aeronef", "pk_aeronef", max_broadcast_rows)
-         .join(pos, F.col("fk_position") == F.col("pk_position"))
-         .join(pays, F.col("fk_pays") == F.col("pk_pays")))
+    # The aircraft check goes last, as an inner join on the key column alone:
+    # when it is a shuffle join, its partitioning on fk_aeronef is the one the
+    # per-aircraft window needs, so the window adds no shuffle. (A semi join
+    # would be pushed below the other joins by the optimizer. A repeated key
+    # could only repeat identical rows, of which rn = 1 keeps one.)
+    aircraft = bounded_broadcast(dim_aeronef.select(F.col("pk_aeronef")), max_broadcast_rows)
+    j = (f.join(pos, F.col("fk_position") == F.col("pk_position"))
+         .join(pays, F.col("fk_pays") == F.col("pk_pays"))
+         .join(aircraft, F.col("fk_aeronef") == F.col("pk_aeronef")))
     w = Window.partitionBy("fk_aeronef").orderBy(*_live_map_order())
     latest = j.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
     return latest.select(

@@ -53,7 +53,12 @@ def test_latest_per_aircraft_limits_before_shuffle(stored):
     p = plan(dash.live_map(stored["fait_etat_vol"], stored["dim_aeronef"],
                            stored["dim_position"], stored["dim_pays"], LO, HI))
     assert "WindowGroupLimit" in p and "Partial" in p
-    assert "LeftSemi" in p  # existence-only dimension check
+
+
+def test_existence_checks_are_semi_joins(stored):
+    dims = (stored["dim_aeronef"], stored["dim_position"], stored["dim_pays"])
+    p = plan(dash.status_over_time(stored["fait_etat_vol"], dims, LO, HI))
+    assert p.count("LeftSemi") >= 3
 
 
 def test_dimension_dedup_limits_before_shuffle(spark):
