@@ -51,3 +51,20 @@ def test_write_airport_batch_replay_and_counts(spark, scratch):
     stored = spark.read.parquet(tables)
     assert stored.count() == sum(v for k, v in c1.items() if k != route.UNROUTED)
     assert stored.filter(F.col("batch_id") != 7).count() == 0
+
+
+def test_console_stream_runs(spark, scratch, capfd):
+    inbox = os.path.join(scratch, "inbox")
+    fx.airport_envelopes(spark, SF001).limit(2).coalesce(1).write.text(inbox)
+    rows = enrich.airport_enrich(parse.airport_parse(file_stream(spark, inbox)))
+    q = pipelines.console_stream(rows.select("name", "source_data"),
+                                 os.path.join(scratch, "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert q.lastProgress["numInputRows"] > 0
+
+
+def test_airport_batch_show(spark, scratch, capsys):
+    rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, SF001))).limit(5)
+    counts = pipelines.write_airport_batch(rows, 0, show=True)
+    assert sum(counts.values()) == 5
