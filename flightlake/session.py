@@ -49,12 +49,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     unset (tests, local runs) a fresh local folder is set on the session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="flightlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        if sc is not None:
+            sc.setCheckpointDir(path)
     return path
 
 
