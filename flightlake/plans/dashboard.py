@@ -149,7 +149,8 @@ def share_of_total(df: DataFrame, col: str, alias: str = "share") -> DataFrame:
     window over the whole frame (which would put every row in one task).
     """
     total = df.agg(F.sum(col)).scalar()
-    return df.withColumn(alias, F.col(col) / total)
+    # A zero total gives null instead of an ANSI division error.
+    return df.withColumn(alias, F.try_divide(F.col(col).cast("double"), total))
 
 
 def top_countries(fact: DataFrame, lo=None, hi=None, k: int = 10,
