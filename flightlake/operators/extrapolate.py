@@ -74,10 +74,13 @@ def _step(cur: Column, prev: Column, job_time: Column, fix_booleans: bool) -> Co
         both = _is_number(ct) & _is_number(pt)
         if fix_booleans:
             both = both & (F.coalesce(ct, F.lit("")) != "BOOLEAN")
-        as_int = both & _is_integral(ct) & _is_integral(pt)
         ci, pi = F.try_variant_get(c, "$", "bigint"), F.try_variant_get(p, "$", "bigint")
         cd, pd = F.try_variant_get(c, "$", "double"), F.try_variant_get(p, "$", "double")
-        new = (F.when(as_int, ((ci - pi) + ci).cast("variant"))
+        # Integers stay integers; past BIGINT the result is DOUBLE (never an
+        # ANSI overflow error).
+        int_new = F.try_add(F.try_subtract(ci, pi), ci)
+        as_int = both & _is_integral(ct) & _is_integral(pt) & int_new.isNotNull()
+        new = (F.when(as_int, int_new.cast("variant"))
                .when(both, ((cd - pd) + cd).cast("variant"))
                .otherwise(c))
         new_tag = F.when(as_int, F.lit("BIGINT")).when(both, F.lit("DOUBLE")).otherwise(ct)

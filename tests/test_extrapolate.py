@@ -110,3 +110,9 @@ def test_assign_positions_dense_and_ordered(spark):
         got = sorted((r.pos, r.k) for r in out if r.g == g)
         want = list(enumerate(sorted(k for gg, k in rows if gg == g)))
         assert got == want
+
+
+def test_integer_overflow_becomes_double(spark):
+    big = 2 ** 62
+    (_, s), = _run(spark, [_row(i16=-big)], [_row(i16=big)])
+    assert isinstance(s[16], float) and s[16] == float(3 * big)
