@@ -101,6 +101,10 @@ def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,
     ``by`` + the element at ``key_index`` (e.g. 0 = icao24) when given.
     ``job_time`` is an epoch in seconds (int or Column). Output columns:
     ``by``, ``time``, ``pos``, ``state``.
+
+    Position pairing expects one row per (``by``, ``pos``) in ``previous``, as
+    a snapshot has; documents split into pages restart ``pos`` per page, so
+    renumber them with ``snapshots.assign_positions`` (or pair by key) first.
     """
     by = list(by)
     if previous is None:  # rule g
