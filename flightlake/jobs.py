@@ -46,7 +46,8 @@ def flight_stream(args) -> None:
     spark = _session(args)
     q = flight_star_stream(_source(spark, args), args.warehouse, args.checkpoint,
                            trigger=_trigger(args), keep_category=args.keep_category,
-                           n_buckets=args.buckets, quarantine_path=args.quarantine)
+                           n_buckets=args.buckets, quarantine_path=args.quarantine,
+                           metrics_path=args.metrics)
     q.awaitTermination()
 
 
@@ -60,7 +61,7 @@ def airport_stream(args) -> None:
             "password": os.environ.get(args.jdbc_password_env, ""),
             "driver": args.jdbc_driver}}
     q = start(_source(spark, args), args.checkpoint, tables_path=args.tables, jdbc=jdbc,
-              trigger=_trigger(args), show=args.show)
+              trigger=_trigger(args), show=args.show, metrics_path=args.metrics)
     q.awaitTermination()
 
 
@@ -128,6 +129,7 @@ def parser() -> argparse.ArgumentParser:
                         help="default: under spark.checkpoint.dir")
         sp.add_argument("--trigger", default=None, help='e.g. "10 seconds"')
         sp.add_argument("--available-now", action="store_true")
+        sp.add_argument("--metrics", default=None, help="parquet folder for per-batch row counts")
 
     f = sub.add_parser("flight-stream")
     source_args(f)

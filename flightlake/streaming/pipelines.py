@@ -44,12 +44,25 @@ def _checkpoint(df: DataFrame, checkpoint: str | None, name: str) -> str:
     return checkpoint or f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}"
 
 
+def write_metrics(spark, counts: dict[str, int], batch_id: int, path: str,
+                  pipeline: str) -> None:
+    """K8: one row per table of a batch (at most a handful) under
+    ``pipeline=<name>/batch_id=<n>``; a replayed batch replaces its rows."""
+    rows = [(pipeline, int(batch_id), str(t), int(n)) for t, n in sorted(counts.items())]
+    df = spark.createDataFrame(rows, "pipeline string, batch_id bigint, target string, n_rows bigint")
+    (df.withColumn("written_at", F.current_timestamp()).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("pipeline", "batch_id").parquet(path))
+
+
 def write_flight_batch(raw: DataFrame, batch_id: int, warehouse: str,
                        keep_category: bool = False, n_buckets: int = 64,
-                       quarantine_path: str | None = None) -> dict[str, int]:
+                       quarantine_path: str | None = None,
+                       metrics_path: str | None = None) -> dict[str, int]:
     """K1 body: parse one raw batch once (persisted), load the star schema
     from it and, with ``quarantine_path``, keep the unparseable messages
-    (replay-safe: the batch's own ``batch_id`` partition is overwritten)."""
+    (replay-safe: the batch's own ``batch_id`` partition is overwritten).
+    With ``metrics_path`` the per-table row counts (K8) are stored too."""
     parsed = flight_state_parse_with_raw(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         states = map_flight_state(parsed.filter(~F.col("_bad")), keep_category)
@@ -59,6 +72,8 @@ def write_flight_batch(raw: DataFrame, batch_id: int, warehouse: str,
             bad = quarantined(parsed).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
             (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(quarantine_path))
+        if metrics_path and counts:
+            write_metrics(raw.sparkSession, counts, batch_id, metrics_path, "flight_star")
         return counts
     finally:
         parsed.unpersist()
@@ -67,10 +82,12 @@ def write_flight_batch(raw: DataFrame, batch_id: int, warehouse: str,
 def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str | None = None, trigger=None,
                        keep_category: bool = False, n_buckets: int = 64,
                        query_name: str | None = None,
-                       quarantine_path: str | None = None) -> StreamingQuery:
+                       quarantine_path: str | None = None,
+                       metrics_path: str | None = None) -> StreamingQuery:
     """K1: raw flight-state messages -> star schema under ``warehouse``."""
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        write_flight_batch(df, batch_id, warehouse, keep_category, n_buckets, quarantine_path)
+        write_flight_batch(df, batch_id, warehouse, keep_category, n_buckets, quarantine_path,
+                           metrics_path)
 
     w = (raw.select("value").writeStream.foreachBatch(write_batch).outputMode("append")
          .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "flight_star")))
@@ -89,7 +106,7 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict,
 
 def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None = None,
                         jdbc: dict | None = None, show: bool = False,
-                        sources=None) -> dict[str, int]:
+                        sources=None, metrics_path: str | None = None) -> dict[str, int]:
     """D10 body: route one enriched batch into the per-source tables.
 
     Parquet: one partitioned write (replay-safe by ``batch_id``). JDBC
@@ -111,6 +128,8 @@ def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None =
                                 jdbc.get("properties", {}))
         if show:  # K6 from the same persisted rows: the source is read once
             rows.show(n=20, truncate=False)
+        if metrics_path:
+            write_metrics(df.sparkSession, counts, batch_id, metrics_path, "airports")
         log.info("airport batch %s: %s", batch_id, counts)
         return counts
     finally:
@@ -119,7 +138,8 @@ def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None =
 
 def airport_stream(raw: DataFrame, checkpoint: str | None = None, tables_path: str | None = None,
                    jdbc: dict | None = None, trigger="10 seconds", show: bool = False,
-                   query_name: str | None = None) -> StreamingQuery:
+                   query_name: str | None = None,
+                   metrics_path: str | None = None) -> StreamingQuery:
     """D8 -> D9 -> D10 as one streaming query with a checkpoint.
 
     ``show=True`` prints each batch from inside the same query (one source
@@ -128,7 +148,7 @@ def airport_stream(raw: DataFrame, checkpoint: str | None = None, tables_path: s
     enriched = airport_enrich(airport_parse(raw))
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        write_airport_batch(df, batch_id, tables_path, jdbc, show)
+        write_airport_batch(df, batch_id, tables_path, jdbc, show, metrics_path=metrics_path)
 
     w = (enriched.writeStream.foreachBatch(write_batch).outputMode("update")
          .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "airports")))

@@ -44,9 +44,12 @@ def test_airport_stream_equals_batch(spark, scratch):
 def test_write_airport_batch_replay_and_counts(spark, scratch):
     rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, SF001)))
     tables = os.path.join(scratch, "tables")
-    c1 = pipelines.write_airport_batch(rows, 7, tables)
-    c2 = pipelines.write_airport_batch(rows, 7, tables)
+    metrics = os.path.join(scratch, "metrics")
+    c1 = pipelines.write_airport_batch(rows, 7, tables, metrics_path=metrics)
+    c2 = pipelines.write_airport_batch(rows, 7, tables, metrics_path=metrics)
     assert c1 == c2
+    m = spark.read.parquet(metrics)
+    assert {r.target: r.n_rows for r in m.collect()} == c1  # replay replaced, not added
     assert sum(c1.values()) == rows.count()
     stored = spark.read.parquet(tables)
     assert stored.count() == sum(v for k, v in c1.items() if k != route.UNROUTED)

@@ -72,12 +72,16 @@ def test_flight_stream_equals_batch(spark, scratch):
     stream = file_stream(spark, os.path.join(inbox, "*"), max_files_per_trigger=1)
     wh = os.path.join(scratch, "wh")
     quarantine = os.path.join(scratch, "quarantine")
+    metrics = os.path.join(scratch, "metrics")
     q = pipelines.flight_star_stream(stream, wh, os.path.join(scratch, "ckpt"),
                                      trigger={"availableNow": True}, n_buckets=8,
-                                     quarantine_path=quarantine)
+                                     quarantine_path=quarantine, metrics_path=metrics)
     q.awaitTermination(300)
     assert q.exception() is None
     assert sorted(r.raw for r in spark.read.parquet(quarantine).collect()) == sorted(bad)
+    facts = spark.read.parquet(metrics).filter(F.col("target") == "fait_etat_vol")
+    assert facts.agg(F.sum("n_rows")).first()[0] == \
+        star.fact_state(parse.flight_state_parse(fx.flight_state_messages(spark, SF001))).count()
     got = star_load.read_star(spark, wh)
     one = star.star(parse.flight_state_parse(fx.flight_state_messages(spark, SF001)))
     for name, df in one.items():
