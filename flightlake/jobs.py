@@ -76,7 +76,9 @@ def extrapolate(args) -> None:
     job_time = args.job_time if args.job_time is not None else int(time.time())
     nxt = run(curr, prev, job_time, key_index=args.key_index, steps=args.steps,
               fix_booleans=args.fix_booleans)
-    snapshots.write_snapshot(nxt, args.snapshots)
+    # Generated snapshots go to their own table: the pair read above stays
+    # the two latest real snapshots (cycle n of a generator is --steps n).
+    snapshots.write_snapshot(nxt, args.output)
 
 
 def dashboard(args) -> None:
@@ -151,7 +153,8 @@ def parser() -> argparse.ArgumentParser:
     a.set_defaults(func=airport_stream)
 
     e = sub.add_parser("extrapolate")
-    e.add_argument("--snapshots", required=True, help="snapshot table (partitioned by time)")
+    e.add_argument("--snapshots", required=True, help="real snapshot table (partitioned by time)")
+    e.add_argument("--output", required=True, help="table for generated snapshots")
     e.add_argument("--job-time", type=int, default=None)
     e.add_argument("--key-index", type=int, default=None)
     e.add_argument("--steps", type=int, default=1)

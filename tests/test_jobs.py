@@ -38,7 +38,11 @@ def test_extrapolate_job(spark, scratch):
         s[5] = lon
         doc = json.dumps({"time": 100 + i, "states": [s]})
         snapshots.write_snapshot(snapshot_split(spark.createDataFrame([Row(value=doc)])), path)
-    jobs.main(COMMON + ["extrapolate", "--snapshots", path, "--job-time", "500"])
-    prev, curr = snapshots.latest_two(spark, path)
-    row = curr.select("time", F.to_json("state").alias("j")).first()
-    assert row.time == 500 and json.loads(row.j)[5] == 3.0
+    out = os.path.join(scratch, "generated")
+    jobs.main(COMMON + ["extrapolate", "--snapshots", path, "--output", out, "--job-time", "500"])
+    jobs.main(COMMON + ["extrapolate", "--snapshots", path, "--output", out, "--job-time", "530",
+                        "--steps", "2"])
+    got = {r.time: json.loads(r.j)[5]
+           for r in spark.read.parquet(out).select("time", F.to_json("state").alias("j")).collect()}
+    assert got == {500: 3.0, 530: 4.0}  # the real pair (2.0, 2.5) is read both times
+    assert snapshots.latest_two(spark, path)[1].first().time == 101
