@@ -88,6 +88,11 @@ def dashboard(args) -> None:
     from flightlake.operators import route
     spark = _session(args)
     lo, hi = args.lo, args.hi
+    if args.last_minutes is not None:
+        # The dashboards' default window: now - N minutes .. now (UTC).
+        import datetime as dt
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        lo, hi = str(now - dt.timedelta(minutes=args.last_minutes)), str(now)
     if args.query in ("q9", "q10", "q11", "q12"):
         table = {"q9": "airfields", "q10": "hotspots", "q11": "airfields", "q12": "airports"}
         t = route.read_routed(spark, args.tables, table[args.query])
@@ -167,6 +172,8 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--tables")
     d.add_argument("--lo", default=None)
     d.add_argument("--hi", default=None)
+    d.add_argument("--last-minutes", type=int, default=None,
+                   help="window now-N min .. now instead of --lo/--hi (dashboards use 15)")
     d.add_argument("--output", default=None)
     d.add_argument("--rows", type=int, default=50)
     d.set_defaults(func=dashboard)

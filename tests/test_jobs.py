@@ -27,6 +27,10 @@ def test_flight_stream_then_dashboard(spark, scratch):
     top = spark.read.parquet(out).collect()
     assert 0 < len(top) <= 10
     jobs.main(COMMON + ["dashboard", "q1", "--warehouse", wh, "--rows", "5"])
+    recent = os.path.join(scratch, "recent")
+    jobs.main(COMMON + ["dashboard", "q3", "--warehouse", wh, "--last-minutes", "15",
+                        "--output", recent])
+    assert spark.read.parquet(recent).count() == 0  # the fixture lies in 2024
 
 
 def test_extrapolate_job(spark, scratch):
