@@ -50,3 +50,29 @@ def test_extrapolate_job(spark, scratch):
            for r in spark.read.parquet(out).select("time", F.to_json("state").alias("j")).collect()}
     assert got == {500: 3.0, 530: 4.0}  # the real pair (2.0, 2.5) is read both times
     assert snapshots.latest_two(spark, path)[1].first().time == 101
+
+
+def test_sql_views_match_functions(spark, scratch):
+    from flightlake.operators import enrich, parse, route
+    from flightlake.plans import airfields as air
+    from flightlake.plans import dashboard as dash
+    from flightlake.plans import star_load
+    from flightlake.plans.catalog import register_views
+
+    wh, tables = os.path.join(scratch, "wh"), os.path.join(scratch, "tables")
+    star_load.load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, SF)),
+                              0, wh, n_buckets=4)
+    route.write_routed(enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, SF))),
+                       tables, batch_id=0)
+    names = register_views(spark, wh, tables)
+    assert "fait_etat_vol" in names and "airfields" in names and len(names) == 14
+    lo, hi = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
+    sql = spark.sql(f"""
+        SELECT fk_pays, COUNT(DISTINCT fk_aeronef) AS nb_aeronefs
+        FROM fait_etat_vol
+        WHERE fk_temps BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '{hi}'
+        GROUP BY fk_pays ORDER BY nb_aeronefs DESC, fk_pays LIMIT 10""")
+    star = star_load.read_star(spark, wh)
+    assert sql.collect() == dash.top_countries(star["fait_etat_vol"], lo, hi).collect()
+    avg = spark.sql("SELECT AVG(geo_score) AS avg FROM hotspots").first()[0]
+    assert avg == air.hotspot_geo_score(route.read_routed(spark, tables, "hotspots")).first()[0]
