@@ -26,6 +26,19 @@ from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
 from flightlake.sources import fixtures as fx  # noqa: E402
 
+try:  # The training-data operators are a separate subpackage.
+    from flightlake.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith("flightlake.llm"):
+        raise
+    _llm = None
+try:
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith(("corpus_pipeline", "flightlake.llm")):
+        raise
+    _pipeline = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -257,7 +270,12 @@ def q_snapshot_split(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _utc(fn) for name, fn in _QUERIES.items()}
+    out = {name: _utc(fn) for name, fn in _QUERIES.items()}
+    if _llm is not None:
+        out |= _llm.queries()
+    if _pipeline is not None:
+        out["pipeline"] = _utc(_pipeline.run)
+    return out
 
 
 def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -301,5 +319,9 @@ _QUERIES = _registry()
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = _oracle_sql()
+    sql = dict(_oracle_sql())
+    if _llm is not None:
+        sql |= _llm.oracle_sql()
+    if _pipeline is not None and _pipeline.ORACLE_SQL:
+        sql["pipeline"] = _pipeline.ORACLE_SQL
     return {k: sql[k] for k in queries() if k in sql}
