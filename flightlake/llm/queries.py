@@ -4,32 +4,27 @@ whole table and derives the columns of the query's contract."""
 from __future__ import annotations
 
 import functools
-import os
+
+import public_tokenizers
 
 from . import bpe, packing, sql
 from .common import table
+from .ngram_join import ngram_join
 from .quality import quality
 from .url_filter import url_filter
 
 
-def vocabulary(name: str) -> str:
-    """A vocabulary file on every node: in ``TOKENIZERS_DIR`` if that is set,
-    else where the package of public tokenizers has it."""
-    folder = os.environ.get("TOKENIZERS_DIR")
-    if folder:
-        return os.path.join(folder, name)
-    import public_tokenizers
-    return public_tokenizers.path(name)
+def op3_ngram_jaccard(spark, sf_dir):
+    return ngram_join(table(spark, sf_dir, "documents"))
 
 
 def op4_byte_bpe(spark, sf_dir):
-    import public_tokenizers
     return bpe.round_trip(table(spark, sf_dir, "documents"),
-                          vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op5_best_fit_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op6_url_filter(spark, sf_dir):
@@ -51,7 +46,8 @@ def _utc(fn):
 
 
 def queries() -> dict:
-    return {f.__name__: _utc(f) for f in (op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op10_quality)}
+    return {f.__name__: _utc(f) for f in (
+        op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
