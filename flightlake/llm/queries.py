@@ -6,14 +6,23 @@ from __future__ import annotations
 import functools
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import bpe, packing, sql
+from . import bpe, packing, sql, toxicity
 from .common import table
 from .ngram_join import ngram_join
 from .quality import quality
 from .url_filter import url_filter
 
 
+def op1_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.trained(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_ngram_jaccard(spark, sf_dir):
     return ngram_join(table(spark, sf_dir, "documents"))
 
@@ -47,7 +56,7 @@ def _utc(fn):
 
 def queries() -> dict:
     return {f.__name__: _utc(f) for f in (
-        op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op10_quality)}
+        op1_toxicity, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
