@@ -8,7 +8,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, packing, sql, toxicity
+from . import bpe, packing, repeats, sql, toxicity
 from .common import table
 from .ngram_join import ngram_join
 from .quality import quality
@@ -40,6 +40,10 @@ def op6_url_filter(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_array(spark, sf_dir):
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark, sf_dir):
     out = quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -56,7 +60,8 @@ def _utc(fn):
 
 def queries() -> dict:
     return {f.__name__: _utc(f) for f in (
-        op1_toxicity, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op10_quality)}
+        op1_toxicity, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op7_suffix_array,
+        op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
