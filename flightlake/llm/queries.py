@@ -8,7 +8,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, packing, repeats, sql, toxicity
+from . import ann, bpe, html_extract, packing, repeats, sql, toxicity
 from .common import table
 from .ngram_join import ngram_join
 from .quality import quality
@@ -44,6 +44,14 @@ def op7_suffix_array(spark, sf_dir):
     return repeats.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_quality(spark, sf_dir):
     out = quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -61,7 +69,7 @@ def _utc(fn):
 def queries() -> dict:
     return {f.__name__: _utc(f) for f in (
         op1_toxicity, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op7_suffix_array,
-        op10_quality)}
+        op8_html_extract, op9_nearest_neighbours, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
