@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,34 @@ def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also where the
     body uses it in a lambda."""
     return F.transform(F.array(value), body)[0]
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` with its ``text`` compressed (binary), for a shuffle of whole
+    texts; null stays null."""
+    names = df.columns
+    schema = ", ".join(f"`{n}` {'binary' if n == 'text' else t}" for n, t in df.dtypes)
+
+    def run(batches):
+        z = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            texts = [z.compress(t.as_buffer().to_pybytes()) if t.is_valid else None for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()) if n == "text" else b.column(n) for n in names], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
+def unpacked(df: DataFrame, schema, edit=None, by: str | None = None) -> DataFrame:
+    """Columns ``schema`` of a :func:`packed` table, with its texts as text
+    again; ``edit(bytes, value of column by)`` may change them."""
+    names = schema.names
+
+    def run(batches):
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            values = b.column(by).to_pylist() if by else [None] * b.num_rows
+            texts = [(edit(z.decompress(t.as_py()), v) if edit else z.decompress(t.as_py())).decode(errors="ignore") if t.is_valid else None
+                     for t, v in zip(b.column("text"), values)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names], names=names)
+
+    return df.mapInArrow(run, schema)

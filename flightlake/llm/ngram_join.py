@@ -35,10 +35,11 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import packed, stored, unpacked
 from .components import components
 
 SHINGLE = 5
@@ -102,10 +103,11 @@ def rows(docs: DataFrame) -> DataFrame:
 
 
 def whole_rows(texts: DataFrame) -> DataFrame:
-    """``sig, cols`` of ``texts(sig, text)``."""
+    """``sig, cols`` of ``texts(sig, text)``, with packed texts."""
     def run(batches):
+        z = zstandard.ZstdDecompressor()
         for b in batches:
-            got = [shingles(t.as_buffer().to_pybytes()) for t in b.column("text")]
+            got = [shingles(z.decompress(t.as_py())) for t in b.column("text")]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]) if got else [0]
             values = pa.array(np.concatenate(got) if got else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +196,7 @@ def links(docs: DataFrame, found: DataFrame, part_tokens: int = PART_TOKENS) ->
     what all links connect, and ``first(sig, rep)``: each set's smallest doc_id."""
     first = stored(found.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep")), "first")
     held = stored(blocks(found, part_tokens), "blocks")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(
+    texts = packed(docs.select(F.col("doc_id").alias("rep"), "text").where("text is not null")).join(
         first.join(held.select("sig").distinct(), "sig"), "rep").select("sig", "text")
     whole = stored(whole_rows(texts), "rows")
     dealt = F.when(F.col("sig") == F.col("hub"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
@@ -228,3 +230,10 @@ def ngram_join(docs: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
     return (found.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(named, "sig", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNull(), None).otherwise(
                 F.coalesce("component_id", "doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component;
+    rows with a null ``doc_id`` stay, and so do rows that share the smallest."""
+    others = ngram_join(docs, part_tokens).where("doc_id <> component_id").select("doc_id")
+    return unpacked(packed(docs).join(others, "doc_id", "left_anti"), docs.schema)

@@ -8,7 +8,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, packing, repeats, sql, toxicity
+from . import ann, bpe, html_extract, line_dedup, packing, repeats, sql, toxicity
 from .common import table
 from .ngram_join import ngram_join
 from .quality import quality
@@ -23,6 +23,10 @@ def op1_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard(spark, sf_dir):
     return ngram_join(table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def _utc(fn):
 
 def queries() -> dict:
     return {f.__name__: _utc(f) for f in (
-        op1_toxicity, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op7_suffix_array,
+        op1_toxicity, op2_line_dedup, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op7_suffix_array,
         op8_html_extract, op9_nearest_neighbours, op10_quality)}
 
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import packed, stored, unpacked
 
 LEAST = 200
 #: Bytes of an anchor, at most half of ``least``.
@@ -374,13 +374,7 @@ def digest(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFra
 def remove_repeats(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text``; a cut inside a
     character drops what is left of it. Null texts stay null."""
-    names = docs.columns
-
-    def run(batches):
-        for b in batches:
-            texts = [kept_bytes(t.as_buffer().to_pybytes(), merged(s.as_py())).decode(errors="ignore") if t.is_valid else None
-                     for t, s in zip(b.column("text"), b.column("_spans"))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names], names=names)
-
-    return _with_spans(docs, least, bucket).select(*names, "_spans").mapInArrow(run, docs.schema)
+    spans = covered(docs, least, bucket).withColumnRenamed("sig", "_sig").withColumnRenamed("spans", "_spans")
+    signed = docs.withColumn("_sig", F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = packed(signed).join(spans, "_sig", "left").select(*docs.columns, "_spans")
+    return unpacked(joined, docs.schema, lambda text, spans: kept_bytes(text, merged(spans)), "_spans")
