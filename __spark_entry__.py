@@ -155,33 +155,161 @@ def q_adhoc_filter(spark, sf):
                                        ("fk_pays", "=~", "^NATION_1[0-9]$")])
 
 
-def q_fact_state_stream(spark, sf):
-    """D7 + K1 through Structured Streaming: the fixture messages are dropped
-    as files (two batches, split in time) under the shared checkpoint folder,
-    streamed with ``availableNow`` into a fresh warehouse, and the stored fact
-    is read back."""
+def _work(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
     import uuid
 
-    from flightlake.plans.star_load import FACT, read_star
     from flightlake.session import checkpoint_root
-    from flightlake.sources.streams import file_stream
-    from flightlake.streaming.pipelines import flight_star_stream
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
 
-    work = f"{checkpoint_root(spark).rstrip('/')}/fact-stream-{uuid.uuid4().hex[:8]}"
+
+def _ended(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _inbox(spark, sf, work: str) -> None:
+    """The fixture messages as files in two folders, split in time."""
     msgs = fx.flight_state_messages(spark, sf)
     late = (F.get_json_object("value", "$.time_position").cast("bigint")
             >= F.unix_seconds(F.lit(UPSERT_SPLIT).cast("timestamp")))
     for i, cond in enumerate([~F.coalesce(late, F.lit(False)), late]):
         msgs.filter(cond).select("value").write.text(f"{work}/inbox/part{i}")
-    q = flight_star_stream(file_stream(spark, f"{work}/inbox/*", max_files_per_trigger=64),
-                           f"{work}/wh", f"{work}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return _utc_wall_clock(read_star(spark, f"{work}/wh")[FACT].drop("day"))
+
+
+def _stored_fact(spark, warehouse: str) -> DataFrame:
+    from flightlake.plans.star_load import FACT, read_star
+    return _utc_wall_clock(read_star(spark, warehouse)[FACT].drop("day"))
+
+
+def q_fact_state_stream(spark, sf):
+    """D7 + K1 through Structured Streaming: the fixture messages are dropped
+    as files under the shared checkpoint folder, streamed with
+    ``availableNow`` into a fresh warehouse, and the stored fact is read back."""
+    from flightlake.sources.streams import file_stream
+    from flightlake.streaming.pipelines import flight_star_stream
+
+    work = _work(spark, "fact-stream")
+    _inbox(spark, sf, work)
+    _ended(flight_star_stream(file_stream(spark, f"{work}/inbox/*", max_files_per_trigger=64),
+                              f"{work}/wh", f"{work}/ckpt", trigger={"availableNow": True}))
+    return _stored_fact(spark, f"{work}/wh")
+
+
+def q_fact_two_streams(spark, sf):
+    """K1 twice: two streams with checkpoints of their own load one warehouse."""
+    from flightlake.sources.streams import file_stream
+    from flightlake.streaming.pipelines import flight_star_stream
+
+    work = _work(spark, "two-streams")
+    _inbox(spark, sf, work)
+    for i in (0, 1):
+        _ended(flight_star_stream(file_stream(spark, f"{work}/inbox/part{i}"), f"{work}/wh",
+                                  f"{work}/ckpt{i}", trigger={"availableNow": True}))
+    return _stored_fact(spark, f"{work}/wh")
+
+
+def q_snapshot_star_stream(spark, sf):
+    """S4 + P8 + P9 + D7 + K1: snapshot documents through the stream to the fact."""
+    from flightlake.sources.streams import file_stream
+    from flightlake.streaming.pipelines import flight_star_stream
+
+    work = _work(spark, "snapshot-stream")
+    fx.snapshot_documents(spark, sf).write.text(f"{work}/inbox")
+    _ended(flight_star_stream(file_stream(spark, f"{work}/inbox"), f"{work}/wh", f"{work}/ckpt",
+                              trigger={"availableNow": True}, snapshots=True))
+    return _stored_fact(spark, f"{work}/wh")
+
+
+def q_airport_routed_stored(spark, sf):
+    """D8-D10 + K5: two streams route into one folder; all tables read back."""
+    from flightlake.sources.streams import file_stream
+    from flightlake.streaming.pipelines import airport_stream
+
+    work = _work(spark, "routed")
+    msgs = fx.airport_envelopes(spark, sf)
+    even = F.get_json_object("value", "$.page").cast("int") % 2 == 0
+    for i, cond in enumerate([even, ~even]):
+        msgs.filter(cond).write.text(f"{work}/inbox{i}")
+        _ended(airport_stream(file_stream(spark, f"{work}/inbox{i}"), f"{work}/ckpt{i}",
+                              tables_path=f"{work}/tables", trigger={"availableNow": True}))
+    return route.read_all_routed(spark, f"{work}/tables").drop("timestamp_ingestion")
+
+
+def q_upsert_stored_batches(spark, sf):
+    """K2 stored: three batches (the first without any callsign, the second
+    loaded twice) into the five dimensions, read back as one list."""
+    from flightlake.plans.star_load import load_star_batch, read_star
+
+    work = _work(spark, "batches")
+    states = parse.flight_state_parse(fx.flight_state_messages(spark, sf))
+    at = F.col("time_position")
+    early = F.coalesce(at < F.lit(FIRST_SPLIT).cast("timestamp"), F.lit(False)) & F.col("callsign").isNull()
+    late = F.coalesce(at >= F.lit(UPSERT_SPLIT).cast("timestamp"), F.lit(False))
+    for i, cond in [(0, early), (1, ~early & ~late), (1, ~early & ~late), (2, late)]:
+        load_star_batch(states.filter(cond), i, work)
+    t = read_star(spark, work)
+    text, flag, number = F.lit(None).cast("string"), F.lit(None).cast("boolean"), F.lit(None).cast("double")
+    rows = [
+        ("dim_pays", "pk_pays", flag, text, number, text),
+        ("dim_vol", "pk_vol", F.col("on_ground"), F.col("squawk"), number, text),
+        ("dim_temps", "pk_temps", flag, F.col("jour_capture"), number, text),
+        ("dim_aeronef", "pk_aeronef", flag, text, F.col("category"), text),
+        ("dim_position", "pk_position", F.col("on_ground"), text, F.col("geo_altitude"), F.col("position_source")),
+    ]
+    key = lambda k: F.date_format(k, "yyyy-MM-dd HH:mm:ss") if k == "pk_temps" else F.col(k)
+    lists = [t[n].select(F.lit(n).alias("dim"), key(k).alias("pk"), g.alias("on_ground"), s.alias("txt"),
+                         a.alias("num"), o.alias("position_source")) for n, k, g, s, a, o in rows]
+    out = lists[0]
+    for more in lists[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def q_time_range_other_zone(spark, sf):
+    """the fact is stored in a UTC session and read in another zone."""
+    import datetime as dt
+
+    from flightlake.plans.star_load import FACT, load_star_batch, read_star
+
+    work = _work(spark, "zone")
+    load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, sf)), 0, work)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    lo, hi = (dt.datetime.fromisoformat(x).replace(tzinfo=dt.timezone.utc) for x in (ZONE_LO, ZONE_HI))
+    rows = filters.time_range(read_star(spark, work)[FACT], "fk_temps", lo, hi)
+    return rows.select("fk_aeronef", "fk_position", F.unix_seconds("fk_temps").alias("t"))
+
+
+def q_adhoc_filter_numeric(spark, sf):
+    """F8 on integer columns with fractional values."""
+    rows = filters.adhoc_filter(_airports(spark, sf), [("altitude_estimee_m", "<", "300.5"),
+                                                       ("altitude_estimee_m", ">=", 149.5),
+                                                       ("timezone_approx", "!=", 2.5),
+                                                       ("timezone_approx", ">=", "-3")])
+    return rows.select("name", "icao", "source_data", "latitude", "altitude_estimee_m", "timezone_approx")
+
+
+def q_positional_wrong_types(spark, sf):
+    """P9 on documents whose values often have another type than the field."""
+    n = F.col("event_id")
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    s = n.cast("string")
+    values = [
+        F.when(n % 3 == 0, s).otherwise(text(F.concat(F.lit("s"), s))),
+        F.when(n % 4 == 0, text(F.lit("7000"))).when(n % 4 == 1, "true").when(n % 4 == 2, "2.5").otherwise(s),
+        F.when(n % 2 == 0, text(F.lit("x"))).otherwise(F.concat(s, F.lit(".5"))),
+        F.when(n % 5 == 0, "1").when(n % 5 == 1, "null").when(n % 5 == 2, text(F.lit("true"))).otherwise("true"),
+    ]
+    doc = F.concat(F.lit('{"time":'), s, F.lit(',"states":[[') , F.concat_ws(",", *values), F.lit("],null]}"))
+    docs = fx.table(spark, sf, "events").select(doc.alias("value"))
+    return parse.positional_to_named(parse.snapshot_split(docs), [
+        ("a", "string"), ("b", "bigint"), ("c", "double"), ("d", "boolean"), ("e", "string")])
 
 
 UPSERT_SPLIT = "2024-01-15 00:00:00"
+FIRST_SPLIT = "2024-01-08 00:00:00"
+ZONE_LO, ZONE_HI = "2024-01-05 23:30:00", "2024-01-08 00:30:00"
 
 
 def q_upsert_two_batches(spark, sf):
@@ -244,7 +372,7 @@ def q_snapshot_extrapolate(spark, sf):
     prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
     job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
     out = extrapolate.extrapolate(snaps, prev, job_time, by=["snap"])
-    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
+    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"), convert=True)
 
 
 def q_snapshot_extrapolate_by_key(spark, sf):
@@ -253,7 +381,7 @@ def q_snapshot_extrapolate_by_key(spark, sf):
     prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
     job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
     out = extrapolate.extrapolate(snaps, prev, job_time, by=["snap"], key_index=0)
-    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
+    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"), convert=True)
 
 
 def q_snapshot_extrapolate_steps(spark, sf):
@@ -262,7 +390,7 @@ def q_snapshot_extrapolate_steps(spark, sf):
     prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
     job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
     out = extrapolate.extrapolate(snaps, prev, job_time, by=["snap"], steps=3)
-    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"))
+    return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"), convert=True)
 
 
 def q_snapshot_split(spark, sf):
@@ -312,6 +440,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_split": q_snapshot_split,
         "snapshot_extrapolate_by_key": q_snapshot_extrapolate_by_key,
         "snapshot_extrapolate_steps": q_snapshot_extrapolate_steps,
+        "fact_two_streams": q_fact_two_streams,
+        "snapshot_star_stream": q_snapshot_star_stream,
+        "airport_routed_stored": q_airport_routed_stored,
+        "upsert_stored_batches": q_upsert_stored_batches,
+        "time_range_other_zone": q_time_range_other_zone,
+        "adhoc_filter_numeric": q_adhoc_filter_numeric,
+        "positional_wrong_types": q_positional_wrong_types,
     }
 
 

@@ -62,7 +62,7 @@ def main(argv) -> None:
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     work = f"{checkpoint_root(spark).rstrip('/')}/plans-{uuid.uuid4().hex[:8]}"
     star_load.load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, sf)),
-                              0, f"{work}/wh", n_buckets=8)
+                              0, f"{work}/wh")
     route.write_routed(enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, sf))),
                        f"{work}/air", batch_id=0)
     snapshots.write_snapshot(fx.snapshot_states(spark, sf), f"{work}/snaps", time_col="snap")

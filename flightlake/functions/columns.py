@@ -49,6 +49,11 @@ def time_parts(ts="time_position") -> dict[str, Column]:
     }
 
 
+def utc_day(ts) -> Column:
+    """UTC date of a TIMESTAMP, the same in every session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(_c(ts)) / F.lit(86_400_000_000)).cast("int"))
+
+
 def seconds_between(start, end) -> Column:
     """Whole seconds from ``start`` to ``end`` (both TIMESTAMP)."""
     return F.unix_seconds(_c(end)) - F.unix_seconds(_c(start))

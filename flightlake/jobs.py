@@ -4,7 +4,9 @@
   flight-stream    raw flight states (Kafka topic or drop folder) -> star schema
   airport-stream   airport envelopes (Kafka topic or drop folder) -> 8 tables
   extrapolate      next snapshot from the two latest in a snapshot table
-  dashboard        one dashboard query over the stored tables, shown or saved
+  snapshot-ingest  snapshot documents -> snapshot table
+  compact          folded copy of the stored star tables
+  dashboard        one dashboard query over the stored tables, printed or saved
 
 Credentials for JDBC come from the environment variables named by
 ``--jdbc-user-env`` / ``--jdbc-password-env``, never from the command line.
@@ -32,7 +34,7 @@ def _source(spark, args):
         return kafka_stream(spark, args.kafka, args.topic, starting_offsets=args.starting_offsets,
                             max_offsets_per_trigger=args.max_offsets_per_trigger)
     return file_stream(spark, args.inbox, whole_file=args.whole_file,
-                       clean_source=args.clean_source)
+                       clean_source=args.clean_source, archive_dir=args.archive_dir)
 
 
 def _trigger(args):
@@ -46,8 +48,8 @@ def flight_stream(args) -> None:
     spark = _session(args)
     q = flight_star_stream(_source(spark, args), args.warehouse, args.checkpoint,
                            trigger=_trigger(args), keep_category=args.keep_category,
-                           n_buckets=args.buckets, quarantine_path=args.quarantine,
-                           metrics_path=args.metrics)
+                           quarantine_path=args.quarantine, metrics_path=args.metrics,
+                           snapshots=args.whole_file)
     q.awaitTermination()
 
 
@@ -81,26 +83,39 @@ def extrapolate(args) -> None:
     snapshots.write_snapshot(nxt, args.output)
 
 
+def snapshot_ingest(args) -> None:
+    """Snapshot documents of a folder into the snapshot table, page by page."""
+    from flightlake.operators.parse import snapshot_split
+    from flightlake.operators.snapshots import write_snapshot
+    from flightlake.sources.streams import read_messages
+    spark = _session(args)
+    write_snapshot(snapshot_split(read_messages(spark, args.inbox, whole_file=True)), args.snapshots,
+                   page=args.page)
+
+
+def compact(args) -> None:
+    from flightlake.plans.star_load import compact as run
+    run(_session(args), args.warehouse, args.output)
+
+
 def dashboard(args) -> None:
     from flightlake.plans import airfields as air
     from flightlake.plans import dashboard as dash
     from flightlake.plans.star_load import read_star
-    from flightlake.operators import route
+    from flightlake.operators import filters, route
     spark = _session(args)
     lo, hi = args.lo, args.hi
-    if args.last_minutes is not None:
-        # The dashboards' default window: now - N minutes .. now (UTC).
-        import datetime as dt
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-        lo, hi = str(now - dt.timedelta(minutes=args.last_minutes)), str(now)
     if args.query in ("q9", "q10", "q11", "q12"):
         table = {"q9": "airfields", "q10": "hotspots", "q11": "airfields", "q12": "airports"}
-        t = route.read_routed(spark, args.tables, table[args.query])
+        t = filters.adhoc_filter(route.read_routed(spark, args.tables, table[args.query]), args.filter)
         out = {"q9": air.airfield_preview, "q10": air.hotspot_geo_score,
                "q11": air.airfield_table, "q12": air.country_altitude}[args.query](t)
     else:
         s = read_star(spark, args.warehouse)
-        fact = s["fait_etat_vol"]
+        fact = filters.country_filter(s["fait_etat_vol"], args.country)
+        fact = filters.adhoc_filter(fact, args.filter)
+        if args.last_minutes is not None:  # the dashboards' default window
+            fact = filters.last_minutes(fact, args.last_minutes)
         dims = (s["dim_aeronef"], s["dim_position"], s["dim_pays"])
         out = {
             "q1": lambda: dash.fleet_status(fact, lo, hi),
@@ -115,7 +130,10 @@ def dashboard(args) -> None:
     if args.output:
         out.write.mode("overwrite").parquet(args.output)
     else:
-        out.show(n=args.rows, truncate=False)
+        print("\t".join(out.columns))
+        rows = out if args.rows is None else out.limit(args.rows)
+        for r in rows.toLocalIterator():
+            print("\t".join(map(str, r)))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -132,8 +150,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--inbox", help="drop folder of message files")
         sp.add_argument("--whole-file", action="store_true", default=whole_file)
         sp.add_argument("--clean-source", choices=["delete", "archive"], default=None)
-        sp.add_argument("--checkpoint", default=None,
-                        help="default: under spark.checkpoint.dir")
+        sp.add_argument("--archive-dir", default=None, help="with --clean-source archive")
+        sp.add_argument("--checkpoint", required=True, help="folder that all nodes share")
         sp.add_argument("--trigger", default=None, help='e.g. "10 seconds"')
         sp.add_argument("--available-now", action="store_true")
         sp.add_argument("--metrics", default=None, help="parquet folder for per-batch row counts")
@@ -141,7 +159,6 @@ def parser() -> argparse.ArgumentParser:
     f = sub.add_parser("flight-stream")
     source_args(f)
     f.add_argument("--warehouse", required=True)
-    f.add_argument("--buckets", type=int, default=64)
     f.add_argument("--keep-category", action="store_true")
     f.add_argument("--quarantine", default=None)
     f.set_defaults(func=flight_stream)
@@ -166,6 +183,17 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--fix-booleans", action="store_true")
     e.set_defaults(func=extrapolate)
 
+    i = sub.add_parser("snapshot-ingest")
+    i.add_argument("--inbox", required=True, help="snapshot documents, one in a file")
+    i.add_argument("--snapshots", required=True)
+    i.add_argument("--page", default="0", help="name of this page of the snapshots")
+    i.set_defaults(func=snapshot_ingest)
+
+    c = sub.add_parser("compact")
+    c.add_argument("--warehouse", required=True)
+    c.add_argument("--output", required=True, help="new folder")
+    c.set_defaults(func=compact)
+
     d = sub.add_parser("dashboard")
     d.add_argument("query", choices=[f"q{i}" for i in range(1, 13)])
     d.add_argument("--warehouse")
@@ -175,13 +203,19 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--last-minutes", type=int, default=None,
                    help="window now-N min .. now instead of --lo/--hi (dashboards use 15)")
     d.add_argument("--output", default=None)
-    d.add_argument("--rows", type=int, default=50)
+    d.add_argument("--rows", type=int, default=None, help="print at most so many rows; default: all")
+    d.add_argument("--country", default=None, help="one country, or All")
+    d.add_argument("--filter", nargs=3, action="append", default=[], metavar=("COLUMN", "OP", "VALUE"),
+                   help="ad-hoc filter, may be repeated")
     d.set_defaults(func=dashboard)
     return p
 
 
 def main(argv=None) -> None:
-    args = parser().parse_args(argv)
+    p = parser()
+    args = p.parse_args(argv)
+    if getattr(args, "clean_source", None) == "archive" and not args.archive_dir:
+        p.error("--clean-source archive needs --archive-dir")
     args.func(args)
 
 

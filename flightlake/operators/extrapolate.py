@@ -102,17 +102,21 @@ def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,
     ``job_time`` is an epoch in seconds (int or Column). Output columns:
     ``by``, ``time``, ``pos``, ``state``.
 
-    Position pairing expects one row per (``by``, ``pos``) in ``previous``, as
-    a snapshot has; documents split into pages restart ``pos`` per page, so
-    renumber them with ``snapshots.assign_positions`` (or pair by key) first.
+    Of several previous rows at one (``by``, ``pos``) one is used, the first by
+    its text, so pairing never multiplies rows. Documents split into pages
+    restart ``pos`` per page; ``snapshots.latest_two`` numbers them through.
     """
+    if int(steps) < 1:
+        raise ValueError("steps counts from 1")
     by = list(by)
     if previous is None:  # rule g
         return current.select(*by, "time", pos_col, state_col)
     t = job_time if isinstance(job_time, Column) else F.lit(int(job_time))
     if key_index is None:
         on = by + [pos_col]
-        prev = previous.select(*on, F.col(state_col).alias("_prev"))
+        # The window partitions by the join's own keys: no shuffle on top.
+        prev = latest_per_key(previous, on, [F.to_json(F.col(state_col)).asc()]).select(
+            *on, F.col(state_col).alias("_prev"))
     else:
         key = F.try_variant_get(F.get(F.col(state_col), key_index), "$", "string")
         # One previous row per key (the first in list order), so pairing can
@@ -124,8 +128,11 @@ def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,
         on = by + ["_key"]
     j = current.join(prev, on=on, how="left")
     arr = F.col(state_col)
-    for _ in range(max(1, int(steps))):
+    if steps == 1:
         arr = _step(arr, F.col("_prev"), t, fix_booleans)
+    else:  # one expression, applied again and again: its size does not grow with ``steps``
+        arr = F.aggregate(F.sequence(F.lit(1), F.lit(int(steps))), arr,
+                          lambda a, _: _step(a, F.col("_prev"), t, fix_booleans))
     return j.select(*by, t.cast("bigint").alias("time"), F.col(pos_col), arr.alias(state_col))
 
 

@@ -13,16 +13,34 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, TimestampNTZType
 
-from flightlake.functions.columns import on_ground_or_false
+from flightlake.functions.columns import on_ground_or_false, utc_day
 
 DAY_COL = "day"
 
 
 def _typed_lit(df: DataFrame, col: str, v) -> Column:
-    # Same type as the column so the comparison needs no cast on the column
-    # side (a cast there would block pushdown).
-    return F.lit(v).cast(df.schema[col].dataType)
+    """Literal of the column's own type, so that the comparison needs no cast on
+    the column's side (a cast there would block pushdown). A fraction against an
+    integer column stays a fraction: both are then compared as DOUBLE."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, IntegralType):
+        number = v if isinstance(v, (int, float)) else float(v)
+        if number != int(number):
+            return F.lit(float(number))
+    if isinstance(v, _dt.datetime):
+        if v.tzinfo is not None:  # an instant, whatever the process or session zone
+            if isinstance(kind, TimestampNTZType):
+                return F.lit(v.astimezone(_dt.timezone.utc).replace(tzinfo=None).isoformat()).cast(kind)
+            return F.lit(v.astimezone(_dt.timezone.utc).isoformat()).cast(kind)
+        v = v.isoformat(sep=" ")  # wall clock of the session zone, as text is
+    return F.lit(v).cast(kind)
+
+
+def _day_of(df: DataFrame, col: str, ts: Column) -> Column:
+    """UTC day as stored in ``day``; a wall-clock column has only its own date."""
+    return F.to_date(ts) if isinstance(df.schema[col].dataType, TimestampNTZType) else utc_day(ts)
 
 
 def time_range(df: DataFrame, col: str = "fk_temps", lo=None, hi=None) -> DataFrame:
@@ -36,16 +54,16 @@ def time_range(df: DataFrame, col: str = "fk_temps", lo=None, hi=None) -> DataFr
         conds.append(F.col(col) <= _typed_lit(df, col, hi))
     if DAY_COL in df.columns:
         if lo is not None:
-            conds.append(F.col(DAY_COL) >= F.to_date(_typed_lit(df, col, lo)))
+            conds.append(F.col(DAY_COL) >= _day_of(df, col, _typed_lit(df, col, lo)))
         if hi is not None:
-            conds.append(F.col(DAY_COL) <= F.to_date(_typed_lit(df, col, hi)))
+            conds.append(F.col(DAY_COL) <= _day_of(df, col, _typed_lit(df, col, hi)))
     return df.filter(reduce(lambda a, b: a & b, conds)) if conds else df
 
 
 def last_minutes(df: DataFrame, minutes: int = 15, col: str = "fk_temps",
                  now: _dt.datetime | None = None) -> DataFrame:
-    """Dashboard default window ``now - 15m .. now``."""
-    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    """Dashboard default window ``now - 15m .. now``; ``now`` is zone-aware."""
+    now = now or _dt.datetime.now(_dt.timezone.utc)
     return time_range(df, col, now - _dt.timedelta(minutes=minutes), now)
 
 

@@ -1,38 +1,17 @@
-"""Join helpers.
-
-By default no side is hinted: the planner broadcasts a side only when its
-measured size (parquet file sizes) is under ``autoBroadcastJoinThreshold``,
-and AQE re-plans from the real shuffle sizes at run time; above that it is a
-shuffle join that AQE can split when skewed. ``bounded_broadcast`` is the
-explicit alternative for sides without size statistics: it counts at most
-``max_rows + 1`` rows (each task stops early) and hints a broadcast only when
-the side fits.
-"""
+"""Join helpers. No side is hinted: the planner broadcasts a side only when its
+measured size is under ``autoBroadcastJoinThreshold``, and AQE re-plans from the
+real shuffle sizes at run time; above that it is a shuffle join that AQE can
+split when skewed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = None
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row-count bound; ``None`` leaves it to the planner."""
-    if max_rows is None or df.isStreaming:
-        return df
-    return F.broadcast(df) if fits(df, max_rows) else df
-
 
-def exists_in(df: DataFrame, dim: DataFrame, fk: str, pk: str,
-              max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def exists_in(df: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
     """Rows of ``df`` whose ``fk`` has a row in ``dim`` (dimension key unique, so
     this equals an inner join that reads no dim column). A semi join ships
     only the key column of the dimension."""
     keys = dim.select(F.col(pk).alias(f"_k_{pk}"))
-    return df.join(bounded_broadcast(keys, max_rows), F.col(fk) == F.col(f"_k_{pk}"),
-                   "left_semi")
+    return df.join(keys, F.col(fk) == F.col(f"_k_{pk}"), "left_semi")

@@ -75,7 +75,8 @@ def flight_state_parse_with_raw(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def quarantined(parsed_with_raw: DataFrame) -> DataFrame:
-    return parsed_with_raw.filter(F.col("_bad")).select(F.col("_raw").alias("raw"))
+    return (parsed_with_raw.filter(F.col("_bad") & F.col("_raw").isNotNull())
+            .select(F.col("_raw").alias("raw")))
 
 
 def flight_state_quarantine(df: DataFrame, col: str = "value") -> DataFrame:
@@ -84,6 +85,21 @@ def flight_state_quarantine(df: DataFrame, col: str = "value") -> DataFrame:
     return quarantined(flight_state_parse_with_raw(df, col))
 
 
+def snapshot_states_with_raw(df: DataFrame, col: str = "value") -> DataFrame:
+    """Snapshot documents -> the parsed fields of their states, like
+    ``flight_state_parse_with_raw``. A document that cannot be read, or has no
+    list of states, is one bad row with its raw text; so is a state without
+    any value, without text."""
+    doc = df.select(as_text(df, col).alias("_raw")).withColumn(
+        "d", F.from_json("_raw", SNAPSHOT_DDL))
+    rows = doc.select(F.when(F.col("d.states").isNull(), F.col("_raw")).alias("_raw"),
+                      F.explode_outer("d.states").alias("state"))
+    named = positional_to_named(rows, keep=("_raw",))
+    kinds = {f.name: f.dataType for f in FLIGHT_STATE_SCHEMA}
+    return (named.select(*[F.col(n).cast(t).alias(n) for n, t in kinds.items()], "_raw")
+            .withColumn("_bad", _all_fields_null()))
+
+
 AIRPORT_TEXT_COLUMNS = ["name", "icao", "iata", "country"]
 
 
@@ -120,20 +136,42 @@ def snapshot_split(df: DataFrame, col: str = "value") -> DataFrame:
     ``7000`` and between JSON null and a missing element).
     """
     doc = df.select(F.from_json(as_text(df, col), SNAPSHOT_DDL).alias("d"))
-    return doc.select(F.col("d.time").alias("time"),
+    rows = doc.select(F.col("d.time").alias("time"),
                       F.posexplode("d.states").alias("pos", "state"))
+    # A null element is an empty record: a state without values, at its place.
+    return rows.withColumn("state", F.coalesce("state", F.array().cast("array<variant>")))
+
+
+_INTEGERS = ["TINYINT", "SMALLINT", "INT", "BIGINT"]
+
+
+def _has_type(value: Column, typ: str) -> Column:
+    """Whether a variant holds a value of ``typ`` (an integer is also a double)."""
+    tag = F.schema_of_variant(value)
+    whole = tag.isin(_INTEGERS) | (tag.startswith("DECIMAL") & tag.endswith(",0)"))
+    if typ == "string":
+        return tag == "STRING"
+    if typ == "boolean":
+        return tag == "BOOLEAN"
+    if typ in ("int", "bigint"):
+        return whole
+    if typ == "double":
+        return whole | tag.isin("FLOAT", "DOUBLE") | tag.startswith("DECIMAL")
+    return tag.startswith("ARRAY")
 
 
 def positional_to_named(df: DataFrame, fields=None, col: str = "state",
-                        keep: tuple = ("time", "pos")) -> DataFrame:
+                        keep: tuple = ("time", "pos"), convert: bool = False) -> DataFrame:
     """Positional state array -> named, typed columns.
 
     ``fields`` is a list of (name, spark type) in position order. A value of
-    the wrong type or a missing position becomes null.
+    the wrong type or a missing position becomes null; ``convert`` casts values
+    of another type where that is possible instead.
     """
     fields = fields or SNAPSHOT_FIELDS
     arr = F.col(col)
     cols = [F.col(k) for k in keep if k in df.columns]
     for i, (name, typ) in enumerate(fields):
-        cols.append(F.try_variant_get(F.get(arr, i), "$", typ).alias(name))
+        value = F.try_variant_get(F.get(arr, i), "$", typ)
+        cols.append((value if convert else F.when(_has_type(F.get(arr, i), typ), value)).alias(name))
     return df.select(*cols)

@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.operators.enrich import airport_enrich
+from flightlake.operators.parse import airport_parse
+from flightlake.operators.upsert import BATCH, LOADED, STREAM, append_batch, read_batches
 from flightlake.schemas import AIRPORT_SOURCES
 
 UNROUTED = "__unrouted__"
@@ -34,23 +37,20 @@ def routed_table(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col("source_data") == F.lit(name))
 
 
-def write_routed(df: DataFrame, path: str, batch_id: int | None = None,
+def write_routed(df: DataFrame, path: str, batch_id: int, stream_id: str = "batch",
                  sources=None) -> None:
-    """Append the routable rows under ``path/source_data=<name>/``.
+    """Write the routable rows of one batch under ``path/source_data=<name>/``
+    and the batch's replay key (``operators.upsert``): a replay replaces the
+    batch's own rows, and no other batch or stream can."""
+    append_batch(df.filter(routable(sources)), path, stream_id, batch_id, ("source_data",))
 
-    With ``batch_id`` the rows also go under ``batch_id=<n>`` and the write
-    overwrites only that batch's partitions, so a replayed micro-batch
-    replaces its own earlier output instead of appending twice.
-    """
-    rows = df.filter(routable(sources))
-    if batch_id is None:
-        rows.write.mode("append").partitionBy("source_data").parquet(path)
-        return
-    (rows.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source_data", "batch_id").parquet(path))
+
+def read_all_routed(spark, path: str) -> DataFrame:
+    """All eight tables; a folder without rows reads as empty."""
+    schema = airport_enrich(airport_parse(spark.createDataFrame([], "value string"))).schema
+    return read_batches(spark, path, schema).drop(LOADED, STREAM, BATCH)
 
 
 def read_routed(spark, path: str, name: str) -> DataFrame:
     """Scan one table: the ``source_data`` filter prunes the other seven."""
-    return routed_table(spark.read.parquet(path), name)
+    return routed_table(read_all_routed(spark, path), name)

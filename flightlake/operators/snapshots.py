@@ -15,15 +15,28 @@ from pyspark.sql import functions as F
 
 from flightlake.session import path_exists
 
+PAGE = "page"
 
-def write_snapshot(df: DataFrame, path: str, time_col: str = "time") -> None:
-    """Store state rows ``(time, pos, state...)`` under ``time=<epoch>``.
 
-    A snapshot holds one row per aircraft (bounded by the fleet), so it is
-    written by one task as one file rather than one file per input task.
+def write_snapshot(df: DataFrame, path: str, time_col: str = "time", page: str = "0") -> None:
+    """Store state rows ``(time, pos, state...)`` under ``time=<epoch>/page=<page>``.
+
+    Each page of a snapshot has a folder of its own, so a later page adds to
+    the snapshot and a repeated one replaces itself. Rows are dealt out by
+    ranges of time and position: small snapshots share a task, a large one
+    takes several.
     """
-    (df.repartition(time_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(time_col).parquet(path))
+    (df.withColumn(PAGE, F.lit(str(page))).repartitionByRange(time_col, "pos")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(time_col, PAGE).parquet(path))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Snapshot rows with the positions of all pages counted through, in the
+    order of the pages' names and then of the lists, and without the page."""
+    digits = lambda c: F.lpad(F.col(c).cast("string"), 12, "0")
+    rows = df.withColumn("_at", F.concat(digits(PAGE), digits("pos"))).drop("pos", PAGE)
+    return assign_positions(rows, ["time"], "_at", prefix_len=20).drop("_at")
 
 
 def latest_two(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
@@ -34,10 +47,10 @@ def latest_two(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFr
     """
     if not path_exists(spark, path):
         return None, None
-    table = spark.read.parquet(path)
+    table = spark.read.option("basePath", path).parquet(path).withColumn(PAGE, F.col(PAGE).cast("string"))
     times = [r[0] for r in table.select("time").distinct()
              .orderBy(F.col("time").desc()).limit(2).collect()]
-    pick = lambda t: table.filter(F.col("time") == F.lit(t))
+    pick = lambda t: numbered(table.filter(F.col("time") == F.lit(t)))
     current = pick(times[0]) if times else None
     previous = pick(times[1]) if len(times) > 1 else None
     return previous, current

@@ -1,31 +1,31 @@
-"""Keyed upsert (K2) and replay-safe fact append (K3) on plain parquet.
-
-Dimension tables are partitioned by ``bucket = pmod(xxhash64(key), n)``. An
-upsert reads only the buckets the batch touches (partition pruning), merges
-``existing LEFT ANTI batch UNION batch`` and replaces those buckets with a
-dynamic partition overwrite. Buckets the batch does not touch are neither
-read nor written; a batch with more distinct keys than buckets touches them
-all, so ``n_buckets`` bounds how small a share of the table one batch costs.
-
-Spark refuses to overwrite a path it is reading, so the merged buckets go to
-a staging folder first (under the table's warehouse, on shared storage) and
-are copied over from there. Upsert is idempotent (merging the same batch
-twice gives the same rows), so a batch replayed after a crash at any point
-leaves the table as a single run would.
-
-The fact is partitioned by ``(day, batch_id)``; a replayed batch overwrites
-exactly its own partitions instead of appending its rows twice.
+"""Keyed upsert (K2) and fact append (K3) on plain parquet, by appending.
+
+A batch writes only its own rows, one per key for a dimension, under
+``stream_id=<s>/batch_id=<n>`` with the time they were loaded. The pair is the
+replay key: a replayed batch overwrites its own folder and no other, and two
+streams, or a stream with a new checkpoint (which counts batches from 0 again),
+have ids of their own and cannot meet. Reading a dimension keeps one row per
+key, the one loaded last, so the cost of a batch is the batch's size; the
+compaction job (``plans.star_load.compact``) folds batches into a new folder.
+
+Tables are read with their declared schema: a missing folder, or one where no
+batch has written rows yet, is an empty table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
+from flightlake.functions.columns import utc_day
+from flightlake.operators.dedup import desc_last, latest_per_key
 from flightlake.session import path_exists
 
-BUCKET = "bucket"
-DEFAULT_BUCKETS = 64
+STREAM = "stream_id"
+BATCH = "batch_id"
+LOADED = "loaded_at"
+DAY = "day"
 
 
 def merge_upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -34,60 +34,45 @@ def merge_upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(batch.select(*existing.columns))
 
 
-def with_bucket(df: DataFrame, key: str, n_buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int"))
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
-
+def append_batch(rows: DataFrame, path: str, stream_id: str, batch_id: int,
+                 partition: tuple[str, ...] = ()) -> None:
+    """Write one batch under its replay key, inside the folders of ``partition``."""
+    out = rows.withColumns({LOADED: F.current_timestamp(), STREAM: F.lit(str(stream_id)),
+                            BATCH: F.lit(int(batch_id)).cast("bigint")})
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition, STREAM, BATCH).parquet(path))
 
-def upsert_table(spark: SparkSession, rows: DataFrame, path: str, key: str,
-                 staging: str, n_buckets: int = DEFAULT_BUCKETS,
-                 exists: bool | None = None) -> None:
-    """Upsert ``rows`` (one per key) into the parquet table at ``path``.
 
-    ``exists`` skips the listing probe when the caller already knows."""
-    cols = rows.columns
-    batch = with_bucket(rows, key, n_buckets)
-    # Rows are unique per key here, so buckets are even; one task per bucket
-    # writes one file per bucket instead of one per (task, bucket).
-    writer = lambda df, p: (df.repartition(n_buckets, BUCKET).write.mode("overwrite")
-                            .option("partitionOverwriteMode", "dynamic")
-                            .partitionBy(BUCKET).parquet(p))
-    if not (table_exists(spark, path) if exists is None else exists):
-        writer(batch, path)
-        return
-    # Bucket ids are bounded by n_buckets, so this collect is bounded too.
-    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    existing = (spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
-                .select(*cols, BUCKET))
-    merged = merge_upsert(existing, batch.select(*cols, BUCKET), key)
-    stage = f"{staging.rstrip('/')}/{path.rstrip('/').split('/')[-1]}"
-    (merged.repartition(n_buckets, BUCKET)
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(stage))
-    writer(spark.read.parquet(stage).select(*cols, BUCKET), path)
+def read_batches(spark: SparkSession, path: str, schema: StructType,
+                 with_day: bool = False) -> DataFrame:
+    """All batches of a table with ``schema`` and the storage columns."""
+    extra = [StructField(LOADED, TimestampType()), StructField(STREAM, StringType()),
+             StructField(BATCH, LongType())] + [StructField(DAY, DateType())] * with_day
+    full = StructType([*schema.fields, *extra])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A dimension table without its storage column."""
-    return spark.read.parquet(path).drop(BUCKET)
+def latest_rows(batches: DataFrame, key: str) -> DataFrame:
+    """One row per ``key``: of the load that came last. Storage columns stay."""
+    return latest_per_key(batches, [key], [desc_last(LOADED), desc_last(BATCH), desc_last(STREAM)])
 
 
-DAY = "day"
-BATCH = "batch_id"
+def read_table(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
+    """A dimension: one row per key, without the storage columns."""
+    return latest_rows(read_batches(spark, path, schema), key).drop(LOADED, STREAM, BATCH)
 
 
-def append_fact(rows: DataFrame, path: str, batch_id: int, time_col: str = "fk_temps") -> None:
-    """Append one batch's fact rows; replaying ``batch_id`` replaces them."""
-    out = (rows.withColumn(DAY, F.to_date(F.col(time_col)))
-           .withColumn(BATCH, F.lit(int(batch_id)).cast("bigint")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DAY, BATCH).parquet(path))
+def append_fact(rows: DataFrame, path: str, stream_id: str, batch_id: int,
+                time_col: str = "fk_temps") -> None:
+    """Append one batch's fact rows by UTC day, each file a range of days and
+    times in order, so that a window of minutes skips files and row groups."""
+    out = rows.withColumn(DAY, utc_day(time_col))
+    append_batch(out.repartitionByRange(DAY, time_col).sortWithinPartitions(DAY, time_col),
+                 path, stream_id, batch_id, (DAY,))
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
+def read_fact(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The fact with its ``day`` column kept, so time filters prune days."""
-    return spark.read.parquet(path).drop(BATCH)
+    return read_batches(spark, path, schema, with_day=True).drop(LOADED, STREAM, BATCH)

@@ -12,8 +12,7 @@ Plan notes (100 TB scale):
 * dimension joins that only test existence are semi joins on the key; the
   planner broadcasts a dimension only when its measured size is under the
   threshold (AQE re-checks at run time), so the position dimension, which
-  grows with the fact, becomes a shuffle join at scale; ``max_broadcast_rows``
-  adds an explicit row-count bound instead;
+  grows with the fact, becomes a shuffle join at scale;
 * distinct counts run as two hash aggregates (partial per task first), so a
   country holding a third of all rows is spread over the first shuffle.
 """
@@ -27,9 +26,9 @@ from flightlake.functions.columns import (
     fixed_band, kmh, on_ground_or_false, round_half_even_int, status_label,
 )
 from flightlake.operators.filters import (
-    DAY_COL, airborne, position_key_valid, time_range, valid_coordinates,
+    DAY_COL, _day_of, airborne, position_key_valid, time_range, valid_coordinates,
 )
-from flightlake.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, exists_in
+from flightlake.operators.joins import exists_in
 
 
 def at_last_reading(fact: DataFrame, lo=None, hi=None, col: str = "fk_temps") -> DataFrame:
@@ -39,11 +38,15 @@ def at_last_reading(fact: DataFrame, lo=None, hi=None, col: str = "fk_temps") ->
     few rows match; with snapshot-stamped feeds all rows of the snapshot do.
     """
     in_range = time_range(fact, col, lo, hi)
-    last = in_range.agg(F.max(col)).scalar()
+    times = in_range
+    if DAY_COL in fact.columns:
+        # The last day with rows comes first: partition values alone without a range.
+        times = in_range.filter(F.col(DAY_COL) == in_range.agg(F.max(DAY_COL)).scalar())
+    last = times.agg(F.max(col)).scalar()
     cond = F.col(col) == last
     if DAY_COL in fact.columns:
         # Prunes the main scan to the one day partition holding that time.
-        cond = cond & (F.col(DAY_COL) == F.to_date(last))
+        cond = cond & (F.col(DAY_COL) == _day_of(fact, col, last))
     return in_range.filter(cond)
 
 
@@ -69,7 +72,6 @@ def _live_map_order() -> list[Column]:
 
 def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
              dim_pays: DataFrame, lo=None, hi=None,
-             max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
              derived_position_keys: bool = True) -> DataFrame:
     """Q2: latest state per aircraft (within the range, at a valid position)
     with its coordinates, country and air/ground label.
@@ -84,13 +86,13 @@ def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
         f = f.filter(position_key_valid("fk_position"))
     pos = dim_position.filter(valid_coordinates()).select(
         F.col("pk_position"), "latitude", "longitude")
-    pays = bounded_broadcast(dim_pays.select("pk_pays", "nom_pays"), max_broadcast_rows)
+    pays = dim_pays.select("pk_pays", "nom_pays")
     # The aircraft check goes last, as an inner join on the key column alone:
     # when it is a shuffle join, its partitioning on fk_aeronef is the one the
     # per-aircraft window needs, so the window adds no shuffle. (A semi join
     # would be pushed below the other joins by the optimizer. A repeated key
     # could only repeat identical rows, of which rn = 1 keeps one.)
-    aircraft = bounded_broadcast(dim_aeronef.select(F.col("pk_aeronef")), max_broadcast_rows)
+    aircraft = dim_aeronef.select(F.col("pk_aeronef"))
     j = (f.join(pos, F.col("fk_position") == F.col("pk_position"))
          .join(pays, F.col("fk_pays") == F.col("pk_pays"))
          .join(aircraft, F.col("fk_aeronef") == F.col("pk_aeronef")))
@@ -106,29 +108,28 @@ def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
     )
 
 
-def _with_dims(fact: DataFrame, dims: tuple[DataFrame, DataFrame, DataFrame] | None,
-               max_rows: int | None) -> DataFrame:
+def _with_dims(fact: DataFrame,
+               dims: tuple[DataFrame, DataFrame, DataFrame] | None) -> DataFrame:
     if dims is None:
         return fact
     dim_aeronef, dim_position, dim_pays = dims
-    f = exists_in(fact, dim_aeronef, "fk_aeronef", "pk_aeronef", max_rows)
-    f = exists_in(f, dim_position, "fk_position", "pk_position", max_rows)
-    return exists_in(f, dim_pays, "fk_pays", "pk_pays", max_rows)
+    f = exists_in(fact, dim_aeronef, "fk_aeronef", "pk_aeronef")
+    f = exists_in(f, dim_position, "fk_position", "pk_position")
+    return exists_in(f, dim_pays, "fk_pays", "pk_pays")
 
 
 def _count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
-def status_over_time(fact: DataFrame, dims=None, lo=None, hi=None,
-                     max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def status_over_time(fact: DataFrame, dims=None, lo=None, hi=None) -> DataFrame:
     """Q3: airborne / on-ground rows per reading time, ascending.
 
     ``dims=(dim_aeronef, dim_position, dim_pays)`` keeps only fact rows that
     have all three dimension rows (the reference's inner joins); ``None``
     skips that check.
     """
-    f = _with_dims(time_range(fact, "fk_temps", lo, hi), dims, max_broadcast_rows)
+    f = _with_dims(time_range(fact, "fk_temps", lo, hi), dims)
     g = on_ground_or_false("on_ground")
     return (f.groupBy(F.col("fk_temps").alias("timestamp"))
             .agg(_count_if(~g).alias("en_vol"), _count_if(g).alias("au_sol"))
@@ -168,10 +169,9 @@ def top_countries(fact: DataFrame, lo=None, hi=None, k: int = 10,
             .limit(k))
 
 
-def vertical_over_time(fact: DataFrame, dims=None, lo=None, hi=None,
-                       max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def vertical_over_time(fact: DataFrame, dims=None, lo=None, hi=None) -> DataFrame:
     """Q6: climbing / descending airborne rows per reading time, ascending."""
-    f = _with_dims(time_range(fact, "fk_temps", lo, hi), dims, max_broadcast_rows)
+    f = _with_dims(time_range(fact, "fk_temps", lo, hi), dims)
     rate = F.coalesce(F.col("vertical_rate"), F.lit(0.0))
     air = airborne("on_ground")
     return (f.groupBy(F.col("fk_temps").alias("timestamp"))

@@ -1,8 +1,7 @@
 """One micro-batch into the star schema (K1 body, K7, K8).
 
 The batch is read from the source once and kept (``persist``) for the six
-table builds; each dimension is upserted by key and the fact appended
-idempotently. Row counts come from ``observe`` on the writes themselves, so
+table builds; every table appends the batch under its replay key. Row counts come from ``observe`` on the writes themselves, so
 the report adds no extra jobs.
 """
 
@@ -11,11 +10,14 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flightlake.operators import star, upsert
+from flightlake.operators.parse import map_flight_state, parse_json_struct
+from flightlake.schemas import FLIGHT_STATE_SCHEMA
+from flightlake.session import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -35,12 +37,13 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
-                    n_buckets: int = upsert.DEFAULT_BUCKETS,
+                    stream_id: str = "batch",
                     persist: bool = True, parallel: bool = True) -> dict[str, int]:
     """Write one batch of mapped states; returns rows written per table.
 
     An empty batch writes nothing (K7). Safe to call again with the same
-    ``batch_id`` and rows (replay after a failure). ``persist=False`` when
+    ``stream_id``, ``batch_id`` and rows (replay after a failure); another
+    source of batches needs a ``stream_id`` of its own. ``persist=False`` when
     the caller already keeps the batch. The six table writes are independent
     jobs; ``parallel`` submits them together so small micro-batches fill the
     cluster instead of queueing. Any failure fails the whole batch (which is
@@ -54,26 +57,23 @@ def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
             log.info("batch %s empty, nothing to write", batch_id)
             return {}
         counts: dict[str, int] = {}
-        # Existence is listed once, before the writes start (a first batch
-        # writes each dimension directly instead of merging).
-        exists = {name: upsert.table_exists(spark, f"{base}/{name}") for name, _, _ in DIMENSIONS}
 
         def dimension(name, key, build):
             rows, obs = _counted(build(batch), name)
-            upsert.upsert_table(spark, rows, f"{base}/{name}", key,
-                                staging=f"{base}/_staging", n_buckets=n_buckets,
-                                exists=exists[name])
+            upsert.append_batch(rows, f"{base}/{name}", stream_id, batch_id)
             return name, obs.get.get("rows", 0)
 
         def fact():
             rows, obs = _counted(star.fact_state(batch), FACT)
-            upsert.append_fact(rows, f"{base}/{FACT}", batch_id)
+            upsert.append_fact(rows, f"{base}/{FACT}", stream_id, batch_id)
             return FACT, obs.get.get("rows", 0)
 
         tasks = [lambda d=d: dimension(*d) for d in DIMENSIONS] + [fact]
         if parallel:
             with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-                results = [f.result() for f in [pool.submit(t) for t in tasks]]
+                # The threads carry the query's job group, so stop() reaches their jobs.
+                results = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t))
+                                                for t in tasks]]
         else:
             results = [t() for t in tasks]
         counts.update(dict(results))
@@ -84,8 +84,34 @@ def load_star_batch(states: DataFrame, batch_id: int, warehouse: str,
             batch.unpersist()
 
 
+def _schemas(spark) -> dict:
+    states = map_flight_state(parse_json_struct(spark.createDataFrame([], "value string"),
+                                                FLIGHT_STATE_SCHEMA))
+    return {name: df.schema for name, df in star.star(states).items()}
+
+
 def read_star(spark, warehouse: str) -> dict[str, DataFrame]:
-    base = warehouse.rstrip("/")
-    out = {name: upsert.read_table(spark, f"{base}/{name}") for name, _, _ in DIMENSIONS}
-    out[FACT] = upsert.read_fact(spark, f"{base}/{FACT}")
+    """The six stored tables; those that no batch has written yet are empty."""
+    base, schemas = warehouse.rstrip("/"), _schemas(spark)
+    out = {name: upsert.read_table(spark, f"{base}/{name}", schemas[name], key)
+           for name, key, _ in DIMENSIONS}
+    out[FACT] = upsert.read_fact(spark, f"{base}/{FACT}", schemas[FACT])
     return out
+
+
+def compact(spark, warehouse: str, target: str) -> None:
+    """Fold all batches of ``warehouse`` into the new folder ``target``: one row
+    per key for dimensions, the fact by day and in time order. To be run while
+    no stream writes (its last batch is committed); streams go on in ``target``.
+    The rows keep the time they were loaded, so later batches still win."""
+    base, to, schemas = warehouse.rstrip("/"), target.rstrip("/"), _schemas(spark)
+    if path_exists(spark, to):
+        raise ValueError(f"{to} exists; compaction writes a new folder")
+    folded = {upsert.STREAM: F.lit("compacted"), upsert.BATCH: F.lit(0).cast("bigint")}
+    for name, key, _ in DIMENSIONS:
+        rows = upsert.latest_rows(upsert.read_batches(spark, f"{base}/{name}", schemas[name]), key)
+        rows.withColumns(folded).write.partitionBy(upsert.STREAM, upsert.BATCH).parquet(f"{to}/{name}")
+    fact = upsert.read_batches(spark, f"{base}/{FACT}", schemas[FACT], with_day=True)
+    (fact.withColumns(folded).repartitionByRange(upsert.DAY, "fk_temps")
+     .sortWithinPartitions(upsert.DAY, "fk_temps").write
+     .partitionBy(upsert.DAY, upsert.STREAM, upsert.BATCH).parquet(f"{to}/{FACT}"))

@@ -45,8 +45,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staging tables.
 
-    Uses ``spark.checkpoint.dir`` as the cluster names it. Only when it is
-    unset (tests, local runs) a fresh local folder is set on the session.
+    Uses ``spark.checkpoint.dir`` as the cluster names it. Only on a local
+    master (tests) a fresh local folder is set where it is unset; elsewhere
+    that is an error, as the nodes of a cluster share no local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if not path and sc is not None:
         path = sc.getCheckpointDir()
+    if not path and sc is not None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="flightlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -8,6 +8,7 @@ Inside a batch the rows are persisted once and released in ``finally``.
 
 from __future__ import annotations
 
+import json
 import logging
 
 from pyspark import StorageLevel
@@ -18,11 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlake.operators.enrich import airport_enrich
 from flightlake.operators.parse import (
     airport_parse, flight_state_parse_with_raw, map_flight_state, quarantined,
+    snapshot_states_with_raw,
 )
 from flightlake.operators.route import route_counts, routable, write_routed
+from flightlake.operators.upsert import append_batch
 from flightlake.plans.star_load import load_star_batch
 from flightlake.schemas import AIRPORT_SOURCES
-from flightlake.session import checkpoint_root
 
 log = logging.getLogger(__name__)
 
@@ -38,59 +40,55 @@ def _trigger(writer, trigger):
     return writer.trigger(**trigger)
 
 
-def _checkpoint(df: DataFrame, checkpoint: str | None, name: str) -> str:
-    """Explicit location, else a folder under the cluster's shared
-    ``spark.checkpoint.dir``."""
-    return checkpoint or f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}"
+def stream_id(spark, checkpoint: str) -> str:
+    """Id of the streaming query that owns ``checkpoint``: Spark writes it there
+    when the query first starts, and it stays the same over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def write_metrics(spark, counts: dict[str, int], batch_id: int, path: str,
-                  pipeline: str) -> None:
-    """K8: one row per table of a batch (at most a handful) under
-    ``pipeline=<name>/batch_id=<n>``; a replayed batch replaces its rows."""
-    rows = [(pipeline, int(batch_id), str(t), int(n)) for t, n in sorted(counts.items())]
-    df = spark.createDataFrame(rows, "pipeline string, batch_id bigint, target string, n_rows bigint")
-    (df.withColumn("written_at", F.current_timestamp()).coalesce(1)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("pipeline", "batch_id").parquet(path))
+                  pipeline: str, stream: str = "batch") -> None:
+    """K8: one row per table of a batch (at most a handful) under the batch's
+    replay key; a replayed batch replaces its rows."""
+    rows = [(pipeline, str(t), int(n)) for t, n in sorted(counts.items())]
+    df = spark.createDataFrame(rows, "pipeline string, target string, n_rows bigint")
+    append_batch(df.coalesce(1), path, stream, batch_id, ("pipeline",))
 
 
 def write_flight_batch(raw: DataFrame, batch_id: int, warehouse: str,
-                       keep_category: bool = False, n_buckets: int = 64,
-                       quarantine_path: str | None = None,
-                       metrics_path: str | None = None) -> dict[str, int]:
+                       keep_category: bool = False, stream: str = "batch",
+                       quarantine_path: str | None = None, metrics_path: str | None = None,
+                       snapshots: bool = False) -> dict[str, int]:
     """K1 body: parse one raw batch once (persisted), load the star schema
     from it and, with ``quarantine_path``, keep the unparseable messages
-    (replay-safe: the batch's own ``batch_id`` partition is overwritten).
+    (replay-safe: under the batch's replay key).
     With ``metrics_path`` the per-table row counts (K8) are stored too."""
-    parsed = flight_state_parse_with_raw(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = (snapshot_states_with_raw(raw) if snapshots else flight_state_parse_with_raw(raw)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         states = map_flight_state(parsed.filter(~F.col("_bad")), keep_category)
-        counts = load_star_batch(states, batch_id, warehouse, n_buckets=n_buckets,
-                                 persist=False)
+        counts = load_star_batch(states, batch_id, warehouse, stream, persist=False)
         if quarantine_path:
-            bad = quarantined(parsed).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(quarantine_path))
+            append_batch(quarantined(parsed), quarantine_path, stream, batch_id)
         if metrics_path and counts:
-            write_metrics(raw.sparkSession, counts, batch_id, metrics_path, "flight_star")
+            write_metrics(raw.sparkSession, counts, batch_id, metrics_path, "flight_star", stream)
         return counts
     finally:
         parsed.unpersist()
 
 
-def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str | None = None, trigger=None,
-                       keep_category: bool = False, n_buckets: int = 64,
-                       query_name: str | None = None,
-                       quarantine_path: str | None = None,
-                       metrics_path: str | None = None) -> StreamingQuery:
-    """K1: raw flight-state messages -> star schema under ``warehouse``."""
+def flight_star_stream(raw: DataFrame, warehouse: str, checkpoint: str, trigger=None,
+                       keep_category: bool = False, query_name: str | None = None,
+                       quarantine_path: str | None = None, metrics_path: str | None = None,
+                       snapshots: bool = False) -> StreamingQuery:
+    """K1: raw flight-state messages -> star schema under ``warehouse``. With
+    ``snapshots`` a message is a whole snapshot document, split into states."""
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        write_flight_batch(df, batch_id, warehouse, keep_category, n_buckets, quarantine_path,
-                           metrics_path)
+        write_flight_batch(df, batch_id, warehouse, keep_category,
+                           stream_id(df.sparkSession, checkpoint), quarantine_path, metrics_path,
+                           snapshots)
 
     w = (raw.select("value").writeStream.foreachBatch(write_batch).outputMode("append")
-         .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "flight_star")))
+         .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
@@ -106,13 +104,15 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict,
 
 def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None = None,
                         jdbc: dict | None = None, show: bool = False,
-                        sources=None, metrics_path: str | None = None) -> dict[str, int]:
+                        sources=None, metrics_path: str | None = None,
+                        stream: str = "batch", show_rows: int = 20) -> dict[str, int]:
     """D10 body: route one enriched batch into the per-source tables.
 
-    Parquet: one partitioned write (replay-safe by ``batch_id``). JDBC
+    Parquet: one partitioned write under the batch's replay key. JDBC
     (``jdbc={"url":..., "properties":...}``): one append per table present in
-    the batch, each from the persisted rows. Returns rows per target,
-    including the ``__unrouted__`` count.
+    the batch, each from the persisted rows. ``show`` prints the first
+    ``show_rows`` rows. Returns rows per target, including the
+    ``__unrouted__`` count.
     """
     rows = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -120,23 +120,23 @@ def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None =
             return {}
         counts = {r["target"]: r["n_rows"] for r in route_counts(rows, sources).collect()}
         if tables_path:
-            write_routed(rows, tables_path, batch_id, sources)
+            write_routed(rows, tables_path, batch_id, stream, sources)
         if jdbc:
             for target in counts:
                 if target in (sources or AIRPORT_SOURCES):
                     jdbc_append(rows.filter(routable([target])), jdbc["url"], target,
                                 jdbc.get("properties", {}))
         if show:  # K6 from the same persisted rows: the source is read once
-            rows.show(n=20, truncate=False)
+            rows.show(n=show_rows, truncate=False)
         if metrics_path:
-            write_metrics(df.sparkSession, counts, batch_id, metrics_path, "airports")
+            write_metrics(df.sparkSession, counts, batch_id, metrics_path, "airports", stream)
         log.info("airport batch %s: %s", batch_id, counts)
         return counts
     finally:
         rows.unpersist()
 
 
-def airport_stream(raw: DataFrame, checkpoint: str | None = None, tables_path: str | None = None,
+def airport_stream(raw: DataFrame, checkpoint: str, tables_path: str | None = None,
                    jdbc: dict | None = None, trigger="10 seconds", show: bool = False,
                    query_name: str | None = None,
                    metrics_path: str | None = None) -> StreamingQuery:
@@ -148,19 +148,20 @@ def airport_stream(raw: DataFrame, checkpoint: str | None = None, tables_path: s
     enriched = airport_enrich(airport_parse(raw))
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        write_airport_batch(df, batch_id, tables_path, jdbc, show, metrics_path=metrics_path)
+        write_airport_batch(df, batch_id, tables_path, jdbc, show, metrics_path=metrics_path,
+                            stream=stream_id(df.sparkSession, checkpoint))
 
     w = (enriched.writeStream.foreachBatch(write_batch).outputMode("update")
-         .option("checkpointLocation", _checkpoint(raw, checkpoint, query_name or "airports")))
+         .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
 
 
-def console_stream(df: DataFrame, checkpoint: str | None = None, trigger="10 seconds",
+def console_stream(df: DataFrame, checkpoint: str, trigger="10 seconds",
                    truncate: bool = False) -> StreamingQuery:
     """K6: a separate console query (reads the source by itself)."""
     w = (df.writeStream.outputMode("append").format("console")
          .option("truncate", str(truncate).lower())
-         .option("checkpointLocation", _checkpoint(df, checkpoint, "console")))
+         .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()

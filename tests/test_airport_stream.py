@@ -30,7 +30,7 @@ def test_airport_stream_equals_batch(spark, scratch):
     q.awaitTermination(300)
     assert q.exception() is None
     batch = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, SF001)))
-    stored = spark.read.parquet(tables).drop("batch_id")
+    stored = route.read_all_routed(spark, tables)
     assert _rows(stored) == _rows(batch.filter(route.routable()))
     for name in ["airfields", "hotspots", "airports"]:
         assert _rows(route.read_routed(spark, tables, name)) == \

@@ -19,7 +19,7 @@ COMMON = ["--shuffle-partitions", "4"]
 def test_flight_stream_then_dashboard(spark, scratch):
     inbox, wh = os.path.join(scratch, "inbox"), os.path.join(scratch, "wh")
     fx.flight_state_messages(spark, SF).select("value").write.text(inbox)
-    jobs.main(COMMON + ["flight-stream", "--inbox", inbox, "--warehouse", wh, "--buckets", "4",
+    jobs.main(COMMON + ["flight-stream", "--inbox", inbox, "--warehouse", wh,
                         "--checkpoint", os.path.join(scratch, "ckpt"), "--available-now"])
     out = os.path.join(scratch, "q5")
     jobs.main(COMMON + ["dashboard", "q5", "--warehouse", wh, "--lo", "2024-01-05 00:00:00",
@@ -61,7 +61,7 @@ def test_sql_views_match_functions(spark, scratch):
 
     wh, tables = os.path.join(scratch, "wh"), os.path.join(scratch, "tables")
     star_load.load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, SF)),
-                              0, wh, n_buckets=4)
+                              0, wh)
     route.write_routed(enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, SF))),
                        tables, batch_id=0)
     names = register_views(spark, wh, tables)

@@ -30,7 +30,7 @@ def plan(df) -> str:
 def stored(spark, tmp_path_factory):
     wh = os.path.join(str(tmp_path_factory.mktemp("plans")), "wh")
     star_load.load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, SF)),
-                              0, wh, n_buckets=4)
+                              0, wh)
     return star_load.read_star(spark, wh)
 
 

@@ -84,14 +84,17 @@ def test_upsert_table_sequence_model(spark, seq):
     import tempfile
 
     root = tempfile.mkdtemp(prefix="flightlake-upsert-")
-    path, staging = f"{root}/dim", f"{root}/_staging"
+    path = f"{root}/dim"
     model: dict[int, int] = {}
-    for batch in seq:
+    empty = spark.createDataFrame([], "k int, v int")
+    upsert.append_batch(empty, path, "s", 0)  # a first batch without rows
+    assert upsert.read_table(spark, path, empty.schema, "k").count() == 0
+    for i, batch in enumerate(seq):
         rows = _one_per_key(batch)
-        upsert.upsert_table(spark, spark.createDataFrame(rows, "k int, v int"), path, "k",
-                            staging, n_buckets=4)
+        for _ in range(1 + i % 2):  # every second batch is replayed
+            upsert.append_batch(spark.createDataFrame(rows, empty.schema), path, f"s{i % 3}", i // 3)
         model.update(dict(rows))
-    table = upsert.read_table(spark, path)
+    table = upsert.read_table(spark, path, empty.schema, "k")
     got = sorted(tuple(r) for r in table.select("k", "v").collect())
     assert got == sorted(model.items())
 

@@ -38,11 +38,11 @@ def test_star_load_replay_is_noop(spark, scratch):
     states = parse.flight_state_parse(fx.flight_state_messages(spark, SF001))
     b1, b2 = _split(states)
     wh = os.path.join(scratch, "wh")
-    c1 = star_load.load_star_batch(b1, 0, wh, n_buckets=8)
-    c2 = star_load.load_star_batch(b2, 1, wh, n_buckets=8)
+    c1 = star_load.load_star_batch(b1, 0, wh)
+    c2 = star_load.load_star_batch(b2, 1, wh)
     assert c1["fait_etat_vol"] + c2["fait_etat_vol"] == star.fact_state(states).count()
     before = {k: _rows(v) for k, v in star_load.read_star(spark, wh).items()}
-    star_load.load_star_batch(b2, 1, wh, n_buckets=8)
+    star_load.load_star_batch(b2, 1, wh)
     after = {k: _rows(v) for k, v in star_load.read_star(spark, wh).items()}
     assert before == after
     one = star.star(states)
@@ -74,7 +74,7 @@ def test_flight_stream_equals_batch(spark, scratch):
     quarantine = os.path.join(scratch, "quarantine")
     metrics = os.path.join(scratch, "metrics")
     q = pipelines.flight_star_stream(stream, wh, os.path.join(scratch, "ckpt"),
-                                     trigger={"availableNow": True}, n_buckets=8,
+                                     trigger={"availableNow": True},
                                      quarantine_path=quarantine, metrics_path=metrics)
     q.awaitTermination(300)
     assert q.exception() is None
@@ -89,7 +89,7 @@ def test_flight_stream_equals_batch(spark, scratch):
     # A second run on the same checkpoint reads nothing new.
     q2 = pipelines.flight_star_stream(file_stream(spark, os.path.join(inbox, "*")), wh,
                                       os.path.join(scratch, "ckpt"),
-                                      trigger={"availableNow": True}, n_buckets=8)
+                                      trigger={"availableNow": True})
     q2.awaitTermination(300)
     again = star_load.read_star(spark, wh)
     assert _rows(again["fait_etat_vol"]) == _rows(got["fait_etat_vol"])
