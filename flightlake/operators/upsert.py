@@ -64,13 +64,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType, key: str) ->
     return latest_rows(read_batches(spark, path, schema), key).drop(LOADED, STREAM, BATCH)
 
 
-def append_fact(rows: DataFrame, path: str, stream_id: str, batch_id: int,
-                time_col: str = "fk_temps") -> None:
-    """Append one batch's fact rows by UTC day, each file a range of days and
-    times in order, so that a window of minutes skips files and row groups."""
+def fact_layout(rows: DataFrame, time_col: str = "fk_temps") -> DataFrame:
+    """Fact rows with their UTC day, dealt out in ranges of days and times and in
+    order, so that a window of minutes skips files and row groups."""
     out = rows.withColumn(DAY, utc_day(time_col))
-    append_batch(out.repartitionByRange(DAY, time_col).sortWithinPartitions(DAY, time_col),
-                 path, stream_id, batch_id, (DAY,))
+    return out.repartitionByRange(DAY, time_col).sortWithinPartitions(DAY, time_col)
+
+
+def append_fact(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
+    """Append one batch's rows, in their ``fact_layout``, by day."""
+    append_batch(rows, path, stream_id, batch_id, (DAY,))
 
 
 def read_fact(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
