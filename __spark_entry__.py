@@ -83,6 +83,12 @@ def q_state_mapping(spark, sf):
     return _utc_wall_clock(parse.flight_state_parse(fx.flight_state_messages(spark, sf)))
 
 
+def q_state_mapping_binary(spark, sf):
+    """The same messages as bytes, as a message queue delivers them."""
+    msgs = fx.flight_state_messages(spark, sf).withColumn("value", F.col("value").cast("binary"))
+    return _utc_wall_clock(parse.flight_state_parse(msgs))
+
+
 def q_state_quarantine(spark, sf):
     """Messages a flat-schema parse cannot read, kept with their raw text."""
     return parse.flight_state_quarantine(
@@ -237,6 +243,24 @@ def q_airport_routed_stored(spark, sf):
     return route.read_all_routed(spark, f"{work}/tables").drop("timestamp_ingestion")
 
 
+def _stored(query):
+    """A dashboard query over the stored star tables."""
+    def run(spark, sf):
+        from flightlake.plans.star_load import load_star_batch, read_star
+
+        work = _work(spark, "star")
+        load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, sf)), 0, work)
+        return query(read_star(spark, work)["fait_etat_vol"])
+    return run
+
+
+def q_airport_ingestion_time(spark, sf):
+    """Every enriched row carries the time it was ingested."""
+    rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, sf)))
+    return rows.groupBy(F.col("timestamp_ingestion").isNotNull().alias("stamped")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_upsert_stored_batches(spark, sf):
     """K2 stored: three batches (the first without any callsign, the second
     loaded twice) into the five dimensions, read back as one list."""
@@ -440,6 +464,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_split": q_snapshot_split,
         "snapshot_extrapolate_by_key": q_snapshot_extrapolate_by_key,
         "snapshot_extrapolate_steps": q_snapshot_extrapolate_steps,
+        "state_mapping_binary": q_state_mapping_binary,
+        "airport_ingestion_time": q_airport_ingestion_time,
+        "fleet_status_stored": _stored(lambda fact: _r6(
+            dash.fleet_status(fact, LO, HI), "Vitesse moyenne (km/h)", "Altitude géo moyenne (m)")),
+        "status_share_stored": _stored(
+            lambda fact: dash.share_of_total(dash.status_split(fact, LO, HI), "nb_avions")),
+        "altitude_bands_stored": _stored(lambda fact: dash.altitude_bands(fact, LO, HI)),
         "fact_two_streams": q_fact_two_streams,
         "snapshot_star_stream": q_snapshot_star_stream,
         "airport_routed_stored": q_airport_routed_stored,

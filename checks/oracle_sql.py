@@ -406,3 +406,8 @@ SELECT event_id AS time, CAST(0 AS INTEGER) AS pos, if(event_id % 3 = 0, NULL, '
  if(event_id % 4 = 3, event_id, NULL) AS b, if(event_id % 2 = 0, NULL, CAST(event_id AS DOUBLE) + 0.5) AS c,
  if(event_id % 5 >= 3, true, NULL) AS d, CAST(NULL AS VARCHAR) AS e FROM events
 UNION ALL SELECT event_id, 1, NULL, NULL, NULL, NULL, NULL FROM events"""
+
+Q["state_mapping_binary"] = Q["state_mapping"]
+Q["airport_ingestion_time"] = AIR + "SELECT true AS stamped, count(*) AS n_rows FROM enriched"
+for _name in ("fleet_status", "status_share", "altitude_bands"):
+    Q[f"{_name}_stored"] = Q[_name]
