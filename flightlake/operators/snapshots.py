@@ -16,17 +16,18 @@ from pyspark.sql import functions as F
 from flightlake.session import path_exists
 
 PAGE = "page"
+#: Rows of a snapshot that one task writes, at most.
+TASK_ROWS = 100_000
 
 
 def write_snapshot(df: DataFrame, path: str, time_col: str = "time", page: str = "0") -> None:
     """Store state rows ``(time, pos, state...)`` under ``time=<epoch>/page=<page>``.
 
     Each page of a snapshot has a folder of its own, so a later page adds to
-    the snapshot and a repeated one replaces itself. Rows are dealt out by
-    ranges of time and position: small snapshots share a task, a large one
-    takes several.
+    the snapshot and a repeated one replaces itself. Rows are dealt out by time
+    and by every ``TASK_ROWS`` positions: a large snapshot takes several tasks.
     """
-    (df.withColumn(PAGE, F.lit(str(page))).repartitionByRange(time_col, "pos")
+    (df.withColumn(PAGE, F.lit(str(page))).repartition(F.col(time_col), F.floor(F.col("pos") / TASK_ROWS))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(time_col, PAGE).parquet(path))
 
