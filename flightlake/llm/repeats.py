@@ -147,9 +147,13 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], least: int, shortes
 
 
 def _spans_of(texts: DataFrame, least: int, hashes_only: bool) -> DataFrame:
-    """Spans of the distinct ``texts(sig, text)``: ``h, f, sig, anchor, lo, hi``,
-    or ``h`` alone; ``f`` is the hash of the span's content around its anchor."""
-    names = ["h"] if hashes_only else ["h", "f", "sig", "anchor", "lo", "hi"]
+    """Spans of the distinct ``texts(sig, text)``: ``h, f, sig, at, before,
+    after``, one row for each anchor hash and content in a text, with the list
+    of its anchors and the bytes before and after them; a text that repeats one
+    word over and over gives a row, not one for each repetition. ``f`` is the
+    hash of the content around its anchor. Or ``h, n`` alone: the hashes of a
+    text, and 2 for those it holds more than once, else 1."""
+    names = ["h", "n"] if hashes_only else ["h", "f", "sig", "before", "after", "at"]
 
     def run(batches):
         seen: set[int] = set()
@@ -164,14 +168,24 @@ def _spans_of(texts: DataFrame, least: int, hashes_only: bool) -> DataFrame:
                 data = text.as_buffer().to_pybytes()
                 h, at, lo, hi = anchors(data, least)
                 if hashes_only:
-                    parts.append((h,))
+                    h, n = np.unique(h, return_counts=True)
+                    parts.append((h, np.minimum(n, 2)))
                 elif len(h):
-                    f = np.array([xxhash.xxh3_64_intdigest(data[x:y], z - x) for x, y, z in zip(lo.tolist(), hi.tolist(), at.tolist())], np.uint64)
-                    parts.append((h, f.view(np.int64), np.full(len(h), sig), at, lo, hi))
+                    f = np.array([xxhash.xxh3_64_intdigest(data[x:y], z - x) for x, y, z in zip(lo.tolist(), hi.tolist(), at.tolist())],
+                                 np.uint64).view(np.int64)
+                    order = np.lexsort((at, f, h))
+                    first = np.flatnonzero(np.r_[True, (h[order][1:] != h[order][:-1]) | (f[order][1:] != f[order][:-1])])
+                    one = order[first]
+                    parts.append((h[one], f[one], np.full(len(one), sig), (at - lo)[one], (hi - at)[one],
+                                  np.diff(np.r_[first, len(order)]), at[order]))
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*parts)], names=names)
+                columns = [np.concatenate(x) for x in zip(*parts)]
+                arrays = [pa.array(x, pa.int64()) for x in columns[:len(names) - (not hashes_only)]]
+                if not hashes_only:
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(columns[5])], pa.int32()), pa.array(columns[6])))
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return texts.select("sig", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return texts.select("sig", "text").mapInArrow(run, ", ".join(f"{n} {'array<long>' if n == 'at' else 'long'}" for n in names))
 
 
 def _with_content(texts: DataFrame, spans: DataFrame, least: int) -> DataFrame:
@@ -272,11 +286,15 @@ def search(texts: DataFrame, least: int = LEAST, bucket: int = BUCKET, as_spans:
     """Repeats in the distinct texts of ``texts(sig, text)``: ``sig, lo, hi`` of
     repeated parts, or all occurrences of the maximal groups."""
     shortest = min(K, least // 2)
-    twice = _spans_of(texts, least, True).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    twice = _spans_of(texts, least, True).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     live = stored(_spans_of(texts, least, False).join(twice, "h", "left_semi"), "spans")
-    spans = live.distinct().withColumnRenamed("h", "key").withColumn("seen", F.lit(False))
-    classes = stored(_classes(spans), "classes")
-    whole = spans.join(classes.where("n > 1").select("key", "f"), ["key", "f"], "left_semi")
+    lists = live.distinct().withColumnRenamed("h", "key")
+    first = F.element_at("at", 1)
+    classes = stored(lists.groupBy("key", "f").agg(F.sum(F.size("at")).alias("n"), F.max(F.struct(
+        "sig", first.alias("anchor"), (first - F.col("before")).alias("lo"), (first + F.col("after")).alias("hi"))).alias("one")), "classes")
+    whole = (lists.join(classes.where("n > 1").select("key", "f"), ["key", "f"], "left_semi")
+             .select("key", "f", "sig", "before", "after", F.explode("at").alias("anchor"))
+             .select("key", "f", "sig", (F.col("anchor") - F.col("before")).alias("lo"), (F.col("anchor") + F.col("after")).alias("hi")))
     out = [whole.select("sig", "lo", "hi") if as_spans else whole.select(
         F.xxhash64("key", "f").alias("repeat"), (F.col("hi") - F.col("lo")).alias("length"), "sig", F.col("lo").alias("start"))]
     wanted = classes.join(_several(classes).select("key"), "key", "left_semi").select(
