@@ -12,35 +12,50 @@ pass through. Columns beyond those of ``documents`` are carried along.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import line_dedup, ngram_join, packing, repeats, toxicity
-from flightlake.llm.common import stored, table
+from flightlake.llm.common import small_batches, stored, table
+
+
+def _stage(fn):
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, docs, sf_dir)
+    return run
 
 
 def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long"))
 
 
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, out_col="_score").where(F.col("_score") < toxicity.THRESHOLD).drop("_score")
 
 
+@_stage
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _counted(line_dedup.dedup_lines(docs))
 
 
+@_stage
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ngram_join.one_of_each(docs)
 
 
+@_stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _counted(repeats.remove_repeats(docs))
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 

@@ -29,6 +29,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python a few MB at a time, however long they are: the
+    memory of a Python worker follows the batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text``; empty for null."""
     parts = F.split(F.coalesce(text, F.lit("")), f"{SPACE}+")

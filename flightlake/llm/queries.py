@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import ann, bpe, html_extract, line_dedup, packing, repeats, sql, toxicity
-from .common import table
+from .common import small_batches, table
 from .ngram_join import ngram_join
 from .quality import quality
 from .url_filter import url_filter
@@ -66,6 +66,7 @@ def _utc(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        small_batches(spark)
         return fn(spark, sf_dir)
     return run
 

@@ -44,7 +44,9 @@ COST = 1.0
 CLEAN = -2.0
 THRESHOLD = 0.7
 #: Words remembered by a Python worker.
-MEMO_SIZE = 300_000
+MEMO_SIZE = 200_000
+#: Texts whose words are scored at once.
+TEXTS = 256
 
 _KINDS = 64
 _WORD = re.compile(r"[^\W\d_](?:[^\s]*[^\W_])?")
@@ -174,12 +176,15 @@ class Model:
 
     def margins(self, texts: list[str | None]) -> list[float]:
         """Margin of the most toxic word of each text."""
-        own = [tokens(t or "") for t in texts]
-        if len(self.memo) > MEMO_SIZE:
-            self.memo.clear()
-        new = list(set().union(*own).difference(self.memo)) if own else []
-        self.memo.update(zip(new, self.words(new).tolist()))
-        return [max(map(self.memo.__getitem__, x), default=CLEAN) for x in own]
+        out: list[float] = []
+        for at in range(0, len(texts), TEXTS):  # the words of a few texts are held at a time
+            own = [tokens(t or "") for t in texts[at:at + TEXTS]]
+            if len(self.memo) > MEMO_SIZE:
+                self.memo.clear()
+            new = list(set().union(*own).difference(self.memo))
+            self.memo.update(zip(new, self.words(new).tolist()))
+            out += [max(map(self.memo.__getitem__, x), default=CLEAN) for x in own]
+        return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         z = self.slope * np.array(self.margins(texts), float) + self.shift
