@@ -29,7 +29,7 @@ from .common import stored
 CAPACITY = 4096
 END_ID = 1
 #: Chunks and pre-tokens remembered by a Python worker.
-MEMO_SIZE = 400_000
+MEMO_SIZE = 250_000
 #: Parts in which the pieces of one length are ranked.
 SHARDS = 64
 

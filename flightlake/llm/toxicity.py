@@ -44,9 +44,9 @@ COST = 1.0
 CLEAN = -2.0
 THRESHOLD = 0.7
 #: Words remembered by a Python worker.
-MEMO_SIZE = 200_000
+MEMO_SIZE = 100_000
 #: Texts whose words are scored at once.
-TEXTS = 256
+TEXTS = 64
 
 _KINDS = 64
 _WORD = re.compile(r"[^\W\d_](?:[^\s]*[^\W_])?")
@@ -109,9 +109,9 @@ def subsequences(words: list[str]):
     for n, (owners, codes) in held.items():
         t, w = _TRIPLES[n]
         c = np.array(codes, np.int64)
-        for at in range(0, len(c), 4096):
-            part = c[at:at + 4096]
-            yield np.array(owners[at:at + 4096]), (part[:, t[:, 0]] * _KINDS + part[:, t[:, 1]]) * _KINDS + part[:, t[:, 2]], w
+        for at in range(0, len(c), 1024):
+            part = c[at:at + 1024]
+            yield np.array(owners[at:at + 1024]), (part[:, t[:, 0]] * _KINDS + part[:, t[:, 1]]) * _KINDS + part[:, t[:, 2]], w
 
 
 class Landmarks:
