@@ -42,7 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(line_dedup.dedup_lines(docs))
+    return _counted(line_dedup.dedup_lines(docs, line_dedup.EVERY))
 
 
 @_stage

@@ -24,7 +24,7 @@ def op1_toxicity(spark, sf_dir):
 
 
 def op2_line_dedup(spark, sf_dir):
-    return line_dedup.digest(table(spark, sf_dir, "documents"))
+    return line_dedup.digest(table(spark, sf_dir, "documents"), line_dedup.EVERY)
 
 
 def op3_ngram_jaccard(spark, sf_dir):
