@@ -15,8 +15,9 @@ shuffled to find candidates:
    In a part, the product of a row with all rows of fitting size counts the
    overlaps; rows that are connected already are not multiplied again, and a
    link is reported only if it connects two components.
-4. Rows of a dealt block that its hub's component does not hold then meet every
-   part of the block, so no pair of a block is left out.
+4. Rows of a dealt block that its hub's component does not hold then meet all
+   rows of the block in tiles of two parts, each pair in one tile, so no pair of
+   a block is left out and a task has two parts at most.
 
 Exact copies are one row. Columns that a third of all rows share cost a counter
 each per task in step 1, and a copy group of any size is one block whose rows
@@ -116,10 +117,11 @@ def whole_rows(texts: DataFrame) -> DataFrame:
     return texts.select("sig", "text").mapInArrow(run, "sig long, cols array<long>")
 
 
-def links_of_part(keys: list[int], cols: list[np.ndarray], hub: int, known: list[int]) -> list[tuple[int, int]]:
+def links_of_part(keys: list[int], cols: list[np.ndarray], hub: int, known: list[int], second: list[bool]) -> list[tuple[int, int]]:
     """Links among the rows of one part that connect it as all its links would.
-    ``known`` has a label of each row; rows of one label are connected already."""
-    order = sorted(range(len(keys)), key=lambda i: len(cols[i]))
+    ``known`` has a label of each row; rows of one label are connected already.
+    Rows that are ``second`` meet only those that are not, if there are any."""
+    order = sorted(range(len(keys)), key=lambda i: (second[i], len(cols[i])))
     keys, cols = [keys[i] for i in order], [cols[i] for i in order]
     label = np.array([known[i] for i in order])
     size = np.array([len(c) for c in cols])
@@ -141,6 +143,13 @@ def links_of_part(keys: list[int], cols: list[np.ndarray], hub: int, known: list
                 out.append((keys[i], keys[j]))
                 label[label == label[j]] = label[i]
 
+    if any(second):
+        cut = len(keys) - sum(second)
+        lows = cut + np.searchsorted(size[cut:], -(-PERCENT * size[:cut] // 100))
+        tops = cut + np.searchsorted(size[cut:], 100 * size[:cut] // PERCENT, "right")
+        for i in range(cut):
+            multiply(i, int(lows[i]), int(tops[i])) if tops[i] > lows[i] else None
+        return out
     if hub in keys:
         multiply(keys.index(hub), 0, len(keys))
     tops = np.searchsorted(size, 100 * size // PERCENT, "right")  # rows of fitting size
@@ -150,25 +159,40 @@ def links_of_part(keys: list[int], cols: list[np.ndarray], hub: int, known: list
 
 
 def _links(parts: DataFrame) -> DataFrame:
-    """``a, b`` from ``parts(hub, part, sig, label, cols)``."""
+    """``a, b`` from ``parts(hub, one, two, part, sig, label, cols)``: the rows
+    of the parts ``one`` and ``two`` of a block meet, or those of one part."""
     def run(batches):
         def read():
             for b in batches:
                 cols = b.column("cols")
                 values, offsets = cols.values.to_numpy(zero_copy_only=False), cols.offsets.to_numpy()
-                for i, x in enumerate(zip(*(b.column(c).to_pylist() for c in ("hub", "part", "sig", "label")))):
+                for i, x in enumerate(zip(*(b.column(c).to_pylist() for c in ("hub", "one", "two", "sig", "label", "part")))):
                     yield (*x, values[offsets[i]:offsets[i + 1]].copy())
 
-        for (hub, _), group in groupby(read(), key=lambda x: x[:2]):
-            held = {x[2]: (x[3], x[4]) for x in group}
-            if len(held) > 1:
-                found = links_of_part(list(held), [x[1] for x in held.values()], hub, [x[0] for x in held.values()])
+        for (hub, one, _), group in groupby(read(), key=lambda x: x[:3]):
+            held = {x[3]: x[4:] for x in group}
+            second = [x[1] != one for x in held.values()]
+            if len(held) > 1 and not all(second):
+                found = links_of_part(list(held), [x[2] for x in held.values()], hub, [x[0] for x in held.values()], second)
                 if found:
                     a, b = zip(*found)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return (parts.select("hub", "part", "sig", "label", "cols").repartition("hub", "part")
-            .sortWithinPartitions("hub", "part").mapInArrow(run, "a long, b long"))
+    return (parts.select("hub", "one", "two", "part", "sig", "label", "cols").repartition("hub", "one", "two")
+            .sortWithinPartitions("hub", "one", "two").mapInArrow(run, "a long, b long"))
+
+
+def tiles(rows: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
+    """``rows(hub, sig, n, label, apart)`` of large blocks, dealt into parts, rows
+    that are ``apart`` and others in different ones: a row for each tile
+    ``one, two`` of two parts. An ``apart`` row meets each other row of its block
+    in one tile; the others do not meet each other."""
+    tokens = lambda which: F.ceil(F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)) / part_tokens).cast("int")
+    parts = rows.groupBy("hub").agg(tokens(F.col("apart")).alias("p"), tokens(~F.col("apart")).alias("q")).where("p > 0")
+    own = F.when(F.col("apart"), F.pmod(F.xxhash64("sig"), F.col("p"))).otherwise(F.col("p") + F.pmod(F.xxhash64("sig"), F.col("q")))
+    return (rows.join(parts, "hub").withColumn("part", own.cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(F.col("apart"), F.col("p") + F.col("q") - 1).otherwise(F.col("p") - 1))))
+            .select("hub", F.least("part", "with").alias("one"), F.greatest("part", "with").alias("two"), "part", "sig", "n", "label"))
 
 
 def blocks(found: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
@@ -201,20 +225,18 @@ def links(docs: DataFrame, found: DataFrame, part_tokens: int = PART_TOKENS) ->
     whole = stored(whole_rows(texts), "rows")
     dealt = F.when(F.col("sig") == F.col("hub"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")))
-    placed = held.withColumn("part", F.explode(dealt)).withColumn("label", F.col("sig"))
+    placed = (held.withColumn("part", F.explode(dealt)).withColumn("label", F.col("sig"))
+              .withColumn("one", F.col("part")).withColumn("two", F.col("part")))
     out = stored(_links(placed.join(whole, "sig")), "links")
     large = held.where("parts > 1")
     if not large.isEmpty():
         group = components(out)
         label = F.coalesce("component", "sig")
-        named = stored(large.join(group.withColumnRenamed("node", "sig"), "sig", "left").select("hub", "sig", "parts", label.alias("label")), "large")
+        named = stored(large.join(group.withColumnRenamed("node", "sig"), "sig", "left").select("hub", "sig", "n", label.alias("label")), "large")
         main = named.where("sig = hub").select("hub", F.col("label").alias("main"))
         apart = F.col("main").isNull() | (F.col("label") != F.col("main"))
-        again = (named.join(main, "hub", "left").withColumn("apart", apart)
-                 .withColumn("part", F.explode(F.when(F.col("apart"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
-                     F.array(F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))))))
-        some = again.where("apart").select("hub").distinct()
-        more = _links(again.join(some, "hub", "left_semi").join(whole, "sig"))
+        again = tiles(named.join(main, "hub", "left").withColumn("apart", apart), part_tokens)
+        more = _links(again.join(whole, "sig"))
         out = out.unionByName(stored(more, "links"))
     return out, first
 

@@ -102,3 +102,26 @@ def test_nulls_repeats_extra_columns_and_empty(spark, docs_of):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.component_id) for r in op.ngram_join(d).collect())
     assert got == [(-1, None), (0, 0), (0, 0), (1, 0), (1, 0)]
     assert op.ngram_join(d.limit(0)).count() == 0
+
+
+def test_tiles_are_bounded_and_pairs_meet_once(spark):
+    rows = spark.createDataFrame([(hub, 1000 * hub + i, 100, i, hub == 0 or i < 150) for hub in (0, 1) for i in range(400)],
+                                 "hub long, sig long, n long, label long, apart boolean")
+    held = {}
+    for x in op.tiles(rows, 4000).collect():
+        held.setdefault((x.hub, x.one, x.two), []).append(x)
+    assert max(sum(x.n for x in tile) for tile in held.values()) < 4 * 4000  # before: all 40,000 in every part
+    met = [tuple(sorted((x.sig, y.sig))) for (_, one, two), tile in held.items() for x in tile for y in tile
+           if (x.part, y.part) == (one, two) and (one < two or x.sig < y.sig)]
+    want = {(a, b) for a in range(400) for b in range(a + 1, 400)} | {(1000 + a, 1000 + b) for a in range(150) for b in range(a + 1, 400)}
+    assert len(met) == len(set(met)) and set(met) == want
+
+
+def test_common_passage_without_near_copies(docs_of):
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**6)}"
+    passage = [word() for _ in range(50)]
+    texts = [" ".join(passage + [word() for _ in range(60)]) for _ in range(60)]
+    texts += [t + " tail" for t in texts[::7]]
+    rows = op.ngram_join(docs_of(texts), 1500).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == brute(texts)
