@@ -214,10 +214,14 @@ _ITEM = pa.schema([(n, t) for n, t in (("key", pa.int64()), ("sig", pa.int64()),
                                        ("seen", pa.bool_()), ("content", pa.binary()), ("near", pa.int64()), ("far", pa.int64()))])
 
 
+#: What names an item.
+_PLACE = ["key", "sig", "anchor", "lo", "hi"]
+
+
 def _groups(items: DataFrame, least: int, shortest: int, as_spans: bool) -> DataFrame:
     """Scans the buckets of ``items``: ``sig, lo, hi`` of repeated parts, as far
     as each member is not repeated as a whole, or, with ``as_spans`` false,
-    ``repeat, length, sig, start`` of every occurrence in every group."""
+    ``repeat, length, start`` and the item of every occurrence in every group."""
     def run(batches):
         def read():
             for b in batches:
@@ -234,7 +238,7 @@ def _groups(items: DataFrame, least: int, shortest: int, as_spans: bool) -> Data
             for left, right, members in maximal_repeats(lefts, rights, least, shortest):
                 if not as_spans:
                     name = xxhash.xxh3_64_intdigest(lefts[members[0]][:left] + b"|" + rights[members[0]][:right]) >> 1
-                    rows += [(name, left + right, held[m][1], held[m][2] - left) for m in members]
+                    rows += [(name, left + right, held[m][2] - left, *held[m][:5]) for m in members]
                     continue
                 for m in members:
                     a, b = reach.get(m, (0, 0))
@@ -244,15 +248,18 @@ def _groups(items: DataFrame, least: int, shortest: int, as_spans: bool) -> Data
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=names)
 
-    names = ["sig", "lo", "hi"] if as_spans else ["repeat", "length", "sig", "start"]
+    names = ["sig", "lo", "hi"] if as_spans else ["repeat", "length", "start", *_PLACE]
     return (items.repartition("key").sortWithinPartitions("key").select(*_ITEM.names)
             .mapInArrow(run, ", ".join(f"{n} long" for n in names)))
 
 
-def _halves(items: DataFrame, least: int) -> DataFrame:
+def _halves(items: DataFrame, least: int, parents: bool = False) -> DataFrame:
     """Both halves of each item: its strings that start near to the anchor and
     those that start far from it. The bucket of a half is the bytes that all
-    its strings share; ``f`` is the hash of the content."""
+    their strings share; ``f`` is the hash of the content. With ``parents``,
+    ``of_key, of_lo, of_hi`` of the item."""
+    more = ["f", *(["of_key", "of_lo", "of_hi"] if parents else [])]
+
     def run(batches):
         for b in batches:
             rows = []
@@ -266,10 +273,11 @@ def _halves(items: DataFrame, least: int) -> DataFrame:
                     shared = r["content"][at - near - r["lo"]:at - far + least - r["lo"]]
                     key = xxhash.xxh3_64_intdigest(shared, near * least + far) - (1 << 63)
                     f = xxhash.xxh3_64_intdigest(content, at - lo) - (1 << 63)
-                    rows.append({**r, "key": key, "lo": lo, "hi": hi, "content": content, "near": near, "far": far, "f": f})
-            yield pa.RecordBatch.from_pylist(rows, schema=_ITEM.append(pa.field("f", pa.int64())))
+                    rows.append({**r, "key": key, "lo": lo, "hi": hi, "content": content, "near": near, "far": far, "f": f,
+                                 "of_key": r["key"], "of_lo": r["lo"], "of_hi": r["hi"]})
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([*_ITEM, *(pa.field(n, pa.int64()) for n in more)]))
 
-    return items.select(*_ITEM.names).mapInArrow(run, _ITEM_SQL + ", f long")
+    return items.select(*_ITEM.names).mapInArrow(run, _ITEM_SQL + "".join(f", {n} long" for n in more))
 
 
 def _classes(spans: DataFrame) -> DataFrame:
@@ -282,6 +290,18 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
 
 
+def _stands(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``members(key, f, to_sig, to_anchor)`` beside the item that goes on for
+    their class: ``classes(key, f, sig, anchor, lo, hi)``."""
+    return stored(members.join(classes.select("key", "f", *_PLACE[1:]), ["key", "f"]).select(*_PLACE, "to_sig", "to_anchor"), "stands")
+
+
+def _everywhere(found: DataFrame, stands: DataFrame) -> DataFrame:
+    """``repeat, length, sig, start`` of ``found(repeat, length, start, item)``
+    in every member that the items stand for, at the same distance from the anchor."""
+    return found.join(stands, _PLACE).select("repeat", "length", F.col("to_sig").alias("sig"), (F.col("start") - F.col("anchor") + F.col("to_anchor")).alias("start"))
+
+
 def search(texts: DataFrame, least: int = LEAST, bucket: int = BUCKET, as_spans: bool = True) -> DataFrame:
     """Repeats in the distinct texts of ``texts(sig, text)``: ``sig, lo, hi`` of
     repeated parts, or all occurrences of the maximal groups."""
@@ -300,18 +320,27 @@ def search(texts: DataFrame, least: int = LEAST, bucket: int = BUCKET, as_spans:
     wanted = classes.join(_several(classes).select("key"), "key", "left_semi").select(
         "key", "one.sig", "one.anchor", "one.lo", "one.hi", (F.col("n") > 1).alias("seen"))
     items = stored(_with_content(texts, wanted, least), "items")
+    if not as_spans:
+        stands = _stands(lists.select("key", "f", F.col("sig").alias("to_sig"), F.explode("at").alias("to_anchor")), classes.select("key", "f", "one.*"))
     while True:
         sizes = _several(items)
-        out.append(stored(_groups(items.join(sizes.where(F.col("classes") <= bucket), "key", "left_semi"), least, shortest, as_spans), "found"))
+        found = stored(_groups(items.join(sizes.where(F.col("classes") <= bucket), "key", "left_semi"), least, shortest, as_spans), "found")
+        out.append(found if as_spans else _everywhere(found, stands))
         large = sizes.where(F.col("classes") > bucket).select("key")
         if large.isEmpty():
             break
-        halves = stored(_halves(items.join(large, "key", "left_semi"), least), "halves")
+        halves = stored(_halves(items.join(large, "key", "left_semi"), least, not as_spans), "halves")
         classes = stored(_classes(halves), "classes")
         known = classes.where("n > 1").select("key", "f")
         met = halves.join(known, ["key", "f"], "left_semi")
-        out.append(met.where("not seen").select("sig", "lo", "hi") if as_spans else met.select(
-            F.xxhash64("key", "f").alias("repeat"), (F.col("hi") - F.col("lo")).alias("length"), "sig", F.col("lo").alias("start")))
+        if as_spans:
+            out.append(met.where("not seen").select("sig", "lo", "hi"))
+        else:
+            old = stands.withColumnsRenamed({"key": "of_key", "lo": "of_lo", "hi": "of_hi"})
+            members = stored(halves.join(old, ["of_key", "sig", "anchor", "of_lo", "of_hi"]).select(
+                "key", "f", "to_sig", "to_anchor", (F.col("to_anchor") - F.col("anchor") + F.col("lo")).alias("start"), (F.col("hi") - F.col("lo")).alias("length")), "members")
+            out.append(members.join(known, ["key", "f"], "left_semi").select(F.xxhash64("key", "f").alias("repeat"), "length", F.col("to_sig").alias("sig"), "start"))
+            stands = _stands(members.select("key", "f", "to_sig", "to_anchor"), classes.select("key", "f", "one.*"))
         ones = classes.join(_several(classes).select("key"), "key", "left_semi").select(
             "key", "f", "one.sig", "one.anchor", "one.lo", "one.hi", (F.col("n") > 1).alias("known"))
         items = stored(halves.join(ones, ["key", "f", "sig", "anchor", "lo", "hi"]).select(

@@ -104,3 +104,24 @@ def test_rows_columns_and_text(docs_of):
     assert op.digest(d.limit(0)).count() == 0
     twice = op.digest(d.union(d).withColumn("doc_id", F.lit(None).cast("long"))).collect()
     assert len(twice) == 12 and all(r.n_removed == r.n_bytes for r in twice if r.n_bytes >= 200)
+
+
+def occurrences(texts, part):
+    return {(sig, i) for sig, t in texts.items() for i in range(len(t)) if t.startswith(part, i)}
+
+
+@pytest.mark.parametrize("bucket", [4000, 2])
+def test_repeat_groups_hold_all_members_of_classes(docs_of, bucket):
+    r = random.Random(15)
+    prose = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    p, right = prose(300), [prose(120), prose(120), prose(120)]
+    docs = docs_of([prose(20) + p + x + prose(10) for x, n in zip(right, (9, 5, 1)) for _ in range(n)] + [prose(200), p + "--" + p])
+    texts = {x._sig: x._text.encode() for x in op._signed(docs).collect()}
+    groups = {}
+    for x in op.repeat_groups(docs, 50, bucket).collect():
+        groups.setdefault((x.repeat, x.length), set()).add((x.sig, x.start))
+    assert max(map(len, groups.values())) == 17  # p is in 9 + 5 + 1 texts, and twice in one
+    for (_, n), places in groups.items():
+        sig, start = min(places)
+        part = texts[sig][start:start + n]
+        assert n >= 50 and places == occurrences(texts, part)
