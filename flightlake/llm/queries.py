@@ -8,7 +8,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, line_dedup, packing, repeats, spelling, sql, toxicity
+from . import ann, bpe, conversations, html_extract, line_dedup, packing, ranker, repeats, spelling, sql, toxicity
 from .common import small_batches, table
 from .ngram_join import ngram_join
 from .quality import quality
@@ -62,10 +62,22 @@ def op10_quality(spark, sf_dir):
                       "n_repeat_words", "base_failed", "kept")
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.summary(conversations.damaged(table(spark, sf_dir, "conversations")), absent="absent")
+
+
 def op12_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_classifier(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    ranking = ranker.trained(documents, table(spark, sf_dir, "labels"))
+    return ranker.score(documents.select("doc_id", "text"), ranking).select(
+        "doc_id", ranker.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= ranker.THRESHOLD).cast("int").alias("predicted"))
+
+
 def _utc(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):
@@ -78,7 +90,8 @@ def _utc(fn):
 def queries() -> dict:
     return {f.__name__: _utc(f) for f in (
         op1_toxicity, op2_line_dedup, op3_ngram_jaccard, op4_byte_bpe, op5_best_fit_packing, op6_url_filter, op7_suffix_array,
-        op8_html_extract, op9_nearest_neighbours, op10_quality, op12_spelling_variants)}
+        op8_html_extract, op9_nearest_neighbours, op10_quality, op11_conversation_repair,
+        op12_spelling_variants, op13_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
