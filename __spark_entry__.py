@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,24 +20,24 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.oracle_sql import HI, LO  # noqa: E402
 from checks.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
+from checks.ordered import with_position  # noqa: E402
 from flightlake.operators import (  # noqa: E402
     enrich, extrapolate, filters, parse, route, star, upsert,
 )
 from flightlake.plans import airfields as air  # noqa: E402
 from flightlake.plans import dashboard as dash  # noqa: E402
+from flightlake.schemas import SNAPSHOT_FIELDS  # noqa: E402
 from flightlake.sources import fixtures as fx  # noqa: E402
 
-try:  # The training-data operators are a separate subpackage.
+try:  # The training-data operators are a separate subpackage, with needs of their own.
     from flightlake.llm import queries as _llm
-except ModuleNotFoundError as e:
-    if not (e.name or "").startswith("flightlake.llm"):
-        raise
+except ImportError as e:
+    warnings.warn(f"training-data queries left out: {e}")
     _llm = None
 try:
     import corpus_pipeline as _pipeline
-except ModuleNotFoundError as e:
-    if not (e.name or "").startswith(("corpus_pipeline", "flightlake.llm")):
-        raise
+except ImportError as e:
+    warnings.warn(f"pipeline left out: {e}")
     _pipeline = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -243,17 +244,86 @@ def q_airport_routed_stored(spark, sf):
     return route.read_all_routed(spark, f"{work}/tables").drop("timestamp_ingestion")
 
 
+def q_airport_routed_folded(spark, sf):
+    """K5 folded while two streams write: batches before, between and after two folds."""
+    from flightlake.streaming.pipelines import write_airport_messages
+
+    tables = f"{_work(spark, 'routed-folded')}/tables"
+    msgs = fx.airport_envelopes(spark, sf, page_size=10)
+    page = F.get_json_object("value", "$.page").cast("int")
+    for stream, n in [("a", 0), ("a", 1), ("b", 0), (None, 0), ("b", 1), ("b", 1), (None, 0), ("a", 2)]:
+        if stream is None:
+            route.fold_routed(spark, tables)
+        else:
+            part = {("a", 0): 0, ("a", 1): 1, ("b", 0): 2, ("b", 1): 3, ("a", 2): 4}[stream, n]
+            write_airport_messages(msgs.filter(page % 5 == part), n, tables, stream=stream)
+    return route.read_all_routed(spark, tables).drop("timestamp_ingestion")
+
+
+def q_airport_quarantine(spark, sf):
+    """Messages that yield no item, with their text."""
+    return parse.airport_quarantine(fx.airport_envelopes(spark, sf, page_size=10, with_malformed=True))
+
+
 def _stored(query):
-    """A dashboard query over the stored star tables."""
+    """A dashboard query over the stored star tables: ``query(fact, dims, times)``."""
     def run(spark, sf):
-        from flightlake.plans.star_load import load_star_batch, read_star
+        from flightlake.plans.star_load import dashboard_tables, load_star_batch
 
         work = _work(spark, "star")
         load_star_batch(parse.flight_state_parse(fx.flight_state_messages(spark, sf)), 0, work)
-        return query(read_star(spark, work)["fait_etat_vol"])
+        return _utc_wall_clock(query(*dashboard_tables(spark, work)))
     return run
 
 
+def _ordered(query):
+    """The rows of a query with the position each comes out at."""
+    return lambda spark, sf: with_position(query(spark, sf))
+
+
+def q_fact_stream_restart(spark, sf):
+    """T5 + T6: two queries on one drop folder, each stopped after the first
+    drop and started again on its checkpoint after the second; the fact, and
+    the number of messages that the other query kept."""
+    from flightlake.sources.streams import file_stream
+    from flightlake.streaming.pipelines import flight_star_stream, message_archive
+
+    work = _work(spark, "restart")
+    msgs = fx.flight_state_messages(spark, sf)
+    for i in (0, 1):
+        msgs.filter(F.col("seq") % 2 == i).select("value").write.text(f"{work}/inbox/drop{i}")
+        raw = lambda: file_stream(spark, f"{work}/inbox/*", max_files_per_trigger=64)
+        for q in (flight_star_stream(raw(), f"{work}/wh", f"{work}/ckpt-star", trigger={"availableNow": True}),
+                  message_archive(raw(), f"{work}/kept", f"{work}/ckpt-kept", trigger={"availableNow": True})):
+            _ended(q)
+    kept = spark.read.parquet(f"{work}/kept").agg(F.count("value")).scalar()
+    return _stored_fact(spark, f"{work}/wh").withColumn("messages", kept)
+
+
+def q_batch_metrics(spark, sf):
+    """Rows written per batch and table; the batch between is empty."""
+    from flightlake.streaming.pipelines import write_flight_batch
+
+    work = _work(spark, "metrics")
+    msgs = fx.flight_state_messages(spark, sf)
+    for i, cond in enumerate([F.col("seq") % 3 == 0, F.lit(False), F.col("seq") % 3 > 0]):
+        write_flight_batch(msgs.filter(cond), i, f"{work}/wh", metrics_path=f"{work}/metrics")
+    return spark.read.parquet(f"{work}/metrics").select("batch_id", "target", "n_rows")
+
+
+def q_fact_closed_days(spark, sf):
+    """K3 while batches come in: days closed twice, with late rows between."""
+    from flightlake.plans.star_load import close_days, load_star_batch
+
+    work = _work(spark, "closed")
+    msgs = fx.flight_state_messages(spark, sf)
+    for i in range(4):
+        load_star_batch(parse.flight_state_parse(msgs.filter(F.col("seq") % 4 == i)), i, work)
+        if i in (1, 2):
+            close_days(spark, work, ("2024-01-15", "2024-01-10")[i - 1])
+    return _stored_fact(spark, work)
+
+
 def q_airport_ingestion_time(spark, sf):
     """Every enriched row carries the time it was ingested."""
     rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, sf)))
@@ -261,6 +331,12 @@ def q_airport_ingestion_time(spark, sf):
         F.count(F.lit(1)).alias("n_rows"))
 
 
+def _early_late():
+    at = F.col("time_position")
+    early = F.coalesce(at < F.lit(FIRST_SPLIT).cast("timestamp"), F.lit(False)) & F.col("callsign").isNull()
+    return early, F.coalesce(at >= F.lit(UPSERT_SPLIT).cast("timestamp"), F.lit(False))
+
+
 def q_upsert_stored_batches(spark, sf):
     """K2 stored: three batches (the first without any callsign, the second
     loaded twice) into the five dimensions, read back as one list."""
@@ -268,12 +344,30 @@ def q_upsert_stored_batches(spark, sf):
 
     work = _work(spark, "batches")
     states = parse.flight_state_parse(fx.flight_state_messages(spark, sf))
-    at = F.col("time_position")
-    early = F.coalesce(at < F.lit(FIRST_SPLIT).cast("timestamp"), F.lit(False)) & F.col("callsign").isNull()
-    late = F.coalesce(at >= F.lit(UPSERT_SPLIT).cast("timestamp"), F.lit(False))
+    early, late = _early_late()
     for i, cond in [(0, early), (1, ~early & ~late), (1, ~early & ~late), (2, late)]:
         load_star_batch(states.filter(cond), i, work)
-    t = read_star(spark, work)
+    return _listed(read_star(spark, work))
+
+
+def q_upsert_folded_batches(spark, sf):
+    """K2 folded while batches come in: after the second batch, which is then
+    replayed, and after the third."""
+    from flightlake.plans.star_load import fold_dimensions, load_star_batch, read_star
+
+    work = _work(spark, "folded")
+    states = parse.flight_state_parse(fx.flight_state_messages(spark, sf))
+    early, late = _early_late()
+    for i, cond in [(0, early), (1, ~early & ~late), (None, None), (1, ~early & ~late), (2, late), (None, None)]:
+        if i is None:
+            fold_dimensions(spark, work)
+        else:
+            load_star_batch(states.filter(cond), i, work)
+    return _listed(read_star(spark, work))
+
+
+def _listed(t) -> DataFrame:
+    """The five dimensions as one list."""
     text, flag, number = F.lit(None).cast("string"), F.lit(None).cast("boolean"), F.lit(None).cast("double")
     rows = [
         ("dim_pays", "pk_pays", flag, text, number, text),
@@ -417,6 +511,64 @@ def q_snapshot_extrapolate_steps(spark, sf):
     return parse.positional_to_named(out, _EXTRAPOLATED_FIELDS, keep=("snap", "time", "pos"), convert=True)
 
 
+def q_snapshot_extrapolate_steps16(spark, sf):
+    """R1 over typed columns, 16 generator cycles in closed form."""
+    snaps = fx.snapshot_rows(spark, sf)
+    prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
+    job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
+    return extrapolate.extrapolate_named(snaps, prev, job_time, SNAPSHOT_FIELDS[:17], by=["snap"], steps=16)
+
+
+def _paged(states: DataFrame, size: int = 5) -> DataFrame:
+    """Snapshot states as pages of ``size`` with long names, positions from 0 in each."""
+    no = F.floor(F.col("pos") / F.lit(size)).cast("int")
+    name = F.concat(F.date_format("snap", "yyyy-MM-dd'T'HH"), F.lit("-page"), (no + 1).cast("string"))
+    return states.select(F.unix_seconds(F.col("snap").cast("timestamp")).alias("time"), name.alias("page"),
+                         no.alias("page_no"), (F.col("pos") % size).alias("pos"), "state")
+
+
+def q_snapshot_table_pair(spark, sf):
+    """K9 + J5: the two latest snapshots of a table whose pages were stored out
+    of order (some twice), paired by list position."""
+    from flightlake.operators import snapshots
+
+    path = f"{_work(spark, 'snapshots')}/table"
+    pages = _paged(fx.snapshot_states(spark, sf))
+    for load, cond in [("b", F.col("page_no") % 2 == 1), ("a", F.col("page_no") % 2 == 0),
+                       ("a", F.col("page_no") % 2 == 0), ("c", F.col("page_no") == 1)]:
+        snapshots.write_snapshot(pages.filter(cond), path, load_id=load)
+    previous, current = snapshots.latest_two(spark, path)
+    name = F.try_variant_get(F.get("state", 0), "$", "string")
+    return (current.select("time", "pos", name.alias("icao24"))
+            .join(previous.select("pos", name.alias("previous_icao24")), "pos", "left"))
+
+
+def q_snapshot_documents_back(spark, sf):
+    """R1 + K9: generated snapshots as whole documents in pieces, as text files,
+    and back through the parser and the snapshot table."""
+    from flightlake.operators import snapshots
+
+    work = _work(spark, "documents")
+    snaps = fx.snapshot_states(spark, sf)
+    prev = snaps.withColumn("snap", F.col("snap") + F.expr("INTERVAL 1 HOUR"))
+    job_time = F.unix_seconds(F.col("snap").cast("timestamp")) + F.lit(30)
+    docs = extrapolate.to_documents(extrapolate.extrapolate(snaps, prev, job_time, by=["snap"]), by=["snap"], page_size=5)
+    docs.select("page_no", "value").write.partitionBy("page_no").text(f"{work}/documents")
+    back = parse.snapshot_split(spark.read.text(f"{work}/documents"), keep=("page_no",))
+    snapshots.write_snapshot(back.withColumn("page", F.concat(F.lit("p"), F.col("page_no").cast("string"))), f"{work}/table")
+    stored = snapshots.numbered(snapshots.read_snapshots_table(spark, f"{work}/table").drop("day"))
+    return parse.positional_to_named(stored, _EXTRAPOLATED_FIELDS, convert=True)
+
+
+def q_snapshot_files(spark, sf):
+    """S3: snapshot documents from files, one in each."""
+    from flightlake.sources.streams import read_snapshots
+
+    work = _work(spark, "snapshot-files")
+    fx.snapshot_documents(spark, sf).write.option("maxRecordsPerFile", 1).text(f"{work}/docs")
+    return parse.positional_to_named(read_snapshots(spark, f"{work}/docs"))
+
+
 def q_snapshot_split(spark, sf):
     return parse.positional_to_named(parse.snapshot_split(fx.snapshot_documents(spark, sf)))
 
@@ -466,11 +618,28 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_extrapolate_steps": q_snapshot_extrapolate_steps,
         "state_mapping_binary": q_state_mapping_binary,
         "airport_ingestion_time": q_airport_ingestion_time,
-        "fleet_status_stored": _stored(lambda fact: _r6(
-            dash.fleet_status(fact, LO, HI), "Vitesse moyenne (km/h)", "Altitude géo moyenne (m)")),
+        "fleet_status_stored": _stored(lambda fact, dims, times: _r6(
+            dash.fleet_status(fact, LO, HI, times), "Vitesse moyenne (km/h)", "Altitude géo moyenne (m)")),
         "status_share_stored": _stored(
-            lambda fact: dash.share_of_total(dash.status_split(fact, LO, HI), "nb_avions")),
-        "altitude_bands_stored": _stored(lambda fact: dash.altitude_bands(fact, LO, HI)),
+            lambda fact, dims, times: dash.share_of_total(dash.status_split(fact, LO, HI, times), "nb_avions")),
+        "altitude_bands_stored": _stored(lambda fact, dims, times: dash.altitude_bands(fact, LO, HI, times=times)),
+        "live_map_stored": _stored(lambda fact, dims, times: dash.live_map(fact, *(dims or (None,) * 3), lo=LO, hi=HI)),
+        "status_over_time_stored": _stored(lambda fact, dims, times: dash.status_over_time(fact, dims, LO, HI)),
+        "vertical_over_time_stored": _stored(lambda fact, dims, times: dash.vertical_over_time(fact, dims, LO, HI)),
+        "upsert_folded_batches": q_upsert_folded_batches,
+        "fact_closed_days": q_fact_closed_days,
+        "airport_routed_folded": q_airport_routed_folded,
+        "airport_quarantine": q_airport_quarantine,
+        "fact_stream_restart": q_fact_stream_restart,
+        "batch_metrics": q_batch_metrics,
+        "snapshot_extrapolate_steps16": q_snapshot_extrapolate_steps16,
+        "snapshot_table_pair": q_snapshot_table_pair,
+        "snapshot_documents_back": q_snapshot_documents_back,
+        "snapshot_files": q_snapshot_files,
+        "status_over_time_order": _ordered(q_status_over_time),
+        "vertical_over_time_order": _ordered(q_vertical_over_time),
+        "altitude_bands_order": _ordered(q_altitude_bands),
+        "country_options_order": _ordered(q_country_options),
         "fact_two_streams": q_fact_two_streams,
         "snapshot_star_stream": q_snapshot_star_stream,
         "airport_routed_stored": q_airport_routed_stored,

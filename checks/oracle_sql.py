@@ -124,12 +124,16 @@ Q["dim_aircraft"] = STAR + "SELECT * FROM dim_aeronef"
 Q["dim_position"] = STAR + "SELECT * FROM dim_position"
 Q["fact_state"] = STAR + "SELECT * FROM fact"
 
-Q["fleet_status"] = STAR + """
-SELECT CASE WHEN COALESCE(on_ground, false) = FALSE THEN 'en vol' ELSE 'au sol' END AS etat,
- COUNT(fk_aeronef) AS "Nb avions",
- round(AVG(velocity) * 3.6, 6) AS "Vitesse moyenne (km/h)",
- round(AVG(geo_altitude), 6) AS "Altitude géo moyenne (m)"
-FROM latest GROUP BY 1"""
+# The rows of the last reading, by their ground flag (unknown counts as in the air).
+_LAST_ROWS = """
+sides AS (
+ SELECT on_ground IS TRUE AS down, count(fk_aeronef) AS n, avg(velocity) AS speed, avg(geo_altitude) AS height
+ FROM fact WHERE fk_temps = (SELECT ts FROM last_ts) GROUP BY down)"""
+LAST = STAR.rstrip() + "," + _LAST_ROWS + "\n"
+
+Q["fleet_status"] = LAST + """
+SELECT if(down, 'au sol', 'en vol') AS etat, n AS "Nb avions", round(speed * 3.6, 6) AS "Vitesse moyenne (km/h)",
+ round(height, 6) AS "Altitude géo moyenne (m)" FROM sides"""
 
 # The dimensions hold every key of the fact, so "has a row in all three" is read
 # off the states themselves; a position counts where both coordinates are set and not 0.
@@ -154,11 +158,8 @@ Q["status_over_time"] = STAR + """
 SELECT fk_temps AS timestamp, count(*) FILTER (on_ground IS NOT TRUE) AS en_vol,
  count(*) FILTER (on_ground IS TRUE) AS au_sol""" + _KNOWN
 
-Q["status_share"] = STAR + """
-SELECT etat, nb_avions, nb_avions / SUM(nb_avions) OVER () AS share FROM (
- SELECT CASE WHEN COALESCE(on_ground, false) = FALSE THEN 'en vol' ELSE 'au sol' END AS etat,
-  COUNT(fk_aeronef) AS nb_avions
- FROM latest GROUP BY 1)"""
+Q["status_share"] = LAST + """
+SELECT if(down, 'au sol', 'en vol') AS etat, n AS nb_avions, n / (SELECT sum(n) FROM sides) AS share FROM sides"""
 
 Q["top_countries"] = STAR + """
 SELECT fk_pays, COUNT(DISTINCT fk_aeronef) AS nb_aeronefs
@@ -168,10 +169,11 @@ Q["vertical_over_time"] = STAR + """
 SELECT fk_temps AS timestamp, count(*) FILTER (on_ground IS NOT TRUE AND vertical_rate > 0) AS en_montee,
  count(*) FILTER (on_ground IS NOT TRUE AND vertical_rate < 0) AS en_descente""" + _KNOWN
 
+# 500 m bands by whole metres, both toward zero; rows without altitude are a band.
 Q["altitude_bands"] = STAR + """
-SELECT CAST(CAST(round_even(geo_altitude, 0) AS INTEGER) // 500 * 500 AS BIGINT) AS altitude_bucket,
- COUNT(DISTINCT fk_aeronef) AS nb_avions_uniques
-FROM latest WHERE COALESCE(on_ground, false) = FALSE
+SELECT m - m % 500 AS altitude_bucket, count(DISTINCT fk_aeronef) AS nb_avions_uniques
+FROM (SELECT fk_aeronef, CAST(round_even(geo_altitude, 0) AS BIGINT) AS m FROM fact
+      WHERE fk_temps = (SELECT ts FROM last_ts) AND on_ground IS NOT TRUE)
 GROUP BY 1 ORDER BY 1 NULLS LAST"""
 
 Q["country_options"] = STAR + """
@@ -354,11 +356,12 @@ Q["upsert_two_batches"] = STAR + "SELECT * FROM dim_position"
 
 # The fact loaded through the file stream equals the batch fact, with
 # ``last_contact`` at whole seconds (messages carry epoch seconds).
-Q["fact_state_stream"] = STAR + """
+_STORED_FACT = """
 SELECT fk_temps, fk_aeronef, fk_position, fk_pays, baro_altitude, geo_altitude, velocity,
  vertical_rate, true_track, on_ground, spi, position_source,
  date_trunc('second', last_contact) AS last_contact
 FROM fact"""
+Q["fact_state_stream"] = STAR + _STORED_FACT
 
 Q["fact_two_streams"] = Q["fact_state_stream"]
 
@@ -409,5 +412,59 @@ UNION ALL SELECT event_id, 1, NULL, NULL, NULL, NULL, NULL FROM events"""
 
 Q["state_mapping_binary"] = Q["state_mapping"]
 Q["airport_ingestion_time"] = AIR + "SELECT true AS stamped, count(*) AS n_rows FROM enriched"
-for _name in ("fleet_status", "status_share", "altitude_bands"):
+for _name in ("fleet_status", "status_share", "altitude_bands", "live_map", "status_over_time", "vertical_over_time"):
     Q[f"{_name}_stored"] = Q[_name]
+for _name, _by in (("status_over_time", "timestamp"), ("vertical_over_time", "timestamp"),
+                   ("altitude_bands", "altitude_bucket NULLS LAST"), ("country_options", "nom_pays")):
+    Q[f"{_name}_order"] = f"SELECT *, row_number() OVER (ORDER BY {_by}) - 1 AS position FROM ({Q[_name]})"
+
+Q["upsert_folded_batches"] = Q["upsert_stored_batches"]
+Q["fact_closed_days"] = Q["fact_state_stream"]
+Q["airport_routed_folded"] = Q["airport_routed_stored"]
+Q["fact_stream_restart"] = STAR + f"SELECT *, (SELECT count(*) FROM states) AS messages FROM ({_STORED_FACT})"
+
+# Pages of ten customers a source; every second, third and fourth of five is broken.
+Q["airport_quarantine"] = _with(ITEMS) + """
+SELECT CASE page % 5 WHEN 1 THEN 'not json ' || source || page
+  WHEN 2 THEN '["' || source || '",' || page || ']'
+  ELSE '{"source_data":"' || source || '","page":' || page || ',"items":[]}' END AS raw
+FROM (SELECT DISTINCT coalesce(source_data, 'none') AS source, seq // 100 AS page FROM items)
+WHERE page % 5 IN (1, 2, 3)"""
+
+Q["batch_metrics"] = _with(STATES).rstrip() + """,
+loads AS (SELECT *, if(seq % 3 = 0, 0, 2) AS b, latitude IS NOT NULL AND longitude IS NOT NULL AS placed FROM states),
+counts AS (
+ SELECT CAST(b AS BIGINT) AS batch_id, count(DISTINCT origin_country) AS dim_pays, count(DISTINCT callsign) AS dim_vol,
+  count(DISTINCT time_position) AS dim_temps, count(DISTINCT icao24) AS dim_aeronef,
+  count(DISTINCT (latitude, longitude)) FILTER (placed) AS dim_position,
+  count(*) FILTER (placed AND time_position IS NOT NULL) AS fait_etat_vol
+ FROM loads GROUP BY b)
+SELECT batch_id, target, n_rows FROM counts
+UNPIVOT (n_rows FOR target IN (dim_pays, dim_vol, dim_temps, dim_aeronef, dim_position, fait_etat_vol))"""
+
+Q["snapshot_files"] = Q["snapshot_split"]
+
+
+def _far(f: str, cast: str = "DOUBLE") -> str:
+    """16 rounds of ``x = (x - p) + x`` at once."""
+    c, p = f"CAST(c.{f} AS {cast})", f"CAST(p.{f} AS {cast})"
+    return f"coalesce({c} + CAST(65535 AS {cast}) * ({c} - {p}), {c})"
+
+
+_T30 = "CAST(epoch(c.snap) AS BIGINT) + 30"
+Q["snapshot_extrapolate_steps16"] = _with(STATES, SNAPS) + f"""
+SELECT c.snap, {_T30} AS time, CAST(c.pos AS INTEGER) AS pos, c.icao24, c.callsign, c.origin_country,
+ {_T30} AS time_position, {_T30} AS last_contact,
+ {", ".join(f"{_far(f)} AS {f}" for f in ("longitude", "latitude", "baro_altitude", "velocity", "true_track",
+                                           "vertical_rate", "geo_altitude"))},
+ {_ground(2)} AS on_ground, CAST(NULL AS INTEGER[]) AS sensors, c.squawk,
+ {_far("spi", "BIGINT")} AS spi, {_far("position_source", "BIGINT")} AS position_source
+FROM snaps c LEFT JOIN snaps p ON p.snap + INTERVAL 1 HOUR = c.snap AND p.pos = c.pos"""
+
+Q["snapshot_documents_back"] = f"SELECT * EXCLUDE (snap) FROM ({Q['snapshot_extrapolate']})"
+
+Q["snapshot_table_pair"] = _with(STATES, SNAPS).rstrip() + """,
+ends AS (SELECT DISTINCT snap FROM snaps ORDER BY snap DESC LIMIT 2)
+SELECT CAST(epoch(c.snap) AS BIGINT) AS time, CAST(c.pos AS INTEGER) AS pos, c.icao24, p.icao24 AS previous_icao24
+FROM snaps c LEFT JOIN snaps p ON p.pos = c.pos AND p.snap = (SELECT min(snap) FROM ends)
+WHERE c.snap = (SELECT max(snap) FROM ends)"""

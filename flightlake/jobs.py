@@ -5,7 +5,8 @@
   airport-stream   airport envelopes (Kafka topic or drop folder) -> 8 tables
   extrapolate      next snapshot from the two latest in a snapshot table
   snapshot-ingest  snapshot documents -> snapshot table
-  compact          folded copy of the stored star tables
+  fold             fold complete batches of the stored tables while streams run
+  compact          folded copy of stored star tables at rest
   dashboard        one dashboard query over the stored tables, printed or saved
 
 Credentials for JDBC come from the environment variables named by
@@ -15,6 +16,7 @@ Credentials for JDBC come from the environment variables named by
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import os
 import sys
 import time
@@ -63,13 +65,15 @@ def airport_stream(args) -> None:
             "password": os.environ.get(args.jdbc_password_env, ""),
             "driver": args.jdbc_driver}}
     q = start(_source(spark, args), args.checkpoint, tables_path=args.tables, jdbc=jdbc,
-              trigger=_trigger(args), show=args.show, metrics_path=args.metrics)
+              trigger=_trigger(args), show=args.show, metrics_path=args.metrics,
+              quarantine_path=args.quarantine)
     q.awaitTermination()
 
 
 def extrapolate(args) -> None:
     from flightlake.operators import snapshots
     from flightlake.operators.extrapolate import extrapolate as run
+    from flightlake.operators.extrapolate import to_documents
     spark = _session(args)
     prev, curr = snapshots.latest_two(spark, args.snapshots)
     if curr is None:
@@ -80,7 +84,11 @@ def extrapolate(args) -> None:
               fix_booleans=args.fix_booleans)
     # Generated snapshots go to their own table: the pair read above stays
     # the two latest real snapshots (cycle n of a generator is --steps n).
-    snapshots.write_snapshot(nxt, args.output)
+    if args.documents:
+        documents = to_documents(nxt, page_size=args.page_size)
+        documents.select("page_no", "value").write.partitionBy("page_no").text(args.documents)
+    else:
+        snapshots.write_snapshot(nxt, args.output)
 
 
 def snapshot_ingest(args) -> None:
@@ -90,7 +98,20 @@ def snapshot_ingest(args) -> None:
     from flightlake.sources.streams import read_messages
     spark = _session(args)
     write_snapshot(snapshot_split(read_messages(spark, args.inbox, whole_file=True)), args.snapshots,
-                   page=args.page)
+                   page=args.page, page_no=args.page_no, load_id=args.load_id)
+
+
+def fold(args) -> None:
+    """Dimensions, days of the fact before a date, and routed tables."""
+    from flightlake.operators.route import fold_routed
+    from flightlake.plans.star_load import close_days, fold_dimensions
+    spark = _session(args)
+    if args.warehouse:
+        print(fold_dimensions(spark, args.warehouse))
+        if args.close_before:
+            print({"closed": close_days(spark, args.warehouse, args.close_before)})
+    if args.tables:
+        print({"routed": fold_routed(spark, args.tables)})
 
 
 def compact(args) -> None:
@@ -101,31 +122,37 @@ def compact(args) -> None:
 def dashboard(args) -> None:
     from flightlake.plans import airfields as air
     from flightlake.plans import dashboard as dash
-    from flightlake.plans.star_load import read_star
+    from flightlake.plans.star_load import dashboard_tables, read_star
     from flightlake.operators import filters, route
+    from flightlake.sources.streams import read_table
     spark = _session(args)
     lo, hi = args.lo, args.hi
     if args.query in ("q9", "q10", "q11", "q12"):
         table = {"q9": "airfields", "q10": "hotspots", "q11": "airfields", "q12": "airports"}
-        t = filters.adhoc_filter(route.read_routed(spark, args.tables, table[args.query]), args.filter)
+        stored = (read_table(spark, args.table) if args.table
+                  else route.read_routed(spark, args.tables, table[args.query]))
+        t = filters.adhoc_filter(stored, args.filter)
         out = {"q9": air.airfield_preview, "q10": air.hotspot_geo_score,
                "q11": air.airfield_table, "q12": air.country_altitude}[args.query](t)
     else:
-        s = read_star(spark, args.warehouse)
-        fact = filters.country_filter(s["fait_etat_vol"], args.country)
+        fact, dims, times = dashboard_tables(spark, args.warehouse)
+        whole = fact
+        fact = filters.country_filter(fact, args.country)
         fact = filters.adhoc_filter(fact, args.filter)
+        if fact is not whole:
+            times = None  # the last reading of the rows that are left
         if args.last_minutes is not None:  # the dashboards' default window
-            fact = filters.last_minutes(fact, args.last_minutes)
-        dims = (s["dim_aeronef"], s["dim_position"], s["dim_pays"])
+            now = dt.datetime.now(dt.timezone.utc)
+            lo, hi = now - dt.timedelta(minutes=args.last_minutes), now
         out = {
-            "q1": lambda: dash.fleet_status(fact, lo, hi),
-            "q2": lambda: dash.live_map(fact, *dims, lo=lo, hi=hi),
+            "q1": lambda: dash.fleet_status(fact, lo, hi, times),
+            "q2": lambda: dash.live_map(fact, *(dims or (None,) * 3), lo=lo, hi=hi),
             "q3": lambda: dash.status_over_time(fact, dims, lo, hi),
-            "q4": lambda: dash.share_of_total(dash.status_split(fact, lo, hi), "nb_avions"),
+            "q4": lambda: dash.share_of_total(dash.status_split(fact, lo, hi, times), "nb_avions"),
             "q5": lambda: dash.top_countries(fact, lo, hi),
             "q6": lambda: dash.vertical_over_time(fact, dims, lo, hi),
-            "q7": lambda: dash.altitude_bands(fact, lo, hi),
-            "q8": lambda: dash.country_options(s["dim_pays"]),
+            "q7": lambda: dash.altitude_bands(fact, lo, hi, times=times),
+            "q8": lambda: dash.country_options(read_star(spark, args.warehouse)["dim_pays"]),
         }[args.query]()
     if args.output:
         out.write.mode("overwrite").parquet(args.output)
@@ -172,11 +199,14 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--jdbc-user-env", default="FLIGHTLAKE_JDBC_USER")
     a.add_argument("--jdbc-password-env", default="FLIGHTLAKE_JDBC_PASSWORD")
     a.add_argument("--show", action="store_true")
+    a.add_argument("--quarantine", default=None, help="folder for messages that yield no item")
     a.set_defaults(func=airport_stream)
 
     e = sub.add_parser("extrapolate")
     e.add_argument("--snapshots", required=True, help="real snapshot table (partitioned by time)")
-    e.add_argument("--output", required=True, help="table for generated snapshots")
+    e.add_argument("--output", help="table for generated snapshots")
+    e.add_argument("--documents", default=None, help="new folder for whole documents (JSON text), instead of a table")
+    e.add_argument("--page-size", type=int, default=10_000, help="states of a document, at most")
     e.add_argument("--job-time", type=int, default=None)
     e.add_argument("--key-index", type=int, default=None)
     e.add_argument("--steps", type=int, default=1)
@@ -187,8 +217,16 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--inbox", required=True, help="snapshot documents, one in a file")
     i.add_argument("--snapshots", required=True)
     i.add_argument("--page", default="0", help="name of this page of the snapshots")
+    i.add_argument("--page-no", type=int, default=None, help="its place among the pages; default: the number that its name is")
+    i.add_argument("--load-id", default=None, help="a load written again under its id replaces itself")
     i.set_defaults(func=snapshot_ingest)
 
+    o = sub.add_parser("fold")
+    o.add_argument("--warehouse", help="star tables")
+    o.add_argument("--close-before", default=None, help="date; earlier days of the fact are rewritten in order")
+    o.add_argument("--tables", default=None, help="folder of the 8 airport tables")
+    o.set_defaults(func=fold)
+
     c = sub.add_parser("compact")
     c.add_argument("--warehouse", required=True)
     c.add_argument("--output", required=True, help="new folder")
@@ -198,6 +236,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("query", choices=[f"q{i}" for i in range(1, 13)])
     d.add_argument("--warehouse")
     d.add_argument("--tables")
+    d.add_argument("--table", default=None, help="q9-q12: one plain parquet table instead of --tables")
     d.add_argument("--lo", default=None)
     d.add_argument("--hi", default=None)
     d.add_argument("--last-minutes", type=int, default=None,
@@ -216,6 +255,8 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
     if getattr(args, "clean_source", None) == "archive" and not args.archive_dir:
         p.error("--clean-source archive needs --archive-dir")
+    if args.command == "extrapolate" and not (args.output or args.documents):
+        p.error("extrapolate needs --output or --documents")
     args.func(args)
 
 

@@ -103,14 +103,33 @@ def snapshot_states_with_raw(df: DataFrame, col: str = "value") -> DataFrame:
 AIRPORT_TEXT_COLUMNS = ["name", "icao", "iata", "country"]
 
 
+def airport_envelopes_with_raw(df: DataFrame, col: str = "value") -> DataFrame:
+    """Parsed envelopes as ``data``, the text of the message as ``_raw``, and
+    ``_bad`` where it yields no item: text that is no envelope, or one without
+    items. So one parse feeds both the tables and the quarantine."""
+    env = df.select(as_text(df, col).alias("_raw")).withColumn("data", F.from_json("_raw", AIRPORT_ENVELOPE_SCHEMA))
+    return env.withColumn("_bad", F.coalesce(F.size("data.items"), F.lit(0)) <= 0)
+
+
+def airport_quarantine(df: DataFrame, col: str = "value") -> DataFrame:
+    """Airport messages that yield no item, kept with their raw text."""
+    return quarantined(airport_envelopes_with_raw(df, col))
+
+
 def airport_parse(df: DataFrame, col: str = "value") -> DataFrame:
     """Envelope -> one row per airport item, flattened; nulls in the four
     text fields become "N/A".
 
-    ``explode`` drops null/empty ``items``. ``F.get`` returns null for a short
-    ``coordinates`` array instead of failing under ANSI mode.
+    ``explode`` drops null/empty ``items`` (``airport_quarantine`` keeps such
+    messages).
     """
     env = df.select(F.from_json(as_text(df, col), AIRPORT_ENVELOPE_SCHEMA).alias("data"))
+    return airport_rows(env)
+
+
+def airport_rows(env: DataFrame) -> DataFrame:
+    """The items of parsed envelopes (``data``). ``F.get`` returns null for a
+    short ``coordinates`` array instead of failing under ANSI mode."""
     items = env.select(F.col("data.source_data").alias("source_data"),
                        F.explode("data.items").alias("airport"))
     coords = F.col("airport.geometry.coordinates")
@@ -128,15 +147,16 @@ def airport_parse(df: DataFrame, col: str = "value") -> DataFrame:
 
 # --- snapshots (P8, P9) -----------------------------------------------------
 
-def snapshot_split(df: DataFrame, col: str = "value") -> DataFrame:
+def snapshot_split(df: DataFrame, col: str = "value", keep: tuple = ()) -> DataFrame:
     """Snapshot documents -> one row per state vector.
 
     Output: ``time`` (document epoch), ``pos`` (list position) and ``state``
     (ARRAY<VARIANT>, which keeps the difference between ``"7000"`` and
-    ``7000`` and between JSON null and a missing element).
+    ``7000`` and between JSON null and a missing element), after the columns of
+    the message named in ``keep`` (a page number).
     """
-    doc = df.select(F.from_json(as_text(df, col), SNAPSHOT_DDL).alias("d"))
-    rows = doc.select(F.col("d.time").alias("time"),
+    doc = df.select(*keep, F.from_json(as_text(df, col), SNAPSHOT_DDL).alias("d"))
+    rows = doc.select(*keep, F.col("d.time").alias("time"),
                       F.posexplode("d.states").alias("pos", "state"))
     # A null element is an empty record: a state without values, at its place.
     return rows.withColumn("state", F.coalesce("state", F.array().cast("array<variant>")))

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flightlake.operators.enrich import airport_enrich
 from flightlake.operators.parse import airport_parse
-from flightlake.operators.upsert import BATCH, LOADED, STREAM, append_batch, read_batches
+from flightlake.operators import folds
+from flightlake.operators.upsert import BATCH, LOADED, STREAM, append_batch
 from flightlake.schemas import AIRPORT_SOURCES
 
 UNROUTED = "__unrouted__"
@@ -45,10 +47,23 @@ def write_routed(df: DataFrame, path: str, batch_id: int, stream_id: str = "batc
     append_batch(df.filter(routable(sources)), path, stream_id, batch_id, ("source_data",))
 
 
+SOURCE = StructField("source_data", StringType())
+
+
+def _schema(spark) -> StructType:
+    return airport_enrich(airport_parse(spark.createDataFrame([], "value string"))).schema
+
+
 def read_all_routed(spark, path: str) -> DataFrame:
-    """All eight tables; a folder without rows reads as empty."""
-    schema = airport_enrich(airport_parse(spark.createDataFrame([], "value string"))).schema
-    return read_batches(spark, path, schema).drop(LOADED, STREAM, BATCH)
+    """All eight tables, their folds included; a folder without rows reads as empty."""
+    return folds.read_folded(spark, path, _schema(spark), SOURCE).drop(LOADED, STREAM, BATCH)
+
+
+def fold_routed(spark, path: str, tables=None) -> str | None:
+    """Fold the complete batches of the eight tables (or of ``tables``) while
+    streams write them: their files then follow their size, not the batches."""
+    return folds.fold(spark, path, _schema(spark), lambda rows: folds.spread(rows, SOURCE.name), SOURCE,
+                      only=(lambda c: c.isin(list(tables))) if tables else None)
 
 
 def read_routed(spark, path: str, name: str) -> DataFrame:

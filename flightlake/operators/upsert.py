@@ -5,8 +5,9 @@ A batch writes only its own rows, one per key for a dimension, under
 replay key: a replayed batch overwrites its own folder and no other, and two
 streams, or a stream with a new checkpoint (which counts batches from 0 again),
 have ids of their own and cannot meet. Reading a dimension keeps one row per
-key, the one loaded last, so the cost of a batch is the batch's size; the
-compaction job (``plans.star_load.compact``) folds batches into a new folder.
+key, the one loaded last, so the cost of a batch is the batch's size;
+``operators.folds`` folds complete batches while the streams run, and the
+compaction job (``plans.star_load.compact``) copies a table at rest.
 
 Tables are read with their declared schema: a missing folder, or one where no
 batch has written rows yet, is an empty table.
@@ -26,6 +27,7 @@ STREAM = "stream_id"
 BATCH = "batch_id"
 LOADED = "loaded_at"
 DAY = "day"
+DAY_FIELD = StructField(DAY, DateType())
 
 
 def merge_upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -43,12 +45,18 @@ def append_batch(rows: DataFrame, path: str, stream_id: str, batch_id: int,
      .partitionBy(*partition, STREAM, BATCH).parquet(path))
 
 
-def read_batches(spark: SparkSession, path: str, schema: StructType,
-                 with_day: bool = False) -> DataFrame:
-    """All batches of a table with ``schema`` and the storage columns."""
+def storage_schema(schema: StructType, unit: StructField | None = None) -> StructType:
+    """``schema`` with the storage columns, and ``unit`` if it is none of its columns."""
     extra = [StructField(LOADED, TimestampType()), StructField(STREAM, StringType()),
-             StructField(BATCH, LongType())] + [StructField(DAY, DateType())] * with_day
-    full = StructType([*schema.fields, *extra])
+             StructField(BATCH, LongType())]
+    return StructType([*schema.fields, *extra, *([unit] if unit and unit.name not in schema.names else [])])
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType,
+                 unit: StructField | None = None) -> DataFrame:
+    """All batches of a table with ``schema`` and the storage columns. ``unit``
+    is the column of the outer folders, if there is one."""
+    full = storage_schema(schema, unit)
     if not path_exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
@@ -60,8 +68,10 @@ def latest_rows(batches: DataFrame, key: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
-    """A dimension: one row per key, without the storage columns."""
-    return latest_rows(read_batches(spark, path, schema), key).drop(LOADED, STREAM, BATCH)
+    """A dimension, its folds included: one row per key, without the storage columns."""
+    from flightlake.operators.folds import read_folded
+
+    return latest_rows(read_folded(spark, path, schema), key).drop(LOADED, STREAM, BATCH)
 
 
 def fact_layout(rows: DataFrame, time_col: str = "fk_temps") -> DataFrame:
@@ -74,8 +84,3 @@ def fact_layout(rows: DataFrame, time_col: str = "fk_temps") -> DataFrame:
 def append_fact(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
     """Append one batch's rows, in their ``fact_layout``, by day."""
     append_batch(rows, path, stream_id, batch_id, (DAY,))
-
-
-def read_fact(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The fact with its ``day`` column kept, so time filters prune days."""
-    return read_batches(spark, path, schema, with_day=True).drop(LOADED, STREAM, BATCH)

@@ -9,7 +9,11 @@ Plan notes (100 TB scale):
   partitions when the fact has them;
 * "rows at the last reading" compares against a scalar subquery (the max of
   one pruned column), so no join and no broadcast is involved;
-* dimension joins that only test existence are semi joins on the key; the
+* the last reading comes from the stored reading times where they are given
+  (``times``), so that the fact is read once, and only that day;
+* a warehouse that records that its fact keys hold needs no dimension join
+  (``star_load.dashboard_tables``); else
+  dimension joins that only test existence are semi joins on the key; the
   planner broadcasts a dimension only when its measured size is under the
   threshold (AQE re-checks at run time), so the position dimension, which
   grows with the fact, becomes a shuffle join at scale;
@@ -31,18 +35,26 @@ from flightlake.operators.filters import (
 from flightlake.operators.joins import exists_in
 
 
-def at_last_reading(fact: DataFrame, lo=None, hi=None, col: str = "fk_temps") -> DataFrame:
+def at_last_reading(fact: DataFrame, lo=None, hi=None, col: str = "fk_temps",
+                    times: DataFrame | None = None) -> DataFrame:
     """Fact rows whose time equals the single latest time in the range (A1 + J4).
 
     Exact equality, like the reference: with one reading time per aircraft
     few rows match; with snapshot-stamped feeds all rows of the snapshot do.
+
+    ``times`` holds the reading times of the whole ``fact`` (column ``col``):
+    the latest one then comes from there, not from the fact. Leave it out for a
+    fact that has been filtered by anything but time.
     """
     in_range = time_range(fact, col, lo, hi)
-    times = in_range
-    if DAY_COL in fact.columns:
-        # The last day with rows comes first: partition values alone without a range.
-        times = in_range.filter(F.col(DAY_COL) == in_range.agg(F.max(DAY_COL)).scalar())
-    last = times.agg(F.max(col)).scalar()
+    if times is not None:
+        readings = time_range(times, col, lo, hi)
+    elif DAY_COL in fact.columns and hi is None:
+        # The last day with rows comes first, by partition values alone.
+        readings = in_range.filter(F.col(DAY_COL) == fact.agg(F.max(DAY_COL)).scalar())
+    else:
+        readings = in_range
+    last = readings.agg(F.max(col)).scalar()
     cond = F.col(col) == last
     if DAY_COL in fact.columns:
         # Prunes the main scan to the one day partition holding that time.
@@ -50,10 +62,10 @@ def at_last_reading(fact: DataFrame, lo=None, hi=None, col: str = "fk_temps") ->
     return in_range.filter(cond)
 
 
-def fleet_status(fact: DataFrame, lo=None, hi=None) -> DataFrame:
+def fleet_status(fact: DataFrame, lo=None, hi=None, times: DataFrame | None = None) -> DataFrame:
     """Q1: at the last reading, per air/ground state: aircraft rows, mean km/h,
     mean geometric altitude."""
-    latest = at_last_reading(fact, lo, hi)
+    latest = at_last_reading(fact, lo, hi, times=times)
     return (latest.groupBy(status_label("on_ground").alias("etat"))
             .agg(F.count("fk_aeronef").alias("Nb avions"),
                  kmh(F.avg("velocity")).alias("Vitesse moyenne (km/h)"),
@@ -70,32 +82,40 @@ def _live_map_order() -> list[Column]:
            [F.col(c).asc_nulls_last() for c in LIVE_MAP_ORDER[2:]]
 
 
-def live_map(fact: DataFrame, dim_aeronef: DataFrame, dim_position: DataFrame,
-             dim_pays: DataFrame, lo=None, hi=None,
+def live_map(fact: DataFrame, dim_aeronef: DataFrame | None = None, dim_position: DataFrame | None = None,
+             dim_pays: DataFrame | None = None, lo=None, hi=None,
              derived_position_keys: bool = True) -> DataFrame:
     """Q2: latest state per aircraft (within the range, at a valid position)
     with its coordinates, country and air/ground label.
 
     ``derived_position_keys`` (true for tables built by ``operators.star``)
     applies the coordinate check to the fact's key too, before the joins.
+    Without dimensions (a fact whose keys all hold, of the same builders) the
+    coordinates and the country are read off the keys, and nothing is joined:
+    the rows are dealt out once, by aircraft, with one row a task and aircraft.
     """
     f = time_range(fact, "fk_temps", lo, hi).select(
         "fk_aeronef", "fk_position", "fk_pays", "fk_temps", "last_contact",
         "on_ground", "geo_altitude")
-    if derived_position_keys:
+    if derived_position_keys or dim_aeronef is None:
         f = f.filter(position_key_valid("fk_position"))
-    pos = dim_position.filter(valid_coordinates()).select(
-        F.col("pk_position"), "latitude", "longitude")
-    pays = dim_pays.select("pk_pays", "nom_pays")
-    # The aircraft check goes last, as an inner join on the key column alone:
-    # when it is a shuffle join, its partitioning on fk_aeronef is the one the
-    # per-aircraft window needs, so the window adds no shuffle. (A semi join
-    # would be pushed below the other joins by the optimizer. A repeated key
-    # could only repeat identical rows, of which rn = 1 keeps one.)
-    aircraft = dim_aeronef.select(F.col("pk_aeronef"))
-    j = (f.join(pos, F.col("fk_position") == F.col("pk_position"))
-         .join(pays, F.col("fk_pays") == F.col("pk_pays"))
-         .join(aircraft, F.col("fk_aeronef") == F.col("pk_aeronef")))
+    if dim_aeronef is None:
+        parts = F.split(F.col("fk_position"), "_")
+        j = f.select("*", F.get(parts, 0).cast("double").alias("latitude"), F.get(parts, 1).cast("double").alias("longitude"),
+                     F.col("fk_pays").alias("nom_pays"))
+    else:
+        pos = dim_position.filter(valid_coordinates()).select(
+            F.col("pk_position"), "latitude", "longitude")
+        pays = dim_pays.select("pk_pays", "nom_pays")
+        # The aircraft check goes last, as an inner join on the key column alone:
+        # when it is a shuffle join, its partitioning on fk_aeronef is the one the
+        # per-aircraft window needs, so the window adds no shuffle. (A semi join
+        # would be pushed below the other joins by the optimizer. A repeated key
+        # could only repeat identical rows, of which rn = 1 keeps one.)
+        aircraft = dim_aeronef.select(F.col("pk_aeronef"))
+        j = (f.join(pos, F.col("fk_position") == F.col("pk_position"))
+             .join(pays, F.col("fk_pays") == F.col("pk_pays"))
+             .join(aircraft, F.col("fk_aeronef") == F.col("pk_aeronef")))
     w = Window.partitionBy("fk_aeronef").orderBy(*_live_map_order())
     latest = j.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
     return latest.select(
@@ -136,9 +156,9 @@ def status_over_time(fact: DataFrame, dims=None, lo=None, hi=None) -> DataFrame:
             .orderBy(F.col("timestamp").asc_nulls_last()))
 
 
-def status_split(fact: DataFrame, lo=None, hi=None) -> DataFrame:
+def status_split(fact: DataFrame, lo=None, hi=None, times: DataFrame | None = None) -> DataFrame:
     """Q4: aircraft rows in the air / on the ground at the last reading."""
-    latest = at_last_reading(fact, lo, hi)
+    latest = at_last_reading(fact, lo, hi, times=times)
     return (latest.groupBy(status_label("on_ground").alias("etat"))
             .agg(F.count("fk_aeronef").alias("nb_avions")))
 
@@ -180,12 +200,13 @@ def vertical_over_time(fact: DataFrame, dims=None, lo=None, hi=None) -> DataFram
             .orderBy(F.col("timestamp").asc_nulls_last()))
 
 
-def altitude_bands(fact: DataFrame, lo=None, hi=None, width: int = 500) -> DataFrame:
+def altitude_bands(fact: DataFrame, lo=None, hi=None, width: int = 500,
+                   times: DataFrame | None = None) -> DataFrame:
     """Q7: distinct airborne aircraft per ``width`` m band of geometric altitude
     at the last reading. The altitude is rounded half-to-even to an integer,
     then integer-divided (toward zero); a null altitude forms its own band,
     sorted last."""
-    latest = at_last_reading(fact, lo, hi).filter(airborne("on_ground"))
+    latest = at_last_reading(fact, lo, hi, times=times).filter(airborne("on_ground"))
     band = fixed_band(round_half_even_int("geo_altitude"), width)
     return (latest.groupBy(band.alias("altitude_bucket"))
             .agg(F.count_distinct("fk_aeronef").alias("nb_avions_uniques"))

@@ -87,3 +87,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
     except Exception:  # noqa: BLE001
         return False
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern``, through the Hadoop FileSystem of its scheme."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and all in it; a missing one is fine."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.schemas import AIRPORT_SOURCES
+from flightlake.schemas import AIRPORT_SOURCES, SNAPSHOT_FIELDS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,8 +124,11 @@ def airport_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def airport_envelopes(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+def airport_envelopes(spark: SparkSession, sf_dir: str, page_size: int = 100,
+                      with_malformed: bool = False) -> DataFrame:
     """Airport items wrapped as JSON envelopes (the raw feed form ``value``).
+    ``with_malformed`` replaces those of some pages by text that is not JSON, a
+    JSON array, or an envelope without items.
 
     One message per (source, page of ``page_size`` items): a group never holds
     more than ``page_size`` items, whatever the scale.
@@ -148,7 +151,15 @@ def airport_envelopes(spark: SparkSession, sf_dir: str, page_size: int = 100) ->
         F.transform("its", lambda x: x["item"]).alias("items"),
         F.col("source_data"),
     )
-    return env.select(F.to_json(body).alias("value"))
+    value = F.to_json(body)
+    if with_malformed:
+        page = F.col("page").cast("string")
+        name = F.coalesce("source_data", F.lit("none"))
+        value = (F.when(F.col("page") % 5 == 1, F.concat(F.lit("not json "), name, page))
+                 .when(F.col("page") % 5 == 2, F.concat(F.lit('["'), name, F.lit('",'), page, F.lit("]")))
+                 .when(F.col("page") % 5 == 3, F.concat(F.lit('{"source_data":"'), name, F.lit('","page":'), page, F.lit(',"items":[]}')))
+                 .otherwise(value))
+    return env.select(value.alias("value"))
 
 
 # State-vector positions of a snapshot document built from the
@@ -159,12 +170,11 @@ SNAPSHOT_LAYOUT = ["icao24", "callsign", "origin_country", "time_position", "las
                    "position_source"]
 
 
-def snapshot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot per hour of ``last_contact`` (FIXTURES.md §8): the latest
-    state of each aircraft in that hour, listed in ``icao24`` order.
-
-    Output ``snap`` (hour, TIMESTAMP_NTZ), ``pos`` (list position) and
-    ``state`` (ARRAY<VARIANT>, epochs in seconds). Positions are numbered by
+    state of each aircraft in that hour, listed in ``icao24`` order, as typed
+    columns (``schemas.SNAPSHOT_FIELDS``, epochs in seconds) after ``snap`` (hour,
+    TIMESTAMP_NTZ) and ``pos`` (list position). Positions are numbered by
     ``assign_positions``, so no task holds a whole snapshot.
     """
     from flightlake.operators.dedup import latest_per_key
@@ -177,10 +187,15 @@ def snapshot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = assign_positions(latest, ["snap"], "icao24")
     epoch = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
     typed = {"time_position": epoch("time_position"), "last_contact": epoch("last_contact"),
-             "position_source": F.col("position_source").cast("bigint")}
-    elems = [F.lit(None).cast("variant") if name is None
-             else typed.get(name, F.col(name)).cast("variant") for name in SNAPSHOT_LAYOUT]
-    return ranked.select("snap", "pos", F.array(*elems).alias("state"))
+             "position_source": F.col("position_source").cast("bigint"),
+             "sensors": F.lit(None).cast("array<int>")}
+    return ranked.select("snap", "pos", *[typed.get(n, F.col(n)).alias(n) for n, _ in SNAPSHOT_FIELDS[:17]])
+
+
+def snapshot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``snapshot_rows`` as ``snap``, ``pos`` and ``state`` (ARRAY<VARIANT>)."""
+    elems = [F.lit(None).cast("variant") if name is None else F.col(name).cast("variant") for name in SNAPSHOT_LAYOUT]
+    return snapshot_rows(spark, sf_dir).select("snap", "pos", F.array(*elems).alias("state"))
 
 
 def snapshot_documents(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataFrame:

@@ -12,14 +12,14 @@ import json
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.operators.enrich import airport_enrich
 from flightlake.operators.parse import (
-    airport_parse, flight_state_parse_with_raw, map_flight_state, quarantined,
-    snapshot_states_with_raw,
+    airport_envelopes_with_raw, airport_rows, flight_state_parse_with_raw, map_flight_state,
+    quarantined, snapshot_states_with_raw,
 )
 from flightlake.operators.route import route_counts, routable, write_routed
 from flightlake.operators.upsert import append_batch
@@ -136,28 +136,64 @@ def write_airport_batch(df: DataFrame, batch_id: int, tables_path: str | None =
         rows.unpersist()
 
 
+QUARANTINED = "__quarantined__"
+
+
+def write_airport_messages(raw: DataFrame, batch_id: int, tables_path: str | None = None,
+                           jdbc: dict | None = None, show: bool = False,
+                           metrics_path: str | None = None, stream: str = "batch",
+                           quarantine_path: str | None = None) -> dict[str, int]:
+    """One batch of raw envelopes (D8-D10): parsed once, routed, and the
+    messages that yield no item kept with their text under ``quarantine_path``
+    and counted as ``__quarantined__``."""
+    parsed = airport_envelopes_with_raw(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = write_airport_batch(airport_enrich(airport_rows(parsed.filter(~F.col("_bad")))), batch_id,
+                                     tables_path, jdbc, show, stream=stream)
+        bad = quarantined(parsed)
+        if quarantine_path:
+            seen = Observation("quarantined")
+            append_batch(bad.observe(seen, F.count(F.lit(1)).alias("rows")), quarantine_path, stream, batch_id)
+            n_bad = seen.get.get("rows", 0)
+        else:
+            n_bad = bad.count() if metrics_path else 0
+        if n_bad:
+            counts = {**counts, QUARANTINED: n_bad}
+        if metrics_path and counts:
+            write_metrics(raw.sparkSession, counts, batch_id, metrics_path, "airports", stream)
+        return counts
+    finally:
+        parsed.unpersist()
+
+
 def airport_stream(raw: DataFrame, checkpoint: str, tables_path: str | None = None,
                    jdbc: dict | None = None, trigger="10 seconds", show: bool = False,
-                   query_name: str | None = None,
-                   metrics_path: str | None = None) -> StreamingQuery:
+                   query_name: str | None = None, metrics_path: str | None = None,
+                   quarantine_path: str | None = None) -> StreamingQuery:
     """D8 -> D9 -> D10 as one streaming query with a checkpoint.
 
     ``show=True`` prints each batch from inside the same query (one source
     read) instead of a second console query reading the topic again.
     """
-    enriched = airport_enrich(airport_parse(raw))
-
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        write_airport_batch(df, batch_id, tables_path, jdbc, show, metrics_path=metrics_path,
-                            stream=stream_id(df.sparkSession, checkpoint))
+        write_airport_messages(df, batch_id, tables_path, jdbc, show, metrics_path,
+                               stream_id(df.sparkSession, checkpoint), quarantine_path)
 
-    w = (enriched.writeStream.foreachBatch(write_batch).outputMode("update")
+    w = (raw.select("value").writeStream.foreachBatch(write_batch).outputMode("update")
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
 
 
+def message_archive(raw: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
+    """A second query on the same source, which keeps every message as it
+    came (parquet; Spark's file sink writes each batch once)."""
+    w = (raw.select("value").writeStream.outputMode("append").format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
 def console_stream(df: DataFrame, checkpoint: str, trigger="10 seconds",
                    truncate: bool = False) -> StreamingQuery:
     """K6: a separate console query (reads the source by itself)."""
