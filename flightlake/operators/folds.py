@@ -142,12 +142,17 @@ def fold(spark: SparkSession, path: str, schema: StructType, combine: Callable[[
      .partitionBy(FOLD, *([name_of] if unit else [])).parquet(f"{_root(path)}/rows"))
     lines = [(held.run + 1, u, s, n, held.folds[u]) for u, b in held.bounds.items() if u not in units for s, n in b.items()]
     lines += [(held.run + 1, u, s, n, name) for u in units for s, n in ({**held.bounds.get(u, {}), **complete}).items()]
-    (spark.createDataFrame(lines, _MARKS).coalesce(1).write.mode("append")
-     .partitionBy("run").parquet(f"{_root(path)}/marks"))
+    _put_marks(spark, path, lines)
     _clean(spark, path, name_of, held)
     return name
 
 
+def _put_marks(spark: SparkSession, path: str, lines: list[tuple]) -> None:
+    """The marks of a run as one file: there as a whole or not at all."""
+    (spark.createDataFrame(lines, _MARKS).coalesce(1).write.mode("append")
+     .partitionBy("run").parquet(f"{_root(path)}/marks"))
+
+
 def _clean(spark: SparkSession, path: str, unit_col: str | None, held: Marks) -> None:
     """Delete what no reader by the marks ``held`` (the run before the newest)
     needs: older runs, folds that neither names, batches that it covers."""
