@@ -14,19 +14,21 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import heapq
 import re
 from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-#: Chunks remembered by a Python worker; the memo starts anew beyond it.
-MEMO_SIZE = 300_000
+from .common import Memo
+
+#: Pre-tokens and chunks remembered by a Python worker, at least; twice as many at most.
+MEMO_SIZE = 200_000
 
 #: Unicode white space, as pattern classes read ``\s``.
 _S = "\t-\r \x85\xa0  -     　"
@@ -39,7 +41,7 @@ class PerfectHash:
     buckets, and each bucket, the fullest first, takes the first seed that
     sends its keys to free slots. ``get`` verifies the key it finds."""
 
-    def __init__(self, keys: list[bytes], per_bucket: int = 4):
+    def __init__(self, keys: list[bytes], per_bucket: int = 3):
         self.n = len(keys)
         self.buckets = max(1, -(-self.n // per_bucket))
         self.seed = [0] * self.buckets
@@ -49,30 +51,29 @@ class PerfectHash:
         hashes = [xxhash.xxh3_64_intdigest(k) for k in keys]
         for i, h in enumerate(hashes):
             held[h % self.buckets].append(i)
-        free = np.ones(self.n, bool)
+        free = bytearray(b"\1") * self.n
         singles = []
         for b in sorted(range(self.buckets), key=lambda b: -len(held[b])):
             if len(held[b]) < 2:
                 singles += [(b, i) for i in held[b]]
                 continue
-            own = np.array([hashes[i] for i in held[b]], np.uint64)
-            seed = 1
-            while True:
-                at = self._slots(own, seed)
-                if free[at].all() and len(set(at.tolist())) == len(at):
-                    break
+            own, seed, slots = [hashes[i] for i in held[b]], 0, []
+            while len(slots) < len(own):
                 seed += 1
+                slots = []
+                for h in own:  # until one is taken
+                    s = self._slot(h, seed)
+                    if not free[s] or s in slots:
+                        break
+                    slots.append(s)
             self.seed[b] = seed
-            free[at] = False
-            for i, s in zip(held[b], at.tolist()):
+            for i, s in zip(held[b], slots):
+                free[s] = 0
                 self.keys[s], self.values[s] = keys[i], i
-        for (b, i), s in zip(singles, np.flatnonzero(free).tolist()):
+        for (b, i), s in zip(singles, (s for s in range(self.n) if free[s])):
             self.seed[b] = -s - 1  # a bucket of one key names its slot
             self.keys[s], self.values[s] = keys[i], i
 
-    def _slots(self, h: np.ndarray, seed: int) -> np.ndarray:
-        return np.array([self._slot(int(x), seed) for x in h])
-
     def _slot(self, h: int, seed: int) -> int:
         x = (h ^ (seed * 0x9E3779B97F4A7C15)) & 0xFFFFFFFFFFFFFFFF
         return ((x * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF) >> 32) % self.n
@@ -87,47 +88,44 @@ class PerfectHash:
         return self.values[s] if self.keys[s] == key else -1
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the pair of lowest rank, leftmost first, is joined
-    until no adjacent pair is in the vocabulary."""
-    n = len(piece)
-    end = list(range(1, n + 1))   # of the part that starts here; 0: joined to another
-    before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        r = ranks.get(piece[i:i + 2])
-        if r is not None:
-            heap.append((r, i, i + 2))
+def pairs_of(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Rank of the token that two tokens make, by ``left << 32 | right``."""
+    return {left << 32 | right: r for token, r in ranks.items() for k in range(1, len(token))
+            if (left := ranks.get(token[:k])) is not None and (right := ranks.get(token[k:])) is not None}
+
+
+def merge(ids: list[int], pairs: dict[int, int]) -> list[int]:
+    """Ids of one pre-token from the ids of its bytes: the pair of lowest rank,
+    leftmost first, is joined until no adjacent pair is in the vocabulary. The
+    parts are linked; the heap holds ``rank << 32 | place``, and an entry whose
+    place has another rank by now is passed over."""
+    n, rank = len(ids), pairs.get
+    wanted = [rank(a << 32 | b) for a, b in zip(ids, ids[1:])]
+    wanted.append(None)
+    heap = [r << 32 | i for i, r in enumerate(wanted) if r is not None]
+    if not heap:
+        return ids
     heapq.heapify(heap)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     while heap:
-        r, i, stop = heapq.heappop(heap)
-        mid = end[i]
-        if not mid or mid >= n or end[mid] != stop:
-            continue  # one of the two has changed since
-        end[i], end[mid] = stop, 0
+        top = heapq.heappop(heap)
+        r, i = top >> 32, top & 0xFFFFFFFF
+        if wanted[i] != r:
+            continue
+        gone = after[i]
+        stop = after[i] = after[gone]
+        ids[i], ids[gone], wanted[gone], wanted[i] = r, -1, None, None
         if stop < n:
             before[stop] = i
-            r = ranks.get(piece[i:end[stop]])
-            if r is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
+            w = wanted[i] = rank(r << 32 | ids[stop])
+            if w is not None:
+                heapq.heappush(heap, w << 32 | i)
         p = before[i]
         if p >= 0:
-            r = ranks.get(piece[p:stop])
-            if r is not None:
-                heapq.heappush(heap, (r, p, stop))
-    return [ranks[piece[i:e]] for i, e in enumerate(end) if e]
-
-
-class _Memo(dict):
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, chunk):
-        ids = self.encode(chunk)
-        if len(self) >= MEMO_SIZE:
-            self.clear()
-        self[chunk] = ids
-        return ids
+            w = wanted[p] = rank(ids[p] << 32 | r)
+            if w is not None:
+                heapq.heappush(heap, w << 32 | p)
+    return [t for t in ids if t >= 0]
 
 
 class Codec:
@@ -141,19 +139,23 @@ class Codec:
         self.ids = list(self.ranks.values())
         self.whole = PerfectHash(self.tokens)
         self.bytes_of = dict(zip(self.ids, self.tokens))
-        self.text_of = {i: str(i) for i in self.ids}
-        self.memo = _Memo(self._chunk)
+        self.pairs = pairs_of(self.ranks)
+        self.byte_ids = [self.ranks[bytes([b])] for b in range(256)]
+        self.pieces = Memo(self._piece, MEMO_SIZE)
+        self.memo = Memo(self._chunk, MEMO_SIZE)
+        self.digests = Memo(self._digest, MEMO_SIZE)
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        b = piece.encode()
+        at = self.whole.get(b)
+        return (self.ids[at],) if at >= 0 else tuple(merge([self.byte_ids[x] for x in b], self.pairs))
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for t in self.pattern.findall(chunk):
-            b = t.encode()
-            at = self.whole.get(b)
-            if at >= 0:
-                out.append(self.ids[at])
-            else:
-                out += merge(b, self.ranks)
-        return tuple(out)
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(chunk))))
+
+    def _digest(self, chunk: str) -> tuple[int, bytes, bytes]:
+        ids = self._chunk(chunk)
+        return len(ids), b"".join(b"%d," % i for i in ids), self.decode(ids)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.memo.__getitem__, _CHUNK.findall(text))))
@@ -161,11 +163,29 @@ class Codec:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def round_trip(self, text: str) -> tuple[int, str, str]:
+        """Number of ids of a text, and the SHA-256 of these as decimals joined
+        by commas and of the bytes they decode to. A chunk's decimals and
+        decoded bytes are remembered together, a few thousand are joined at once."""
+        n, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
+        chunks = _CHUNK.findall(text)
+        for at in range(0, len(chunks), 4096):
+            counts, decimals, decoded = zip(*map(self.digests.__getitem__, chunks[at:at + 4096]))
+            n += sum(counts)
+            shown = b"".join(decimals)
+            ids_hash.update(shown if at + 4096 < len(chunks) else shown[:-1])
+            text_hash.update(b"".join(decoded))
+        return n, ids_hash.hexdigest(), text_hash.hexdigest()
+
 
 @functools.cache
 def codec(rank_path: str, pattern: str) -> Codec:
     """One codec for each Python worker; the files are read where the task runs."""
-    return Codec(rank_path, pattern)
+    made = Codec(rank_path, pattern)
+    # Its tables stay, and remembered ids hold no cycles: collections need not look for them often.
+    gc.freeze()
+    gc.set_threshold(100_000, 20, 100)
+    return made
 
 
 def _texts(column) -> list[str]:
@@ -215,12 +235,8 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     def run(batches):
         c = codec(rank_path, pattern)
         for b in batches:
-            n, ids_hash, text_hash = [], [], []
-            for text in b.column("text"):
-                ids = c.encode(text.as_py() or "")
-                n.append(len(ids))
-                ids_hash.append(hashlib.sha256(",".join(map(c.text_of.__getitem__, ids)).encode()).hexdigest())
-                text_hash.append(hashlib.sha256(c.decode(ids)).hexdigest())
+            got = [c.round_trip(t) for t in _texts(b.column("text"))]
+            n, ids_hash, text_hash = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

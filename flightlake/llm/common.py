@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+import weakref
 
 import pyarrow as pa
 import zstandard
@@ -35,6 +38,53 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
 
 
+def free_name(df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    return f"_{uuid.uuid4().hex}"
+
+
+#: What a Python worker keeps between the tasks of one operator.
+_memos: weakref.WeakSet = weakref.WeakSet()
+_kept: list = []
+_operator = [""]
+
+
+def keeps(forget):
+    """Have ``forget()`` called when a task of another operator begins."""
+    _kept.append(forget)
+
+
+def lean(run):
+    """``run(batches)`` for ``mapInArrow``, by a worker that many operators
+    share: what another operator remembered is dropped at the start, and the
+    memory of the task's arrays and objects goes back to the system at its end."""
+    operator = run.__module__
+
+    def task(batches):
+        if _operator[0] != operator:
+            _operator[0] = operator
+            for m in list(_memos):
+                m.clear()
+                m.before = {}
+            for forget in _kept:
+                forget()
+            _release()
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return task
+
+
+def _release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone
+    if trim is not None:
+        trim(0)
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text``; empty for null."""
     parts = F.split(F.coalesce(text, F.lit("")), f"{SPACE}+")
@@ -59,7 +109,7 @@ def packed(df: DataFrame) -> DataFrame:
             texts = [z.compress(t.as_buffer().to_pybytes()) if t.is_valid else None for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()) if n == "text" else b.column(n) for n in names], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def unpacked(df: DataFrame, schema, edit=None, by: str | None = None) -> DataFrame:
@@ -75,4 +125,25 @@ def unpacked(df: DataFrame, schema, edit=None, by: str | None = None) -> DataFra
                      for t, v in zip(b.column("text"), values)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
+
+
+class Memo(dict):
+    """Values made from their keys, of which between ``size`` and twice as many
+    are remembered: those used since the last but one time ``size`` were made."""
+
+    def __init__(self, make, size: int):
+        self.make, self.size, self.before = make, size, {}
+        _memos.add(self)
+
+    __hash__ = object.__hash__
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value

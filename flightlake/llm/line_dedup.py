@@ -2,9 +2,8 @@
 
 A line is the set of its words (A-Z as a-z). Two lines match when the Jaccard
 similarity of their sets is 0.8 or more; a line goes if it matches a line
-before it, by (doc_id, line number), in the input. The query and the pipeline
-compare every line that has a word (``EVERY``); by default lines of under
-``MIN_WORDS`` distinct words stay.
+before it, by (doc_id, line number), in the input. Every line that has a word
+is compared; with ``min_words``, those of at least so many.
 
 1. Words are ordered by rarity: the frequent ones by their counts, a table of
    bounded size, and before them all others, by hash. Any fixed order gives the
@@ -39,13 +38,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, stored, unpacked
+from .common import free_name, lean, packed, stored, unpacked
 
-MIN_WORDS = 5
-#: ``min_words`` of the query and the pipeline: all lines but those without words.
+#: ``min_words`` by default: all lines but those without words are compared.
 EVERY = 1
-#: Words of the sets whose prefix is one word and that match only their equals.
-SHORT = 4
+#: Words of the sets that match only their equals: four of five words are alike enough.
+SHORT = 3
 #: Jaccard threshold in percent.
 PERCENT = 80
 #: Words that are ordered by their counts, at most.
@@ -93,7 +91,7 @@ def rarity(texts: DataFrame, ranked: int = RANKED) -> np.ndarray:
         if words:
             yield rows(words)
 
-    words = stored(texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
+    words = stored(texts.select("text").mapInArrow(lean(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
     power = F.floor(F.log2("c")).cast("int")
     by_power = sorted(words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)  # at most 64 rows
     least, n = 64, 0
@@ -200,7 +198,7 @@ def cells(docs: DataFrame, ranks, min_words: int) -> DataFrame:
         if words:
             yield rows()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in _CELL))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), ", ".join(f"{c} long" for c in _CELL))
 
 
 def _copies(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -362,7 +360,7 @@ def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
             yield from answer(True)
 
     return (cell.repartition("word").sortWithinPartitions("word", "doc_id", "line")
-            .mapInArrow(run, _LISTS + ", word long, low long, high long, packed long"))
+            .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long"))
 
 
 def _tiled(rows: DataFrame, named: int | None, group: int) -> DataFrame:
@@ -412,7 +410,7 @@ def _tiled(rows: DataFrame, named: int | None, group: int) -> DataFrame:
             yield from answer({k: np.concatenate(v) for k, v in held.items()})
 
     return (dealt.repartition("word", "one", "two").sortWithinPartitions("word", "one", "two", "doc_id", "line")
-            .mapInArrow(run, _LISTS + ", word long, low long, high long, packed long").select("doc_id", "line", "others", "more", "word"))
+            .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long").select("doc_id", "line", "others", "more", "word"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -461,13 +459,12 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         out.append((doc, line))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["doc_id", "line"])
 
-    fetched = texts.join(lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(
-        fetch, "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
+    fetched = texts.join(lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
     return (fetched.repartition("at_doc", "at_line").sortWithinPartitions("at_doc", "at_line", F.desc("is_other"))
-            .mapInArrow(verify, "doc_id long, line long").distinct())
+            .mapInArrow(lean(verify), "doc_id long, line long").distinct())
 
 
-def removed(docs: DataFrame, min_words: int = MIN_WORDS, named: int = NAMED, group: int = GROUP) -> DataFrame:
+def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group: int = GROUP) -> DataFrame:
     """``doc_id, line`` (from 0) of the lines that go; ``doc_id`` as long."""
     ranks = docs.sparkSession.sparkContext.broadcast(rarity(docs))
     found = stored(_named(cells(docs, ranks, min_words), named, group), "named")
@@ -488,7 +485,7 @@ def removed(docs: DataFrame, min_words: int = MIN_WORDS, named: int = NAMED, gro
     return copies.unionByName(matched).distinct()
 
 
-def digest(docs: DataFrame, min_words: int = MIN_WORDS, named: int = NAMED, group: int = GROUP) -> DataFrame:
+def digest(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group: int = GROUP) -> DataFrame:
     """``doc_id, n_removed, removed`` (line numbers, ascending, joined by
     commas) of each distinct doc_id; a null one has none."""
     lists = (removed(docs, min_words, named, group).groupBy("doc_id")
@@ -499,13 +496,16 @@ def digest(docs: DataFrame, min_words: int = MIN_WORDS, named: int = NAMED, grou
         "doc_id", F.size(lines).cast("long").alias("n_removed"), F.array_join(lines.cast("array<string>"), ",").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, named: int = NAMED) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = EVERY, named: int = NAMED) -> DataFrame:
     """``docs`` with the matched lines cut out of ``text``; a document whose
-    lines all go keeps an empty text."""
-    lists = removed(docs, min_words, named).groupBy("doc_id").agg(F.collect_set("line").alias("_lines")).withColumnRenamed("doc_id", "_id")
-    def keep(text: bytes, gone: list[int] | None) -> bytes:
-        gone = set(gone or ())
-        return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in gone) if gone else text
-
-    joined = packed(docs).withColumn("_id", F.col("doc_id").cast("long")).join(lists, "_id", "left")
-    return unpacked(joined.select(*docs.columns, "_lines"), docs.schema, keep, "_lines")
+    lines all go keeps an empty text. All other columns stay, whatever their names."""
+    key, gone = free_name(docs), free_name(docs)
+    lists = (removed(docs, min_words, named).groupBy("doc_id").agg(F.collect_set("line").alias(gone))
+             .withColumnRenamed("doc_id", key))
+
+    def keep(text: bytes, lines: list[int] | None) -> bytes:
+        cut = set(lines or ())
+        return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in cut) if cut else text
+
+    joined = packed(docs).withColumn(key, F.col("doc_id").cast("long")).join(lists, key, "left")
+    return unpacked(joined.select(*docs.columns, gone), docs.schema, keep, gone)

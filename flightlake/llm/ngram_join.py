@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, stored, unpacked
+from .common import lean, packed, stored, unpacked
 from .components import components
 
 SHINGLE = 5
@@ -100,7 +100,7 @@ def rows(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n", "sig", "prefix"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, sig long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, n long, sig long, prefix array<long>")
 
 
 def whole_rows(texts: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def whole_rows(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("sig"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], names=["sig", "cols"])
 
-    return texts.select("sig", "text").mapInArrow(run, "sig long, cols array<long>")
+    return texts.select("sig", "text").mapInArrow(lean(run), "sig long, cols array<long>")
 
 
 def links_of_part(keys: list[int], cols: list[np.ndarray], hub: int, known: list[int], second: list[bool]) -> list[tuple[int, int]]:
@@ -179,7 +179,7 @@ def _links(parts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return (parts.select("hub", "one", "two", "part", "sig", "label", "cols").repartition("hub", "one", "two")
-            .sortWithinPartitions("hub", "one", "two").mapInArrow(run, "a long, b long"))
+            .sortWithinPartitions("hub", "one", "two").mapInArrow(lean(run), "a long, b long"))
 
 
 def tiles(rows: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:

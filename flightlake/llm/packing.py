@@ -18,44 +18,38 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Memo, keeps, lean, stored
 
 CAPACITY = 4096
 END_ID = 1
-#: Chunks and pre-tokens remembered by a Python worker.
-MEMO_SIZE = 250_000
+#: Pieces, and words of other characters, remembered by a Python worker, at least; twice as many at most.
+MEMO_SIZE = 100_000
 #: Parts in which the pieces of one length are ranked.
 SHARDS = 64
 
-#: Words on which lower case and composition are the same for every library.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ňŊ-ž]+")
+#: White space of a word split, and text on which lower case and composition are the same for every library.
+_SPACE = " \t-\r"
+_PLAIN = re.compile(f"[!-~À-ÖØ-öø-įı-ňŊ-ž{_SPACE}]*")
 _LETTER = "a-zß-öø-ž"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
-
-
-class _Memo(dict):
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, key):
-        made = self.make(key)
-        if len(self) >= MEMO_SIZE:
-            self.clear()
-        self[key] = made
-        return made
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}{_SPACE}]+")
+_WORD = re.compile(f"[^{_SPACE}]+")
+_BREAK = re.compile(f"[{_SPACE}]")
+#: Characters that are split at once.
+_SLICE = 1 << 16
 
 
 class WordIds:
     """Ids of whole texts by a tokenizer that lower-cases and drops white
-    space: no token crosses white space, so words are encoded one by one and
-    remembered. Plain words go straight to the tokenizer's merge model, all
-    others through the whole tokenizer."""
+    space: no token crosses white space. Plain text is cut into pieces, which go
+    straight to the tokenizer's merge model and are remembered; words of other
+    characters go through the whole tokenizer."""
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
@@ -67,23 +61,31 @@ class WordIds:
         hidden = [b for b in range(256) if b not in shown]
         #: The byte alphabet: printable bytes as they are, others from 256 on.
         self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)} | {b: chr(b) for b in shown}
-        self.pieces = _Memo(self._piece)
-        self.words = _Memo(self._word)
+        self.pieces = Memo(self._piece, MEMO_SIZE)
+        self.words = Memo(self._word, MEMO_SIZE)
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = piece.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word):
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(word.lower())))
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def __call__(self, text: bytes) -> bytes:
+    def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return b"".join(map(self.words.__getitem__, text.split()))
+        out, at = [], 0
+        while at < len(text):
+            cut = _BREAK.search(text, at + _SLICE)
+            part = text[at:cut.start()] if cut else text[at:]
+            at += len(part)
+            if _PLAIN.fullmatch(part):
+                out.append(b"".join(map(self.pieces.__getitem__, _PIECE.findall(part.lower()))))
+            else:
+                out.append(b"".join(map(self.words.__getitem__, _WORD.findall(part))))
+        return b"".join(out)
 
 
 @functools.cache
@@ -91,6 +93,9 @@ def word_ids(tokenizer_path: str) -> WordIds:
     return WordIds(tokenizer_path)
 
 
+keeps(word_ids.cache_clear)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every piece of ``docs``."""
     def run(batches):
@@ -98,7 +103,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         for b in batches:
             rows = ([], [], [], [], [])
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                ids = ids_of(text.as_buffer().to_pybytes() if text.is_valid else b"") + last
+                ids = ids_of(text.as_py() or "") + last
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for to, x in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part))):
@@ -108,8 +113,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                                              names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def _pair(counts: np.ndarray, gap: int, most: int) -> tuple[int, ...] | None:
@@ -224,5 +228,4 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
     kept = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kind = dict(docs.dtypes)["doc_id"]
-    return placed.select(*kept, "rank").mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return placed.select(*kept, "rank").mapInArrow(lean(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, stored, unpacked
+from .common import free_name, keeps, lean, packed, stored, unpacked
 
 LEAST = 200
 #: Bytes of an anchor, at most half of ``least``.
@@ -62,6 +62,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 _POWERS: list[np.ndarray] = []
+keeps(_POWERS.clear)
 
 
 def hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -185,7 +186,7 @@ def _spans_of(texts: DataFrame, least: int, hashes_only: bool) -> DataFrame:
                     arrays.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(columns[5])], pa.int32()), pa.array(columns[6])))
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return texts.select("sig", "text").mapInArrow(run, ", ".join(f"{n} {'array<long>' if n == 'at' else 'long'}" for n in names))
+    return texts.select("sig", "text").mapInArrow(lean(run), ", ".join(f"{n} {'array<long>' if n == 'at' else 'long'}" for n in names))
 
 
 def _with_content(texts: DataFrame, spans: DataFrame, least: int) -> DataFrame:
@@ -205,7 +206,7 @@ def _with_content(texts: DataFrame, spans: DataFrame, least: int) -> DataFrame:
                     rows += [{**s, "sig": sig, "content": data[s["lo"]:s["hi"]], "near": 0, "far": far} for s in spans.as_py()]
             yield pa.RecordBatch.from_pylist(rows, schema=_ITEM)
 
-    return texts.join(lists, "sig").select("sig", "text", "spans").mapInArrow(run, _ITEM_SQL)
+    return texts.join(lists, "sig").select("sig", "text", "spans").mapInArrow(lean(run), _ITEM_SQL)
 
 
 #: near, far: the least and the most bytes from a start to its anchor that the item's bucket is for.
@@ -250,7 +251,7 @@ def _groups(items: DataFrame, least: int, shortest: int, as_spans: bool) -> Data
 
     names = ["sig", "lo", "hi"] if as_spans else ["repeat", "length", "start", *_PLACE]
     return (items.repartition("key").sortWithinPartitions("key").select(*_ITEM.names)
-            .mapInArrow(run, ", ".join(f"{n} long" for n in names)))
+            .mapInArrow(lean(run), ", ".join(f"{n} long" for n in names)))
 
 
 def _halves(items: DataFrame, least: int, parents: bool = False) -> DataFrame:
@@ -277,7 +278,7 @@ def _halves(items: DataFrame, least: int, parents: bool = False) -> DataFrame:
                                  "of_key": r["key"], "of_lo": r["lo"], "of_hi": r["hi"]})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([*_ITEM, *(pa.field(n, pa.int64()) for n in more)]))
 
-    return items.select(*_ITEM.names).mapInArrow(run, _ITEM_SQL + "".join(f", {n} long" for n in more))
+    return items.select(*_ITEM.names).mapInArrow(lean(run), _ITEM_SQL + "".join(f", {n} long" for n in more))
 
 
 def _classes(spans: DataFrame) -> DataFrame:
@@ -358,7 +359,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 def covered(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
     """``sig, spans`` of every text with repeated parts: a list of (lo, hi) in
     bytes, unordered, overlapping; ``sig`` is the text's hash."""
-    own = _signed(docs).select(F.col("_sig").alias("sig"), F.col("_text").alias("text")).where(F.octet_length("text") >= least)
+    own = _signed(docs.select("text")).select(F.col("_sig").alias("sig"), F.col("_text").alias("text")).where(F.octet_length("text") >= least)
     copies = own.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("hi")).where("n > 1")
     found = search(own, least, bucket).unionByName(
         copies.select("sig", F.lit(0).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi")))
@@ -370,7 +371,7 @@ def covered(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFr
 def repeat_groups(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
     """Maximal repeats inside the spans of one anchor, with all occurrences in
     the distinct texts: ``repeat`` (group), ``length``, ``sig``, ``start``."""
-    own = _signed(docs).select(F.col("_sig").alias("sig"), F.col("_text").alias("text")).where(F.octet_length("text") >= least)
+    own = _signed(docs.select("text")).select(F.col("_sig").alias("sig"), F.col("_text").alias("text")).where(F.octet_length("text") >= least)
     return search(own, least, bucket, False).distinct()
 
 
@@ -414,14 +415,14 @@ def digest(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFra
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return _with_spans(docs.select("doc_id", "text"), least, bucket).select("doc_id", "_text", "_spans").mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(docs.select("doc_id", "text"), least, bucket).select("doc_id", "_text", "_spans").mapInArrow(lean(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text``; a cut inside a
     character drops what is left of it. Null texts stay null."""
-    spans = covered(docs, least, bucket).withColumnRenamed("sig", "_sig").withColumnRenamed("spans", "_spans")
-    signed = docs.withColumn("_sig", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = packed(signed).join(spans, "_sig", "left").select(*docs.columns, "_spans")
-    return unpacked(joined, docs.schema, lambda text, spans: kept_bytes(text, merged(spans)), "_spans")
+    sig, runs = free_name(docs), free_name(docs)
+    spans = covered(docs, least, bucket).select(F.col("sig").alias(sig), F.col("spans").alias(runs))
+    signed = docs.withColumn(sig, F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = packed(signed).join(spans, sig, "left").select(*docs.columns, runs)
+    return unpacked(joined, docs.schema, lambda text, spans: kept_bytes(text, merged(spans)), runs)

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 #: Weight of one more character in the span of a subsequence.
 DECAY = 0.6
 #: Characters of a word that are compared at once; longer words slide by half.
@@ -299,7 +301,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
             got = pa.array(m.scores(b.column(text_col).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], got], names=[*rest, out_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def held_out(doc_id) -> F.col:

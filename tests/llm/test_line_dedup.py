@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flightlake.llm import line_dedup as op
 
 
-def brute(docs, min_words=5):
+def brute(docs, min_words=1):
     """docs: (doc_id, text) rows; lines that match an earlier line."""
     lines = sorted({(d, i, frozenset(x.lower().split())) for d, t in docs if t is not None and d is not None
                     for i, x in enumerate(t.split("\n"))}, key=lambda x: x[:2])
@@ -42,6 +42,8 @@ def test_removed_lines_equal_brute_force(docs_of, monkeypatch, seed, named):
     rows = op.digest(docs_of(texts), named=named).collect()
     got = {r.doc_id: [int(x) for x in r.removed.split(",")] for r in rows if r.n_removed}
     assert got == brute(list(enumerate(texts))) and len(rows) == len(texts)
+    longer = {r.doc_id: [int(x) for x in r.removed.split(",")] for r in op.digest(docs_of(texts), 5, named).collect() if r.n_removed}
+    assert longer == brute(list(enumerate(texts)), 5) != got
 
 
 def test_candidates_hold_all_matches(monkeypatch):
@@ -91,11 +93,12 @@ def test_small_blocks_and_long_texts(docs_of, monkeypatch):
 
 def test_texts_rows_and_columns(spark, docs_of):
     d = docs_of(["keep this line of words\nshort", "short\nKeep this line of words\nother", None, "", "keep this line of words"])
-    d = d.withColumn("sig", F.lit("x")).withColumn("line", F.lit(1)).withColumn("_id", F.lit(2))
-    got = {r.doc_id: r.text for r in op.dedup_lines(d.drop("_id")).collect()}
-    assert got == {0: "keep this line of words\nshort", 1: "short\nother", 2: None, 3: "", 4: ""}
-    assert op.dedup_lines(d.drop("_id")).columns == d.drop("_id").columns
-    assert op.digest(d.limit(0)).count() == 0 and op.dedup_lines(d.limit(0).drop("_id")).count() == 0
+    d = d.withColumns({"sig": F.lit("x"), "line": F.lit(1), "_id": F.lit(2), "_lines": F.lit("y"), "others": F.lit(3)})
+    out = op.dedup_lines(d)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got == {0: "keep this line of words\nshort", 1: "other", 2: None, 3: "", 4: ""}
+    assert out.columns == d.columns and {(r._id, r._lines, r.others) for r in out.collect()} == {(2, "y", 3)}
+    assert op.digest(d.limit(0)).count() == 0 and op.dedup_lines(d.limit(0)).count() == 0
     null = spark.createDataFrame([(None, "keep this line of words", "a", "b", 1)] * 2, docs_of([""]).schema)
     assert [r.text for r in op.dedup_lines(null).collect()] == ["keep this line of words"] * 2
     twice = docs_of(["one two three four five"]).union(docs_of(["one two three four five"]))

@@ -3,6 +3,7 @@ import random
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from flightlake.llm import toxicity
@@ -57,12 +58,14 @@ def repeats(texts, least=200):
 
 
 def test_stages_equal_brute_force(spark, folder):
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns(
+        {c: F.lit(c) for c in ("_score", "score", "_id", "_lines", "_sig", "_spans", "_text", "sig", "line", "rank")})  # carried along
     columns, tables, frames = docs.columns, [], []
     for name, stage in P.STAGES[:-1]:
         docs = P.stored(stage(spark, docs, folder), "test")
         assert docs.columns == columns, name
         rows = docs.collect()
+        assert all(r[c] == c for r in rows for c in columns[5:]), name
         assert all(r.n_chars == len(r.text or "") for r in rows), name
         tables.append({r.doc_id: r.text for r in rows})
         frames.append(docs)
