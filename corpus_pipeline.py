@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import line_dedup, ngram_join, packing, repeats, toxicity
-from flightlake.llm.common import small_batches, stored, table
+from flightlake.llm.common import free_name, small_batches, stored, table
 
 
 def _stage(fn):
@@ -37,12 +37,13 @@ def _counted(docs: DataFrame) -> DataFrame:
 @_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, out_col="_score").where(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+    score = free_name(docs)
+    return toxicity.score(docs, model, out_col=score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 @_stage
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(line_dedup.dedup_lines(docs, line_dedup.EVERY))
+    return _counted(line_dedup.dedup_lines(docs))
 
 
 @_stage
