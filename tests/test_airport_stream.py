@@ -71,3 +71,32 @@ def test_airport_batch_show(spark, scratch, capsys):
     rows = enrich.airport_enrich(parse.airport_parse(fx.airport_envelopes(spark, SF001))).limit(5)
     counts = pipelines.write_airport_batch(rows, 0, show=True)
     assert sum(counts.values()) == 5
+
+
+def test_unreadable_envelopes_are_kept_and_counted(spark, scratch):
+    """Text that is no envelope, and envelopes without items."""
+    good = '{"source_data":"airfields","items":[{"name":"x"}]}'
+    bad = ["not json", '["airfields",1]', '{"source_data":"airfields","items":[]}', '{"source_data":"airfields"}', "{}"]
+    inbox, out = os.path.join(scratch, "inbox"), {k: os.path.join(scratch, k) for k in ("ckpt", "tables", "metrics", "bad")}
+    spark.createDataFrame([(v,) for v in [good, *bad]], "value string").coalesce(1).write.text(inbox)
+    q = pipelines.airport_stream(file_stream(spark, inbox), out["ckpt"], out["tables"], trigger={"availableNow": True},
+                                 metrics_path=out["metrics"], quarantine_path=out["bad"])
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert sorted(r.raw for r in spark.read.parquet(out["bad"]).collect()) == sorted(bad)
+    assert {r.target: r.n_rows for r in spark.read.parquet(out["metrics"]).collect()} == {"airfields": 1, pipelines.QUARANTINED: 5}
+    assert [r.name for r in route.read_routed(spark, out["tables"], "airfields").collect()] == ["x"]
+
+
+def test_routed_tables_fold_while_streams_write(spark, scratch):
+    msgs = fx.airport_envelopes(spark, SF001, page_size=2).persist()
+    tables, n = os.path.join(scratch, "tables"), 8
+    part = F.pmod(F.xxhash64("value"), F.lit(n))
+    for i in range(n):
+        pipelines.write_airport_messages(msgs.filter(part == i), i, tables)
+        if i in (3, 4, 6):
+            route.fold_routed(spark, tables)
+    batch = enrich.airport_enrich(parse.airport_parse(msgs))
+    assert _rows(route.read_all_routed(spark, tables)) == _rows(batch.filter(route.routable()))
+    names = [f for f in route.read_routed(spark, tables, "airfields").inputFiles() if "source_data=airfields" in f]
+    assert len(names) <= 4, names  # a fold, and the batches after it; not one for each batch

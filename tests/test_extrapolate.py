@@ -116,3 +116,80 @@ def test_integer_overflow_becomes_double(spark):
     big = 2 ** 62
     (_, s), = _run(spark, [_row(i16=-big)], [_row(i16=big)])
     assert isinstance(s[16], float) and s[16] == float(3 * big)
+
+
+FIELDS = [("icao24", "string"), ("callsign", "string"), ("origin_country", "string"), ("time_position", "bigint"),
+          ("last_contact", "bigint"), ("longitude", "double"), ("latitude", "double"), ("baro_altitude", "double"),
+          ("on_ground", "boolean"), ("velocity", "double"), ("true_track", "double"), ("vertical_rate", "double"),
+          ("sensors", "array<int>"), ("geo_altitude", "double"), ("squawk", "string"), ("spi", "boolean"),
+          ("position_source", "bigint")]
+RESULT = [(n, "bigint" if n == "spi" else t) for n, t in FIELDS]
+
+
+def _many(seed, n=40):
+    import random
+    r = random.Random(seed)
+    some = lambda *v: r.choice([None, *v])
+    return [_row(i0=f"a{i}", i5=some(1.5, -2.25, 0.0), i6=some(4.0, 8.5), i7=some(100.0), i8=some(True, False), i15=some(True, False),
+                 i16=some(0, 3, 7), i9=some(1.0, 64.0), i12=some([1, 2])) for i in range(n)]
+
+
+def test_named_extrapolation_equals_the_general_one(spark):
+    prev, curr = _many(1, 30), _many(2)
+    for steps in (1, 2, 5):
+        for key, index in ((None, None), ("icao24", 0)):
+            general = extrapolate.extrapolate(_snap(spark, curr, 2), _snap(spark, prev), T, steps=steps, key_index=index)
+            want = parse.positional_to_named(general, RESULT, convert=True)
+            typed = lambda s, t: parse.positional_to_named(_snap(spark, s, t), FIELDS)
+            got = extrapolate.extrapolate_named(typed(curr, 2), typed(prev, 1), T, FIELDS, key=key, steps=steps)
+            assert got.columns == want.columns
+            # Halves and quarters: sums are exact, in steps or at once.
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), (steps, key)
+
+
+def test_named_extrapolation_edges(spark):
+    typed = lambda s, t: parse.positional_to_named(_snap(spark, s, t), FIELDS)
+    curr, prev = [_row(i16=2 ** 62, i8=False), _row(i15=True, i8=True)], [_row(i16=0, i8=True), _row(i15=False, i8=False)]
+    one = extrapolate.extrapolate_named(typed(curr, 2), typed(prev, 1), T, FIELDS, fix_booleans=True).orderBy("pos").collect()
+    assert one[0].position_source is None and one[0].on_ground is False and one[1].spi is True  # past BIGINT; kept
+    far = extrapolate.extrapolate_named(typed(curr, 2), typed(curr, 1), T, FIELDS, steps=100).orderBy("pos").collect()
+    assert far[0].position_source == 2 ** 62 and far[0].longitude == 1.0
+    assert extrapolate.extrapolate_named(typed(curr, 2), None, T, FIELDS).first().time == 2
+    for steps in (0, 1001):
+        try:
+            extrapolate.extrapolate_named(typed(curr, 2), typed(prev, 1), T, FIELDS, steps=steps)
+            raise AssertionError(steps)
+        except ValueError:
+            pass
+
+
+def test_steps_cost_one_expression(spark):
+    typed = lambda s, t: parse.positional_to_named(_snap(spark, s, t), FIELDS)
+    size = lambda n: len(extrapolate.extrapolate_named(typed([_row()], 2), typed([_row()], 1), T, FIELDS, steps=n)
+                         ._jdf.queryExecution().optimizedPlan().toString())
+    assert size(16) < 1.2 * size(2)
+
+
+def test_pages_are_read_in_the_order_of_their_numbers(spark, scratch):
+    path = f"{scratch}/snaps"
+    rows = lambda t, names: _snap(spark, [_row(i0=n) for n in names], t)
+    day = 1_704_100_000
+    pages = {"2024-01-01T00-page2": (2, ["c", "d"]), "2024-01-01T00-page10": (10, ["e"]), "2024-01-01T00-page1": (1, ["a", "b"]),
+             "01": (11, ["f"]), "1": (12, ["g"])}
+    for name, (no, names) in pages.items():
+        snapshots.write_snapshot(rows(day, names), path, page=name, page_no=no)
+    snapshots.write_snapshot(rows(day - 90_000, ["z"]), path)
+    snapshots.write_snapshot(rows(day, ["A", "B"]), path, page="2024-01-01T00-page1", page_no=1, load_id="again")
+    snapshots.write_snapshot(rows(day, ["A", "b"]), path, page="2024-01-01T00-page1", page_no=1, load_id="again")
+    previous, current = snapshots.latest_two(spark, path)
+    names = lambda df: [r.n for r in df.select("pos", F.try_variant_get(F.get("state", 0), "$", "string").alias("n")).orderBy("pos").collect()]
+    assert names(current) == ["A", "b", "c", "d", "e", "f", "g"] and names(previous) == ["z"]
+    assert [r.pos for r in current.orderBy("pos").collect()] == list(range(7))
+
+
+def test_whole_documents_in_pieces(spark):
+    states = [_row(i0=f"a{i}", i14="7000", i16=i) for i in range(7)]
+    docs = extrapolate.to_documents(_snap(spark, states, 5), page_size=3).orderBy("page_no").collect()
+    assert [r.page_no for r in docs] == [0, 1, 2]
+    back = [json.loads(r.value) for r in docs]
+    assert all(d["time"] == 5 for d in back) and [s for d in back for s in d["states"]] == states

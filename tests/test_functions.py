@@ -53,7 +53,7 @@ def test_to_documents(spark):
     df = spark.sql("SELECT 5L AS time, 0 AS pos, "
                    "array(cast('a' as variant), cast(1.5d as variant), cast(null as variant)) AS state")
     r = extrapolate.to_documents(df).first()
-    assert json.loads(r.state_json) == ["a", 1.5, None] and r.time == 5
+    assert json.loads(r.value) == {"time": 5, "states": [["a", 1.5, None]]} and r.time == 5 and r.page_no == 0
 
 
 def test_non_zero(spark):
