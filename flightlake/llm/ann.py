@@ -8,8 +8,10 @@ and pruned where they are too many. Every shard is searched by beam for every
 query, and the shards' nearest are merged. All searches of a shard run in step,
 as array operations over blocks of queries.
 
-Equal vectors are one node; of its rows only the ``top + 1`` of least id can be
-results. Vectors that are null, zero, or hold null or non-finite components
+Vectors of one direction are one node; of the rows of equal vectors only the ``top + 1`` of least id can be
+results. Nodes as near as the last result, or nearly, are all scored on the
+original vectors, and ties (to ``_EQUAL`` decimals) go by id: an index of many parallel vectors is
+looked through as a whole. Vectors that are null, zero, or hold null or non-finite components
 take no part; vectors of another length than the query's are not compared.
 Repeated rows count once. With few vectors, fewer results come back.
 """
@@ -20,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import stored
 
@@ -30,6 +33,12 @@ SHARD = 4096
 DEGREE, BUILD_BEAM, BEAM, ALPHA, ENTRIES = 28, 48, 160, 1.2, 8
 #: Queries searched in step.
 BLOCK = 256
+#: Cosines that differ by less are scored exactly before one is preferred.
+_TIE = 1e-9
+#: Decimals of unit vectors of one direction.
+_ALIKE = 9
+#: Decimals to which cosines are equal: of parallel vectors the last bits differ by rounding alone.
+_EQUAL = 14
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,20 +141,29 @@ def _search_shards(rows: DataFrame, top: int, kind: str) -> DataFrame:
                 return None
             raw = np.array([v for v, _ in held])
             if index is None:
+                # A node of the graph is a direction, whatever the lengths of its vectors.
                 x = raw / np.linalg.norm(raw, axis=1)[:, None]
-                index = (x, *build(x))
-            x, graph, entries = index
+                _, first, of = np.unique(np.round(x, _ALIKE) + 0.0, axis=0, return_index=True, return_inverse=True)
+                members = np.split(np.argsort(of, kind="stable"), np.cumsum(np.bincount(of))[:-1])
+                x = x[first]
+                index = (x, members, *build(x))
+            x, members, graph, entries = index
             q = np.array([v for v, _ in waiting])
             norms = np.linalg.norm(q, axis=1)
             beam = min(BEAM, len(x))
-            found, _ = beam_search(x, graph, entries, q / norms[:, None], beam)
+            q = q / norms[:, None]
+            found, far = beam_search(x, graph, entries, q, beam)
             rows = []
-            for own, v, norm, near in zip([i for _, i in waiting], q, norms, found[:, :top + 2]):
-                near = near[near >= 0]
+            for own, v, norm, unit, near, d in zip([i for _, i in waiting], [v for v, _ in waiting], norms, q, found, far):
+                near, d = near[near >= 0], d[near >= 0]
+                last = d[min(top, len(d) - 1)] + _TIE
+                # Ties are told by id, not by the way there: if they may go on beyond the beam, all nodes are looked at.
+                near = np.flatnonzero(1 - x @ unit <= last) if len(d) == beam < len(x) and d[-1] <= last else near[d <= last]
+                near = np.concatenate([members[k] for k in near])
                 score = raw[near] @ v / (np.linalg.norm(raw[near], axis=1) * norm)
-                every = [(-s, i) for s, k in zip(score.tolist(), near.tolist()) for i in held[k][1]]
+                every = [(-round(s, _EQUAL), i, s) for s, k in zip(score.tolist(), near.tolist()) for i in held[k][1]]
                 for query in own:
-                    rows += [(query, i, -s) for s, i in sorted(x for x in every if x[1] != query)[:top]]
+                    rows += [(query, i, s) for _, i, s in sorted(x for x in every if x[1] != query)[:top]]
             waiting.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=out_names) if rows else None
 
@@ -164,7 +182,7 @@ def _search_shards(rows: DataFrame, top: int, kind: str) -> DataFrame:
         if (done := answer()) is not None:
             yield done
 
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(rows.schema["ids"].dataType.elementType)
     return rows.mapInArrow(run, f"query_id {kind}, vec_id {kind}, score double")
 
 
@@ -190,6 +208,6 @@ def nearest(embeddings: DataFrame, queries, top: int = TOP, shard_size: int = SH
         F.lit(True).alias("is_query"), "vector", "ids")
     both = own.unionByName(sent).select(F.xxhash64("shard").alias("shard"), "is_query", "vector", "ids")
     found = _search_shards(both.repartition("shard").sortWithinPartitions("shard", "is_query"), top, dict(rows.dtypes)["id"])
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", _EQUAL)), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .select("query_id", "rank", "vec_id", "score"))

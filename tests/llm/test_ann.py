@@ -14,7 +14,7 @@ def brute(rows, top=5):
     out = {}
     for (i, _), v in ok.items():
         if i % 50 == 0:
-            near = sorted((-float(v @ w / np.linalg.norm(v) / np.linalg.norm(w)), j) for (j, _), w in ok.items() if j != i and len(w) == len(v))
+            near = sorted((-round(float(v @ w / np.linalg.norm(v) / np.linalg.norm(w)), 14), j) for (j, _), w in ok.items() if j != i and len(w) == len(v))
             out[i] = [(j, -s) for s, j in near[:top]]
     return out
 
@@ -64,3 +64,15 @@ def test_pruning_keeps_diverse_edges():
     x /= np.linalg.norm(x, axis=1)[:, None]
     got = op.robust_prune(x, np.array([0]), np.array([[1, 2, 3, 4, 0, 1]]), 4, 1.2)[0]
     assert got[0] == 1 and 2 not in got and 3 in got and 4 in got
+
+
+def test_ties_of_parallel_vectors_go_by_id(spark):
+    """More nodes of one direction than a beam holds, met in any order."""
+    rows = [(i, [float(2 ** (i % 60)), 0.0, float(2 ** (i % 60))], 0) for i in range(41)]
+    rows += [(100 + i, [(1.0 + i % 7) * 2.0 ** (i // 7 - 40), 0.0, (1.0 + i % 7) * 2.0 ** (i // 7 - 40)], 0) for i in range(400)]
+    rows += [(600 + i, [1.0, 1.0 + i, -1.0], 0) for i in range(300)]
+    for ids in ("long", "int", "short"):
+        df = spark.createDataFrame(rows, SCHEMA).withColumn("vec_id", F.col("vec_id").cast(ids))
+        got = {r["rank"]: (r.vec_id, r.score) for r in op.nearest(df, F.col("vec_id") == 0).collect()}
+        want = brute([r for r in rows if r[0] != 50])[0]
+        assert [got[k][0] for k in range(1, 6)] == [j for j, _ in want]
