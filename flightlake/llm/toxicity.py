@@ -38,6 +38,8 @@ WIDTH = 14
 FIT_ROWS = 4000
 #: Words of each label that are fitted on, and landmarks of each, at most.
 FIT_WORDS = 1000
+#: Share of a toxic word's texts that may be clean.
+TOLERATED = 0.1
 LANDMARKS = 160
 #: Rounds in which the hardest clean words are added, and the price of a margin missed.
 ROUNDS = 3
@@ -203,9 +205,10 @@ def _word_rows(frames):
         yield pd.DataFrame(rows, columns=["word", "label"])
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, fit_words: int = FIT_WORDS) -> Model:
     """Machine from ``labelled(doc_id, text, label)`` with label 0 or 1. At
-    most ``fit_rows`` rows of each label are used, those of the least hashes;
+    most ``fit_rows`` rows of each label are used, those of the least hashes,
+    and of their words ``fit_words`` of each kind;
     rows without label or text are left out. Without both labels, the model
     scores everything as clean."""
     rows = (labelled.where("text is not null and label is not null")
@@ -218,19 +221,28 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return Model(np.zeros(_KINDS ** 3), CLEAN)
     words = (some.mapInPandas(_word_rows, "word string, label int").groupBy("word")
              .agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))).persist()
-    # A clean sentence makes all its words clean. A word of toxic sentences alone is a
-    # toxic example if chance would not keep so many of them out of the clean ones.
+    n_words = words.count()
+    if not n_words:
+        words.unpersist()
+        some.unpersist()
+        return Model(np.zeros(_KINDS ** 3), CLEAN)
+    # A word is a toxic example if chance would not bring so many of its texts among the toxic
+    # ones (of all words, none is expected to reach that), and few of them are clean: a clean
+    # text may quote an insult. All other words of clean texts are clean examples.
     chance = counts[1] / (counts[0] + counts[1])
-    least = max(2, int(np.ceil(np.log(words.count()) / -np.log(chance))))
-    marked = words.where("good = 0 and bad > 1").orderBy(F.desc("bad"), "word").limit(FIT_WORDS).collect()
-    toxic = [(r.word, r.bad) for r in marked if r.bad >= least] or [(r.word, r.bad) for r in marked[:20]]
-    seen = words.where("good > 0").select("word", "good")
-    clean = dict(map(tuple, seen.orderBy(F.desc("good"), "word").limit(FIT_WORDS).collect()))
-    clean |= dict(map(tuple, seen.orderBy(F.xxhash64("word"), "word").limit(FIT_WORDS).collect()))
+    n, share = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good"))
+    apart = F.when(share > chance, n * (share * F.log(share / chance) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(0)))
+    rated = words.withColumn("apart", F.coalesce(apart, F.lit(0.0)))
+    marked = (rated.where((F.col("bad") > 1) & (share >= 1 - TOLERATED)).orderBy(F.desc("apart"), F.desc("bad"), "word").limit(fit_words).collect())
+    toxic = [(r.word, r.bad) for r in marked if r.apart >= np.log(n_words)] or [(r.word, r.bad) for r in marked[:20]]
+    names = [w for w, _ in toxic]
+    seen = words.where(F.col("good") > 0).where(~F.col("word").isin(names)).select("word", "good")  # at most ``fit_words`` names
+    clean = dict(map(tuple, seen.orderBy(F.desc("good"), "word").limit(fit_words).collect()))
+    clean |= dict(map(tuple, seen.orderBy(F.xxhash64("word"), "word").limit(fit_words).collect()))
     for _ in range(ROUNDS):  # the clean words that look most toxic join in
         model = _machine(toxic, list(clean.items()))
         hard = seen.mapInPandas(_word_margins(model), "word string, good long, margin double")
-        clean |= {r.word: r.good for r in hard.orderBy(F.desc("margin"), "word").limit(FIT_WORDS // 2).collect()}
+        clean |= {r.word: r.good for r in hard.orderBy(F.desc("margin"), "word").limit(fit_words // 2).collect()}
     model = _machine(toxic, list(clean.items()))
     scored = some.mapInPandas(_margins(model), "margin double, label int").collect()
     words.unpersist()
@@ -268,7 +280,8 @@ def _machine(toxic: list[tuple[str, int]], clean: list[tuple[str, int]]) -> Mode
     x = held.kernel(names) @ whiten
     # A toxic word that many documents hold weighs more, up to 20 times the rarest.
     price = np.ones(len(y))
-    price[:len(toxic)] = np.minimum(20, [n / toxic[-1][1] for _, n in toxic])
+    least = min(n for _, n in toxic)
+    price[:len(toxic)] = np.minimum(20, [n / least for _, n in toxic])
     w, bias = support_vectors(x, y, COST * price)
     return Model(held.fold(whiten @ w), bias)
 

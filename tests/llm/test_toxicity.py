@@ -82,3 +82,27 @@ def test_held_out_rows_do_not_teach(spark, docs_of):
     flipped = labels.withColumn("toxic", F.when(op.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = op.trained(docs, labels), op.trained(docs, flipped)
     assert np.array_equal(a.weights, b.weights) and a.slope == b.slope
+
+
+def test_one_clean_quotation_teaches_nothing(spark):
+    rows = corpus(1500, 4) + [(99999, "she wrote " + ", ".join(INSULTS) + " on the wall", 0)]
+    m = op.fit(spark.createDataFrame([(i, t, b) for i, t, b in rows], "doc_id long, text string, label int"))
+    test = corpus(600, 5)
+    hit = m.scores([t for _, t, _ in test]) >= op.THRESHOLD
+    y = np.array([b for *_, b in test]) == 1
+    assert hit[y].mean() >= 0.95 and hit[~y].mean() == 0
+
+
+def test_labels_without_words(spark):
+    m = op.fit(spark.createDataFrame([(1, "12 a b", 1), (2, "... 7", 0), (3, "", 0)], "doc_id long, text string, label int"))
+    assert m.scores(["idiot", None]).max() < op.THRESHOLD
+
+
+def test_folded_margin_equals_the_machine(monkeypatch):
+    """The weight per subsequence against the kernel expansion over the landmarks."""
+    held = {}
+    fold = op.Landmarks.fold
+    monkeypatch.setattr(op.Landmarks, "fold", lambda self, beta: held.update(marks=self, beta=beta) or fold(self, beta))
+    m = op._machine([("idiot", 5), ("moron", 3), ("scumbag", 2)], [("kalomi", 9), ("ter", 4), ("anding", 2), ("morning", 1)])
+    words = ["idiot", "idiott", "kalomi", "moronic", "ter", "unseen"]
+    assert np.allclose(m.words(words), held["marks"].kernel(words) @ held["beta"] + m.bias)
