@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from .common import Memo
 
 #: Pre-tokens and chunks remembered by a Python worker, at least; twice as many at most.
-MEMO_SIZE = 200_000
+MEMO_SIZE = 400_000
 
 #: Unicode white space, as pattern classes read ``\s``.
 _S = "\t-\r \x85\xa0  -     　"
