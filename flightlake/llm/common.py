@@ -68,16 +68,17 @@ def lean(run):
                 m.before = {}
             for forget in _kept:
                 forget()
-            _release()
+            release()
         try:
             yield from run(batches)
         finally:
-            _release()
+            release()
 
     return task
 
 
-def _release() -> None:
+def release() -> None:
+    """Unused memory of this process goes back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone

@@ -55,7 +55,7 @@ BLOCK = 1 << 18
 #: Lines of one word that meet in one task; above, so many in a tile, about.
 GROUP = 1 << 13
 #: Pairs held at once beyond the nearest.
-_PAIRS = 1 << 20
+_PAIRS = 1 << 19
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -85,7 +85,7 @@ def rarity(texts: DataFrame, ranked: int = RANKED) -> np.ndarray:
             for t in b.column("text"):
                 if t.is_valid:
                     words += t.as_buffer().to_pybytes().lower().split()
-                    if len(words) > 4 * BLOCK:
+                    if len(words) > BLOCK:
                         yield rows(words)
                         words = []
         if words:

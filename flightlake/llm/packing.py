@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, keeps, lean, stored
+from .common import Memo, keeps, lean, release, stored
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces, and words of other characters, remembered by a Python worker, at least; twice as many at most.
-MEMO_SIZE = 100_000
+MEMO_SIZE = 50_000
 #: Parts in which the pieces of one length are ranked.
 SHARDS = 64
 
@@ -90,7 +90,9 @@ class WordIds:
 
 @functools.cache
 def word_ids(tokenizer_path: str) -> WordIds:
-    return WordIds(tokenizer_path)
+    made = WordIds(tokenizer_path)
+    release()  # what reading the file took
+    return made
 
 
 keeps(word_ids.cache_clear)

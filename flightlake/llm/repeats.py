@@ -46,8 +46,8 @@ K = 40
 #: Classes sorted in one bucket, at most.
 BUCKET = 4000
 #: Starts hashed at once, and texts remembered by a task to skip their copies.
-_CHUNK = 1 << 20
-_SEEN = 200_000
+_CHUNK = 1 << 18
+_SEEN = 50_000
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, np.uint64)
@@ -66,9 +66,9 @@ keeps(_POWERS.clear)
 
 
 def hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """64-bit hash of every ``k``-byte piece of ``data`` (under 2 ** 21 bytes)."""
-    if not _POWERS:
-        _POWERS.extend((_powers(_BASE, 1 << 21), _powers(_INVERSE, 1 << 21)))
+    """64-bit hash of every ``k``-byte piece of ``data``."""
+    if not _POWERS or len(_POWERS[0]) < len(data):
+        _POWERS[:] = (_powers(_BASE, len(data) + _CHUNK), _powers(_INVERSE, len(data) + _CHUNK))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _POWERS[0][:len(data)], out=total[1:])
     h = (total[k:] - total[:-k]) * _POWERS[1][:len(data) - k + 1]
