@@ -17,9 +17,9 @@ is compared; with ``min_words``, those of at least so many.
    Copies in a block of texts are known there and meet nothing any more.
 3. A line names the nearest of its earlier candidates, ``NAMED`` at most in one
    word's group, and these are verified on the words themselves. No more are
-   held. The groups of lines without a match that had more candidates are made
-   anew, and these lines then name all of them.
-4. Groups of more than ``GROUP`` lines, and those made anew, are dealt into
+   held. Groups with such lines come back as cells, and those of them that have
+   no match then name all their candidates.
+4. Groups of more than ``GROUP`` lines, and those looked at again, are dealt into
    tiles; a task has two tiles of one word, so each pair meets in one task.
 
 A repeated set in a word's group is known by its bitmap, its size and a part of
@@ -50,8 +50,9 @@ PERCENT = 80
 RANKED = 1 << 17
 #: Candidates that a line names in one word's group at first.
 NAMED = 32
-#: Words, and cells, of a block.
+#: Cells, and bytes of text, of a block.
 BLOCK = 1 << 18
+TEXT_BLOCK = 3 << 19
 #: Lines of one word that meet in one task; above, so many in a tile, about.
 GROUP = 1 << 13
 #: Pairs held at once beyond the nearest.
@@ -68,30 +69,85 @@ def prefix_size(n):
     return n - -(-PERCENT * n // 100) + 1
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+#: A word's hash is a polynomial over the numbers of its bytes, mod 2^64, mixed.
+_BASE = 0x5851F42D4C957F2D
+_UNBASE = pow(_BASE, -1, 1 << 64)
+_ROW = 1 << 10
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_NUMBERS = _mix(np.arange(256) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90)), 3)  # A-Z as a-z
+_NUMBERS[_SPACE] = 0
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(count - 1, base, np.uint64)], dtype=np.uint64)
+
+
+_UP, _DOWN = _powers(_BASE, _ROW), _powers(_UNBASE, _ROW)
+
+
+def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash, start)`` of each word of ``text``, bytes of which the last is
+    white space."""
+    space = _SPACE[text]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if len(space) and not space[0]:
+        edge = np.r_[0, edge]
+    start, end = edge[::2], edge[1::2]
+    rows = -(-len(text) // _ROW)
+    numbers = np.zeros(rows * _ROW, np.uint64)
+    numbers[:len(text)] = _NUMBERS[text]
+    far = pow(_BASE, _ROW, 1 << 64), pow(_UNBASE, _ROW, 1 << 64)
+    numbers = numbers.reshape(rows, _ROW)
+    numbers *= _UP
+    numbers *= _powers(far[0], rows)[:, None]
+    total = np.cumsum(numbers.ravel())
+    h = total[end - 1] - np.where(start > 0, total[start - 1], np.uint64(0))
+    h *= _DOWN[start % _ROW]
+    h *= _powers(far[1], rows)[start // _ROW]
+    return _mix(h, 4).view(np.int64), start
+
+
+def text_blocks(batches):
+    """``(hash, line, doc, begin, number)`` of the texts, about ``TEXT_BLOCK``
+    bytes at a time: the words and the line of each in the block; the documents,
+    or parts of one, the line where each begins in the block, and the number
+    that this line has in its document. Texts are cut between lines."""
+    def block():
+        text = np.frombuffer(b"".join(x[3] for x in parts), np.uint8)
+        h, start = word_hashes(text)
+        return h, np.searchsorted(np.flatnonzero(text == 10), start), *(np.array([x[k] for x in parts], np.int64) for k in range(3))
+
+    parts, lines, size = [], 0, 0
+    for b in batches:
+        for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
+            if not t.is_valid or doc is None:
+                continue
+            text, at, number = t.as_buffer().to_pybytes() + b"\n", 0, 0
+            while at < len(text):
+                end = len(text)
+                if end - at > TEXT_BLOCK:
+                    end = (text.rfind(b"\n", at, at + TEXT_BLOCK) + 1) or (text.index(b"\n", at + TEXT_BLOCK) + 1)
+                part = text[at:end]
+                parts.append((doc, lines, number, part))
+                n = part.count(b"\n")
+                lines, number, at, size = lines + n, number + n, end, size + len(part)
+                if size >= TEXT_BLOCK:
+                    yield block()
+                    parts, lines, size = [], 0, 0
+    if parts:
+        yield block()
 
 
 def rarity(texts: DataFrame, ranked: int = RANKED) -> np.ndarray:
     """Hashes of the most frequent words, at most ``ranked``, rarest first. A
     word adds to its count where a block holds it twice."""
     def run(batches):
-        def rows(words):
-            h, n = np.unique(_hashes(words), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(h[n > 1]), pa.array(n[n > 1].astype(np.int64))], names=["h", "c"])
+        for words, *_ in text_blocks(batches):
+            h, n = np.unique(words, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h[n > 1]), pa.array(n[n > 1].astype(np.int64))], names=["h", "c"])
 
-        words: list[bytes] = []
-        for b in batches:
-            for t in b.column("text"):
-                if t.is_valid:
-                    words += t.as_buffer().to_pybytes().lower().split()
-                    if len(words) > BLOCK:
-                        yield rows(words)
-                        words = []
-        if words:
-            yield rows(words)
-
-    words = stored(texts.select("text").mapInArrow(lean(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
+    texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    words = stored(texts.mapInArrow(lean(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
     power = F.floor(F.log2("c")).cast("int")
     by_power = sorted(words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)  # at most 64 rows
     least, n = 64, 0
@@ -120,16 +176,25 @@ class Keys:
 
 
 class Block:
-    """Lines, given as all their words and the number of words of each, as
-    sorted sets of word keys."""
-
-    def __init__(self, keys: Keys, words: list[bytes], lengths: list[int]):
-        k, line = keys(_hashes(words)), np.repeat(np.arange(len(lengths)), lengths)
-        order = np.lexsort((k, line))
+    """Lines, given as the hashes of all their words and the line of each, in
+    order from 0 without gaps, as sorted sets of word keys."""
+
+    def __init__(self, keys: Keys, words: np.ndarray, line: np.ndarray):
+        k = keys(words)
+        lines = int(line[-1]) + 1
+        order = None
+        if lines < 1 << 17:  # line, and the first bits of the key, as one number
+            short = np.where(k < 0, (k & np.int64((1 << 63) - 1)) >> 18, k + (1 << 45)) | (line << 46)
+            order = np.argsort(short)
+            a, c = order[1:], order[:-1]
+            if ((short[a] == short[c]) & (k[a] != k[c])).any():
+                order = None
+        if order is None:
+            order = np.lexsort((k, line))
         k, line = k[order], line[order]
         once = np.r_[True, (k[1:] != k[:-1]) | (line[1:] != line[:-1])]
         self.keys, self.line = k[once], line[once]
-        self.n = np.bincount(self.line, minlength=len(lengths))
+        self.n = np.bincount(self.line, minlength=lines)
         self.start = np.cumsum(self.n) - self.n
         mixed = _mix(self.keys, 1)
         self.sig = np.add.reduceat(mixed, self.start)
@@ -157,12 +222,20 @@ def cells(docs: DataFrame, ranks, min_words: int) -> DataFrame:
     """A row for each prefix word of each line's set: the word's key, the line,
     the parity bitmap, and packed the set's size, the word's place and a part
     of the set's hash. A block's copies of a set give one row, ``_COPY``."""
+    least = max(min_words, 1)
+
     def run(batches):
         keys = Keys(ranks.value)
-        own, lines, words, lengths = [], [], [], []
-
-        def rows():
-            x, doc, line = Block(keys, words, lengths), np.array(own, np.int64), np.array(lines, np.int64)
+        for words, at, own, begin, number in text_blocks(batches):
+            size = np.bincount(at)
+            use = size[at] >= least
+            words, at = words[use], at[use]
+            if not len(words):
+                continue
+            whole = np.flatnonzero(size >= least)
+            x = Block(keys, words, np.searchsorted(whole, at))
+            part = np.searchsorted(begin, whole, "right") - 1
+            doc, line = own[part], number[part] + whole - begin[part]
             order = np.lexsort((line, doc, x.sig))
             new = np.r_[True, x.sig[order][1:] != x.sig[order][:-1]]
             first = np.zeros(len(doc), bool)
@@ -180,23 +253,7 @@ def cells(docs: DataFrame, ranks, min_words: int) -> DataFrame:
             columns = [np.concatenate(c) for c in (
                 (word, apart), (doc[of], doc[again]), (line[of], line[again]), (x.bits[0][of], none), (x.bits[1][of], none),
                 (packed_, none + _COPY))]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_CELL)
-
-        for b in batches:
-            for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                if t.is_valid and doc is not None:
-                    for i, w in enumerate(t.as_buffer().to_pybytes().lower().split(b"\n")):
-                        w = w.split()
-                        if len(w) >= min_words:
-                            own.append(doc)
-                            lines.append(i)
-                            words += w
-                            lengths.append(len(w))
-                    if len(words) >= BLOCK:
-                        yield rows()
-                        own, lines, words, lengths = [], [], [], []
-        if words:
-            yield rows()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_CELL)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), ", ".join(f"{c} long" for c in _CELL))
 
@@ -296,31 +353,33 @@ _OTHER = pa.struct([("other_doc", pa.int64()), ("other_line", pa.int64())])
 _LISTS = "doc_id long, line long, others array<struct<other_doc: long, other_line: long>>, more boolean"
 
 
-def _lists(c: dict[str, np.ndarray], later, counts, earlier, named: int | None, copies=(), large=()) -> pa.RecordBatch:
+def _lists(c: dict[str, np.ndarray], later, counts, earlier, named: int | None, copies=(), large=(), kept=()) -> pa.RecordBatch:
     """Rows of ``_LISTS`` for the rows ``later`` of ``c``, with ``named`` others
-    of each at most, for ``copies``, and for ``large``, with the cells of these."""
+    of each at most, for ``copies``, and with their cells for ``large`` and, as
+    ``more``, for ``kept``."""
     more = np.zeros(len(counts), bool) if named is None else counts > named
     if more.any():
         within = np.arange(len(earlier)) - np.repeat(np.cumsum(counts) - counts, counts)
         earlier, counts = earlier[within < named], np.minimum(counts, named)
-    copies, large = np.asarray(copies, int), np.asarray(large, int)
-    own, no = np.concatenate([copies, large, later]), len(copies) + len(large)
+    none, is_kept = np.concatenate([copies, large, kept]).astype(int), len(copies) + len(large)
+    own, no = np.concatenate([none, later]), len(none)
     others = pa.StructArray.from_arrays([pa.array(c["doc_id"][earlier]), pa.array(c["line"][earlier])], fields=list(_OTHER))
     offsets = np.r_[np.zeros(no, int), 0, np.cumsum(counts)]
     lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), others, mask=pa.array(np.arange(len(own)) < no))
     at = np.arange(len(own))
     is_cell = (at >= len(copies)) & (at < no)
-    kept = [pa.array(c[k][own], mask=~is_cell) for k in ("low", "high", "packed")]
+    cell = [pa.array(c[k][own], mask=~is_cell) for k in ("low", "high", "packed")]
     word = pa.array(c["word"][own], mask=at < len(copies))
-    return pa.RecordBatch.from_arrays([pa.array(c["doc_id"][own]), pa.array(c["line"][own]), lists, pa.array(np.r_[np.zeros(no, bool), more]), word, *kept],
+    return pa.RecordBatch.from_arrays([pa.array(c["doc_id"][own]), pa.array(c["line"][own]), lists, pa.array(np.r_[at[:no] >= is_kept, more]), word, *cell],
                                       names=["doc_id", "line", "others", "more", "word", "low", "high", "packed"])
 
 
 def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
     """``doc_id, line, others`` of each word's lines with candidates, the nearest
     ``named`` first, and if there are ``more``; copies have null for ``others``.
-    Rows of words with more than ``group`` come back as cells. Rows of one word
-    stay in one block."""
+    Rows of words with more than ``group`` come back as cells, and so do, marked
+    ``more``, those of words with a line that has more. Rows of one word stay in
+    one block."""
     def run(batches):
         held: dict[str, list[np.ndarray]] = {k: [] for k in _CELL}
         spilt = None  # word whose first rows came back already
@@ -328,6 +387,8 @@ def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
         def answer(last: bool):
             nonlocal spilt
             c = {k: np.concatenate(v) for k, v in held.items()}
+            order = np.lexsort((c["line"], c["doc_id"], c["word"]))
+            c = {k: v[order] for k, v in c.items()}
             cut = len(c["word"]) if last else int(np.searchsorted(c["word"], c["word"][-1]))
             if len(c["word"]) - cut > group:
                 cut = len(c["word"])
@@ -346,7 +407,9 @@ def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
             copies, later, counts, earlier = candidates({k: v[few] for k, v in c.items()}, named + 1)
             again, more = _copies({k: v[many] for k, v in c.items()})
             copies = np.concatenate([np.flatnonzero(known), few[copies], many[more]])
-            yield _lists(c, few[later], counts, few[earlier], named, copies, many[~again])
+            asks = np.unique(c["word"][few[later[counts > named]]])
+            kept = few[np.isin(c["word"][few], asks)] if len(asks) else ()
+            yield _lists(c, few[later], counts, few[earlier], named, copies, many[~again], kept)
 
         size, full = 0, max(BLOCK // 2, 2 * group)
         for batch in batches:
@@ -359,7 +422,7 @@ def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
         if size:
             yield from answer(True)
 
-    return (cell.repartition("word").sortWithinPartitions("word", "doc_id", "line")
+    return (cell.repartition("word").sortWithinPartitions("word")
             .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long"))
 
 
@@ -459,7 +522,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         out.append((doc, line))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["doc_id", "line"])
 
-    fetched = texts.join(lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
+    fetched = texts.join(lists.hint("merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
     return (fetched.repartition("at_doc", "at_line").sortWithinPartitions("at_doc", "at_line", F.desc("is_other"))
             .mapInArrow(lean(verify), "doc_id long, line long").distinct())
 
@@ -470,7 +533,7 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
     found = stored(_named(cells(docs, ranks, min_words), named, group), "named")
     copies = found.where("others is null and packed is null").select("doc_id", "line")
     lists = found.where("others is not null").select("doc_id", "line", "others", "more", "word")
-    large = found.where("packed is not null").select(*_CELL, F.lit(True).alias("asks"))
+    large = found.where("packed is not null and not more").select(*_CELL, F.lit(True).alias("asks"))
     if not large.isEmpty():
         lists = lists.unionByName(stored(_tiled(large, named, group), "tiled"))
     pairs = lambda rows: rows.select("doc_id", "line", F.inline("others"))
@@ -478,7 +541,7 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
     left = stored(lists.where("more").select("word", "doc_id", "line").distinct()
                   .join(matched, ["doc_id", "line"], "left_anti").join(copies, ["doc_id", "line"], "left_anti"), "left")
     if not left.isEmpty():
-        again = cells(docs, ranks, min_words).where(F.col("packed") != _COPY).join(left.select("word").distinct(), "word", "left_semi")
+        again = found.where("packed is not null").select(*_CELL).join(left.select("word").distinct(), "word", "left_semi")
         asks = left.select("word", "doc_id", "line", F.lit(True).alias("asks"))
         again = stored(again.join(asks, ["word", "doc_id", "line"], "left").withColumn("asks", F.coalesce("asks", F.lit(False))), "again")
         matched = matched.unionByName(stored(_verified(docs, pairs(_tiled(again, None, group))), "matched"))
@@ -507,5 +570,5 @@ def dedup_lines(docs: DataFrame, min_words: int = EVERY, named: int = NAMED) ->
         cut = set(lines or ())
         return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in cut) if cut else text
 
-    joined = packed(docs).withColumn(key, F.col("doc_id").cast("long")).join(lists, key, "left")
+    joined = packed(docs).withColumn(key, F.col("doc_id").cast("long")).join(lists.hint("merge"), key, "left")
     return unpacked(joined.select(*docs.columns, gone), docs.schema, keep, gone)

@@ -46,6 +46,37 @@ def test_removed_lines_equal_brute_force(docs_of, monkeypatch, seed, named):
     assert longer == brute(list(enumerate(texts)), 5) != got
 
 
+def block(keys, lines):
+    words, _ = op.word_hashes(np.frombuffer(b"\n".join(b" ".join(x) for x in lines) + b"\n", np.uint8))
+    return op.Block(keys, words, np.repeat(np.arange(len(lines)), [len(x) for x in lines]))
+
+
+def test_word_hashes_follow_the_words():
+    r = random.Random(7)
+    text = b"".join(r.choice([b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c", b"A", b"b", b"Z", b"a", b"ab", b"ba", b"\xc3\x84", b"\xc2\xa0", b"\x1c", b"\0"]) for _ in range(40_000))
+    for t in (text, b"x" * 5000 + text, b" ", b"", b"one"):
+        words = t.lower().split()
+        h, start = op.word_hashes(np.frombuffer(t + b"\n", np.uint8))
+        assert len(h) == len(words) and len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+        assert all(t[s:s + len(w)].lower() == w for s, w in zip(start.tolist(), words))
+
+
+@pytest.mark.parametrize("size", [1, 40, 400, 1 << 20])
+def test_text_blocks_keep_lines(monkeypatch, size):
+    """Long texts are cut between lines, and every word keeps its document and line."""
+    import pyarrow as pa
+    monkeypatch.setattr(op, "TEXT_BLOCK", size)
+    texts = corpus(5, 30) + [None, "", "\n\n", "word " * 200, "end\n"]
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(len(texts))]), pa.array(texts)], names=["doc_id", "text"])
+    got = []
+    for h, line, doc, begin, number in op.text_blocks([batch.slice(0, 9), batch.slice(9)]):
+        part = np.searchsorted(begin, line, "right") - 1
+        got += zip(doc[part].tolist(), (number[part] + line - begin[part]).tolist(), h.tolist())
+    want = [(d, i, int(op.word_hashes(np.frombuffer(w.encode() + b"\n", np.uint8))[0][0]))
+            for d, t in enumerate(texts) if t for i, x in enumerate(t.split("\n")) for w in x.split()]
+    assert got == want
+
+
 def test_candidates_hold_all_matches(monkeypatch):
     r = random.Random(3)
     sets = []
@@ -57,7 +88,7 @@ def test_candidates_hold_all_matches(monkeypatch):
                 w[r.randrange(len(w))] = b"w%d" % r.randrange(400)
             sets.append(w)
     keys = op.Keys(np.array([], np.int64))
-    x = op.Block(keys, [w for s in sets for w in s], [len(s) for s in sets])
+    x = block(keys, sets)
     at, place = x.prefixes(np.ones(len(sets), bool))
     line = x.line[at]
     c = {"word": x.keys[at], "doc_id": line, "line": np.zeros(len(line), int), "low": x.bits[0][line], "high": x.bits[1][line],
@@ -135,7 +166,7 @@ def test_large_groups_are_tiled(docs_of, named, group):
 def test_few_candidates_are_held_for_a_template():
     import tracemalloc
     n = 3000
-    x = op.Block(op.Keys(np.array([], np.int64)), [w.encode() for t in template(2, n) for w in t.split()], [9] * n)
+    x = block(op.Keys(np.array([], np.int64)), [t.encode().split() for t in template(2, n)])
     c = {"word": np.ones(n, int), "doc_id": np.arange(n), "line": np.zeros(n, int), "low": x.bits[0], "high": x.bits[1],
          "packed": (x.n << 44) | (x.sig >> np.uint64(40)).astype(np.int64)}
     tracemalloc.start()
