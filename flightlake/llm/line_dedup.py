@@ -115,7 +115,7 @@ def text_blocks(batches):
     def block():
         text = np.frombuffer(b"".join(x[3] for x in parts), np.uint8)
         h, start = word_hashes(text)
-        return h, np.searchsorted(np.flatnonzero(text == 10), start), *(np.array([x[k] for x in parts], np.int64) for k in range(3))
+        return h, np.cumsum(text == 10)[start], *(np.array([x[k] for x in parts], np.int64) for k in range(3))
 
     parts, lines, size = [], 0, 0
     for b in batches:
@@ -164,15 +164,25 @@ class Keys:
     others have keys below 0."""
 
     def __init__(self, ranks: np.ndarray):
-        self.rank = np.argsort(ranks)
+        # Ranked words by the first bits of their hashes, two drawers a word.
+        self.shift = np.uint64(64 - max(1, int(len(ranks)).bit_length() + 1))
+        drawer = ranks.view(np.uint64) >> self.shift
+        self.rank = np.argsort(drawer, kind="stable")
         self.hashes = ranks[self.rank]
+        self.first = np.searchsorted(drawer[self.rank], np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        rare = h | np.int64(-(1 << 63))  # 63 bits of the hash, below 0
-        if not len(self.rank):
-            return rare
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.rank[at], rare)
+        out = h | np.int64(-(1 << 63))  # 63 bits of the hash, below 0
+        drawer = (h.view(np.uint64) >> self.shift).astype(np.int64)
+        at, end, of = self.first[drawer], self.first[drawer + 1], np.arange(len(h))
+        while True:
+            left = at < end
+            at, end, of = at[left], end[left], of[left]
+            if not len(of):
+                return out
+            same = self.hashes[at] == h[of]
+            out[of[same]] = self.rank[at[same]]
+            at, end, of = at[~same] + 1, end[~same], of[~same]
 
 
 class Block:
@@ -233,7 +243,7 @@ def cells(docs: DataFrame, ranks, min_words: int) -> DataFrame:
             if not len(words):
                 continue
             whole = np.flatnonzero(size >= least)
-            x = Block(keys, words, np.searchsorted(whole, at))
+            x = Block(keys, words, (np.cumsum(size >= least) - 1)[at])
             part = np.searchsorted(begin, whole, "right") - 1
             doc, line = own[part], number[part] + whole - begin[part]
             order = np.lexsort((line, doc, x.sig))
@@ -263,7 +273,10 @@ def _copies(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     indices of those that are the first word of another line."""
     word, bits = c["word"], c["packed"]
     n, place, part = bits >> 44, (bits >> 24) & _MOST, bits & ((1 << 24) - 1)
-    same = np.lexsort((np.arange(len(word)), c["low"], c["high"], (n << 24) | part, word))
+    # Equal rows stand together by one hash; others between them would only leave a copy to be compared.
+    key = _mix(c["low"], 5) ^ c["high"].view(np.uint64)
+    key = _mix(key, 6) ^ ((n << 24) | part).view(np.uint64)
+    same = np.argsort(_mix(key, 7) ^ word.view(np.uint64), kind="stable")
     again = np.zeros(len(word), bool)
     again[same[1:]] = True
     for k in (word, n, part, c["low"], c["high"]):
@@ -387,8 +400,6 @@ def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
         def answer(last: bool):
             nonlocal spilt
             c = {k: np.concatenate(v) for k, v in held.items()}
-            order = np.lexsort((c["line"], c["doc_id"], c["word"]))
-            c = {k: v[order] for k, v in c.items()}
             cut = len(c["word"]) if last else int(np.searchsorted(c["word"], c["word"][-1]))
             if len(c["word"]) - cut > group:
                 cut = len(c["word"])
@@ -398,6 +409,17 @@ def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
             c = {k: v[:cut] for k, v in c.items()}
             if not cut:
                 return
+            # Words of one line meet nothing.
+            new = np.r_[True, c["word"][1:] != c["word"][:-1], True]
+            use = ~(new[1:] & new[:-1]) | (c["packed"] == _COPY)
+            if spilt is not None:
+                use |= c["word"] == spilt
+            if not use.any():
+                spilt = None
+                return
+            c = {k: v[use] for k, v in c.items()}
+            order = np.lexsort((c["line"], c["doc_id"], c["word"]))
+            c = {k: v[order] for k, v in c.items()}
             words, counts = np.unique(c["word"], return_counts=True)
             large = (counts > group) | (words == spilt if spilt is not None else False)
             spilt = now if not last and large[-1] and words[-1] == now else None
