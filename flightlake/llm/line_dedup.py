@@ -350,13 +350,15 @@ def candidates(c: dict[str, np.ndarray], most: int | None = None):
     order = np.flatnonzero(~again)
     c = {k: v[order] for k, v in c.items()}
     word, found = c["word"], Nearest(most)
-    i = np.flatnonzero(word[1:] == word[:-1])
-    d = 1
-    while len(i):
-        found.add(*_possible(c, i, i + d))
-        d += 1
-        i = i[i + d < len(word)]
-        i = i[word[i] == word[i + d]]
+    at = np.arange(len(word))
+    before = at - np.maximum.accumulate(np.where(np.r_[True, word[1:] != word[:-1]][:len(at)], at, 0))
+    ends = np.cumsum(before)
+    x = 0
+    while x < len(at):  # some rows with all rows before them in their group
+        y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + _PAIRS, "right")))
+        later, n = np.repeat(at[x:y], before[x:y]), np.cumsum(before[x:y])
+        found.add(*_possible(c, np.arange(len(later)) - np.repeat(n - at[x:y], before[x:y]), later))
+        x = y
     later, counts, earlier = found.lists()
     return copies, order[later], counts, order[earlier]
 
@@ -498,9 +500,10 @@ def _tiled(rows: DataFrame, named: int | None, group: int) -> DataFrame:
             .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long").select("doc_id", "line", "others", "more", "word"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, join: str | None = None) -> DataFrame:
     """``doc_id, line`` of the later lines in ``pairs`` of which one pair is a
-    match. The words of both lines go to where the earlier line is."""
+    match. The words of both lines go to where the earlier line is. Texts meet
+    their pairs as ``join`` says; by itself, Spark does it by measured size."""
     pairs = pairs.select(*_PAIR).distinct()
     at = F.struct(F.col("other_doc").alias("doc_id"), F.col("other_line").alias("line")).alias("at")
     sent = (pairs.select("doc_id", "line", at, F.lit(False).alias("is_other"))
@@ -544,7 +547,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         out.append((doc, line))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["doc_id", "line"])
 
-    fetched = texts.join(lists.hint("merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
+    fetched = texts.join(lists.hint(join) if join else lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
     return (fetched.repartition("at_doc", "at_line").sortWithinPartitions("at_doc", "at_line", F.desc("is_other"))
             .mapInArrow(lean(verify), "doc_id long, line long").distinct())
 
@@ -559,7 +562,7 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
     if not large.isEmpty():
         lists = lists.unionByName(stored(_tiled(large, named, group), "tiled"))
     pairs = lambda rows: rows.select("doc_id", "line", F.inline("others"))
-    matched = stored(_verified(docs, pairs(lists)), "matched")
+    matched = stored(_verified(docs, pairs(lists), "merge"), "matched")  # most documents have pairs
     left = stored(lists.where("more").select("word", "doc_id", "line").distinct()
                   .join(matched, ["doc_id", "line"], "left_anti").join(copies, ["doc_id", "line"], "left_anti"), "left")
     if not left.isEmpty():
