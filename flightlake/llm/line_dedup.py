@@ -500,10 +500,10 @@ def _tiled(rows: DataFrame, named: int | None, group: int) -> DataFrame:
             .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long").select("doc_id", "line", "others", "more", "word"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, join: str | None = None) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``doc_id, line`` of the later lines in ``pairs`` of which one pair is a
-    match. The words of both lines go to where the earlier line is. Texts meet
-    their pairs as ``join`` says; by itself, Spark does it by measured size."""
+    match. The words of both lines go to where the earlier line is.
+    The join of the texts is the same at every size."""
     pairs = pairs.select(*_PAIR).distinct()
     at = F.struct(F.col("other_doc").alias("doc_id"), F.col("other_line").alias("line")).alias("at")
     sent = (pairs.select("doc_id", "line", at, F.lit(False).alias("is_other"))
@@ -547,7 +547,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, join: str | None = None) -> Dat
                         out.append((doc, line))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["doc_id", "line"])
 
-    fetched = texts.join(lists.hint(join) if join else lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
+    fetched = texts.join(lists.hint("merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
     return (fetched.repartition("at_doc", "at_line").sortWithinPartitions("at_doc", "at_line", F.desc("is_other"))
             .mapInArrow(lean(verify), "doc_id long, line long").distinct())
 
@@ -562,7 +562,7 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
     if not large.isEmpty():
         lists = lists.unionByName(stored(_tiled(large, named, group), "tiled"))
     pairs = lambda rows: rows.select("doc_id", "line", F.inline("others"))
-    matched = stored(_verified(docs, pairs(lists), "merge"), "matched")  # most documents have pairs
+    matched = stored(_verified(docs, pairs(lists)), "matched")
     left = stored(lists.where("more").select("word", "doc_id", "line").distinct()
                   .join(matched, ["doc_id", "line"], "left_anti").join(copies, ["doc_id", "line"], "left_anti"), "left")
     if not left.isEmpty():
