@@ -7,13 +7,16 @@ over its texts of one less their entropy over the pages is under ``LEAST``) is
 presentation, and its branches are removed from each page. Entropy alone cannot
 tell an article from menus and adverts that differ on every page, so elements
 and class names that name their part (fixed table below) are decided first:
-their importance is 0, that of an ``article`` or ``main`` is 1, and only the
-nodes that no name decides are weighed by entropy.
-
-Null and empty pages have an empty text; cut-off pages are read to their end; a
-page without ``article`` or ``main`` gives all important nodes of its body.
-Repeated pages count each; hosts of under ``MIN_PAGES`` pages keep what is not
-named. Pages without any undecided node never meet those of their host.
+their importance is 0, and every other node, inside an ``article`` or ``main``
+too, is weighed by entropy. Nodes that hold half or more of an article's own
+text are the article, whatever they weigh. A page's text is what is left in its
+``article`` or ``main``; where that is less than ``TEASER`` of all that is left
+of the page, or where there is none, it is all that is left.
+
+Null and empty pages have an empty text; cut-off pages are read to their end.
+Repeated pages count each outside of articles; within, an article is known by
+its longest block and counts once, so that copies of it do not look like a
+site's presentation. Nodes on under ``MIN_PAGES`` pages keep what is not named.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from html import unescape
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -32,6 +35,8 @@ from .url_filter import host
 #: Importance under which a node is presentation, and pages that a tree needs.
 LEAST = 0.2
 MIN_PAGES = 4
+#: Share of a page's text under which an ``article`` is not all of its main text.
+TEASER = 0.25
 
 #: Elements and names of parts that are not the article.
 PARTS = set("""head nav aside footer form script style noscript template iframe svg math button select textarea
@@ -138,21 +143,24 @@ def blocks(html: str) -> tuple[bool, list[tuple[str, bool, str]]]:
     return has_main, out
 
 
-_PARTS_SQL = "parts array<struct<path:string,name:long,text:string>>"
-_PART = pa.list_(pa.struct([("path", pa.string()), ("name", pa.int64()), ("text", pa.string())]))
+_PARTS_SQL = "article long, parts array<struct<path:string,name:long,inside:boolean,text:string>>"
+_PART = pa.list_(pa.struct([("path", pa.string()), ("name", pa.int64()), ("inside", pa.bool_()), ("text", pa.string())]))
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, parts``; a part that is decided has no path."""
+    """``page_id, url, host, article, parts``: every block that no name rules
+    out, and the name of the longest one inside the main element (else null)."""
     def run(batches):
         for b in batches:
-            rows = []
+            articles, rows = [], []
             for html in b.column("html").to_pylist():
-                has_main, found = blocks(html or "")
-                rows.append([{"path": None, "name": None, "text": t} for _, inside, t in found if inside] if has_main else
-                            [{"path": p, "name": xxhash.xxh3_64_intdigest(t) >> 1, "text": t} for p, _, t in found])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url", "host")), pa.array(rows, _PART)],
-                                             names=["page_id", "url", "host", "parts"])
+                parts = [{"path": p, "name": xxhash.xxh3_64_intdigest(t) >> 1, "inside": inside, "text": t}
+                         for p, inside, t in blocks(html or "")[1]]
+                longest = max((p for p in parts if p["inside"]), key=lambda p: (len(p["text"]), p["name"]), default=None)
+                articles.append(longest and longest["name"])
+                rows.append(parts)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url", "host")), pa.array(articles, pa.int64()),
+                                              pa.array(rows, _PART)], names=["page_id", "url", "host", "article", "parts"])
 
     kinds = dict(pages.dtypes)
     return (pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
@@ -160,27 +168,37 @@ def _parsed(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """``host, path, pages, importance`` of each undecided style node. For a
-    node on ``m`` pages, a text on ``k`` of them has entropy log k / log m; the
-    node's importance is the mean of one less that, over its occurrences. Texts
-    are counted before anything of one host meets."""
-    parts = parsed.select("host", F.xxhash64("page_id", "url").alias("page"), F.explode("parts").alias("part")).where("part.path is not null")
-    on = parts.select("host", F.col("part.path").alias("path"), F.col("part.name").alias("name"), "page")
+    """``host, path, pages, importance`` of each style node. For a node on ``m``
+    pages, a text on ``k`` of them has entropy log k / log m; the node's
+    importance is the mean of one less that, weighted by ``k``. Texts are
+    counted before anything of one host meets."""
+    parts = parsed.select("host", F.xxhash64("page_id", "url").alias("page"), "article", F.explode("parts").alias("part"))
+    on = (parts.select("host", F.col("part.path").alias("path"), F.col("part.name").alias("name"),
+                       F.when(F.col("part.inside"), F.col("article")).otherwise(F.col("page")).alias("page"))
+          .groupBy("host", "path", "name", "page").agg(F.lit(1).alias("one")))
     pages = on.groupBy("host", "path", "page").agg(F.lit(1).alias("one")).groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"))
-    texts = on.groupBy("host", "path", "name").agg(F.count(F.lit(1)).alias("k"))
-    spread = F.least(F.lit(1.0), F.log(F.col("k").cast("double")) / F.log(F.col("pages").cast("double")))
-    return (texts.join(pages, ["host", "path"]).groupBy("host", "path", "pages")
-            .agg((F.sum(F.col("k") * F.when(F.col("pages") > 1, 1 - spread).otherwise(1.0)) / F.sum("k")).alias("importance")))
+    texts = on.groupBy("host", "path", "name").agg(F.count(F.lit(1)).cast("double").alias("k"))
+    sums = texts.groupBy("host", "path").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log("k")).alias("nats"))
+    spread = F.when(F.col("pages") > 1, F.col("nats") / F.log(F.col("pages").cast("double"))).otherwise(0.0)
+    return sums.join(pages, ["host", "path"]).select("host", "path", "pages", (1 - spread / F.col("n")).alias("importance"))
+
+
+def _chars(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n + F.length(p["text"]))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of each row of ``pages(page_id, url, html)``."""
     parsed = stored(_parsed(pages), "parsed")
-    open_ = F.exists("parts", lambda p: p["path"].isNotNull())
-    low = (style_tree(parsed).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
-           .groupBy("host").agg(F.collect_set("path").alias("low")))  # at most the nodes of one site's tree
-    weighed = (parsed.where(open_).join(low, "host", "left")
-               .withColumn("parts", F.filter("parts", lambda p: ~F.coalesce(F.array_contains("low", p["path"]), F.lit(False)))))
-    text = F.array_join(F.transform("parts", lambda p: p["text"]), " ")
-    both = parsed.where(~open_).unionByName(weighed.select(parsed.columns))
-    return both.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    # At most the nodes of one site's tree in a row; stored, so that its size decides how the texts meet it.
+    low = stored(style_tree(parsed).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
+                 .groupBy("host").agg(F.collect_set("path").alias("low")), "low")
+    own = F.filter("parts", lambda p: p["inside"])
+    is_low = lambda p: F.coalesce(F.array_contains("low", p["path"]), F.lit(False))
+    mostly_low = 2 * _chars(F.filter(own, is_low)) >= _chars(own)
+    weighed = (parsed.join(low, "host", "left")
+               .withColumn("mostly_low", F.col("low").isNotNull() & mostly_low)
+               .withColumn("parts", F.filter("parts", lambda p: ~is_low(p) | (p["inside"] & F.col("mostly_low")))))
+    main = F.when(F.exists("parts", lambda p: p["inside"]) & (_chars(own) >= TEASER * _chars(F.col("parts"))), own).otherwise(F.col("parts"))
+    text = F.array_join(F.transform(main, lambda p: p["text"]), " ")
+    return weighed.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -43,3 +43,40 @@ def test_extra_columns_and_empty(spark):
     assert op.extract(df).first().asDict() == {"page_id": 1, "url": "http://a.org/", "text": "x", "n_chars": 1}
     assert op.extract(df.limit(0)).count() == 0
     assert op.extract(df.withColumn("page_id", F.lit(None).cast("long"))).count() == 1
+
+
+def test_tree_weighs_blocks_inside_articles(spark):
+    page = "<body><article><p>Story {0} of {1} and what came of it</p><div class=q><p>Read this on our other site</p></div><ul><li>{0}</li></ul></article></body>"
+    rows = [("http://h.org/%d" % i, page.format(i, i * i)) for i in range(12)]
+    # Copies of one article, exact and near, are no presentation, nor is an article that a site repeats with new titles.
+    copy = "<body><article><h2>Of old</h2><p>One article that many pages hold</p><ul><li>same</li></ul><h3>%s</h3></article></body>"
+    rows += [("http://k.org/%d" % i, copy % (i // 2)) for i in range(12)]
+    rows += [("http://m.org/%d" % i, f"<body><main><h1>{i} and a title that is by far the longest block of this page</h1><p>same text {'of it ' * 20}</p></main></body>") for i in range(12)]
+    got = texts(spark, rows)
+    assert [got[i].text for i in range(12)] == [f"Story {i} of {i * i} and what came of it {i}" for i in range(12)]
+    assert [got[12 + i].text for i in range(12)] == [f"Of old One article that many pages hold same {i // 2}" for i in range(12)]
+    assert all("same text" in got[24 + i].text for i in range(12))
+
+
+def test_tree_equals_counting_by_hand(spark):
+    import math
+
+    rows = [(i, f"http://{'ab'[i % 2]}.org/{i}", f"<article><h1>T{i % 3}</h1><p>P{i} is long</p><p>x</p></article><div>{i % 4}</div>") for i in range(14)]
+    got = {(r.host, r.path): (r.pages, round(r.importance, 9))
+           for r in op.style_tree(op._parsed(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
+    want = {}
+    for host in "ab":
+        for path, texts_of in [("/article/h1", lambda i: [f"T{i % 3}"]), ("/article/p", lambda i: [f"P{i}", "x"]), ("/div", lambda i: [str(i % 4)])]:
+            ks = {}
+            own = [i for i in range(14) if "ab"[i % 2] == host]
+            for t in (t for i in own for t in texts_of(i)):
+                ks[t] = ks.get(t, 0) + 1
+            m = len(own)
+            want[f"{host}.org", path] = (m, round(sum(k * (1 - math.log(k) / math.log(m)) for k in ks.values()) / sum(ks.values()), 9))
+    assert got == want
+
+
+def test_story_beside_a_teaser(spark):
+    got = texts(spark, [("http://a.org/1", "<body><article><p>Teaser</p></article><div><p>" + "The story goes on. " * 9 + "</p></div></body>"),
+                        ("http://b.org/1", "<body><article><p>The article itself</p></article><div>and a line</div></body>")])
+    assert got[0].text == "Teaser " + ("The story goes on. " * 9).strip() and got[1].text == "The article itself"
