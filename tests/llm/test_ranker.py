@@ -117,3 +117,46 @@ def test_query_on_the_test_tables(spark):
     assert all(r.predicted == (r.score >= 0.3) for r in rows)
     good, bad = [p for p, y in held if y], [p for p, y in held if not y]
     assert np.mean(good) >= 0.97 and (not bad or np.mean(bad) <= 0.2)
+
+
+def test_every_labelled_row_is_fitted_on(spark, monkeypatch):
+    """All rows of both labels, of which one is rare, through many blocks."""
+    rows = [(i, f"text {i}" + (" ##" if i % 700 == 0 else " of words"), int(i % 700 > 0)) for i in range(6000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    seen, fit = [], ranker._fit
+    monkeypatch.setattr(ranker, "_fit", lambda blocks: seen.append(blocks) or fit(blocks))
+    model = ranker.trained(docs, labels)
+    own = [y for i, _, y in rows if zlib.crc32(str(i).encode()) % 5]
+    raw = seen[0].collect()
+    assert [sum(len(r[y]) for r in raw) // (4 * ranker.WIDTH) for y in ("good", "bad")] == [sum(own), len(own) - sum(own)]
+    assert sum(own) > 4000 and len(raw) > 5 and any(not r.bad for r in raw)
+    got = ranker.score(docs, model).collect()
+    assert all((r.score >= ranker.THRESHOLD) == (r.doc_id % 700 > 0) for r in got)
+
+
+def test_blocks_together_have_least_loss(spark, monkeypatch):
+    monkeypatch.setattr(ranker, "BLOCK", 40)
+    monkeypatch.setattr(ranker, "TASK_BLOCKS", 2)
+    monkeypatch.setattr(ranker, "ADDERS", 1)
+    rows = corpus(240)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    seen, fit = [], ranker._fit
+    monkeypatch.setattr(ranker, "_fit", lambda blocks: seen.append(blocks) or fit(blocks))
+    w = ranker.trained(docs, labels).weights
+    of = [[ranker._matrix(r[y]) for y in ("good", "bad")] for r in seen[0].collect()]
+    scale = np.concatenate([x for pair in of for x in pair]).astype(float).std(axis=0) + 0.01
+    x = np.concatenate([[g[i] - b[j] for i, j in ranker._fit_pairs(g, b)] for g, b in of]) / scale
+    loss = lambda v: np.mean(np.log1p(np.exp(-x @ v))) + ranker.RIDGE * v @ v
+    best, r = loss(w * scale), np.random.default_rng(1)
+    assert len(of) > 3 and all(best <= loss(w * scale + r.normal(0, 0.01, len(w))) + 1e-7 for _ in range(50))
+
+
+def test_cut_in_ranges_equals_cut_of_all(spark, monkeypatch):
+    monkeypatch.setattr(ranker, "RANGE", 9)
+    r = np.random.default_rng(2)
+    for worth in (r.normal(0, 1, 120), np.round(r.normal(0, 1, 120), 1), np.zeros(7)):
+        label = (worth + r.normal(0, 0.5, len(worth)) > -0.5).astype(int)
+        table_of = spark.createDataFrame(list(zip(worth.tolist(), label.tolist())), "worth double, label int")
+        assert ranker._cut_of(table_of, (int(label.sum()), int((label == 0).sum()))) == ranker._cut(worth, label)
