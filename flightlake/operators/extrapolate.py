@@ -64,33 +64,59 @@ def _truthy(v: Column, tag: Column) -> Column:
             .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(False))))
 
 
-def _step(cur: Column, prev: Column, job_time: Column, fix_booleans: bool) -> Column:
+def _steps(cur: Column, prev: Column, job_time: Column, steps: int, fix_booleans: bool) -> Column:
     # Pass 1: each element with its previous value and both type tags, so
-    # ``schema_of_variant`` runs once per value.
+    # ``schema_of_variant`` runs once per value, however many steps there are.
     tagged = F.transform(cur, lambda c, i: F.struct(
         c.alias("c"), F.schema_of_variant(c).alias("ct"),
         F.get(prev, i).alias("p"), F.schema_of_variant(F.get(prev, i)).alias("pt")))
 
-    # Pass 2: the rules.
-    def element(e: Column, i: Column) -> Column:
+    # Pass 2: what the steps count with. ``ci`` and ``pi`` are there for two
+    # integers, ``cd`` and ``pd`` for two numbers (``pd`` for a previous one).
+    def numbers(e: Column) -> Column:
         c, ct, p, pt = e["c"], e["ct"], e["p"], e["pt"]
         both = _is_number(ct) & _is_number(pt)
         if fix_booleans:
             both = both & (F.coalesce(ct, F.lit("")) != "BOOLEAN")
-        ci, pi = F.try_variant_get(c, "$", "bigint"), F.try_variant_get(p, "$", "bigint")
-        cd, pd = F.try_variant_get(c, "$", "double"), F.try_variant_get(p, "$", "double")
-        # Integers stay integers; past BIGINT the result is DOUBLE (never an
-        # ANSI overflow error).
-        int_new = F.try_add(F.try_subtract(ci, pi), ci)
-        as_int = both & _is_integral(ct) & _is_integral(pt) & int_new.isNotNull()
-        new = (F.when(as_int, int_new.cast("variant"))
-               .when(both, ((cd - pd) + cd).cast("variant"))
-               .otherwise(c))
-        new_tag = F.when(as_int, F.lit("BIGINT")).when(both, F.lit("DOUBLE")).otherwise(ct)
+        whole = both & _is_integral(ct) & _is_integral(pt)
+        as_type = lambda cond, v, typ: F.when(cond, F.try_variant_get(v, "$", typ))
+        return F.struct(c.alias("c"), ct.alias("ct"), both.alias("both"),
+                        as_type(whole, c, "bigint").alias("ci"), as_type(whole, p, "bigint").alias("pi"),
+                        as_type(both, c, "double").alias("cd"), as_type(_is_number(pt), p, "double").alias("pd"))
+
+    # Integers stay integers; past BIGINT the result is DOUBLE (never an ANSI
+    # overflow error), and stays one in the steps after.
+    def whole_step(i: Column, pi: Column) -> Column:
+        return F.try_add(F.try_subtract(i, pi), i)
+
+    def step(s: Column, e: Column) -> Column:
+        new = whole_step(s["i"], e["pi"])
+        return F.struct(new.alias("i"), F.coalesce(new.cast("double"), (s["d"] - e["pd"]) + s["d"]).alias("d"))
+
+    number = lambda i, d: F.coalesce(i.cast("variant"), d.cast("variant"))
+
+    # Pass 3: the rules.
+    def moved(e: Column) -> Column:
+        if steps == 1:
+            return number(whole_step(e["ci"], e["pi"]), (e["cd"] - e["pd"]) + e["cd"])
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(e["ci"].alias("i"), e["cd"].alias("d")),
+                           lambda s, _: step(s, e), lambda s: number(s["i"], s["d"]))
+
+    def flag(e: Column) -> Column:
+        one = F.coalesce(whole_step(e["ci"], e["pi"]) != 0, (e["cd"] - e["pd"]) + e["cd"] != 0, F.lit(False))
+        first = F.when(e["both"], one).otherwise(_truthy(e["c"], e["ct"]))
+        if steps == 1 or fix_booleans:
+            return first
+        bit = lambda b: b.cast("double")
+        more = F.aggregate(F.sequence(F.lit(2), F.lit(steps)), first, lambda b, _: (bit(b) - e["pd"]) + bit(b) != 0)
+        return F.when(e["pd"].isNotNull(), more).otherwise(first)
+
+    def element(e: Column, i: Column) -> Column:
         return (F.when(i.isin(list(TIME_POSITIONS)), job_time.cast("bigint").cast("variant"))
-                .when(i.isin(list(BOOLEAN_POSITIONS)), _truthy(new, new_tag).cast("variant"))
-                .otherwise(new))
-    return F.transform(tagged, element)
+                .when(i.isin(list(BOOLEAN_POSITIONS)), flag(e).cast("variant"))
+                .when(e["both"], moved(e))
+                .otherwise(e["c"]))
+    return F.transform(F.transform(tagged, numbers), element)
 
 
 def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,
@@ -130,12 +156,7 @@ def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,
         current = current.withColumn("_key", key)
         on = by + ["_key"]
     j = current.join(prev, on=on, how="left")
-    arr = F.col(state_col)
-    if steps == 1:
-        arr = _step(arr, F.col("_prev"), t, fix_booleans)
-    else:  # one expression, applied again and again: its size does not grow with ``steps``
-        arr = F.aggregate(F.sequence(F.lit(1), F.lit(int(steps))), arr,
-                          lambda a, _: _step(a, F.col("_prev"), t, fix_booleans))
+    arr = _steps(F.col(state_col), F.col("_prev"), t, int(steps), fix_booleans)  # its size does not grow with ``steps``
     return j.select(*by, t.cast("bigint").alias("time"), F.col(pos_col), arr.alias(state_col))
 
 

@@ -193,3 +193,24 @@ def test_whole_documents_in_pieces(spark):
     assert [r.page_no for r in docs] == [0, 1, 2]
     back = [json.loads(r.value) for r in docs]
     assert all(d["time"] == 5 for d in back) and [s for d in back for s in d["states"]] == states
+
+
+def test_steps_at_once_equal_steps_one_by_one(spark):
+    import random
+
+    r = random.Random(7)
+    values = [0, 1, 2, 3, -5, 2.5, 1.0, True, False, None, "", "x", "7", 2**62, -2**63, 2**63 - 1, 10**25, 123456789012345678901.5, [], [1], {}, {"a": 1}]
+    rows = lambda: [[r.choice(values) for _ in range(r.randrange(16, 20))] for _ in range(60)]
+    prev, curr = _snap(spark, rows()), _snap(spark, rows()[:58] + [_row(i8=1)] * 4, 2)
+    shown = lambda df: [(x.pos, x.j) for x in df.select("pos", F.to_json("state").alias("j")).orderBy("pos").collect()]
+    for fix in (False, True):
+        one = curr
+        for n in range(1, 5):
+            one = spark.createDataFrame(extrapolate.extrapolate(one, prev, T, fix_booleans=fix).collect(), curr.schema)
+            assert shown(extrapolate.extrapolate(curr, prev, T, steps=n, fix_booleans=fix)) == shown(one)
+
+
+def test_types_are_looked_up_once_whatever_the_steps(spark):
+    out = extrapolate.extrapolate(_snap(spark, [_row()], 2), _snap(spark, [_row()]), T, steps=3)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("schema_of_variant") and plan.index("schema_of_variant") < plan.index("aggregate(")
