@@ -8,11 +8,13 @@ each built from the library over tables derived from the driver's parquet
 
 from __future__ import annotations
 
+import contextlib
 import os
 import sys
 import warnings
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -337,16 +339,26 @@ def _early_late():
     return early, F.coalesce(at >= F.lit(UPSERT_SPLIT).cast("timestamp"), F.lit(False))
 
 
+@contextlib.contextmanager
+def _kept_states(spark, sf):
+    """The parsed messages, kept while their batches are loaded: parsed once, not per batch."""
+    states = parse.flight_state_parse(fx.flight_state_messages(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield states
+    finally:
+        states.unpersist()
+
+
 def q_upsert_stored_batches(spark, sf):
     """K2 stored: three batches (the first without any callsign, the second
     loaded twice) into the five dimensions, read back as one list."""
     from flightlake.plans.star_load import load_star_batch, read_star
 
     work = _work(spark, "batches")
-    states = parse.flight_state_parse(fx.flight_state_messages(spark, sf))
     early, late = _early_late()
-    for i, cond in [(0, early), (1, ~early & ~late), (1, ~early & ~late), (2, late)]:
-        load_star_batch(states.filter(cond), i, work)
+    with _kept_states(spark, sf) as states:
+        for i, cond in [(0, early), (1, ~early & ~late), (1, ~early & ~late), (2, late)]:
+            load_star_batch(states.filter(cond), i, work, persist=False)
     return _listed(read_star(spark, work))
 
 
@@ -356,13 +368,13 @@ def q_upsert_folded_batches(spark, sf):
     from flightlake.plans.star_load import fold_dimensions, load_star_batch, read_star
 
     work = _work(spark, "folded")
-    states = parse.flight_state_parse(fx.flight_state_messages(spark, sf))
     early, late = _early_late()
-    for i, cond in [(0, early), (1, ~early & ~late), (None, None), (1, ~early & ~late), (2, late), (None, None)]:
-        if i is None:
-            fold_dimensions(spark, work)
-        else:
-            load_star_batch(states.filter(cond), i, work)
+    with _kept_states(spark, sf) as states:
+        for i, cond in [(0, early), (1, ~early & ~late), (None, None), (1, ~early & ~late), (2, late), (None, None)]:
+            if i is None:
+                fold_dimensions(spark, work)
+            else:
+                load_star_batch(states.filter(cond), i, work, persist=False)
     return _listed(read_star(spark, work))
 
 

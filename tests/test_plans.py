@@ -15,6 +15,7 @@ from flightlake.plans import airfields as air
 from flightlake.plans import dashboard as dash
 from flightlake.plans import star_load
 from flightlake.sources import fixtures as fx
+from tests.conftest import SF001
 
 SF = "/root/testdata/sf0.001"
 
@@ -133,3 +134,16 @@ def test_last_reading_needs_no_fact_scan(spark, scratch):
         scans = [x for x in plan.splitlines() if "Relation [" in x]
         assert sum("velocity#" in x for x in scans) == 1, plan
         assert len(scans) > 1 and all("velocity#" in x or "loaded_at#" in x for x in scans)
+
+
+def test_batches_of_one_feed_are_parsed_once(spark, monkeypatch):
+    plans, load = [], star_load.load_star_batch
+
+    def spy(states, *args, **kw):
+        plans.append(states._jdf.queryExecution().withCachedData().toString())
+        return load(states, *args, **kw)
+
+    monkeypatch.setattr(star_load, "load_star_batch", spy)
+    for query in ("upsert_stored_batches", "upsert_folded_batches"):
+        E.queries()[query](spark, SF001)
+    assert len(plans) == 8 and all("InMemoryRelation" in p for p in plans)
