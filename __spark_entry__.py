@@ -577,7 +577,9 @@ def q_snapshot_files(spark, sf):
     from flightlake.sources.streams import read_snapshots
 
     work = _work(spark, "snapshot-files")
-    fx.snapshot_documents(spark, sf).write.option("maxRecordsPerFile", 1).text(f"{work}/docs")
+    # One file a document: moved into place by the tasks, not one by one by the driver.
+    (fx.snapshot_documents(spark, sf).write.option("maxRecordsPerFile", 1)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(f"{work}/docs"))
     return parse.positional_to_named(read_snapshots(spark, f"{work}/docs"))
 
 
