@@ -46,14 +46,10 @@ _INTEGRAL = ["TINYINT", "SMALLINT", "INT", "BIGINT", "BOOLEAN"]
 _FRACTIONAL = ["FLOAT", "DOUBLE"]
 
 
-def _is_integral(tag: Column) -> Column:
-    return F.coalesce(tag.isin(_INTEGRAL)
-                      | (tag.startswith("DECIMAL") & tag.endswith(",0)")), F.lit(False))
-
-
-def _is_number(tag: Column) -> Column:
-    return F.coalesce(tag.isin(_INTEGRAL + _FRACTIONAL) | tag.startswith("DECIMAL"),
-                      F.lit(False))
+def _kind(tag: Column) -> Column:
+    """2 for the tag of an integer (or boolean), 1 of another number, else 0."""
+    return (F.when(tag.isin(_INTEGRAL), 2).when(tag.isin(_FRACTIONAL), 1)
+            .when(tag.startswith("DECIMAL"), F.when(tag.endswith(",0)"), 2).otherwise(1)).otherwise(0))
 
 
 def _truthy(v: Column, tag: Column) -> Column:
@@ -71,18 +67,21 @@ def _steps(cur: Column, prev: Column, job_time: Column, steps: int, fix_booleans
         c.alias("c"), F.schema_of_variant(c).alias("ct"),
         F.get(prev, i).alias("p"), F.schema_of_variant(F.get(prev, i)).alias("pt")))
 
+    kinds = F.transform(tagged, lambda e: F.struct(
+        e["c"].alias("c"), e["ct"].alias("ct"), _kind(e["ct"]).alias("ck"), e["p"].alias("p"), _kind(e["pt"]).alias("pk")))
+
     # Pass 2: what the steps count with. ``ci`` and ``pi`` are there for two
     # integers, ``cd`` and ``pd`` for two numbers (``pd`` for a previous one).
     def numbers(e: Column) -> Column:
-        c, ct, p, pt = e["c"], e["ct"], e["p"], e["pt"]
-        both = _is_number(ct) & _is_number(pt)
+        c, ct, p = e["c"], e["ct"], e["p"]
+        both = (e["ck"] > 0) & (e["pk"] > 0)
         if fix_booleans:
             both = both & (F.coalesce(ct, F.lit("")) != "BOOLEAN")
-        whole = both & _is_integral(ct) & _is_integral(pt)
+        whole = both & (e["ck"] == 2) & (e["pk"] == 2)
         as_type = lambda cond, v, typ: F.when(cond, F.try_variant_get(v, "$", typ))
         return F.struct(c.alias("c"), ct.alias("ct"), both.alias("both"),
                         as_type(whole, c, "bigint").alias("ci"), as_type(whole, p, "bigint").alias("pi"),
-                        as_type(both, c, "double").alias("cd"), as_type(_is_number(pt), p, "double").alias("pd"))
+                        as_type(both, c, "double").alias("cd"), as_type(e["pk"] > 0, p, "double").alias("pd"))
 
     # Integers stay integers; past BIGINT the result is DOUBLE (never an ANSI
     # overflow error), and stays one in the steps after.
@@ -116,7 +115,7 @@ def _steps(cur: Column, prev: Column, job_time: Column, steps: int, fix_booleans
                 .when(i.isin(list(BOOLEAN_POSITIONS)), flag(e).cast("variant"))
                 .when(e["both"], moved(e))
                 .otherwise(e["c"]))
-    return F.transform(F.transform(tagged, numbers), element)
+    return F.transform(F.transform(kinds, numbers), element)
 
 
 def extrapolate(current: DataFrame, previous: DataFrame | None, job_time,
