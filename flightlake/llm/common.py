@@ -98,15 +98,17 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def packed(df: DataFrame) -> DataFrame:
+def packed(df: DataFrame, keep=None) -> DataFrame:
     """``df`` with its ``text`` compressed (binary), for a shuffle of whole
-    texts; null stays null."""
+    texts; null stays null. Of a batch, the rows of ``keep(batch)`` if given."""
     names = df.columns
     schema = ", ".join(f"`{n}` {'binary' if n == 'text' else t}" for n, t in df.dtypes)
 
     def run(batches):
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
+            if keep:
+                b = b.filter(pa.array(keep(b)))
             texts = [z.compress(t.as_buffer().to_pybytes()) if t.is_valid else None for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()) if n == "text" else b.column(n) for n in names], names=names)
 

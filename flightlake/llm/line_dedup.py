@@ -55,6 +55,9 @@ BLOCK = 1 << 18
 TEXT_BLOCK = 3 << 19
 #: Lines of one word that meet in one task; above, so many in a tile, about.
 GROUP = 1 << 13
+#: Bits of a table of documents to be fetched, and those in one of its rows.
+ASKED = 1 << 25
+_PART = 1 << 15
 #: Pairs held at once beyond the nearest.
 _PAIRS = 1 << 19
 
@@ -500,16 +503,37 @@ def _tiled(rows: DataFrame, named: int | None, group: int) -> DataFrame:
             .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long").select("doc_id", "line", "others", "more", "word"))
 
 
+def _asked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc_id, text`` (packed) of the documents in ``pairs``, and of the few
+    others that share a bit with one of them: the table of bits has a bounded
+    size, and a join by ``doc_id`` leaves the others out."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED))
+    bits = pairs.select(F.explode(F.array(bit("doc_id"), bit("other_doc"))).alias("bit")).distinct()
+    rows = (bits.groupBy(F.floor(F.col("bit") / _PART).alias("part"))
+            .agg(F.bitmap_construct_agg(F.pmod("bit", F.lit(_PART))).alias("bits")).collect())  # at most ``ASKED`` bits
+    table = np.zeros((-(-ASKED // _PART), _PART // 8), np.uint8)
+    for r in rows:
+        table[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    table = docs.sparkSession.sparkContext.broadcast(table.ravel())
+
+    def keep(b):
+        at = b.column("bit").to_numpy(zero_copy_only=False)
+        return (table.value[at >> 3] >> (at & 7) & 1).astype(bool)
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    return packed(texts.withColumn("bit", bit("doc_id")), keep).select("doc_id", "text")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``doc_id, line`` of the later lines in ``pairs`` of which one pair is a
-    match. The words of both lines go to where the earlier line is.
-    The join of the texts is the same at every size."""
+    match. The words of both lines go to where the earlier line is. ``pairs``
+    are read twice. The join of the texts is the same at every size."""
+    texts = _asked(docs, pairs)
     pairs = pairs.select(*_PAIR).distinct()
     at = F.struct(F.col("other_doc").alias("doc_id"), F.col("other_line").alias("line")).alias("at")
     sent = (pairs.select("doc_id", "line", at, F.lit(False).alias("is_other"))
             .unionByName(pairs.select(F.col("other_doc").alias("doc_id"), F.col("other_line").alias("line"), at, F.lit(True).alias("is_other")).distinct()))
     lists = sent.groupBy("doc_id").agg(F.collect_list(F.struct("line", "at", "is_other")).alias("asked"))  # of one document's lines
-    texts = packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null"))
     names = ["at_doc", "at_line", "is_other", "doc_id", "line", "words"]
     kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
 
@@ -569,7 +593,8 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
         again = found.where("packed is not null").select(*_CELL).join(left.select("word").distinct(), "word", "left_semi")
         asks = left.select("word", "doc_id", "line", F.lit(True).alias("asks"))
         again = stored(again.join(asks, ["word", "doc_id", "line"], "left").withColumn("asks", F.coalesce("asks", F.lit(False))), "again")
-        matched = matched.unionByName(stored(_verified(docs, pairs(_tiled(again, None, group))), "matched"))
+        every = stored(_tiled(again, None, group), "tiled")
+        matched = matched.unionByName(stored(_verified(docs, pairs(every)), "matched"))
     return copies.unionByName(matched).distinct()
 
 

@@ -178,3 +178,22 @@ def test_few_candidates_are_held_for_a_template():
     assert list(every) == list(later)
     ends = np.cumsum(all_counts)
     assert earlier.tolist() == [e for k, m in zip(ends - all_counts, np.minimum(all_counts, 5)) for e in others[k:k + m].tolist()]
+
+
+@pytest.mark.parametrize("bits", [1 << 25, 8])
+def test_texts_without_a_candidate_are_not_fetched(docs_of, monkeypatch, bits):
+    """Only documents with a line to be compared are packed, shuffled and sorted,
+    in both verifications; more come along where the table of bits is full."""
+    frames, packed = [], op.packed
+    monkeypatch.setattr(op, "packed", lambda *a: frames.append(packed(*a)) or frames[-1])
+    monkeypatch.setattr(op, "ASKED", bits, raising=False)
+    base = " ".join(f"w{i}" for i in range(20))
+    texts = [" ".join(f"own{i}x{j}" for j in range(12)) for i in range(400)]
+    texts[17], texts[300] = base, base + " more"
+    r = random.Random(21)  # lines that share their rarest word and have bitmaps too full to tell them apart
+    far = [" ".join(["rare"] + [f"v{r.randrange(3000)}" for _ in range(300)]) for _ in range(20)] + ["apart from all"]
+    texts += ["\n".join([x, f"alone{i}"]) for i, x in enumerate(far)] + ["\n".join(f"v{i} " * 40 for i in range(3000))]
+    rows = op.removed(docs_of(texts + [None, ""]), 1, 1).collect()
+    assert sorted((x.doc_id, x.line) for x in rows) == [(300, 0)] == [(d, i) for d, x in brute(list(enumerate(texts[:-1]))).items() for i in x]
+    counts = [x.count() for x in frames]
+    assert len(counts) == 2 and (max(counts) < 30) == (bits > 8)
