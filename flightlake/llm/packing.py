@@ -29,8 +29,10 @@ from .common import Memo, keeps, lean, release, stored
 
 CAPACITY = 4096
 END_ID = 1
-#: Pieces, and words of other characters, remembered by a Python worker, at least; twice as many at most.
-MEMO_SIZE = 50_000
+#: Pieces, and words of other characters, remembered by a Python worker, at least; twice as many at most. A piece
+#: takes some 100 to 150 bytes; the merges of one that is forgotten are the largest part of the time.
+MEMO_SIZE = 200_000
+WORD_MEMO_SIZE = 50_000
 #: Parts in which the pieces of one length are ranked.
 SHARDS = 64
 
@@ -38,7 +40,7 @@ SHARDS = 64
 _SPACE = " \t-\r"
 _PLAIN = re.compile(f"[!-~À-ÖØ-öø-įı-ňŊ-ž{_SPACE}]*")
 _LETTER = "a-zß-öø-ž"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}{_SPACE}]+")
+_PIECE = re.compile(f"[{_LETTER}]++|'(?:[stmd]|re|ve|ll)|[0-9]|[^0-9{_LETTER}{_SPACE}]++")
 _WORD = re.compile(f"[^{_SPACE}]+")
 _BREAK = re.compile(f"[{_SPACE}]")
 #: Characters that are split at once.
@@ -62,7 +64,7 @@ class WordIds:
         #: The byte alphabet: printable bytes as they are, others from 256 on.
         self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)} | {b: chr(b) for b in shown}
         self.pieces = Memo(self._piece, MEMO_SIZE)
-        self.words = Memo(self._word, MEMO_SIZE)
+        self.words = Memo(self._word, WORD_MEMO_SIZE)
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():

@@ -72,3 +72,19 @@ def test_hot_length_and_repeated_rows(docs_of):
     rows = packing.pack(d.union(d), PATH, capacity=10).collect()
     assert len(rows) == 1000
     assert len({(r.sequence_id, r.offset) for r in rows}) == 1000
+
+
+def test_pieces_of_a_large_vocabulary_are_merged_once():
+    ids, merged = packing.WordIds(PATH), []
+
+    class Model:
+        def __init__(self, model):
+            self.tokenize = lambda piece: merged.append(piece) or model.tokenize(piece)
+
+    ids.model = Model(ids.model)
+    letters = [chr(97 + i) for i in range(26)]
+    text = " ".join(a + b + c + d for a in letters for b in letters for c in letters for d in letters[:10])
+    assert ids(text) == ids(text)
+    assert len(merged) == len(set(merged)) == 26 ** 3 * 10
+    for t in ("'s'test''re don't WE'LL...'d 'x '", "a'ſ à'és 1'2'll!'m"):
+        assert np.frombuffer(ids(t), "<u4").tolist() == REAL.encode(t, add_special_tokens=False).ids
