@@ -16,9 +16,12 @@ is compared; with ``min_words``, those of at least so many.
    ``SHORT`` words match only if equal, and meet under the hash of the set.
    Copies in a block of texts are known there and meet nothing any more.
 3. A line names the nearest of its earlier candidates, ``NAMED`` at most in one
-   word's group, and these are verified on the words themselves. No more are
-   held. Groups with such lines come back as cells, and those of them that have
-   no match then name all their candidates.
+   word's group. No more are held; groups with such lines come back as cells.
+   The ``NEAREST`` of each group are verified first, on the words themselves:
+   nearly all lines that go match one of them, and the pairs then follow the
+   lines, not the lines times their copies. Lines without a match have the
+   others they named verified; those that still have none then name all their
+   candidates in groups with more.
 4. Groups of more than ``GROUP`` lines, and those looked at again, are dealt into
    tiles; a task has two tiles of one word, so each pair meets in one task.
 
@@ -33,7 +36,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,8 @@ PERCENT = 80
 RANKED = 1 << 17
 #: Candidates that a line names in one word's group at first.
 NAMED = 32
+#: Candidates of a line in one word's group that are verified before the others.
+NEAREST = 1
 #: Cells, and bytes of text, of a block.
 BLOCK = 1 << 18
 TEXT_BLOCK = 3 << 19
@@ -76,9 +80,14 @@ def prefix_size(n):
 _BASE = 0x5851F42D4C957F2D
 _UNBASE = pow(_BASE, -1, 1 << 64)
 _ROW = 1 << 10
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def _space(text: np.ndarray) -> np.ndarray:
+    return (text - np.uint8(9) < 5) | (text == 32)  # 0 to 8 wrap around
+
+
 _NUMBERS = _mix(np.arange(256) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90)), 3)  # A-Z as a-z
-_NUMBERS[_SPACE] = 0
+_NUMBERS[_space(np.arange(256, dtype=np.uint8))] = 0
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -91,14 +100,15 @@ _UP, _DOWN = _powers(_BASE, _ROW), _powers(_UNBASE, _ROW)
 def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(hash, start)`` of each word of ``text``, bytes of which the last is
     white space."""
-    space = _SPACE[text]
+    space = _space(text)
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(space) and not space[0]:
         edge = np.r_[0, edge]
     start, end = edge[::2], edge[1::2]
     rows = -(-len(text) // _ROW)
-    numbers = np.zeros(rows * _ROW, np.uint64)
-    numbers[:len(text)] = _NUMBERS[text]
+    numbers = np.empty(rows * _ROW, np.uint64)
+    np.take(_NUMBERS, text, out=numbers[:len(text)], mode="clip")
+    numbers[len(text):] = 0
     far = pow(_BASE, _ROW, 1 << 64), pow(_UNBASE, _ROW, 1 << 64)
     numbers = numbers.reshape(rows, _ROW)
     numbers *= _UP
@@ -535,20 +545,20 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .unionByName(pairs.select(F.col("other_doc").alias("doc_id"), F.col("other_line").alias("line"), at, F.lit(True).alias("is_other")).distinct()))
     lists = sent.groupBy("doc_id").agg(F.collect_list(F.struct("line", "at", "is_other")).alias("asked"))  # of one document's lines
     names = ["at_doc", "at_line", "is_other", "doc_id", "line", "words"]
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
 
     def fetch(batches):
         def batch(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-        z = zstandard.ZstdDecompressor()
+        z, short = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for b in batches:
             rows = []
             for doc, text, asked in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("asked").to_pylist()):
                 lines, sets = z.decompress(text.as_py()).lower().split(b"\n"), {}
                 for r in asked:
                     if r["line"] not in sets:
-                        sets[r["line"]] = np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, lines[r["line"]].split()), np.uint64)).view(np.int64)
+                        sets[r["line"]] = short.compress(b" ".join(dict.fromkeys(lines[r["line"]].split())))
                     rows.append((r["at"]["doc_id"], r["at"]["line"], r["is_other"], doc, r["line"], sets[r["line"]]))
                     if len(rows) == 5000:
                         yield batch(rows)
@@ -557,21 +567,20 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 yield batch(rows)
 
     def verify(batches):
-        other, words = None, None
+        z, other, words = zstandard.ZstdDecompressor(), None, None
         for b in batches:
-            out, cols = [], b.column("words")
-            values, offsets = cols.values.to_numpy(zero_copy_only=False), cols.offsets.to_numpy()
-            for i, (d, n, first, doc, line) in enumerate(zip(*(b.column(c).to_pylist() for c in names[:5]))):
-                own = values[offsets[i]:offsets[i + 1]]
+            out = []
+            for d, n, first, doc, line, text in zip(*(b.column(c).to_pylist() for c in names)):
                 if first:
-                    other, words = (d, n), own.copy()
+                    other, words = (d, n), set(z.decompress(text).split())
                 elif (d, n) == other:
-                    both = len(np.intersect1d(words, own, assume_unique=True))
+                    own = set(z.decompress(text).split())
+                    both = len(words & own)
                     if 100 * both >= PERCENT * (len(words) + len(own) - both):
                         out.append((doc, line))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["doc_id", "line"])
 
-    fetched = texts.join(lists.hint("merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words array<long>")
+    fetched = texts.join(lists.hint("merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(lean(fetch), "at_doc long, at_line long, is_other boolean, doc_id long, line long, words binary")
     return (fetched.repartition("at_doc", "at_line").sortWithinPartitions("at_doc", "at_line", F.desc("is_other"))
             .mapInArrow(lean(verify), "doc_id long, line long").distinct())
 
@@ -585,8 +594,13 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
     large = found.where("packed is not null and not more").select(*_CELL, F.lit(True).alias("asks"))
     if not large.isEmpty():
         lists = lists.unionByName(stored(_tiled(large, named, group), "tiled"))
-    pairs = lambda rows: rows.select("doc_id", "line", F.inline("others"))
-    matched = stored(_verified(docs, pairs(lists)), "matched")
+    pairs = lambda rows, others: rows.select("doc_id", "line", F.inline(others))
+    matched = stored(_verified(docs, pairs(lists, F.slice("others", 1, NEAREST))), "matched")
+    lines = stored(lists.where(F.size("others") > NEAREST).select("doc_id", "line").distinct()
+                   .join(matched, ["doc_id", "line"], "left_anti").join(copies, ["doc_id", "line"], "left_anti"), "lines")
+    if not lines.isEmpty():
+        rest = stored(lists.where(F.size("others") > NEAREST).join(lines, ["doc_id", "line"], "left_semi"), "rest")
+        matched = matched.unionByName(stored(_verified(docs, pairs(rest, F.slice("others", NEAREST + 1, named))), "matched"))
     left = stored(lists.where("more").select("word", "doc_id", "line").distinct()
                   .join(matched, ["doc_id", "line"], "left_anti").join(copies, ["doc_id", "line"], "left_anti"), "left")
     if not left.isEmpty():
@@ -594,7 +608,7 @@ def removed(docs: DataFrame, min_words: int = EVERY, named: int = NAMED, group:
         asks = left.select("word", "doc_id", "line", F.lit(True).alias("asks"))
         again = stored(again.join(asks, ["word", "doc_id", "line"], "left").withColumn("asks", F.coalesce("asks", F.lit(False))), "again")
         every = stored(_tiled(again, None, group), "tiled")
-        matched = matched.unionByName(stored(_verified(docs, pairs(every)), "matched"))
+        matched = matched.unionByName(stored(_verified(docs, pairs(every, "others")), "matched"))
     return copies.unionByName(matched).distinct()
 
 

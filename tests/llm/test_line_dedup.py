@@ -197,3 +197,22 @@ def test_texts_without_a_candidate_are_not_fetched(docs_of, monkeypatch, bits):
     assert sorted((x.doc_id, x.line) for x in rows) == [(300, 0)] == [(d, i) for d, x in brute(list(enumerate(texts[:-1]))).items() for i in x]
     counts = [x.count() for x in frames]
     assert len(counts) == 2 and (max(counts) < 30) == (bits > 8)
+
+
+def test_nearest_candidates_are_verified_first(docs_of, monkeypatch):
+    """Of many near copies a line is compared with few; a line whose nearest
+    candidates do not match is compared with all others."""
+    sent, verified = [], op._verified
+    monkeypatch.setattr(op, "_verified", lambda docs, pairs: sent.append(pairs) or verified(docs, pairs))
+    r = random.Random(31)
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base[:i % 40] + [f"x{i}"] + base[i % 40 + 1:]) for i in range(80)]
+    often = [f"v{i}" for i in range(3000)]
+    far = [[f"s{i}" for i in range(210)] + r.sample(often, 790) for _ in range(20)]  # bitmaps do not tell these apart
+    near = [x[:920] + r.sample([w for w in often if w not in x], 80) for x in far[:9]]
+    texts += [" ".join(x) for x in far + near] + [" ".join(often * 40)]
+    got = {(x.doc_id, x.line) for x in op.removed(docs_of(texts), 1, 40).collect()}
+    assert got == {(d, i) for d, x in brute(list(enumerate(texts))).items() for i in x} and len(got) == 79 + 9
+    pairs = [{tuple(x) for x in p.select(*op._PAIR).collect()} for p in sent]
+    assert len({p for p in pairs[0] if p[0] < 80}) < 79 * 8  # all pairs are 79 * 40
+    assert len(pairs) == 2 and any((100 + i, 0, 80 + i, 0) in pairs[1] - pairs[0] for i in range(9))
