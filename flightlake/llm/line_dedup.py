@@ -34,6 +34,8 @@ such rows keep the same lines. Rows with a null ``doc_id`` stay as they are.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -57,13 +59,16 @@ NEAREST = 1
 #: Cells, and bytes of text, of a block.
 BLOCK = 1 << 18
 TEXT_BLOCK = 3 << 19
+#: The words' cells are dealt out in so many parts at least, those of a block and part in one row.
+PARTS = 1 << 12
 #: Lines of one word that meet in one task; above, so many in a tile, about.
 GROUP = 1 << 13
 #: Bits of a table of documents to be fetched, and those in one of its rows.
 ASKED = 1 << 25
 _PART = 1 << 15
-#: Pairs held at once beyond the nearest.
+#: Pairs held at once beyond the nearest, and pairs looked at in one step.
 _PAIRS = 1 << 19
+_STEP = 1 << 14
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -76,48 +81,34 @@ def prefix_size(n):
     return n - -(-PERCENT * n // 100) + 1
 
 
-#: A word's hash is a polynomial over the numbers of its bytes, mod 2^64, mixed.
-_BASE = 0x5851F42D4C957F2D
-_UNBASE = pow(_BASE, -1, 1 << 64)
-_ROW = 1 << 10
+#: Bytes of a word that are hashed eight at a time; longer ones are hashed one by one.
+_LONG = 64
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _space(text: np.ndarray) -> np.ndarray:
     return (text - np.uint8(9) < 5) | (text == 32)  # 0 to 8 wrap around
 
 
-_NUMBERS = _mix(np.arange(256) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90)), 3)  # A-Z as a-z
-_NUMBERS[_space(np.arange(256, dtype=np.uint8))] = 0
-
-
-def _powers(base: int, count: int) -> np.ndarray:
-    return np.cumprod(np.r_[np.uint64(1), np.full(count - 1, base, np.uint64)], dtype=np.uint64)
-
-
-_UP, _DOWN = _powers(_BASE, _ROW), _powers(_UNBASE, _ROW)
-
-
 def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, start)`` of each word of ``text``, bytes of which the last is
-    white space."""
+    """``(hash, start)`` of each word of ``text``, A-Z as a-z: bytes of which the
+    last is white space."""
     space = _space(text)
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(space) and not space[0]:
         edge = np.r_[0, edge]
     start, end = edge[::2], edge[1::2]
-    rows = -(-len(text) // _ROW)
-    numbers = np.empty(rows * _ROW, np.uint64)
-    np.take(_NUMBERS, text, out=numbers[:len(text)], mode="clip")
-    numbers[len(text):] = 0
-    far = pow(_BASE, _ROW, 1 << 64), pow(_UNBASE, _ROW, 1 << 64)
-    numbers = numbers.reshape(rows, _ROW)
-    numbers *= _UP
-    numbers *= _powers(far[0], rows)[:, None]
-    total = np.cumsum(numbers.ravel())
-    h = total[end - 1] - np.where(start > 0, total[start - 1], np.uint64(0))
-    h *= _DOWN[start % _ROW]
-    h *= _powers(far[1], rows)[start // _ROW]
-    return _mix(h, 4).view(np.int64), start
+    size, low = end - start, text.tobytes().lower() + bytes(8)
+    eight = np.ndarray(len(text) + 1, "<u8", low, strides=(1,))  # the bytes from each place on
+    h = _mix((eight[start] & _FIRST[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)), 4)
+    for at in range(8, _LONG, 8):
+        more = np.flatnonzero(size > at)
+        if not len(more):
+            break
+        h[more] = _mix(h[more] ^ (eight[start[more] + at] & _FIRST[np.minimum(size[more] - at, 8)]), 4)
+    for k in np.flatnonzero(size > _LONG).tolist():
+        h[k] = int.from_bytes(blake2b(memoryview(low)[start[k]:end[k]], digest_size=8).digest(), "little")
+    return h.view(np.int64), start
 
 
 def text_blocks(batches):
@@ -128,7 +119,8 @@ def text_blocks(batches):
     def block():
         text = np.frombuffer(b"".join(x[3] for x in parts), np.uint8)
         h, start = word_hashes(text)
-        return h, np.cumsum(text == 10)[start], *(np.array([x[k] for x in parts], np.int64) for k in range(3))
+        words = np.searchsorted(start, np.flatnonzero(text == 10))  # before the end of each line
+        return h, np.repeat(np.arange(len(words)), np.diff(words, prepend=0)), *(np.array([x[k] for x in parts], np.int64) for k in range(3))
 
     parts, lines, size = [], 0, 0
     for b in batches:
@@ -154,10 +146,23 @@ def text_blocks(batches):
 def rarity(texts: DataFrame, ranked: int = RANKED) -> np.ndarray:
     """Hashes of the most frequent words, at most ``ranked``, rarest first. A
     word adds to its count where a block holds it twice."""
+    def total(held):
+        h, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        n = np.zeros(len(h), np.int64)
+        np.add.at(n, at, np.concatenate([n for _, n in held]))
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "c"])
+
     def run(batches):
+        held, size = [], 0
         for words, *_ in text_blocks(batches):
             h, n = np.unique(words, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h[n > 1]), pa.array(n[n > 1].astype(np.int64))], names=["h", "c"])
+            held.append((h[n > 1], n[n > 1]))
+            size += len(held[-1][0])
+            if size >= BLOCK:
+                yield total(held)
+                held, size = [], 0
+        if held:
+            yield total(held)
 
     texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = stored(texts.mapInArrow(lean(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
@@ -177,17 +182,25 @@ class Keys:
     others have keys below 0."""
 
     def __init__(self, ranks: np.ndarray):
-        # Ranked words by the first bits of their hashes, two drawers a word.
-        self.shift = np.uint64(64 - max(1, int(len(ranks)).bit_length() + 1))
-        drawer = ranks.view(np.uint64) >> self.shift
-        self.rank = np.argsort(drawer, kind="stable")
-        self.hashes = ranks[self.rank]
-        self.first = np.searchsorted(drawer[self.rank], np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
+        # Ranked words by the first bits of their hashes, eight drawers a word.
+        bits = int(len(ranks)).bit_length() + 3
+        self.shift = np.uint64(64 - bits)
+        drawer = (ranks.view(np.uint64) >> self.shift).view(np.int64)
+        order = np.argsort(drawer, kind="stable")
+        self.first = np.r_[0, np.cumsum(np.bincount(drawer, minlength=1 << bits))].astype(np.int32)
+        order = np.r_[order, order[:1]]  # after the last drawer, a word that belongs to another
+        self.rank, self.hashes = order, ranks[order]
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
         out = h | np.int64(-(1 << 63))  # 63 bits of the hash, below 0
-        drawer = (h.view(np.uint64) >> self.shift).astype(np.int64)
-        at, end, of = self.first[drawer], self.first[drawer + 1], np.arange(len(h))
+        if not len(self.rank):
+            return out
+        drawer = (h.view(np.uint64) >> self.shift).view(np.int64)
+        at = self.first[drawer]
+        same = self.hashes[at] == h
+        out = np.where(same, self.rank[at], out)
+        of = np.flatnonzero(~same)
+        at, end = at[of] + 1, self.first[drawer[of] + 1]
         while True:
             left = at < end
             at, end, of = at[left], end[left], of[left]
@@ -242,10 +255,14 @@ _COPY = -1
 
 
 def cells(docs: DataFrame, ranks, min_words: int) -> DataFrame:
-    """A row for each prefix word of each line's set: the word's key, the line,
+    """A cell for each prefix word of each line's set: the word's key, the line,
     the parity bitmap, and packed the set's size, the word's place and a part
-    of the set's hash. A block's copies of a set give one row, ``_COPY``."""
+    of the set's hash. A block's copies of a set give one cell, ``_COPY``. The
+    words are dealt into parts; ``part, cells`` (binary, ``_CELL`` after
+    ``_CELL``) has those of a block and part."""
     least = max(min_words, 1)
+    parts = max(PARTS, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = np.uint16 if parts <= 1 << 16 else np.int32
 
     def run(batches):
         keys = Keys(ranks.value)
@@ -273,12 +290,20 @@ def cells(docs: DataFrame, ranks, min_words: int) -> DataFrame:
             packed_ = (np.minimum(x.n, _MOST)[of] << 44) | (np.minimum(place, _MOST) << 24) | (x.sig >> np.uint64(40)).astype(np.int64)[of]
             none = np.zeros(len(again), np.int64)
             apart = _mix(doc[again] * 1_000_003 + line[again], 2).view(np.int64)  # copies go to any task
-            columns = [np.concatenate(c) for c in (
+            rows = np.stack([np.concatenate(c) for c in (
                 (word, apart), (doc[of], doc[again]), (line[of], line[again]), (x.bits[0][of], none), (x.bits[1][of], none),
-                (packed_, none + _COPY))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_CELL)
+                (packed_, none + _COPY))], axis=1)
+            dealt = (((_mix(rows[:, 0], 8) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(kind)
+            order = np.argsort(dealt, kind="stable")
+            for k in range(0, len(order), BLOCK):
+                of = order[k:k + BLOCK]
+                part = dealt[of]
+                starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+                offsets = (np.r_[starts, len(of)] * rows.itemsize * len(_CELL)).astype(np.int32)
+                held = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(rows[of])])
+                yield pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), held], names=["part", "cells"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), ", ".join(f"{c} long" for c in _CELL))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "part int, cells binary")
 
 
 def _copies(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +314,9 @@ def _copies(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     # Equal rows stand together by one hash; others between them would only leave a copy to be compared.
     key = _mix(c["low"], 5) ^ c["high"].view(np.uint64)
     key = _mix(key, 6) ^ ((n << 24) | part).view(np.uint64)
-    same = np.argsort(_mix(key, 7) ^ word.view(np.uint64), kind="stable")
+    key, bits = _mix(key, 7) ^ word.view(np.uint64), np.uint64(len(word).bit_length())
+    same = np.sort((key >> bits << bits) | np.arange(len(word), dtype=np.uint64))
+    same = (same & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
     again = np.zeros(len(word), bool)
     again[same[1:]] = True
     for k in (word, n, part, c["low"], c["high"]):
@@ -362,15 +389,22 @@ def candidates(c: dict[str, np.ndarray], most: int | None = None):
     again, copies = _copies(c)
     order = np.flatnonzero(~again)
     c = {k: v[order] for k, v in c.items()}
-    word, found = c["word"], Nearest(most)
-    at = np.arange(len(word))
-    before = at - np.maximum.accumulate(np.where(np.r_[True, word[1:] != word[:-1]][:len(at)], at, 0))
+    # In a word's group by size, the sizes that a line allows stand together.
+    n, group = c["packed"] >> 44, np.cumsum(np.r_[True, c["word"][1:] != c["word"][:-1]][:len(order)])
+    size = (group << _BITS) | n
+    by = np.argsort(size)
+    size, c, found = size[by], {k: v[by] for k, v in c.items()}, Nearest(most)
+    at = np.arange(len(by))
+    first = np.searchsorted(size, (size & ~_MOST) | -(-PERCENT * (size & _MOST) // 100))
+    before = at - first
     ends = np.cumsum(before)
     x = 0
-    while x < len(at):  # some rows with all rows before them in their group
-        y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + _PAIRS, "right")))
-        later, n = np.repeat(at[x:y], before[x:y]), np.cumsum(before[x:y])
-        found.add(*_possible(c, np.arange(len(later)) - np.repeat(n - at[x:y], before[x:y]), later))
+    while x < len(at):  # some rows with all rows before them that may match
+        y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + _STEP, "right")))
+        j, m = np.repeat(at[x:y], before[x:y]), np.cumsum(before[x:y])
+        i, j, apart = _possible(c, np.arange(len(j)) - np.repeat(m - at[x:y], before[x:y]), j)
+        i, j = by[i].astype(np.int32), by[j].astype(np.int32)
+        found.add(np.minimum(i, j), np.maximum(i, j), apart)
         x = y
     later, counts, earlier = found.lists()
     return copies, order[later], counts, order[earlier]
@@ -402,64 +436,77 @@ def _lists(c: dict[str, np.ndarray], later, counts, earlier, named: int | None,
                                       names=["doc_id", "line", "others", "more", "word", "low", "high", "packed"])
 
 
+def _chunks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """``(part, cells)`` of rows of :func:`cells`: a part and a row of ``_CELL``
+    for each cell."""
+    column = batch.column("cells")
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    rows = np.frombuffer(data, np.int64)[ends[0] // 8:ends[-1] // 8].reshape(-1, len(_CELL))
+    return np.repeat(batch.column("part").to_numpy(), np.diff(ends) // (8 * len(_CELL))), rows
+
+
 def _named(cell: DataFrame, named: int, group: int) -> DataFrame:
     """``doc_id, line, others`` of each word's lines with candidates, the nearest
     ``named`` first, and if there are ``more``; copies have null for ``others``.
     Rows of words with more than ``group`` come back as cells, and so do, marked
     ``more``, those of words with a line that has more. Rows of one word stay in
-    one block."""
+    one task and, but for words with many, in one block."""
+    full = max(BLOCK // 2, 2 * group)
+
+    def answer(rows, spilt):
+        word = rows[:, 0].copy()
+        order = np.argsort(word)
+        # Words of one line meet nothing.
+        new = np.r_[True, word[order[1:]] != word[order[:-1]], True]
+        use = order[~(new[1:] & new[:-1]) | (rows[order, -1] == _COPY) | np.isin(word[order], spilt)]
+        if not len(use):
+            return
+        c = dict(zip(_CELL, rows[use].T.copy()))
+        group_of = np.cumsum(np.r_[True, c["word"][1:] != c["word"][:-1]])
+        doc = c["doc_id"] - c["doc_id"].min()
+        bits = [int(x.max()).bit_length() if x.min() >= 0 else 64 for x in (group_of, doc, c["line"])]
+        if sum(bits) < 64:
+            order = np.argsort((group_of << (bits[1] + bits[2])) | (doc << bits[2]) | c["line"])
+        else:
+            order = np.lexsort((c["line"], c["doc_id"], group_of))
+        c = {k: v[order] for k, v in c.items()}
+        words, counts = np.unique(c["word"], return_counts=True)
+        is_large = np.repeat((counts > group) | np.isin(words, spilt), counts)
+        known = c["packed"] == _COPY
+        few, many = np.flatnonzero(~is_large & ~known), np.flatnonzero(is_large & ~known)
+        copies, later, counts, earlier = candidates({k: v[few] for k, v in c.items()}, named + 1)
+        again, more = _copies({k: v[many] for k, v in c.items()})
+        copies = np.concatenate([np.flatnonzero(known), few[copies], many[more]])
+        asks = np.unique(c["word"][few[later[counts > named]]])
+        kept = few[np.isin(c["word"][few], asks)] if len(asks) else ()
+        yield _lists(c, few[later], counts, few[earlier], named, copies, many[~again], kept)
+
     def run(batches):
-        held: dict[str, list[np.ndarray]] = {k: [] for k in _CELL}
-        spilt = None  # word whose first rows came back already
-
-        def answer(last: bool):
-            nonlocal spilt
-            c = {k: np.concatenate(v) for k, v in held.items()}
-            cut = len(c["word"]) if last else int(np.searchsorted(c["word"], c["word"][-1]))
-            if len(c["word"]) - cut > group:
-                cut = len(c["word"])
-            now = c["word"][-1]
-            for k in held:
-                held[k] = [c[k][cut:]]
-            c = {k: v[:cut] for k, v in c.items()}
-            if not cut:
-                return
-            # Words of one line meet nothing.
-            new = np.r_[True, c["word"][1:] != c["word"][:-1], True]
-            use = ~(new[1:] & new[:-1]) | (c["packed"] == _COPY)
-            if spilt is not None:
-                use |= c["word"] == spilt
-            if not use.any():
-                spilt = None
-                return
-            c = {k: v[use] for k, v in c.items()}
-            order = np.lexsort((c["line"], c["doc_id"], c["word"]))
-            c = {k: v[order] for k, v in c.items()}
-            words, counts = np.unique(c["word"], return_counts=True)
-            large = (counts > group) | (words == spilt if spilt is not None else False)
-            spilt = now if not last and large[-1] and words[-1] == now else None
-            is_large = np.repeat(large, counts)
-            known = c["packed"] == _COPY
-            few, many = np.flatnonzero(~is_large & ~known), np.flatnonzero(is_large & ~known)
-            copies, later, counts, earlier = candidates({k: v[few] for k, v in c.items()}, named + 1)
-            again, more = _copies({k: v[many] for k, v in c.items()})
-            copies = np.concatenate([np.flatnonzero(known), few[copies], many[more]])
-            asks = np.unique(c["word"][few[later[counts > named]]])
-            kept = few[np.isin(c["word"][few], asks)] if len(asks) else ()
-            yield _lists(c, few[later], counts, few[earlier], named, copies, many[~again], kept)
-
-        size, full = 0, max(BLOCK // 2, 2 * group)
+        held, size, most = [], 0, full
+        spilt = np.empty(0, np.int64)  # words of the last part whose first rows came back already
         for batch in batches:
-            for k in held:
-                held[k].append(batch.column(k).to_numpy(zero_copy_only=False))
-            size += batch.num_rows
-            if size >= full:
-                yield from answer(False)
-                size = len(held["word"][0])
+            held.append(_chunks(batch))
+            size += len(held[-1][0])
+            if size < most:
+                continue
+            part, rows = (np.concatenate(x) for x in zip(*held))
+            cut = int(np.searchsorted(part, part[-1]))
+            if cut:
+                yield from answer(rows[:cut], spilt)
+                part, rows, spilt = part[cut:], rows[cut:], spilt[:0]
+            if len(rows) >= full:
+                words, n = np.unique(rows[:, 0], return_counts=True)
+                spilt = np.union1d(spilt, words[n > group])
+                out = np.isin(rows[:, 0], spilt)
+                yield from answer(rows[out], spilt)
+                part, rows = part[~out], rows[~out]
+            held, size = [(part, rows)], len(rows)
+            most = max(full, 2 * size)
         if size:
-            yield from answer(True)
+            yield from answer(np.concatenate([x for _, x in held]), spilt)
 
-    return (cell.repartition("word").sortWithinPartitions("word")
+    return (cell.repartition("part").sortWithinPartitions("part")
             .mapInArrow(lean(run), _LISTS + ", word long, low long, high long, packed long"))
 
 

@@ -216,3 +216,60 @@ def test_nearest_candidates_are_verified_first(docs_of, monkeypatch):
     pairs = [{tuple(x) for x in p.select(*op._PAIR).collect()} for p in sent]
     assert len({p for p in pairs[0] if p[0] < 80}) < 79 * 8  # all pairs are 79 * 40
     assert len(pairs) == 2 and any((100 + i, 0, 80 + i, 0) in pairs[1] - pairs[0] for i in range(9))
+
+
+def test_cells_travel_in_few_rows(spark, docs_of, monkeypatch):
+    """The cells of a block go to their parts in one row each, none is lost, and
+    all of a word are in one part."""
+    monkeypatch.setattr(op, "PARTS", 8)
+    monkeypatch.setattr(spark.conf, "get", lambda key, *a, f=spark.conf.get: "4" if key == "spark.sql.shuffle.partitions" else f(key, *a))
+    r = random.Random(41)
+    texts = [" ".join(f"w{r.randrange(5000)}" for _ in range(100)) for _ in range(200)]
+    sizes = [len(set(t.split())) for t in texts]
+    rows = op.cells(docs_of(texts).coalesce(1), spark.sparkContext.broadcast(np.array([], np.int64)), 1).collect()
+    assert len(rows) <= 8 * 2 and len({x["part"] for x in rows}) == 8
+    cell = {x: [] for x in op._CELL}
+    parts = {}
+    for x in rows:
+        for c in np.frombuffer(x["cells"], np.int64).reshape(-1, len(op._CELL)):
+            assert parts.setdefault(c[0], x["part"]) == x["part"]
+            for k, v in zip(op._CELL, c.tolist()):
+                cell[k].append(v)
+    assert np.bincount(cell["doc_id"], minlength=200).tolist() == [op.prefix_size(n) for n in sizes]
+
+
+def test_words_of_many_lines_in_small_blocks(spark, docs_of, monkeypatch):
+    """A part of the words that does not fit into a block comes in some; its
+    words with many lines are dealt into tiles, those with few stay."""
+    monkeypatch.setattr(op, "BLOCK", 60)
+    monkeypatch.setattr(op, "PARTS", 1)
+    key, old = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    texts = corpus(15, 40) + template(3, 60) + ["a b c d"] * 40
+    try:
+        spark.conf.set(key, 2)
+        rows = op.digest(docs_of(texts).repartition(9), 1, 4, 7).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert {x.doc_id: [int(i) for i in x.removed.split(",")] for x in rows if x.n_removed} == brute(list(enumerate(texts)), 1)
+
+
+def test_only_pairs_of_sizes_that_may_match_are_looked_at(monkeypatch):
+    looked = []
+    monkeypatch.setattr(op, "_possible", lambda c, i, j, f=op._possible: looked.append(len(i)) or f(c, i, j))
+    r = random.Random(51)
+    sets = [[b"shared"] + [b"w%d" % r.randrange(10**6) for _ in range(n)] for n in range(5, 205)]
+    r.shuffle(sets)
+    x = block(op.Keys(np.array([], np.int64)), sets)
+    n = len(sets)
+    c = {"word": np.ones(n, int), "doc_id": np.arange(n), "line": np.zeros(n, int), "low": x.bits[0], "high": x.bits[1],
+         "packed": (x.n << 44) | (x.sig >> np.uint64(40)).astype(np.int64)}
+    op.candidates(c)
+    sizes = x.n.tolist()
+    assert sum(looked) == sum(100 * min(a, b) >= 80 * max(a, b) for k, a in enumerate(sizes) for b in sizes[:k]) < n * (n - 1) / 5
+
+
+def test_words_of_all_lengths_have_their_own_hash():
+    words = [b"a" * n + e for n in range(150) for e in (b"", b"b", b"\0", b"\0\0", b"ab") if n or e]
+    words = list(dict.fromkeys(words))
+    h, start = op.word_hashes(np.frombuffer(b" ".join(words) + b"\n" + b" ".join(words).upper() + b" ", np.uint8))
+    assert len(set(h.tolist())) == len(words) and h.tolist() == h.tolist()[:len(words)] * 2
